@@ -98,45 +98,69 @@ class Codes:
 
 #: A byte-level BPE of this kind never joins a character to white space after it, so text may be cut there.
 _PIECE = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
+_SPACES = frozenset(" \t\n\r\x0b\x0c")
 #: White space or not by some definitions only: texts with these are encoded whole.
-_UNSURE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  ⁠　﻿]")
+_UNSURE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
 
 
 class PieceEncoder:
-    """The tokenizers library with a bounded store of what it made of single pieces, which mostly recur."""
+    """A byte-level BPE of the tokenizers library, with a bounded store of what it made of single pieces.
 
-    def __init__(self, path: str, most: int = 150_000):
+    Pieces mostly recur, so each is encoded once. New pieces go to the library joined, a thousand at a time; as ids of
+    such a tokenizer stand for a fixed number of bytes, the ids of each piece are found by adding those up.
+    """
+
+    def __init__(self, path: str, most: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        names = (self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size()))
+        self.bytes_of = np.array([added.get(i, len(t or "")) for i, t in enumerate(names)], np.int64)
         self._clear()
 
     def _clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.flat, self.ends = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, fresh: list[str]) -> None:
+        joined = [p for p in fresh if p[0] in _SPACES and p[-1] not in _SPACES]
+        alone = [p for p in fresh if p[0] not in _SPACES or p[-1] in _SPACES]
+        flat, sizes = [self.flat], []
+        for at in range(0, len(alone), 10_000):
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(alone[at : at + 10_000], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+            flat.append(np.fromiter((i for ids in got for i in ids), np.uint32, int(sizes[-1].sum())))
+        for at in range(0, len(joined), 1000):
+            part = joined[at : at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            stops = np.cumsum(np.fromiter((len(p.encode()) for p in part), np.int64, len(part)))
+            at_stop = np.searchsorted(np.cumsum(self.bytes_of[ids]), stops, "left") + 1
+            sizes.append(np.diff(at_stop, prepend=0))
+            flat.append(ids)
+        for p in alone:
+            self.number[p] = len(self.number)
+        for p in joined:
+            self.number[p] = len(self.number)
+        self.flat = np.concatenate(flat)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.number) > self.most:
             self._clear()
         pieces = [[t] if _UNSURE.search(t) else _PIECE.findall(t) for t in texts]
-        fresh = list(dict.fromkeys(p for own in pieces for p in own if p not in self.number))
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
-            self.number.update(zip(part, range(len(self.number), len(self.number) + len(part)), strict=True))
-            self.flat.append(np.fromiter((i for ids in got for i in ids), np.uint32, int(sizes.sum())))
-            self.ends.append(self.ends[-1][-1] + np.cumsum(sizes))
-        self.flat, self.ends = [np.concatenate(self.flat)], [np.concatenate(self.ends)]
-        flat, ends = self.flat[0], self.ends[0]
-        out = []
-        for own in pieces:
-            which = np.fromiter(map(self.number.__getitem__, own), np.int64, len(own))
-            sizes = ends[which + 1] - ends[which]
-            stops = np.cumsum(sizes)
-            out.append(flat[np.repeat(ends[which] - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0)])
-        return out
+        every = [p for own in pieces for p in own]
+        fresh = list(set(every).difference(self.number))
+        fresh = [p for p in fresh if p]
+        if fresh:
+            self._learn(fresh)
+        which = np.fromiter(map(self.number.__getitem__, every), np.int64, len(every))
+        sizes = self.ends[which + 1] - self.ends[which]
+        stops = np.cumsum(sizes)
+        ids = self.flat[np.repeat(self.ends[which] - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0)]
+        ends = np.concatenate([[0], stops])[np.cumsum([len(own) for own in pieces])]
+        return np.split(ids, ends[:-1])
 
 
 def _encode(path: str, end_id: int, shard_ids: int):
