@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from . import minhash, mixing, url_filter
-from .common import LOWER, UPPER, read_table
+import public_tokenizers
+
+from . import minhash, mixing, ngram_lm, quality, sentencepiece_codec, token_binary, toxicity, url_filter
+from .common import LOWER, UPPER, new_path, read_table
 
 
 def op1_mix_sources(spark, sf_dir):
@@ -14,11 +16,35 @@ def op2_url_filters(spark, sf_dir):
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages"))
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxicity.classify_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op4_token_binary(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return token_binary.encoded_digests(docs, new_path(spark, "token-ids"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_quality_classifier(spark, sf_dir):
+    return quality.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op8_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.round_trips(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_url_filters, op9_minhash_near_dedup)}
+def op10_lm_scores(spark, sf_dir):
+    return ngram_lm.score_texts(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_mix_sources, op2_url_filters, op3_toxicity, op4_token_binary, op6_quality_classifier, op8_sentencepiece, op9_minhash_near_dedup, op10_lm_scores)
+}
 
 SHINGLE_COMPONENTS_SQL = rf"""
 WITH RECURSIVE w AS (

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .piece_store import PieceStore
+
 _MAGIC = b"DAC1"
 _BLOCK = 64  # bytes of bitmap a rank covers
 SHARD_IDS = 1 << 18
@@ -103,31 +105,30 @@ _SPACES = frozenset(" \t\n\r\x0b\x0c")
 _UNSURE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
 
 
-class PieceEncoder:
-    """A byte-level BPE of the tokenizers library, with a bounded store of what it made of single pieces.
+class PieceEncoder(PieceStore):
+    """A byte-level BPE of the tokenizers library, piece by piece.
 
-    Pieces mostly recur, so each is encoded once. New pieces go to the library joined, a thousand at a time; as ids of
-    such a tokenizer stand for a fixed number of bytes, the ids of each piece are found by adding those up.
+    New pieces go to the library joined, a thousand at a time; as ids of such a tokenizer stand for a fixed number of
+    bytes, the ids of each piece are found by adding those up.
     """
 
     def __init__(self, path: str, most: int = 300_000):
+        super().__init__(most)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer = Tokenizer.from_file(path)
         added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         names = (self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size()))
         self.bytes_of = np.array([added.get(i, len(t or "")) for i, t in enumerate(names)], np.int64)
-        self._clear()
 
-    def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+    def cut(self, text: str) -> list[str]:
+        return [text] if _UNSURE.search(text) else _PIECE.findall(text)
 
-    def _learn(self, fresh: list[str]) -> None:
+    def learn(self, fresh: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         joined = [p for p in fresh if p[0] in _SPACES and p[-1] not in _SPACES]
         alone = [p for p in fresh if p[0] not in _SPACES or p[-1] in _SPACES]
-        flat, sizes = [self.flat], []
+        flat, sizes = [], []
         for at in range(0, len(alone), 10_000):
             got = [e.ids for e in self.tokenizer.encode_batch_fast(alone[at : at + 10_000], add_special_tokens=False)]
             sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
@@ -139,28 +140,7 @@ class PieceEncoder:
             at_stop = np.searchsorted(np.cumsum(self.bytes_of[ids]), stops, "left") + 1
             sizes.append(np.diff(at_stop, prepend=0))
             flat.append(ids)
-        for p in alone:
-            self.number[p] = len(self.number)
-        for p in joined:
-            self.number[p] = len(self.number)
-        self.flat = np.concatenate(flat)
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.number) > self.most:
-            self._clear()
-        pieces = [[t] if _UNSURE.search(t) else _PIECE.findall(t) for t in texts]
-        every = [p for own in pieces for p in own]
-        fresh = list(set(every).difference(self.number))
-        fresh = [p for p in fresh if p]
-        if fresh:
-            self._learn(fresh)
-        which = np.fromiter(map(self.number.__getitem__, every), np.int64, len(every))
-        sizes = self.ends[which + 1] - self.ends[which]
-        stops = np.cumsum(sizes)
-        ids = self.flat[np.repeat(self.ends[which] - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0)]
-        ends = np.concatenate([[0], stops])[np.cumsum([len(own) for own in pieces])]
-        return np.split(ids, ends[:-1])
+        return alone + joined, np.concatenate(flat), np.concatenate(sizes)
 
 
 def _encode(path: str, end_id: int, shard_ids: int):
