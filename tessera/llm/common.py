@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -66,3 +67,8 @@ def ascii_lower(col):
 def fold_of(doc_id, buckets: int):
     """crc32 of the id written as text, modulo ``buckets``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % buckets
+
+
+def with_field(df: DataFrame, name: str, kind: str) -> T.StructType:
+    """The schema of df with one more column; df's own schema object stays as it is."""
+    return T.StructType([*df.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])

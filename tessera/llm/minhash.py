@@ -20,6 +20,8 @@ MANTISSA = 10
 _SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, registers binary"
 #: Ids of documents to read again are broadcast up to this many (16 MB or so), beyond it they are joined by shuffles.
 MOST_BROADCAST_IDS = 1_000_000
+#: Shingles in a block of documents that one task compares with another block.
+BLOCK_SHINGLES = 150_000
 _ROUNDS = 400
 
 
@@ -182,9 +184,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     that links reach.
 
     Documents with equal sets become one class first, so groups of copies cost one row. Classes meet in bands of
-    their compressed registers. Every class is compared with the smallest class of its bands (one likely pair each);
-    then only pairs of a band that are not yet in one component are formed, so groups of thousands of near copies
-    make a few pairs a member. Estimates from the registers drop unlikely pairs; the rest are confirmed on full sets.
+    their compressed registers. Every class is compared with one lead, the smallest class of most of its bands. Pairs
+    that this leaves in different components are compared as blocks where their leads' leads agree, which they do in
+    large groups of near copies, and else one by one. Estimates from the registers drop unlikely pairs; the rest are
+    confirmed on full sets. Every pair that shares a band is thus either connected or compared.
 
     Texts that are null, empty or without words have an empty set and no links. Rows with a null doc_id stay alone,
     with a null component. Rows that repeat a doc_id are one document, with the links of all its texts. Empty tables give
@@ -202,15 +205,22 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     slots = saved(slots.join(shared, "band").select("band", "id", "lead"), "bands")
     first = slots.where("id <> lead").groupBy("lead", "id").agg(F.count("*").alias("bands"))
     # of a class's leads, the one that shares most bands
-    first = first.groupBy("id").agg(F.max_by("lead", F.struct("bands", -F.col("lead"))).alias("lead"))
+    first = saved(first.groupBy("id").agg(F.max_by("lead", F.struct("bands", -F.col("lead"))).alias("lead")), "leads")
     known = _confirmed(_likely_pairs(first.select(F.col("lead").alias("a"), F.col("id").alias("b")), heads, percent), docs, percent)
     found = connected_components(known)
 
-    marked = slots.select("band", "id").join(found, "id", "left").select("band", "id", F.coalesce("component_id", "id").alias("part"))
+    tops = saved(_tops(slots, first), "tops")
+    inside = _links_inside(tops, found, heads, docs, percent)
+    known = saved(known.unionByName(inside), "links-inside")
+    found = connected_components(known)
+
+    # what is left: pairs of a band that belong to different tops, and aren't in one component yet
+    marked = slots.select("band", "id").join(tops, "id").join(found, "id", "left").select("band", "id", "top", F.coalesce("component_id", "id").alias("part"))
     mixed = marked.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("band")
-    marked = saved(marked.join(mixed, "band"), "open-bands")
-    one, two = (marked.select("band", F.col("id").alias(k), F.col("part").alias("part" + k)) for k in "ab")
-    rest = one.join(two, "band").where("a < b and parta <> partb").select("a", "b").distinct()
+    marked = saved(marked.join(mixed, "band").join(heads.select("id", "n"), "id"), "open-bands")
+    one, two = (marked.select("band", F.col("id").alias(k), *[F.col(c).alias(c + k) for c in ("part", "top", "n")]) for k in "ab")
+    open_pair = f"a < b and parta <> partb and topa <> topb and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
+    rest = one.join(two, "band").where(open_pair).select("a", "b").distinct()
     more = _confirmed(_likely_pairs(rest, heads, percent), docs, percent)
     joined = connected_components(known.unionByName(more))
 
@@ -228,12 +238,95 @@ def _likely_pairs(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame
     return saved(pairs.join(b, "b").join(a, "a").where(fit).mapInArrow(_likely(percent / 100), "a long, b long").distinct(), "likely")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents whose full sets are similar enough; texts are read again for the documents named only."""
-    ids = saved(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "named")
+def _tops(slots: DataFrame, first: DataFrame) -> DataFrame:
+    """(id, top): the lead of a class's lead. Classes near one another mostly have the same top."""
+    lead, next_lead = first.select("id", "lead"), first.select(F.col("id").alias("lead"), F.col("lead").alias("top"))
+    known = slots.select("id").distinct().join(lead, "id", "left").withColumn("lead", F.coalesce("lead", "id"))
+    return known.join(next_lead, "lead", "left").select("id", F.coalesce("top", "lead").alias("top"))
+
+
+def _links_inside(tops: DataFrame, found: DataFrame, heads: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes of one top, enough of them to join what any links join.
+
+    Pairs that are in one component already need no look: members are near (in the top's component) or open, and
+    blocks of open members meet one another and the blocks of near ones. A block holds about ``BLOCK_SHINGLES``
+    shingles whatever the group's size; two blocks are compared as matrices in one task, and no pair becomes a row.
+    """
+    part = F.coalesce("component_id", "id")
+    members = tops.join(found, "id", "left").select("id", "top", part.alias("part"))
+    mixed = members.groupBy("top").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("top")
+    of_top = mixed.join(found.withColumnRenamed("id", "top"), "top", "left").select("top", F.coalesce("component_id", "top").alias("main"))
+    members = saved(members.join(of_top, "top").join(heads.select("id", "n"), "id").select("id", "top", "n", (F.col("part") == F.col("main")).alias("near")), "members")
+    size = F.sum(F.when(F.col("near"), 0).otherwise(F.col("n")))
+    blocks = members.groupBy("top").agg(F.ceil(size / BLOCK_SHINGLES).alias("open_blocks"), F.ceil((F.sum("n") - size) / BLOCK_SHINGLES).alias("near_blocks"))
+    placed = members.join(blocks, "top").withColumn("block", F.pmod(F.xxhash64("id"), F.when(F.col("near"), F.col("near_blocks")).otherwise(F.col("open_blocks"))))
+    to_open = F.expr("transform(sequence(0L, open_blocks - 1), k -> struct(least(block, k) as i, greatest(block, k) as j, false as cross, if(block <= k, 0, 1) as side))")
+    to_near = F.expr("if(near_blocks > 0, transform(sequence(0L, near_blocks - 1), k -> struct(block as i, k as j, true as cross, 0 as side)), array())")
+    from_near = F.expr("transform(sequence(0L, open_blocks - 1), k -> struct(k as i, block as j, true as cross, 1 as side))")
+    meetings = F.when(F.col("near"), F.when(F.col("open_blocks") > 0, from_near)).otherwise(F.concat(to_open, to_near))
+    placed = placed.select("id", "top", F.explode(meetings).alias("m")).select("id", "top", "m.i", "m.j", "m.cross", "m.side")
+    sets = _sets_of(members.select("id").distinct(), docs)
+    met = placed.join(sets, "id").groupBy("top", "cross", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
+    return saved(met.distinct(), "inside")
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of one list shares with each of another, by products of incidence matrices."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    both = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    places = [[np.searchsorted(both, s[np.isin(s, both, assume_unique=True)]) for s in side] for side in (left, right)]
+    for at in range(0, len(both), 2048):
+        tables = []
+        for side in places:
+            table = np.zeros((len(side), 2048), np.float32)
+            for r, p in enumerate(side):
+                table[r, p[np.searchsorted(p, at) : np.searchsorted(p, at + 2048)] - at] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out
+
+
+def _compare_blocks(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        ids, side = table.column("id").to_numpy(), table.column("side").to_numpy()
+        sets = [np.frombuffer(x, U64) for x in table.column("shingles").to_pylist()]
+        within = not table.column("cross")[0].as_py() and table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        one = np.flatnonzero(side == 0)
+        two = one if within else np.flatnonzero(side == 1)
+        pairs = {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())}
+        if len(one) and len(two):
+            common = common_counts([sets[i] for i in one], [sets[i] for i in two])
+            sizes = np.array([len(s) for s in sets], np.float32)
+            linked = (100 + percent) * common >= percent * (sizes[one][:, None] + sizes[two][None])
+            linked &= common > 0
+            mine, other = ids[one], ids[two]
+            while True:  # the smallest id that links reach inside these blocks
+                low = np.minimum(mine, np.where(linked, other[None], np.iinfo(np.int64).max).min(axis=1))
+                high = np.minimum(other, np.where(linked, low[:, None], np.iinfo(np.int64).max).min(axis=0))
+                if within:
+                    low = high = np.minimum(low, high)
+                if (low == mine).all() and (high == other).all():
+                    break
+                mine, other = low, high
+            names, roots = np.concatenate([ids[one], ids[two]]), np.concatenate([mine, other])
+            some = names != roots
+            pairs = {"a": pa.array(roots[some], pa.int64()), "b": pa.array(names[some], pa.int64())}
+        return pa.table(pairs)
+
+    return run
+
+
+def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, shingles) of the documents named, from their texts."""
+    ids = saved(ids, "named")
     if ids.count() <= MOST_BROADCAST_IDS:  # else the texts are dealt by id
         ids = F.broadcast(ids)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    sets = saved(texts.mapInArrow(_set_batches, "id long, shingles binary"), "sets")
+    return saved(texts.mapInArrow(_set_batches, "id long, shingles binary"), "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents whose full sets are similar enough; texts are read again for the documents named only."""
+    sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), docs)
     a, b = (sets.select(F.col("id").alias(k), F.col("shingles").alias("s" + k)) for k in "ab")
     return saved(pairs.join(b, "b").join(a, "a").mapInArrow(_linked(percent), "a long, b long").distinct(), "confirmed")

@@ -70,7 +70,7 @@ def mix_sources(
     share: float = 1.5,
     cap: float = 2.0,
     fine_share: float = 0.2,
-    rows_per_bucket: int = 4096,
+    rows_per_bucket: int = 512,
 ) -> DataFrame:
     """How many words of each document a mix of the sources takes.
 

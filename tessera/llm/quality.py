@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of
+from .common import fold_of, with_field
 from .hashing import U64, mix, slices, span_hashes, word_spans
 from .labelled import labelled_sample
 
@@ -141,7 +141,7 @@ def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs with ``score`` added: the chance of label 1 by the whole text alone. Null and empty texts have only the end mark."""
     score = _score(fit_quality(docs, labels))
     kept = docs.drop("score")
-    schema = kept.schema.add("score", "double")
+    schema = with_field(kept, "score", "double")
     return kept.mapInArrow(score, schema)
 
 

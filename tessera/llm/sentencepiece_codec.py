@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import with_field
 from .hashing import U64, mix
 from .piece_store import PieceStore
 
@@ -264,13 +265,13 @@ def encode_texts(docs: DataFrame, path: str, kind: str | None = None) -> DataFra
     All other columns stay; a column named ids is replaced. Long words without spaces are encoded whole.
     """
     kept = docs.drop("ids")
-    return kept.mapInArrow(_encoded(path, kind), kept.schema.add("ids", "array<int>"))
+    return kept.mapInArrow(_encoded(path, kind), with_field(kept, "ids", "array<int>"))
 
 
 def decode_ids(encoded: DataFrame, path: str, kind: str | None = None) -> DataFrame:
     """``decoded`` (string) added: what the ids stand for. Null ids count as none."""
     kept = encoded.drop("decoded")
-    return kept.mapInArrow(_decoded(path, kind), kept.schema.add("decoded", "string"))
+    return kept.mapInArrow(_decoded(path, kind), with_field(kept, "decoded", "string"))
 
 
 def round_trips(docs: DataFrame, path: str, kind: str | None = None) -> DataFrame:

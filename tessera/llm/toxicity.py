@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of
+from .common import fold_of, with_field
 from .hashing import slices
 from .labelled import labelled_sample
 
@@ -293,7 +293,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | No
 def with_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs with ``score`` added: the chance of label 1 by the whole text alone."""
     kept = docs.drop("score")
-    return kept.mapInArrow(_scores(*fit_toxicity(docs, labels), "score"), kept.schema.add("score", "double"))
+    return kept.mapInArrow(_scores(*fit_toxicity(docs, labels), "score"), with_field(kept, "score", "double"))
 
 
 def classify_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
