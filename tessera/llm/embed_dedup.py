@@ -47,8 +47,8 @@ def robust_prune(x: np.ndarray, p: np.ndarray, candidates: np.ndarray, degree: i
     return out
 
 
-def beam_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Greedy search of all queries together: (beam nodes, their cosines, visited [queries, nodes])."""
+def beam_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Greedy search of all queries together: (beam nodes, their cosines)."""
     n, rows = len(queries), np.arange(len(queries))
     nodes = np.full((n, width), -1, np.int64)
     near = np.full((n, width), -np.inf, np.float32)
@@ -60,7 +60,7 @@ def beam_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarra
         pick = rank.argmax(axis=1)
         live = np.flatnonzero(open_[rows, pick])
         if not len(live):
-            return nodes, near, seen
+            return nodes, near
         at = nodes[live, pick[live]]
         open_[live, pick[live]] = False
         found = graph[at]
@@ -76,17 +76,24 @@ def beam_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarra
         nodes[live], near[live], open_[live] = (np.take_along_axis(a, best, axis=1) for a in (all_nodes, all_near, all_open))
 
 
-def build_graph(x: np.ndarray, width: int, batch: int = 256) -> tuple[np.ndarray, int]:
-    """(neighbours [points, DEGREE], medoid): points are inserted in batches that at most double the graph."""
+def build_graph(x: np.ndarray, width: int, batch: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(neighbours [points, DEGREE], parents): points are inserted in batches that at most double the graph.
+
+    A point's parent is the nearest one found when it was inserted. That edge is never pruned, so every point can be
+    reached, and a tight group is reached through points of the group; without it pruning leaves a hub's many near
+    copies with no edge that leads to them.
+    """
     n = len(x)
     medoid = int((x @ x.mean(axis=0)).argmax())
     order = np.concatenate([[medoid], np.setdiff1d(np.random.default_rng(5).permutation(n), [medoid], assume_unique=True)])
     graph = np.full((n, DEGREE), -1, np.int64)
+    parents = np.full(n, -1, np.int64)
     done = 1
     while done < n:
         new = order[done : done + min(batch, done)]
-        nodes, _, _ = beam_search(x, graph, medoid, x[new], width)
+        nodes, _ = beam_search(x, graph, medoid, x[new], width)
         graph[new] = robust_prune(x, new, nodes)
+        parents[new] = graph[new, 0]
         done += len(new)
         # the other direction: targets take the new points up, and are pruned where they have too many
         source, target = np.repeat(new, DEGREE), graph[new].ravel()
@@ -99,25 +106,47 @@ def build_graph(x: np.ndarray, width: int, batch: int = 256) -> tuple[np.ndarray
         for at in range(0, len(names), batch):
             part = names[at : at + batch]
             graph[part] = robust_prune(x, part, np.concatenate([graph[part], extra[at : at + batch]], axis=1))
-    return graph, medoid
-
-
-def range_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, width: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) of everything within range that expanding from the beam reaches."""
-    nodes, near, seen = beam_search(x, graph, start, queries, min(width, max(2, len(x))))
-    q, c = np.nonzero((near >= least) & (nodes >= 0))
-    node = nodes[q, c]
-    found = [(q, node)]
-    while len(q):
-        step = graph[node]
-        rows = np.repeat(q, step.shape[1])
-        flat = step.ravel()
+    return graph, parents
+
+
+def _ragged(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists as (where each begins, their values)."""
+    return np.concatenate([[0], np.cumsum([len(v) for v in lists])]), np.concatenate([*lists, np.zeros(0, np.int64)]).astype(np.int64)
+
+
+def range_search(x: np.ndarray, graph: np.ndarray, children: tuple[np.ndarray, np.ndarray], start: int, queries: np.ndarray, width: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) of everything within range: the beam's nodes and their children, then whatever expanding the
+    nodes within range, over neighbours and children, still reaches."""
+    nodes, near = beam_search(x, graph, start, queries, min(width, max(2, len(x))))
+    seen = np.zeros((len(queries), len(x)), bool)  # anew: the walk has also seen nodes that its beam didn't keep
+    q, c = np.nonzero(nodes >= 0)
+    seen[q, nodes[q, c]] = True
+    begin, below = children
+
+    def expand(q: np.ndarray, node: np.ndarray, over_neighbours: bool) -> tuple[np.ndarray, np.ndarray]:
+        count = begin[node + 1] - begin[node]
+        rows = [np.repeat(q, count)]
+        flat = [below[np.repeat(begin[node] - (np.cumsum(count) - count), count) + np.arange(count.sum())]]
+        if over_neighbours:
+            rows.append(np.repeat(q, graph.shape[1]))
+            flat.append(graph[node].ravel())
+        rows, flat = np.concatenate(rows), np.concatenate(flat)
         ok = (flat >= 0) & ~seen[rows, np.maximum(flat, 0)]
         key = np.unique(rows[ok] * len(x) + flat[ok])
         q, node = key // len(x), key % len(x)
         seen[q, node] = True
-        close = np.einsum("id,id->i", x[node], queries[q]) >= least
-        q, node = q[close], node[close]
+        close = np.zeros(len(q), bool)
+        for at in range(0, len(q), 65536):
+            close[at : at + 65536] = np.einsum("id,id->i", x[node[at : at + 65536]], queries[q[at : at + 65536]]) >= least
+        return q[close], node[close]
+
+    q, c = np.nonzero((near >= least) & (nodes >= 0))
+    found = [(q, nodes[q, c])]
+    outside, c = np.nonzero((near < least) & (nodes >= 0))
+    found.append(expand(outside, nodes[outside, c], False))
+    q, node = (np.concatenate(v) for v in zip(*found, strict=True))
+    while len(q):
+        q, node = expand(q, node, True)
         found.append((q, node))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
@@ -182,12 +211,17 @@ def _build(width: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("id")
         ids = table.column("id").to_numpy()
-        graph, medoid = build_graph(_units(_matrix(table.column("vector"))), width)
+        graph, parents = build_graph(_units(_matrix(table.column("vector"))), width)
+        below: list[list[int]] = [[] for _ in ids]
+        for child, parent in enumerate(parents.tolist()):
+            if parent >= 0:
+                below[parent].append(int(ids[child]))
         return pa.table(
             {
                 **{c: table.column(c) for c in ("label", "dim")},
                 "id": table.column("id"),
                 "near": pa.array([ids[g[g >= 0]].tolist() for g in graph], pa.list_(pa.int64())),
+                "below": pa.array(below, pa.list_(pa.int64())),
             }
         )
 
@@ -205,13 +239,18 @@ def _search(width: int, least: float):
         ids, many, exact = table.column("id").to_numpy(), table.column("many").to_numpy(), _matrix(table.column("vector"))
         exact = exact / np.linalg.norm(exact, axis=1, keepdims=True)
         x, names = exact[base].astype(np.float32), ids[base]
-        lists = table.column("near").take(pa.array(base)).to_pylist()
-        graph = np.full((len(base), max(1, *map(len, lists))), -1, np.int64)
+
+        def stored(column: str) -> list[np.ndarray]:
+            """A column's lists as places in this shard, of what the shard stores."""
+            lists = [np.asarray(v, np.int64) for v in table.column(column).take(pa.array(base)).to_pylist()]
+            places = [np.minimum(np.searchsorted(names, v), len(names) - 1) for v in lists]
+            return [p[names[p] == v] for p, v in zip(places, lists, strict=True)]
+
+        lists = stored("near")
+        graph = np.full((len(base), max([1, *map(len, lists)])), -1, np.int64)
         for i, near in enumerate(lists):
-            near = np.asarray(near, np.int64)
-            place = np.minimum(np.searchsorted(names, near), len(names) - 1)
-            place = place[names[place] == near]  # of the united list, what this shard stores
-            graph[i, : len(place)] = place
+            graph[i, : len(near)] = near
+        children = _ragged(stored("below"))
         medoid = int((x @ x.mean(axis=0)).argmax())
         links = np.zeros(len(query), np.int64)
         root = dict.fromkeys(np.union1d(names, ids[query]).tolist())
@@ -225,7 +264,7 @@ def _search(width: int, least: float):
 
         for at in range(0, len(query), 128):
             part = query[at : at + 128]
-            q, node = range_search(x, graph, medoid, exact[part].astype(np.float32), width, least - 1e-4)
+            q, node = range_search(x, graph, children, medoid, exact[part].astype(np.float32), width, least - 1e-4)
             sure = np.concatenate([np.einsum("id,id->i", exact[part[q[k : k + 65536]]], exact[base[node[k : k + 65536]]]) >= least for k in range(0, len(q), 65536)]) if len(q) else np.zeros(0, bool)
             q, node = q[sure], node[sure]
             other = ids[part[q]] != names[node]
@@ -317,9 +356,12 @@ def _graph_links(plain: DataFrame, centroids: dict, copies: int, width: int, lea
     pages = stored.groupBy("label", "dim", "cluster").agg(F.ceil(F.count("*") / PAGE).alias("pages"))
     stored = stored.join(pages, ["label", "dim", "cluster"])
     base = saved(stored.withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages"))).drop("pages"), "pages")
-    near = base.groupBy(_UNIT).applyInArrow(_build(width), f"label {kind}, dim int, id long, near array<long>")
-    near = saved(near.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency")
+    near = base.groupBy(_UNIT).applyInArrow(_build(width), f"label {kind}, dim int, id long, near array<long>, below array<long>")
+    united = [F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "below")]  # one list a shard that stores it
+    near = saved(near.groupBy("id").agg(*united), "adjacency")
     asks = stored.where("home").withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)))
     columns = [*_UNIT, "id", "many", "vector"]
-    both = base.join(near, "id").select(*columns, "near", F.lit(False).alias("asks")).unionByName(asks.select(*columns, F.array().cast("array<long>").alias("near"), F.lit(True).alias("asks")))
+    both = base.join(near, "id").select(*columns, "near", "below", F.lit(False).alias("asks"))
+    none = F.array().cast("array<long>")
+    both = both.unionByName(asks.select(*columns, none.alias("near"), none.alias("below"), F.lit(True).alias("asks")))
     return saved(both.groupBy(_UNIT).applyInArrow(_search(width, least), "id long, n_links long, root long"), "found")
