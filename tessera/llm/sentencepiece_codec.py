@@ -15,6 +15,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -233,9 +234,15 @@ class Codec(PieceStore):
         return [t[1:] if t.startswith(" ") else t for t in out]
 
 
+@lru_cache(maxsize=2)
+def codec_of(path: str, kind: str | None = None) -> Codec:
+    """One codec a Python worker; what it has stored serves the worker's next tasks too."""
+    return Codec(path, kind)
+
+
 def _encoded(path: str, kind: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, kind)
+        codec = codec_of(path, kind)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
@@ -249,7 +256,7 @@ def _encoded(path: str, kind: str | None):
 
 def _decoded(path: str, kind: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, kind)
+        codec = codec_of(path, kind)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
@@ -283,7 +290,7 @@ def round_trips(docs: DataFrame, path: str, kind: str | None = None) -> DataFram
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, kind)
+        codec = codec_of(path, kind)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)

@@ -12,6 +12,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -143,11 +144,17 @@ class PieceEncoder(PieceStore):
         return alone + joined, np.concatenate(flat), np.concatenate(sizes)
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> PieceEncoder:
+    """One encoder a Python worker; what it has stored serves the worker's next tasks too."""
+    return PieceEncoder(path)
+
+
 def _encode(path: str, end_id: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part, seq = PieceEncoder(path), TaskContext.get().partitionId(), 0
+        pieces, part, seq = encoder(path), TaskContext.get().partitionId(), 0
         owners: list[int | None] = []
         pending: list[np.ndarray] = []
         size = 0
@@ -161,7 +168,7 @@ def _encode(path: str, end_id: int, shard_ids: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 texts = ["" if t is None else t for t in batch.column("text").slice(at, 128).to_pylist()]
-                for doc_id, ids in zip(batch.column("doc_id").slice(at, 128).to_pylist(), encoder.encode(texts), strict=True):
+                for doc_id, ids in zip(batch.column("doc_id").slice(at, 128).to_pylist(), pieces.encode(texts), strict=True):
                     owners.append(doc_id)
                     pending.append(np.append(ids, np.uint32(end_id)))
                     size += len(ids) + 1
