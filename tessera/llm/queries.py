@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import minhash, mixing, ngram_lm, quality, sentencepiece_codec, token_binary, toxicity, url_filter
+from . import embed_dedup, media, minhash, mixing, ngram_lm, quality, sentencepiece_codec, token_binary, toxicity, url_filter
 from .common import LOWER, UPPER, new_path, read_table
 
 
@@ -25,10 +25,19 @@ def op4_token_binary(spark, sf_dir):
     return token_binary.encoded_digests(docs, new_path(spark, "token-ids"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_media_fingerprints(spark, sf_dir):
+    """The tables hold no audio, so every row of embeddings is rendered as a recording, one note a component."""
+    return media.match_recordings(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", media.note_samples).withColumnRenamed("media_id", "vec_id")
+
+
 def op6_quality_classifier(spark, sf_dir):
     return quality.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_embedding_near_dedup(spark, sf_dir):
+    return embed_dedup.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.round_trips(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -41,10 +50,19 @@ def op10_lm_scores(spark, sf_dir):
     return ngram_lm.score_texts(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    f.__name__: f
-    for f in (op1_mix_sources, op2_url_filters, op3_toxicity, op4_token_binary, op6_quality_classifier, op8_sentencepiece, op9_minhash_near_dedup, op10_lm_scores)
-}
+_OPERATORS = (
+    op1_mix_sources,
+    op2_url_filters,
+    op3_toxicity,
+    op4_token_binary,
+    op5_media_fingerprints,
+    op6_quality_classifier,
+    op7_embedding_near_dedup,
+    op8_sentencepiece,
+    op9_minhash_near_dedup,
+    op10_lm_scores,
+)
+QUERIES = {f.__name__: f for f in _OPERATORS}
 
 SHINGLE_COMPONENTS_SQL = rf"""
 WITH RECURSIVE w AS (
