@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+import unicodedata
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fold
-from ..functions.vectors import cosine
 
 K1, B = 1.2, 0.75
 
@@ -28,28 +31,30 @@ def postings(df: DataFrame, id_col: str, *columns: str) -> DataFrame:
 
 def query_terms(query: str) -> list[str]:
     """A query's words, folded; anything but letters and digits parts them, so no query is a syntax error."""
-    import re
-    import unicodedata
-
     plain = "".join(c for c in unicodedata.normalize("NFKD", query) if not unicodedata.combining(c)).lower()
     return list(dict.fromkeys(t for t in re.split(r"[^\w]+|_", plain) if t))
 
 
 def bm25(df: DataFrame, id_col: str, columns: list[str], query: str, k: int = 300) -> DataFrame:
-    """(id, score): the ``k`` best documents that have all of the query's words; smaller is better, ties by id.
+    """(id, score): the ``k`` best documents that have all of the query's words; smaller is better, ties (to nine places, so that
+    the order of summing doesn't count) by id.
 
     Only the query's terms are exploded: one pass counts them by document, and the corpus statistics come from the
     same pass, so no index has to be kept. Use ``postings`` and ``bm25_of_postings`` where many queries follow.
     """
     wanted = query_terms(query)
     words = df.select(F.col(id_col).alias("id"), terms(*columns).alias("w"))
-    counted = words.select("id", F.size("w").alias("dl"), *[F.size(F.filter("w", lambda x, t=t: x == t)).alias(f"tf{i}") for i, t in enumerate(wanted)])
+    counted = words.select("id", F.size("w").alias("dl"), *[_count("w", t).alias(f"tf{i}") for i, t in enumerate(wanted)])
     stats = counted.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(wanted))])
     hits = counted.where(" and ".join(f"tf{i} > 0" for i in range(len(wanted))) or "false").join(F.broadcast(stats))  # stats is one row
     score = F.lit(0.0)
     for i in range(len(wanted)):
         score = score - _part(F.col(f"tf{i}"), F.col("dl"), F.col(f"df{i}"))
-    return hits.select("id", score.alias("score")).orderBy("score", "id").limit(k)
+    return hits.select("id", F.round(score, 9).alias("score")).orderBy("score", "id").limit(k)
+
+
+def _count(words: str, term: str) -> Column:
+    return F.size(F.filter(words, lambda x: x == term))
 
 
 def _part(tf: Column, dl: Column, df: Column) -> Column:
@@ -64,21 +69,50 @@ def bm25_of_postings(index: DataFrame, sizes: DataFrame, queries: DataFrame, k:
     df = index.join(wanted.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
     need = wanted.groupBy("query_id").agg(F.count("*").alias("need"))
     hits = wanted.join(index, "term").join(df, "term").join(F.broadcast(stats))  # one row
-    scored = hits.groupBy("query_id", "id").agg((-F.sum(_part(F.col("tf"), F.col("dl"), F.col("df")))).alias("score"), F.count("*").alias("have"))
+    scored = hits.groupBy("query_id", "id").agg(F.round(-F.sum(_part(F.col("tf"), F.col("dl"), F.col("df"))), 9).alias("score"), F.count("*").alias("have"))
     scored = scored.join(need, "query_id").where("have = need")
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id"))).where(F.col("rank") <= k).select("query_id", "id", "score", "rank")
 
 
-def cosine_topk(vectors: DataFrame, id_col: str, vector_col: str, queries: list[tuple[int, list[float]]], k: int = 300) -> DataFrame:
-    """(query_id, id, score, rank): each query's ``k`` most similar rows, over all rows; ties by id.
+def cosine_topk(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str, k: int = 300, block: int = 512) -> DataFrame:
+    """(query_id, id, score, rank): for each row of ``queries`` the ``k`` most similar other rows of ``vectors``; ties by id.
 
-    Queries are a short list and go along as literals of one array, so the table is scanned once and not shuffled
-    whole: Spark keeps k rows a query and task before the ranking.
+    Queries go to the tasks in blocks of ``block``, which is all of them that is ever in one place. Each batch of
+    vectors is one matrix product in double precision and leaves its best k a query, so k rows a query and batch are
+    shuffled to the ranking. Rows without a vector have no similarity.
     """
-    lists = F.array(*[F.struct(F.lit(q).cast("long").alias("query_id"), F.array(*[F.lit(float(x)) for x in v]).alias("q")) for q, v in queries])
-    scored = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"), F.explode(lists).alias("q"))
-    scored = scored.select(F.col("q.query_id").alias("query_id"), "id", cosine(F.col("v"), F.col("q.q")).alias("score"))
-    return scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
+    spark = vectors.sparkSession
+    named = queries.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")).where("v is not null")
+    numbered = named.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-named.count() // block)))))
+    parts = None
+    for (n,) in numbered.select("block").distinct().orderBy("block").collect():
+        rows = numbered.where(F.col("block") == n).orderBy("id").collect()
+        asked = np.array([r["id"] for r in rows]), np.stack([np.asarray(r["v"], np.float64) for r in rows])
+        part = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("v is not null").mapInArrow(_best(*asked, k), "query_id long, id long, score double")
+        parts = part if parts is None else parts.unionByName(part)
+    if parts is None:
+        return spark.createDataFrame([], "query_id long, id long, score double, rank int")
+    return parts.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
+
+
+def _best(ids: np.ndarray, asked: np.ndarray, k: int):
+    asked = asked / (np.linalg.norm(asked, axis=1, keepdims=True) + 1e-12)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            other = batch.column("id").to_numpy()
+            x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(np.float64)
+            score = asked @ (x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-12)).T
+            score[ids[:, None] == other[None]] = -np.inf
+            order = np.lexsort((np.broadcast_to(other, score.shape), -score), axis=1)[:, :k]
+            picked = np.take_along_axis(score, order, axis=1)
+            rows = np.repeat(ids, order.shape[1]), other[order].ravel(), picked.ravel()
+            real = rows[2] > -np.inf
+            yield pa.RecordBatch.from_arrays([pa.array(r[real]) for r in rows], names=["query_id", "id", "score"])
+
+    return run
 
 
 def rerank(hits: DataFrame, scorer: Callable[[DataFrame], DataFrame] | None = None, k: int = 100) -> DataFrame:

@@ -1,4 +1,619 @@
-"""Registered queries over the driver's tables."""
+"""Operators bound to the driver's tables as named queries, with SQL of the same result where SQL can say it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .functions import text as tx
+from .functions.vectors import hash_embed
+from .operators import audit, chunk, corpus, extract, match, retrieval, upsert
+from .plans import paging
+from .sources.readers import table
+from .streaming import incremental
 
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function under its name; its parameters after the session are the tables it takes."""
+
+    def register(f):
+        names = f.__code__.co_varnames[1 : f.__code__.co_argcount]
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(spark, *[table(spark, sf_dir, n) for n in names])
+
+        run.__name__, run.__doc__ = f.__name__, f.__doc__
+        QUERIES[f.__name__] = run
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+# ---------------------------------------------------------------- lexical retrieval
+
+_WORDS = r"list_filter(string_split_regex(lower(strip_accents({0})), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+_SEARCH = "this from"
+
+
+def _bm25_sql(words: list[str]) -> str:
+    tf = ", ".join(f"len(list_filter(w, lambda x: x = '{t}')) AS tf{i}" for i, t in enumerate(words))
+    df = ", ".join(f"count(*) FILTER (WHERE tf{i} > 0) AS df{i}" for i in range(len(words)))
+    part = " + ".join(
+        f"greatest(ln((n_docs - df{i} + 0.5) / (df{i} + 0.5)), 1e-6) * tf{i} * 2.2 / (tf{i} + 1.2 * (0.25 + 0.75 * dl / avgdl))" for i in range(len(words))
+    )
+    return f"""
+      w AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+      c AS (SELECT doc_id, len(w) AS dl, {tf} FROM w),
+      s AS (SELECT count(*) AS n_docs, avg(dl) AS avgdl, {df} FROM c),
+      hits AS (SELECT doc_id AS id, round(-({part}), 9) AS score FROM c, s WHERE {" AND ".join(f"tf{i} > 0" for i in range(len(words)))} ORDER BY score, id LIMIT 300)"""
+
+
+_BM25 = _bm25_sql(_SEARCH.split())
+
+
+@query(f"WITH {_BM25} SELECT id, source, lang, round(score, 6) AS score FROM hits JOIN documents ON doc_id = id")
+def bm25_topk(spark, documents):
+    hits = retrieval.bm25(documents, "doc_id", ["text"], _SEARCH)
+    return hits.join(documents.select(F.col("doc_id").alias("id"), "source", "lang"), "id").select("id", "source", "lang", F.round("score", 6).alias("score"))
+
+
+@query(f"WITH {_BM25} SELECT source AS value, count(*) AS n FROM hits JOIN documents ON doc_id = id GROUP BY 1")
+def bm25_facets(spark, documents):
+    hits = retrieval.bm25(documents, "doc_id", ["text"], _SEARCH)
+    return retrieval.facets(hits.join(documents.select(F.col("doc_id").alias("id"), "source"), "id"), "source")
+
+
+@query(f"SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM (SELECT doc_id, unnest({_WORDS.format('text')}) AS term FROM documents) GROUP BY 1")
+def term_df(spark, documents):
+    return retrieval.postings(documents, "doc_id", "text").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+
+
+@query(f"SELECT lang, count(*) AS n, min(d) AS least, max(d) AS most, round(avg(d), 6) AS mean FROM (SELECT lang, len({_WORDS.format('text')}) AS d FROM documents) GROUP BY 1")
+def doc_length_stats(spark, documents):
+    d = documents.select("lang", F.size(retrieval.terms("text")).cast("long").alias("d"))
+    return d.groupBy("lang").agg(F.count("*").alias("n"), F.min("d").alias("least"), F.max("d").alias("most"), F.round(F.avg("d"), 6).alias("mean"))
+
+
+_MANY = [("a", "with the"), ("b", "that this for"), ("c", "erber"), ("d", "no such words here")]
+
+
+@query(
+    "WITH "
+    + ", ".join(f"{q} AS (WITH {_bm25_sql(words.split())} SELECT '{q}' AS query_id, id, score, row_number() OVER (ORDER BY score, id) AS rank FROM hits)" for q, words in _MANY)
+    + " "
+    + " UNION ALL ".join(f"SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM {q}" for q, _ in _MANY)
+)
+def bm25_many_queries(spark, documents):
+    """Several searches over stored postings at once."""
+    index = retrieval.postings(documents, "doc_id", "text")
+    sizes = documents.select(F.col("doc_id").alias("id"), F.size(retrieval.terms("text")).alias("dl"))
+    asked = spark.createDataFrame([(q, t) for q, words in _MANY for t in retrieval.query_terms(words)], "query_id string, term string")
+    return retrieval.bm25_of_postings(index, sizes, asked).withColumn("score", F.round("score", 6))
+
+
+# ---------------------------------------------------------------- vectors
+
+_COSINE = """
+  pairs AS (SELECT q.vec_id AS query_id, v.vec_id AS id, v.label, list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score
+        FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM pairs)"""
+
+
+def _cosine_hits(embeddings, k=300):
+    return retrieval.cosine_topk(embeddings, embeddings.where("vec_id % 100 = 0"), "vec_id", "embedding", k)
+
+
+@query(f"WITH {_COSINE} SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 300")
+def cosine_topk(spark, embeddings):
+    return _cosine_hits(embeddings).withColumn("score", F.round("score", 6))
+
+
+@query(f"WITH {_COSINE} SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 100")
+def cosine_rerank_300_100(spark, embeddings):
+    return retrieval.rerank(_cosine_hits(embeddings)).withColumn("score", F.round("score", 6))
+
+
+@query(f"WITH {_COSINE} SELECT query_id, label, count(*) AS n FROM ranked WHERE rank <= 300 GROUP BY 1, 2")
+def vector_facets(spark, embeddings):
+    hits = _cosine_hits(embeddings).join(embeddings.select(F.col("vec_id").alias("id"), "label"), "id")
+    return hits.groupBy("query_id", "label").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"""WITH {_BM25}, {_COSINE.strip()},
+  lex AS (SELECT q.query_id, id, row_number() OVER (PARTITION BY q.query_id ORDER BY hits.score, id) AS rank FROM hits, (SELECT DISTINCT query_id FROM ranked) q),
+  both_ AS (SELECT query_id, id, 1.0 / (60 + rank) AS s FROM lex UNION ALL SELECT query_id, id, 1.0 / (60 + rank) FROM ranked WHERE rank <= 300),
+  f AS (SELECT query_id, id, sum(s) AS score FROM both_ GROUP BY 1, 2)
+  SELECT query_id, round(sum(score), 6) AS total, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM f) WHERE rank <= 100 GROUP BY 1"""
+)
+def hybrid_rrf(spark, documents, embeddings):
+    """A lexical and a vector ranking fused by reciprocal ranks."""
+    vector = _cosine_hits(embeddings)
+    lexical = retrieval.bm25(documents, "doc_id", ["text"], _SEARCH)
+    lexical = vector.select("query_id").distinct().join(lexical.withColumn("one", F.lit(1)), F.lit(1) == F.col("one"))
+    lexical = lexical.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id")))
+    fused = retrieval.reciprocal_rank_fusion(lexical, vector)
+    return fused.groupBy("query_id").agg(F.round(F.sum("score"), 6).alias("total"), F.count("*").alias("n"))
+
+
+@query()
+def hash_embedding(spark, documents):
+    """Deterministic embeddings of all texts (a hash chain isn't SQL)."""
+    e = hash_embed(F.col("text"), 16)
+    return documents.select("doc_id", F.transform(e, lambda x: F.round(x, 6)).alias("embedding"))
+
+
+# ---------------------------------------------------------------- chunks
+
+_STRIPPED = r"list_transform(string_split(text, chr(10)), lambda t: regexp_replace(t, '^\s+|\s+$', '', 'g'))"
+
+
+def _chunk_rows(df, chunks):
+    return chunk.explode_chunks(df.select("doc_id", chunks.alias("c")), "doc_id", "c").select("doc_id", F.col("chunk_index").alias("i"), "chunk_type", "text", "char_count")
+
+
+def _chunk_sql(array: str) -> str:
+    return f"""SELECT doc_id, CAST(i - 1 AS INTEGER) AS i, 'parrafo' AS chunk_type, p[i] AS text, CAST(length(p[i]) AS INTEGER) AS char_count
+      FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM (SELECT doc_id, {array} AS p FROM documents))"""
+
+
+@query(_chunk_sql(f"list_filter({_STRIPPED}, lambda t: length(t) > 80)"))
+def chunk_paragraphs(spark, documents):
+    return _chunk_rows(documents, chunk.pieces("parrafo", chunk.paragraphs(F.col("text"), "\n")))
+
+
+@query(_chunk_sql(f"list_filter({_STRIPPED}, lambda t: length(t) > 80)[1:3]"))
+def chunk_filter_then_cap(spark, documents):
+    return _chunk_rows(documents, chunk.pieces("parrafo", chunk.paragraphs(F.col("text"), "\n", most=3)))
+
+
+@query(_chunk_sql(f"list_filter({_STRIPPED}[1:3], lambda t: length(t) > 80)"))
+def chunk_cap_then_filter(spark, documents):
+    return _chunk_rows(documents, chunk.pieces("parrafo", chunk.paragraphs(F.col("text"), "\n", most=3, cap_first=True)))
+
+
+_MARK = r"\n(\p{Lu}\p{Ll}*) "
+
+
+@query(
+    rf"""WITH d AS (SELECT doc_id, text, regexp_extract_all(text, '{_MARK}', 1) AS n, string_split_regex(text, '{_MARK}') AS b FROM documents),
+  z AS (SELECT doc_id, text, n, list_filter(list_zip(n, list_transform(b[2:], lambda t: regexp_replace(t, '^\s+|\s+$', '', 'g'))), lambda x: length(x[2]) > 30) AS k FROM d),
+  r AS (SELECT doc_id, unnest(list_transform(k, lambda x: 'Artículo ' || x[1] || '. ' || x[2][:4000])) AS text, 'articulo' AS chunk_type FROM z WHERE len(n) > 0
+        UNION ALL SELECT doc_id, regexp_replace(text[:5000], '^\s+|\s+$', '', 'g'), 'cuerpo' FROM z WHERE len(n) = 0)
+  SELECT doc_id, chunk_type, count(*) AS n, sum(length(text))::BIGINT AS chars FROM r WHERE length(text) > 0 GROUP BY 1, 2"""
+)
+def chunk_split_marker(spark, documents):
+    rows = chunk.explode_chunks(documents.select("doc_id", chunk.marked_sections(F.col("text"), _MARK).alias("c")), "doc_id", "c")
+    return rows.groupBy("doc_id", "chunk_type").agg(F.count("*").alias("n"), F.sum("char_count").alias("chars"))
+
+
+@query(
+    r"""WITH r AS (
+    SELECT 'documents' AS source, doc_id::VARCHAR AS id, text FROM documents UNION ALL SELECT 'conversations', conv_id || '-' || turn, text FROM conversations
+    UNION ALL SELECT 'benchmark', item_id::VARCHAR, text FROM benchmark
+    UNION ALL SELECT 'pages', page_id::VARCHAR, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) FROM pages)
+  SELECT source, count(*) AS n, count(DISTINCT id) AS ids, sum(length(text))::BIGINT AS chars FROM r GROUP BY 1"""
+)
+def union_sources_corpus(spark, documents, conversations, benchmark, pages):
+    """Four differently shaped tables as one corpus."""
+    parts = [
+        documents.select(F.lit("documents").alias("source"), F.col("doc_id").cast("string").alias("id"), "text"),
+        conversations.select(F.lit("conversations").alias("source"), F.concat_ws("-", "conv_id", "turn").alias("id"), "text"),
+        benchmark.select(F.lit("benchmark").alias("source"), F.col("item_id").cast("string").alias("id"), "text"),
+        pages.select(F.lit("pages").alias("source"), F.col("page_id").cast("string").alias("id"), tx.text_only("html").alias("text")),
+    ]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return rows.groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"), F.sum(F.length("text")).alias("chars"))
+
+
+@query(
+    """SELECT 'scjn_biblioteca' AS source, doc_id::VARCHAR AS native, 'publicacion_academica' AS tipo, 'doctrinal' AS jerarquia, source AS titulo, lang AS autor,
+       (CASE WHEN source <> '' THEN 1 ELSE 0 END + CASE WHEN text <> '' THEN 1 ELSE 0 END)::INTEGER AS n_chunks FROM documents
+  UNION ALL SELECT 'scjn_historica', page_id::VARCHAR, 'tesis_historica', 'criterio_pjf', url, NULL, 2 FROM pages"""
+)
+def corpus_exporters(spark, documents, pages):
+    """Two sources through their specifications into canonical documents."""
+    library = documents.select(F.col("doc_id").alias("id_native"), F.col("source").alias("titulo"), F.col("text").alias("resumen"), F.col("lang").alias("autor"), F.lit("t").alias("tema"), F.lit("c").alias("coleccion"), F.lit("u").alias("urlPrimo"))
+    none = F.lit(None).cast("string")
+    old = pages.select(F.col("page_id").alias("ius"), F.col("url").alias("rubro"), none.alias("epoca"), none.alias("instancia"), none.alias("localizacion"), none.alias("tipo_tesis"), F.col("html").alias("texto"))
+    built = corpus.build_corpus({"scjn_biblioteca": library, "scjn_historica": old})
+    return built.select("source", F.col("source_native_id").alias("native"), "tipo", "jerarquia", "titulo", "autor", F.size("chunks").alias("n_chunks"))
+
+
+# ---------------------------------------------------------------- HTML and URLs
+
+
+@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages")
+def html_text_only(spark, pages):
+    return pages.select("page_id", tx.text_only("html").alias("text"))
+
+
+@query()
+def html_sections(spark, pages):
+    """Paragraphs and headings in order (RE2 has no lookahead to say where an unclosed one ends)."""
+    return extract.html_sections(pages, "page_id", "html")
+
+
+_CLEAN = r"regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g')"
+
+
+def _text_sql(x: str) -> str:
+    names = (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+    out = f"regexp_replace({x}, '<[^>]+>', ' ', 'g')"
+    for a, b in names:
+        out = f"replace({out}, '{a}', '{b}')"
+    return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
+
+
+@query(
+    "SELECT page_id, coalesce("
+    + ", ".join(
+        f"""list_filter(list_transform(regexp_extract_all({_CLEAN}, '(?is)<{t}\\b[^>]*>(.*?)</{t}>', 1), lambda x: {_text_sql("x")}), lambda x: length(x) > 8 AND NOT regexp_matches(x, '(?i)men[uú]|inicio|buscar'))[1]"""
+        for t in ("h4", "h3", "h2", "h1", "h5")
+    )
+    + ") AS titulo FROM pages"
+)
+def html_title_cascade(spark, pages):
+    return pages.select("page_id", extract.title_cascade(F.col("html")).alias("titulo"))
+
+
+_LINK = r"""(?is)<a\b[^>]*href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>"""
+
+
+@query(
+    f"""SELECT page_id AS id, CAST(i - 1 AS INTEGER) AS link_index, h[i] AS href, {_text_sql("l[i]")} AS label FROM (
+    SELECT page_id, h, l, unnest(range(1, len(h) + 1)) AS i FROM (SELECT page_id, regexp_extract_all({_CLEAN}, '{_LINK}', 1) AS h, regexp_extract_all({_CLEAN}, '{_LINK}', 2) AS l FROM pages))"""
+)
+def html_links(spark, pages):
+    return extract.html_links(pages, "page_id", "html")
+
+
+@query(r"""SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_replace(string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1], '\.[^.]*$', '') AS base, lower(regexp_extract(url, '\.([A-Za-z0-9]+)(?:[?#].*)?$', 1)) AS ext FROM pages""")
+def page_url_parts(spark, pages):
+    plain = F.regexp_replace("url", "[?#].*$", "")
+    return pages.select("page_id", F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1).alias("host"), tx.basename(plain).alias("base"), tx.url_extension("url").alias("ext"))
+
+
+@query()
+def html_main_content(spark, pages):
+    """Main text of each page by a cascade of elements."""
+    return pages.select("page_id", extract.main_content(F.col("html")).alias("text"))
+
+
+@query()
+def html_longest_paragraph(spark, pages):
+    return pages.select("page_id", extract.longest_paragraph(F.col("html")).alias("text"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(lower(strip_accents(text)), '[^a-z0-9 ]', ' ', 'g'), '\s+', ' ', 'g')) AS name FROM documents")
+def normalize_fold(spark, documents):
+    return documents.select("doc_id", tx.normalize_name("text").alias("name"))
+
+
+# ---------------------------------------------------------------- citations
+
+_LAWS = {"W": " with ", "F": " from "}
+_REF = r" (is|are|was) ([a-z]+)( the)?"
+
+
+def _spans(text: str, pattern: str) -> str:
+    """SQL for the starts (from 0) of a pattern's matches, by lengths, as Spark finds them."""
+    g, m = f"string_split_regex({text}, '{pattern}')", f"regexp_extract_all({text}, '{pattern}')"
+    return f"list_transform(range(1, len({m}) + 1), lambda j: CAST(list_sum(list_transform({g}[1:j], lambda x: length(x))) + coalesce(list_sum(list_transform({m}[1:j-1], lambda x: length(x))), 0) AS INTEGER))"
+
+
+_CITES = (
+    "WITH "
+    + ", ".join(
+        f"""l{k} AS (SELECT doc_id, text, unnest({_spans("text", p)}) AS law_pos FROM documents WHERE regexp_matches(text, '{p}')),
+    w{k} AS (SELECT doc_id, law_pos, substring(text, greatest(law_pos - 200, 0) + 1, law_pos + {len(p)} + 200 - greatest(law_pos - 200, 0)) AS w FROM l{k}),
+    s{k} AS (SELECT doc_id, law_pos, w, {_spans("w", _REF)} AS pos, regexp_extract_all(w, '{_REF}') AS m, regexp_extract_all(w, '{_REF}', 1) AS a, regexp_extract_all(w, '{_REF}', 2) AS b, regexp_extract_all(w, '{_REF}', 3) AS c FROM w{k}),
+    r{k} AS (SELECT doc_id AS id, '{k}' AS code, {i} AS law_ord, law_pos, CAST(j - 1 AS INTEGER) AS ref_pos, a[j] AS articulo, nullif(b[j], '') AS fraccion, nullif(c[j], '') AS parrafo,
+      substring(w, greatest(pos[j] - 30, 0) + 1, pos[j] + length(m[j]) + 30 - greatest(pos[j] - 30, 0))[:300] AS raw FROM (SELECT *, unnest(range(1, len(m) + 1)) AS j FROM s{k}))"""
+        for i, (k, p) in enumerate(_LAWS.items())
+    )
+    + ", cites AS ("
+    + " UNION ALL ".join(f"SELECT * FROM r{k}" for k in _LAWS)
+    + ") "
+)
+_KEY = ["id", "code", "articulo", "fraccion", "parrafo"]
+
+
+def _cites(documents):
+    return extract.citation_windows(documents, "doc_id", "text", _LAWS, _REF, flags="")
+
+
+@query(_CITES + "SELECT * FROM cites")
+def citation_windows(spark, documents):
+    return _cites(documents)
+
+
+@query(_CITES + f"SELECT {', '.join(_KEY)}, raw FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(_KEY)} ORDER BY law_ord, law_pos, ref_pos) AS n FROM cites) WHERE n = 1")
+def citation_dedup_first(spark, documents):
+    return extract.dedup_citations(_cites(documents), _KEY, ["law_ord", "law_pos", "ref_pos"]).select(*_KEY, "raw")
+
+
+@query(
+    _CITES
+    + f"SELECT {', '.join(_KEY)}, raw FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(_KEY)} ORDER BY law_ord, law_pos, ref_pos) AS n FROM cites) WHERE n = 1 OR {' OR '.join(f'{k} IS NULL' for k in _KEY)}"
+)
+def citation_null_key_compat(spark, documents):
+    return extract.dedup_citations(_cites(documents), _KEY, ["law_ord", "law_pos", "ref_pos"], compat=True).select(*_KEY, "raw")
+
+
+@query(_CITES + "SELECT code, articulo, fraccion, count(*) AS n FROM cites GROUP BY 1, 2, 3 ORDER BY n DESC, code, articulo, fraccion LIMIT 10")
+def citation_topn(spark, documents):
+    c = _cites(documents).groupBy("code", "articulo", "fraccion").agg(F.count("*").alias("n"))
+    return c.orderBy(F.desc("n"), "code", "articulo", F.col("fraccion").asc_nulls_last()).limit(10)
+
+
+@query(r"SELECT DISTINCT doc_id AS id, trim(regexp_replace(k, '\s+', ' ', 'g')) AS clave FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(\p{Lu}\p{Ll}+\s+\p{Ll}+\.)', 1)) AS k FROM documents)")
+def case_key_mentions(spark, documents):
+    found = F.regexp_extract_all("text", F.lit(r"(\p{Lu}\p{Ll}+\s+\p{Ll}+\.)"), F.lit(1))
+    return documents.select(F.col("doc_id").alias("id"), F.explode(F.transform(found, tx.squeeze)).alias("clave")).distinct()
+
+
+# ---------------------------------------------------------------- classes and dictionaries
+
+_KEYWORDS = [(r"[$%&*#]{3}", "symbols"), (r"!!", "shouting"), (r" \| ", "table")]
+
+
+@query("SELECT doc_id, CASE " + " ".join(f"WHEN regexp_matches(concat_ws(' ', text, lang), '{p}') THEN '{v}'" for p, v in [(p.replace("|", "\\|") if v == "table" and "\\|" not in p else p, v) for p, v in _KEYWORDS]) + " ELSE 'plain' END AS kind FROM documents")
+def keyword_class_case(spark, documents):
+    return documents.select("doc_id", tx.keyword_class(["text", "lang"], _KEYWORDS, "plain").alias("kind"))
+
+
+_ORDERED = [("tion", "noun"), ("que", "romance"), ("sch", "german")]
+
+
+@query("SELECT doc_id, CASE " + " ".join(f"WHEN contains(lower(text), '{w}') THEN '{v}'" for w, v in _ORDERED) + " ELSE 'otro' END AS kind FROM documents")
+def ordered_class_case(spark, documents):
+    return documents.select("doc_id", tx.ordered_case(F.lower("text"), _ORDERED, "otro").alias("kind"))
+
+
+@query(
+    """SELECT p_partkey, p_name, min_by(n_name, n_nationkey) AS n_name FROM part LEFT JOIN (SELECT n_nationkey, n_name, right(n_name, 1) AS digit FROM nation) ON contains(p_brand, digit) GROUP BY 1, 2"""
+)
+def dict_first_match(spark, part, nation):
+    """The first dictionary row whose key a text contains."""
+    keys = nation.select("n_nationkey", "n_name", F.expr("right(n_name, 1)").alias("digit"))
+    return match.dictionary_join(part.select("p_partkey", "p_name", "p_brand"), F.col("p_brand"), keys, "digit", "n_nationkey").select("p_partkey", "p_name", "n_name")
+
+
+@query("SELECT item_id, text, (SELECT count(*) FROM documents d WHERE starts_with(d.text, b.text[:12])) AS hits FROM benchmark b")
+def prefix_overlap(spark, benchmark, documents):
+    return match.prefix_overlap(benchmark, documents, "text", 12)
+
+
+_PRESENT = {"shouting": "!!", "symbols": "[$%&*#]{3}", "mail": "[a-z]@[a-z]", "digits": "[0-9]{4}"}
+
+
+@query("SELECT source, " + ", ".join(f"max(regexp_matches(text, '{p}')::INTEGER) AS {n}" for n, p in _PRESENT.items()) + f", {len(_PRESENT)} - (" + " + ".join(f"max(regexp_matches(text, '{p}')::INTEGER)" for p in _PRESENT.values()) + ") AS gaps FROM documents GROUP BY 1")
+def presence_matrix(spark, documents):
+    return match.presence_matrix(documents, "source", "text", _PRESENT)
+
+
+# ---------------------------------------------------------------- writes and increments
+
+def _old_new(events):
+    e = events.withColumn("value", F.when(F.col("event_type") != "error", F.col("value")))
+    cut = ["user_id", "event_id", "event_type", "value"]
+    return e.where("event_type <> 'error'").select(*cut), e.where("event_type in ('error', 'view')").select(*cut)
+
+
+_EVENT = "(SELECT user_id, event_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS value FROM events)"
+
+
+@query(
+    f"""WITH b AS (SELECT *, 0 AS new FROM {_EVENT} WHERE event_type <> 'error' UNION ALL SELECT *, 1 FROM {_EVENT} WHERE event_type IN ('error', 'view'))
+  SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY new DESC, event_id DESC) AS n FROM b) WHERE n = 1"""
+)
+def upsert_last_wins(spark, events):
+    old, new = _old_new(events)
+    return upsert.last_wins(old, new, ["user_id"], "event_id")
+
+
+@query(
+    f"""WITH b AS (SELECT *, 0 AS new FROM {_EVENT} WHERE event_type = 'view' UNION ALL SELECT *, 1 FROM {_EVENT} WHERE event_type = 'error')
+  SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY new, event_id) AS n FROM b) WHERE n = 1"""
+)
+def insert_ignore_first(spark, events):
+    old, new = _old_new(events)
+    return upsert.first_wins(old.where("event_type = 'view'"), new.where("event_type = 'error'"), ["user_id"], "event_id")
+
+
+@query(
+    f"""WITH o AS (SELECT user_id, max(event_id) AS event_id, max_by(event_type, event_id) AS event_type, max_by(value, event_id) AS value FROM {_EVENT} WHERE event_type = 'view' GROUP BY 1),
+  n AS (SELECT user_id, max(event_id) AS event_id, 'error' AS event_type, CAST(NULL AS DOUBLE) AS value FROM {_EVENT} WHERE event_type = 'error' GROUP BY 1)
+  SELECT user_id, CASE WHEN n.user_id IS NOT NULL THEN n.event_id ELSE o.event_id END AS event_id, coalesce(n.event_type, o.event_type) AS event_type, coalesce(n.value, o.value) AS value FROM o FULL JOIN n USING (user_id)"""
+)
+def upsert_keep_old(spark, events):
+    old, new = _old_new(events)
+    last = [upsert.keep_one(d, ["user_id"], F.desc("event_id")) for d in (old.where("event_type = 'view'"), new.where("event_type = 'error'"))]
+    return upsert.keep_old_if_null(*last, ["user_id"], always=("event_id",)).select("user_id", "event_id", "event_type", "value")
+
+
+@query("SELECT o_orderkey, l_linenumber, l_quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'F' UNION ALL SELECT o_orderkey, 0, -1.0 FROM orders WHERE o_orderstatus = 'F'")
+def replace_children(spark, orders, lineitem):
+    old = lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity").join(orders.select("o_orderkey"), "o_orderkey", "left_semi")
+    new = orders.where("o_orderstatus = 'F'").select("o_orderkey", F.lit(0).alias("l_linenumber"), F.lit(-1.0).alias("l_quantity"))
+    return upsert.replace_children(old, new, "o_orderkey")
+
+
+@query("SELECT c_custkey, c_name, CASE WHEN n_regionkey = 0 THEN 'moved' ELSE c_mktsegment END AS c_mktsegment FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
+def update_by_key(spark, customer, nation):
+    changes = customer.join(nation.where("n_regionkey = 0"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.lower("c_name").alias("c_name"), F.lit("moved").alias("c_mktsegment"))
+    return upsert.update_by_key(customer.select("c_custkey", "c_name", "c_mktsegment"), changes, "c_name", "c_mktsegment", fold_case=True)
+
+
+@query("SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def remap_keys(spark, lineitem, orders):
+    children = lineitem.select("l_orderkey", F.col("l_orderkey").alias("k"), "l_linenumber")
+    return upsert.remap_keys(children, orders.select(F.col("o_orderkey").alias("k"), "o_custkey"), "k", "o_custkey")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def pending_anti_join(spark, documents, labels):
+    return incremental.pending(documents, labels, key="doc_id").select("doc_id")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) AND c_custkey NOT IN (SELECT s_suppkey FROM supplier)")
+def seen_in_either(spark, customer, orders, supplier):
+    return incremental.pending(customer, orders.select(F.col("o_custkey").alias("c_custkey")), supplier.select(F.col("s_suppkey").alias("c_custkey")), key="c_custkey").select("c_custkey")
+
+
+@query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS texto FROM conversations WHERE text <> '' GROUP BY 1")
+def listagg_children(spark, conversations):
+    parents = conversations.select("conv_id").distinct()
+    return corpus.with_children(parents, conversations, "conv_id", "turn", "text").where("texto is not null")
+
+
+@query("SELECT conv_id, count(*) AS n, string_agg(role, ',' ORDER BY turn) AS roles FROM conversations GROUP BY 1")
+def children_collect_join(spark, conversations):
+    parents = conversations.select("conv_id").distinct()
+    s = corpus.with_sections(parents, conversations, "conv_id", "turn", "role", "text")
+    return s.select("conv_id", F.size("sections").cast("long").alias("n"), F.array_join(F.transform("sections", lambda x: x["type"]), ",").alias("roles"))
+
+
+@query("SELECT event_id, last_value(CASE WHEN event_type IN ('signup', 'purchase') THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS status FROM events")
+def carry_forward_status(spark, events):
+    e = events.withColumn("mark", F.when(F.col("event_type").isin("signup", "purchase"), F.col("event_type"))).withColumn("at", F.struct("ts", "event_id"))
+    return incremental.carry_forward(e, "user_id", "at", "mark", "status").select("event_id", "status")
+
+
+@query("SELECT user_id, max_by(event_type, CASE event_type WHEN 'error' THEN 5 WHEN 'purchase' THEN 4 WHEN 'signup' THEN 3 WHEN 'click' THEN 2 ELSE 1 END) AS status FROM events GROUP BY 1")
+def severity_max(spark, events):
+    rank = F.create_map(*[F.lit(x) for x in ("error", 5, "purchase", 4, "signup", 3, "click", 2, "view", 1)])
+    return events.groupBy("user_id").agg(F.max_by("event_type", rank[F.col("event_type")]).alias("status"))
+
+
+@query(
+    """WITH h AS (SELECT user_id, event_id, event_type = 'purchase' AS hit, sum((event_type = 'purchase')::INT) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM events)
+  SELECT user_id, event_id, sum((NOT hit)::INT) OVER (PARTITION BY user_id, island ORDER BY event_id)::BIGINT AS misses FROM h"""
+)
+def miss_run_length(spark, events):
+    e = events.select("user_id", "event_id", (F.col("event_type") == "purchase").alias("hit"))
+    return incremental.run_lengths(e, "user_id", "event_id", "hit").select("user_id", "event_id", "misses")
+
+
+@query("SELECT o_orderstatus, n, CAST(p AS INTEGER) AS page, 50 AS size FROM (SELECT o_orderstatus, n, unnest(range(1, CAST(ceil(least(n, 9999) / 50.0) AS BIGINT) + 1)) AS p FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1))")
+def slice_page_plan(spark, orders):
+    return paging.page_plan(orders.groupBy("o_orderstatus").agg(F.count("*").alias("n")), "n")
+
+
+@query("SELECT d::DATE AS day, count(o_orderkey) AS n FROM (SELECT unnest(generate_series(DATE '1998-01-01', DATE '1998-12-31', INTERVAL 1 DAY)) AS d) LEFT JOIN orders ON o_orderdate::DATE = d::DATE GROUP BY 1")
+def date_walk(spark, orders):
+    d = paging.days(spark, "1998-01-01", "1998-12-31")
+    return d.join(orders.select(F.col("o_orderdate").cast("date").alias("day"), "o_orderkey"), "day", "left").groupBy("day").agg(F.count("o_orderkey").alias("n"))
+
+
+@query("SELECT o_orderkey, o_orderdate::DATE AS a, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE o_orderdate::DATE END AS b FROM orders")
+def parse_dates(spark, orders):
+    """Dates written in the ways that sources write them, read back."""
+    month = F.element_at(F.array(*[F.lit(m) for m in tx.MONTHS]), F.month("o_orderdate"))
+    spelled = F.concat_ws(" de ", F.dayofmonth("o_orderdate").cast("string"), month, F.year("o_orderdate").cast("string"))
+    form = F.pmod("o_orderkey", F.lit(4))
+    raw = F.when(form == 0, F.date_format("o_orderdate", "dd/MM/yyyy")).when(form == 1, F.date_format("o_orderdate", "yyyy-MM-dd")).when(form == 2, spelled).otherwise("sin fecha")
+    return orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("a"), tx.parse_fecha(raw).alias("b"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_props_extract(spark, events):
+    return events.select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k"))
+
+
+@query("SELECT DISTINCT doc_id AS id, v AS value FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS v FROM documents) WHERE v <> ''")
+def array_bridge(spark, documents):
+    return extract.array_bridge(documents.select("doc_id", F.split("text", " ").alias("words")), "doc_id", "words")
+
+
+@query("SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def windowed_counts(spark, events):
+    """The streaming aggregate, run over the table as a batch."""
+    return incremental.windowed_counts(events, "ts", ["event_type"]).select(F.col("window.start").alias("start"), "event_type", "n")
+
+
+@query(
+    """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
+  s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM g)
+  SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, session"""
+)
+def event_sessions(spark, events):
+    return incremental.sessions(events, "ts", "user_id").select("user_id", F.col("session_window.start").alias("start"), "n")
+
+
+# ---------------------------------------------------------------- audits
+
+
+@query("SELECT lang, source, count(*) AS n FROM documents GROUP BY 1, 2")
+def group_distribution(spark, documents):
+    return audit.distribution(documents, "lang", "source")
+
+
+@query("SELECT lang, 'source' AS dim, source AS value, count(*) AS n FROM documents GROUP BY 1, 3 UNION ALL SELECT lang, 'size', CASE WHEN n_chars > 2000 THEN 'long' ELSE 'short' END, count(*) FROM documents GROUP BY 1, 3")
+def distributions_by_group(spark, documents):
+    return audit.distributions(documents.withColumn("size", F.when(F.col("n_chars") > 2000, "long").otherwise("short")), ["source", "size"], "lang")
+
+
+@query("SELECT substring(p_name, 1, 3) AS key0, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, key0 LIMIT 12")
+def group_by_expression(spark, part):
+    return audit.distribution(part, F.substring("p_name", 1, 3), top=12)
+
+
+@query("SELECT count(*) AS n_rows, count(*) FILTER (WHERE quality IS NULL) AS quality_nulls, count(*) FILTER (WHERE toxic IS NULL) AS toxic_nulls FROM documents LEFT JOIN labels USING (doc_id)")
+def null_profile(spark, documents, labels):
+    return audit.null_profile(documents.join(labels, "doc_id", "left"), ["quality", "toxic"])
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS pattern, count(*) FILTER (WHERE regexp_matches(text, '{p}') OR regexp_matches(source, '{p}')) AS n FROM documents" for n, p in _PRESENT.items()))
+def pattern_counts(spark, documents):
+    return audit.pattern_counts(documents, ["text", "source"], _PRESENT)
+
+
+@query("SELECT n_regionkey, count(*) AS n, min(n_nationkey) AS low, max(n_nationkey) AS high FROM nation GROUP BY 1")
+def min_max_by_group(spark, nation):
+    return audit.bounds(nation, "n_regionkey", "n_nationkey")
+
+
+@query("SELECT string_split(p_name, ' ')[1] AS key0, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, key0 LIMIT 15")
+def first_word_hist(spark, part):
+    return audit.distribution(part, tx.first_word("p_name"), top=15)
+
+
+@query("SELECT count(*) FILTER (WHERE length(text) > 50) AS with_text, count(*) FILTER (WHERE text IS NULL OR length(text) < 50) AS without_text, count(*) FILTER (WHERE text IS NULL OR length(text) < 5) AS very_short FROM documents")
+def text_presence_split(spark, documents):
+    return audit.text_presence(documents, "text")
+
+
+@query("SELECT doc_id, source FROM documents ORDER BY md5(doc_id::VARCHAR || 'seed'), doc_id LIMIT 50")
+def deterministic_sample(spark, documents):
+    return audit.seeded_sample(documents.select("doc_id", "source"), "doc_id", 50, "seed")
+
+
+@query("SELECT lang, count(*) AS n, array_to_string(list_sort(list(DISTINCT source)), ',') AS members FROM documents GROUP BY 1")
+def group_members(spark, documents):
+    return audit.members(documents, "lang", "source").withColumn("members", F.array_join("members", ","))
+
+
+@query("SELECT key, count(*) AS n, min(length(value)) AS min_size, round(avg(length(value)), 6) AS avg_size, max(length(value)) AS max_size FROM (SELECT 'source' AS key, source AS value FROM documents UNION ALL SELECT 'text', text FROM documents) GROUP BY 1")
+def key_profile(spark, documents):
+    m = documents.select(F.create_map(F.lit("source"), "source", F.lit("text"), "text").alias("m"))
+    return audit.key_profile(m, "m").withColumns({"min_size": F.col("min_size").cast("long"), "max_size": F.col("max_size").cast("long"), "avg_size": F.round("avg_size", 6)})
+
+
+@query("SELECT c_mktsegment, n_name, count(*) AS n, CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS DOUBLE) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2")
+def join_chain(spark, lineitem, orders, customer, nation):
+    """Inner joins of children, parents and their parents."""
+    j = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.groupBy("c_mktsegment", "n_name").agg(F.count("*").alias("n"), F.sum((F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")).cast("double").alias("revenue"))
+
+
+@query("SELECT doc_id, CASE WHEN quality IS NULL THEN 'unlabelled' ELSE 'labelled' END AS state FROM documents LEFT JOIN labels USING (doc_id) UNION ALL SELECT doc_id, 'orphan' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)")
+def coverage_states(spark, documents, labels):
+    named = documents.join(labels, "doc_id", "left").select("doc_id", F.when(F.col("quality").isNull(), "unlabelled").otherwise("labelled").alias("state"))
+    return named.unionByName(incremental.pending(labels, documents, key="doc_id").select("doc_id", F.lit("orphan").alias("state")))
