@@ -198,7 +198,7 @@ def thesis_fields(df: DataFrame, text_col: str) -> DataFrame:
             "secretario": squeeze(first_match(rest, rx(r"secretari[oa]s?:\s*([^.\n]+)"), 1)),
             "votacion": squeeze(first_match(rest, rx(r"por\s+(?:unanimidad|mayor[ií]a)[^.\n]*"))),
             "fecha": squeeze(first_match(rest, rx(r"\d{1,2}\s+de\s+[a-z]+\s+de\s+\d{4}"))),
-            "anio": first_match(rest, r"\b(19\d{2}|20\d{2})\b", 1).try_cast("int"),
+            "anio": F.coalesce(first_match(rest, rx(r"de\s+(19\d{2}|20\d{2})\b"), 1), first_match(rest, r"\b(19\d{2}|20\d{2})\b", 1)).try_cast("int"),
         }
     )
 

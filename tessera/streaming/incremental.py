@@ -52,10 +52,10 @@ def process_new_files(spark: SparkSession, folder: str, schema, batch: Callable[
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def windowed_counts(events: DataFrame, time: str, keys: list[str], size: str = "10 minutes", late: str = "30 minutes", slide: str | None = None) -> DataFrame:
-    """Counts by time window and keys; events later than ``late`` behind the newest are dropped."""
+def windowed_counts(events: DataFrame, time: str, keys: list[str], size: str = "10 minutes", late: str | None = "30 minutes", slide: str | None = None) -> DataFrame:
+    """Counts by time window and keys; events later than ``late`` behind the newest are dropped (None: the stream has its watermark)."""
     w = F.window(time, size, slide) if slide else F.window(time, size)
-    return events.withWatermark(time, late).groupBy(w, *keys).agg(F.count("*").alias("n"))
+    return (events.withWatermark(time, late) if late else events).groupBy(w, *keys).agg(F.count("*").alias("n"))
 
 
 def sessions(events: DataFrame, time: str, user: str, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
