@@ -8,6 +8,7 @@ are counted apart, as is how densely hits crowd in a window of words.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +23,11 @@ from .labelled import labelled_sample
 #: The training sample's bound by label.
 SAMPLE = {0: 5000, 1: 5000}
 HELD_OUT = 1
-#: A term must occur in so many different surroundings of toxic documents, and in at most a share of that elsewhere.
-MIN_SUPPORT, MOST_ELSEWHERE, MOST_TERMS = 5, 0.05, 500
+#: A term must occur in so many different surroundings of toxic documents (a number, and a share of the sample's toxic
+#: documents), and in at most a share of that elsewhere.
+MIN_SUPPORT, SUPPORT_SHARE, MOST_ELSEWHERE, MOST_TERMS = 5, 0.004, 0.05, 500
+#: Terms an automaton is made of; a larger lexicon becomes several.
+TERMS_TOGETHER = 100
 WINDOW = 12
 _OPENING, _CLOSING = "“«„‹", "”»›"
 
@@ -89,11 +93,13 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
 
     A term counts once for each pair of neighbours, so copies of one document, however many, count once too.
     """
+    toxic = sample.where("y = 1").count()
+    support = max(MIN_SUPPORT, math.ceil(SUPPORT_SHARE * toxic))
     seen = sample.select("y", "text").mapInArrow(_surroundings, "word string, y int, around string")
     counted = seen.groupBy("word").agg(
         F.countDistinct(F.when(F.col("y") == 1, F.xxhash64("around"))).alias("toxic"), F.countDistinct(F.when(F.col("y") == 0, F.xxhash64("around"))).alias("other")
     )
-    good = counted.where((F.col("toxic") >= MIN_SUPPORT) & (F.col("other") <= F.col("toxic") * MOST_ELSEWHERE))
+    good = counted.where((F.col("toxic") >= support) & (F.col("other") <= F.col("toxic") * MOST_ELSEWHERE))
     rows = good.orderBy(F.desc("toxic"), "word").limit(MOST_TERMS).collect()
     return {r["word"]: float(np.log((r["toxic"] + 0.5) / (r["other"] + 0.5))) for r in rows}
 
@@ -103,9 +109,29 @@ def allowed_errors(term: str) -> int:
 
 
 class Matcher:
+    """Finds a lexicon's terms, misspelled or not, by one automaton for every TERMS_TOGETHER of them."""
+
+    def __init__(self, terms: list[str], errors=allowed_errors):
+        self.terms = list(terms)
+        self.parts = [(at, Automaton(self.terms[at : at + TERMS_TOGETHER], errors)) for at in range(0, len(self.terms), TERMS_TOGETHER)]
+
+    def match(self, points: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of the word, term, errors) for the words that match; each with its nearest term, the first on ties."""
+        found = [(word, term + at, errors) for at, part in self.parts for word, term, errors in [part.match(points, starts, sizes)]]
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        word, term, errors = (np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True))
+        order = np.lexsort((term, errors, word))
+        word, term, errors = word[order], term[order], errors[order]
+        first = np.ones(len(word), bool)
+        first[1:] = word[1:] != word[:-1]
+        return word[first], term[first], errors[first]
+
+
+class Automaton:
     """The automaton as arrays: step[state, class of character] and, by state, the term it accepts (-1: none) and errors."""
 
-    def __init__(self, terms: list[str], errors=allowed_errors, most_states: int = 60_000):
+    def __init__(self, terms: list[str], errors=allowed_errors):
         self.terms = list(terms)
         alphabet = sorted(set("".join(terms)))
         self.classes = np.zeros(1 << 16, np.uint8 if len(alphabet) < 255 else np.uint16)
@@ -168,8 +194,6 @@ class Matcher:
                     common = after(state, -1) if common is None else common
                     target = common
                 if target not in ids:
-                    if len(ids) > most_states:
-                        raise ValueError("the lexicon's automaton is too large; use fewer terms or errors")
                     ids[target] = len(ids)
                     todo.append(target)
                 row.append(ids[target])
