@@ -99,18 +99,32 @@ class Codes:
 
 # ---------------------------------------------------------------- encoding
 
-#: A byte-level BPE of this kind never joins a character to white space after it, so text may be cut there.
+# How byte-level BPE vocabularies of this kind cut texts before merging, for the characters below U+0250
+# and common punctuation; in texts with others the library cuts.
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", r" \t\n\r\x0b\x0c"
+_PRETOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_OTHER = re.compile(r"[^\x00-\x1b!-~ \xa1-\u024f\u2010-\u2027\u2030-\u205e\u20ac]|<\|")
+#: Any such tokenizer may be cut where white space follows something else.
 _PIECE = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
-_SPACES = frozenset(" \t\n\r\x0b\x0c")
 #: White space or not by some definitions only: texts with these are encoded whole.
 _UNSURE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
 
 
+def _byte_characters() -> dict[int, str]:
+    """The visible character that stands for each byte: itself where it is one, else the next from U+0100 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTES = _byte_characters()
+
+
 class PieceEncoder(PieceStore):
     """A byte-level BPE of the tokenizers library, piece by piece.
 
-    New pieces go to the library joined, a thousand at a time; as ids of such a tokenizer stand for a fixed number of
-    bytes, the ids of each piece are found by adding those up.
+    Texts of familiar characters are cut as the library cuts them before merging, and its model merges each new piece
+    once. Other texts are cut at white space, and what is new goes through the whole library.
     """
 
     def __init__(self, path: str, most: int = 300_000):
@@ -119,29 +133,24 @@ class PieceEncoder(PieceStore):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        names = (self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size()))
-        self.bytes_of = np.array([added.get(i, len(t or "")) for i, t in enumerate(names)], np.int64)
+        self.model = self.tokenizer.model
 
     def cut(self, text: str) -> list[str]:
+        if not _OTHER.search(text):
+            return _PRETOKEN.findall(text)
         return [text] if _UNSURE.search(text) else _PIECE.findall(text)
 
     def learn(self, fresh: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        joined = [p for p in fresh if p[0] in _SPACES and p[-1] not in _SPACES]
-        alone = [p for p in fresh if p[0] not in _SPACES or p[-1] in _SPACES]
-        flat, sizes = [], []
-        for at in range(0, len(alone), 10_000):
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(alone[at : at + 10_000], add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
-            flat.append(np.fromiter((i for ids in got for i in ids), np.uint32, int(sizes[-1].sum())))
-        for at in range(0, len(joined), 1000):
-            part = joined[at : at + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            stops = np.cumsum(np.fromiter((len(p.encode()) for p in part), np.int64, len(part)))
-            at_stop = np.searchsorted(np.cumsum(self.bytes_of[ids]), stops, "left") + 1
-            sizes.append(np.diff(at_stop, prepend=0))
-            flat.append(ids)
-        return alone + joined, np.concatenate(flat), np.concatenate(sizes)
+        ids: list[list[int]] = []
+        single = [_PRETOKEN.fullmatch(p) is not None and not _OTHER.search(p) for p in fresh]
+        order = [p for p, s in zip(fresh, single, strict=True) if s] + [p for p, s in zip(fresh, single, strict=True) if not s]
+        n = sum(single)
+        for p in order[:n]:
+            ids.append([t.id for t in self.model.tokenize(p.encode().decode("latin-1").translate(_BYTES))])
+        for at in range(n, len(order), 5000):
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(order[at : at + 5000], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return order, np.fromiter((i for own in ids for i in own), np.uint32, int(sizes.sum())), sizes
 
 
 @lru_cache(maxsize=2)
