@@ -19,8 +19,8 @@ from .hashing import U64, mix, slices, span_hashes, word_spans
 from .labelled import labelled_sample
 
 BITS, DIMENSIONS, GRAMS = 17, 8, (3, 4)
-#: The training sample's bound by label; epochs and first learning rate.
-SAMPLE, EPOCHS, RATE = {0: 3000, 1: 6000}, 6, 0.1
+#: The training sample's bound by label; epochs (more where they make fewer steps than that) and first learning rate.
+SAMPLE, EPOCHS, STEPS, RATE = {0: 3000, 1: 6000}, 6, 15_000, 0.1
 HELD_OUT = 1
 _SHIFT = U64(64 - BITS)
 _END = 0  # row of the end mark that every text has, so an empty text has a vector too
@@ -81,6 +81,7 @@ def train(bags: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (1 << BITS, DIMENSIONS)).astype(np.float32)
     layer = np.zeros((2, DIMENSIONS), np.float32)
+    epochs = max(epochs, -(-STEPS // max(1, len(bags))))
     steps, done = max(1, epochs * len(bags)), 0
     for _ in range(epochs):
         for i in rng.permutation(len(bags)):
