@@ -102,7 +102,7 @@ def mix_sources(
     part = Window.partitionBy("source")
     coarse_words = F.sum(F.when(~F.col("fine"), F.col("size") * (_steps("n_above", "n", "rate")))).over(part)
     fine_words = F.sum(F.when(F.col("fine"), F.col("size") * F.col("n"))).over(part)
-    made_up = F.round(F.greatest(F.lit(0.0), F.least(F.lit(float(cap)), (F.col("target") - F.coalesce(coarse_words, F.lit(0))) / fine_words)), 9)
+    made_up = F.round(F.greatest(F.lit(0.0), F.least(F.lit(float(cap)), F.try_divide(F.col("target") - F.coalesce(coarse_words, F.lit(0)), fine_words))), 9)
     ladder = (
         ladder.withColumn("made_up", made_up)
         .withColumn("n_coarse", F.coalesce(F.sum(F.when(~F.col("fine"), F.col("n"))).over(part), F.lit(0)))
