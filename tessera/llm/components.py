@@ -20,7 +20,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         "links",
     )
     before = None
-    while True:
+    while not now.isEmpty():
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()

@@ -21,6 +21,8 @@ from .components import connected_components
 #: Vectors the centroids are learned from, vectors a shard is meant to have, centroids in all, vectors of a graph.
 SAMPLE, SHARD, MOST_CENTROIDS, PAGE = 20_000, 1500, 2048, 4096
 DEGREE, ALPHA, AUDIT = 24, 1.2, 256
+#: A block of queries is as large as so many pages.
+QUERY_PAGES = 4
 #: (shards a vector is stored in, beam width), widened until the audit's recall is reached.
 EFFORTS, RECALL = ((2, 40), (3, 80), (6, 160)), 0.97
 _UNIT = ["label", "dim", "cluster", "page"]
@@ -355,13 +357,17 @@ def _graph_links(plain: DataFrame, centroids: dict, copies: int, width: int, lea
     stored = saved(stored, "shards")
     pages = stored.groupBy("label", "dim", "cluster").agg(F.ceil(F.count("*") / PAGE).alias("pages"))
     stored = stored.join(pages, ["label", "dim", "cluster"])
-    base = saved(stored.withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages"))).drop("pages"), "pages")
+    base = saved(stored.withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages"))), "pages")
     near = base.groupBy(_UNIT).applyInArrow(_build(width), f"label {kind}, dim int, id long, near array<long>, below array<long>")
     united = [F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "below")]  # one list a shard that stores it
     near = saved(near.groupBy("id").agg(*united), "adjacency")
+    # queries of a large shard are cut to blocks as well; each block meets each page in a task of its own
+    blocks = F.ceil(F.col("pages") / QUERY_PAGES)
     asks = stored.where("home").withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)))
-    columns = [*_UNIT, "id", "many", "vector"]
-    both = base.join(near, "id").select(*columns, "near", "below", F.lit(False).alias("asks"))
+    asks = asks.withColumn("block", F.pmod(F.xxhash64("id", F.lit("ask")), blocks))
+    columns = [*_UNIT, "block", "id", "many", "vector"]
+    met = base.join(near, "id").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     none = F.array().cast("array<long>")
+    both = met.select(*columns, "near", "below", F.lit(False).alias("asks"))
     both = both.unionByName(asks.select(*columns, none.alias("near"), none.alias("below"), F.lit(True).alias("asks")))
-    return saved(both.groupBy(_UNIT).applyInArrow(_search(width, least), "id long, n_links long, root long"), "found")
+    return saved(both.groupBy(*_UNIT, "block").applyInArrow(_search(width, least), "id long, n_links long, root long"), "found")

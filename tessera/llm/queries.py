@@ -82,4 +82,15 @@ SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS
 FROM n JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1) c ON c.doc_id = n.doc_id
 """
 
-ORACLE_SQL = {"op9_minhash_near_dedup": SHINGLE_COMPONENTS_SQL}
+VECTOR_COMPONENTS_SQL = """
+WITH RECURSIVE links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.93
+), reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r
+), c AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY 1)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept, 1.0::DOUBLE AS audit_recall
+FROM embeddings e JOIN c USING (vec_id)
+"""
+
+ORACLE_SQL = {"op7_embedding_near_dedup": VECTOR_COMPONENTS_SQL, "op9_minhash_near_dedup": SHINGLE_COMPONENTS_SQL}
