@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .functions.vectors import hash_embed
-from .operators import audit, chunk, corpus, extract, match, retrieval, upsert
+from .operators import audit, catalog, chunk, corpus, extract, match, retrieval, upsert
 from .plans import paging
 from .sources.readers import table
 from .streaming import incremental
@@ -279,6 +279,17 @@ def page_url_parts(spark, pages):
     return pages.select("page_id", F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1).alias("host"), tx.basename(plain).alias("base"), tx.url_extension("url").alias("ext"))
 
 
+@query("SELECT page_id, CASE " + " ".join(f"WHEN contains(substring(html, 1, 5000), '{w}') THEN '{v}'" for w, v in catalog.PLATFORMS) + " ELSE 'other' END AS platform FROM pages")
+def html_platform(spark, pages):
+    return pages.select("page_id", tx.ordered_case(F.substring("html", 1, 5000), catalog.PLATFORMS, "other").alias("platform"))
+
+
+@query(r"SELECT page_id, list_sort(list_distinct(list_transform(regexp_extract_all(html, 'track\((\d+)\)', 1), lambda x: x::BIGINT)))::VARCHAR AS codes FROM pages")
+def html_embedded_codes(spark, pages):
+    codes = extract.embedded_codes(F.col("html"), r"track\((\d+)\)", -1, 10**9)
+    return pages.select("page_id", F.concat(F.lit("["), F.array_join(codes.cast("array<string>"), ", "), F.lit("]")).alias("codes"))
+
+
 @query()
 def html_main_content(spark, pages):
     """Main text of each page by a cascade of elements."""
