@@ -89,16 +89,17 @@ def train(bags: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
             step = rate * (1 - done / steps)
             done += 1
             own = table[rows]
-            hidden = shares @ own
-            logits = layer @ hidden
+            # plain sums: a matrix product may round otherwise for other places in memory, and reruns must agree
+            hidden = np.add.reduce(shares[:, None] * own, axis=0)
+            logits = np.add.reduce(layer * hidden, axis=1)
             odds = np.exp(logits - logits.max())
             slope = odds / odds.sum()
             slope[y] -= 1
-            pull = slope @ layer
+            pull = slope[0] * layer[0] + slope[1] * layer[1]
             layer -= step * np.outer(slope, hidden)
             # the full mean gradient is tiny for long texts; as is usual for such models every row gets it whole
             table[rows] = own - step * (shares * len(rows))[:, None].clip(max=4.0) * pull
-    return (table @ (layer[1] - layer[0])).astype(np.float32)
+    return np.add.reduce(table * (layer[1] - layer[0]), axis=1).astype(np.float32)
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +108,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for y, rows, shares in zip(batch.column("y").to_pylist(), batch.column("rows").to_pylist(), batch.column("shares").to_pylist(), strict=True):
             bags.append((y, np.frombuffer(rows, np.int32), np.frombuffer(shares, np.float32)))
     if len({y for y, _, _ in bags}) == 2:
-        bags.sort(key=lambda b: (b[1].tobytes(), b[0]))  # partitions come in any order; the result doesn't depend on it
+        bags.sort(key=lambda b: (b[1].tobytes(), b[2].tobytes(), b[0]))  # partitions come in any order; the result doesn't depend on it
         yield pa.RecordBatch.from_arrays([pa.array([train(bags).tobytes()], pa.binary())], names=["odds"])
 
 
