@@ -39,7 +39,7 @@ _CODES = {True: _byte_codes(True), False: _byte_codes(False)}
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 19)
         for k, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(size, base, U64)
             steps[0] = 1
@@ -47,7 +47,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def slices(column: pa.Array, most_bytes: int = 2_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, most_bytes: int = 500_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column into runs of rows of about ``most_bytes``: (first row, end row, bytes, offsets).
 
     A null counts as an empty text; a single longer text makes a run of its own.
