@@ -19,7 +19,7 @@ K1, B = 1.2, 0.75
 def terms(*columns: Column | str) -> Column:
     """Folded word tokens of the columns together; no stemming."""
     text = F.concat_ws(" ", *[F.col(c) if isinstance(c, str) else c for c in columns])
-    return F.filter(F.split(fold(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.array_remove(F.split(fold(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def postings(df: DataFrame, id_col: str, *columns: str) -> DataFrame:
@@ -54,7 +54,7 @@ def bm25(df: DataFrame, id_col: str, columns: list[str], query: str, k: int = 30
 
 
 def _count(words: str, term: str) -> Column:
-    return F.size(F.filter(words, lambda x: x == term))
+    return F.size(words) - F.size(F.array_remove(words, term))
 
 
 def _part(tf: Column, dl: Column, df: Column) -> Column:
