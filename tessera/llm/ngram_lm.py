@@ -175,7 +175,7 @@ class Bigrams(_Sorted):
 
 
 class Words(_Sorted):
-    COLUMNS = {"keys": U64, "raw": np.uint32, "left": np.uint32, "spare": np.float32}
+    COLUMNS = {"keys": U64, "raw": U64, "left": U64, "spare": np.float32}  # a frequent word passes 2**32 in a large corpus
 
     def __init__(self, folder: str, bits: int):
         super().__init__(folder, "word", bits, self.COLUMNS)
@@ -237,7 +237,7 @@ def _write_words(folder: str):
         values = [_unpacked(table, f"v{i}", kind).astype(float) for i, kind in enumerate((np.uint32, float, np.float32))]
         keys, raw, left, spare = _summed(_unpacked(table, "keys", U64), *values)
         left = np.rint(left).astype(np.int64)
-        for name, x, kind in (("keys", keys, U64), ("raw", raw, np.uint32), ("left", left, np.uint32), ("spare", spare, np.float32)):
+        for name, x, kind in (("keys", keys, U64), ("raw", raw, U64), ("left", left, U64), ("spare", spare, np.float32)):
             _write(folder, f"word-{part:06d}.{name}", x.astype(kind))
         return pa.table({"part": pa.array([part], pa.int32()), "words": [int((raw > 0).sum())], "tokens": [int(raw.sum())], "left": [int(left.sum())], **{f"n{i + 1}": [n] for i, n in enumerate(_counts_of_counts(left))}, "n5": [int((left >= 3).sum())]})
 
