@@ -43,8 +43,7 @@ def _small(ids):
 
 def mix(spark, docs, sf_dir):
     """Every document as often as the mix takes it."""
-    taken = mixing.mix_sources(docs).where("copies > 0").select("doc_id", "copies")
-    return docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*_COLUMNS)
+    return mixing.mixed_documents(docs.select(*_COLUMNS))
 
 
 def encode(spark, docs, sf_dir):

@@ -74,7 +74,7 @@ def mix_sources(
 ) -> DataFrame:
     """How many words of each document a mix of the sources takes.
 
-    Returns doc_id, size (words of the text, 0 for null), source_size, target, rate, copies and taken = copies * size.
+    Returns doc_id, size (words of the text, 0 for null), source_size, target, rate, copies, taken = copies * size and source.
     Documents of a source are taken from the longest to the shortest, and copies are the whole steps of the running
     sum of rates, so the sum of what is taken never drifts from the rates. The documents that hold the last
     ``fine_share`` of a source's words are rounded with the rate that makes up for the rounding of the longer ones;
@@ -123,10 +123,28 @@ def mix_sources(
         .join(buckets, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("bucket") == F.col("k")))
         .withColumn("before", F.col("n_above") + F.col("ahead") + F.col("place"))
         .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("long"))
-        .select("doc_id", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select("doc_id", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"), "source")
     )
 
 
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of docs, each as often as ``mix_sources`` with these options takes it.
+
+    A doc_id must name one row. Rows without one are told apart by source, size and the order of their texts, so each
+    of them has copies of its own too; few rows are meant to have none. Texts without words are never taken.
+    """
+    taken = saved(mix_sources(docs, **options).where("copies > 0").select("doc_id", "source", "size", "copies"), "mix-taken")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("doc_id").alias("i"))
+    named = rows.join(taken.select(F.col("doc_id").alias("i"), "copies").where("i is not null"), "i").select("row", "copies")
+    alike = Window.partitionBy("s", "z")
+    alone = rows.where("i is null").withColumn("s", F.col("row.source")).withColumn("z", F.regexp_count("row.text", F.lit(WORD)).cast("long"))
+    alone = alone.where("z > 0").withColumn("place", F.row_number().over(alike.orderBy("row.text")))
+    own = taken.where("doc_id is null").select(F.col("source").alias("s"), F.col("size").alias("z"), "copies")
+    own = own.withColumn("place", F.row_number().over(alike.orderBy(F.desc("copies")))).withColumnRenamed("s", "of")
+    nameless = alone.join(own, ["z", "place"]).where(F.col("s").eqNullSafe(F.col("of"))).select("row", "copies")
+    return named.unionByName(nameless).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
+
+
 def _steps(before, n, rate):
     """Whole numbers that the running sum of rates passes between ``before`` and ``before + n`` documents."""
     start, n, rate = (F.col(x) if isinstance(x, str) else x for x in (before, n, rate))

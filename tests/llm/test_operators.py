@@ -93,6 +93,23 @@ def test_mixing_of_one_hot_source(spark):
         assert abs(sum(x["taken"] for x in group) / group[0]["target"] - 1) < 0.01, size
 
 
+def test_mixed_rows_are_what_the_mix_takes(odd, no_docs):
+    df, rows = odd
+    seen, once = set(), []
+    for r in rows:
+        if r[0] is None or r[0] not in seen:
+            seen.add(r[0])
+            once.append(r)
+    df = df.sparkSession.createDataFrame([*once, (None, "uno dos", "s1", *once[0][3:]), (None, "dos uno", "s1", *once[0][3:])], DOCS)
+    taken = Counter()
+    for r in mixing.mix_sources(df).collect():
+        taken[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    mixed = mixing.mixed_documents(df)
+    assert mixed.columns == df.columns
+    assert Counter((r["doc_id"], r["source"], len(words(r["text"]))) for r in mixed.collect()) == +taken
+    assert mixing.mixed_documents(no_docs).count() == 0
+
+
 # ---------------------------------------------------------------- 2 URL filters
 
 
@@ -332,6 +349,18 @@ def test_recordings(spark):
     assert media.match_recordings(df.limit(0), "media_id", "audio").count() == 0
 
 
+def test_silence_is_no_common_run(spark):
+    """Recordings that share nothing but a long silence aren't even compared."""
+    import pyarrow as pa
+
+    still = np.zeros(40, np.uint32)
+    prints = [np.concatenate([np.arange(9, dtype=np.uint32) + 100 * i, still]) for i in range(3)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3), pa.int64()), pa.array([p.tobytes() for p in prints], pa.binary())], names=["id", "prints"])
+    (got,) = media._runs(iter([batch]))
+    keys = Counter(got.column("key").to_pylist())
+    assert max(keys.values()) == 1 and set(got.column("place").to_pylist()) == set(range(9))
+
+
 def test_fingerprint_boxes():
     """The integral image gives what summing rectangles gives."""
     image = np.abs(np.random.default_rng(1).normal(size=(30, 12)))

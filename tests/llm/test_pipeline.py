@@ -24,12 +24,16 @@ def corpus_dir(spark, tmp_path_factory):
                 w[rnd.randrange(len(w))] = m
         docs.append((i, " ".join(w), "es", f"s{i % 3}", 1))
         labels.append((i, int(not bad), int(toxic)))
-    docs += [(1000 + i, docs[2][1] + f" more{i}", "es", "s0", 1) for i in range(5)] + [docs[3], (2000, None, None, None, None)]
+    docs += [(1000 + i, docs[2][1] + f" more{i}", "es", "s0", 1) for i in range(5)] + [docs[3], (2000, None, None, None, None), *[(None, docs[k][1] + " odd one", "es", "s1", 1) for k in (2, 3, 4, 4)]]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return str(folder)
 
 
+def ids(found):
+    return [i for i in found if i is not None]
+
+
 def test_stages(spark, corpus_dir):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
@@ -42,8 +46,10 @@ def test_stages(spark, corpus_dir):
         if k < 4:
             assert now.columns == columns
     good, clean, single, mixed, encoded = kept
-    assert not {i for i in good if i < 360 and i % 6 == 0} and len({i for i in good if i < 360 and i % 6 != 0}) > 290
-    assert not {i for i in clean if i < 360 and i % 6 == 1} and {i for i in clean if i % 6 not in (0, 1)} == {i for i in good if i % 6 not in (0, 1)}
-    assert {i for i in single if i >= 1000} <= {2000} and len(single) == len(set(single)) and {i for i in single if i < 1000} == {i for i in clean if i < 1000}
-    assert set(mixed) <= set(single) and max(map(mixed.count, set(mixed))) <= 2
-    assert sorted(encoded) == sorted(mixed)
+    assert not {i for i in ids(good) if i < 360 and i % 6 == 0} and len({i for i in ids(good) if i < 360 and i % 6 != 0}) > 290
+    assert not {i for i in ids(clean) if i < 360 and i % 6 == 1} and {i for i in ids(clean) if i % 6 not in (0, 1)} == {i for i in ids(good) if i % 6 not in (0, 1)}
+    assert single.count(None) == good.count(None) == 4
+    assert {i for i in ids(single) if i >= 1000} <= {2000} and len(ids(single)) == len(set(ids(single))) and {i for i in ids(single) if i < 1000} == {i for i in ids(clean) if i < 1000}
+    assert set(mixed) <= set(single) and max(mixed.count(i) for i in mixed if i is not None) <= 2
+    assert None in mixed and mixed.count(None) <= 8  # rows without an id are mixed as well
+    assert sorted(encoded, key=str) == sorted(mixed, key=str)
