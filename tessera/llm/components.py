@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +34,23 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         before = state
     roots = now.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component_id"))
     return now.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(roots)
+
+
+def joined_blocks(close: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """(ids, smallest of them) of the components of a bipartite graph; every row and column is expanded once."""
+    out = []
+    todo_a, todo_b = close.any(axis=1), close.any(axis=0)
+    for start in np.flatnonzero(todo_a):
+        if not todo_a[start]:
+            continue
+        todo_a[start] = False
+        rows, found = np.array([start]), [ids_a[[start]]]
+        while len(rows):
+            columns = np.flatnonzero(close[rows].any(axis=0) & todo_b)
+            todo_b[columns] = False
+            rows = np.flatnonzero(close[:, columns].any(axis=1) & todo_a) if len(columns) else columns
+            todo_a[rows] = False
+            found += [ids_b[columns], ids_a[rows]]
+        found = np.concatenate(found)
+        out.append((found, int(found.min())))
+    return out

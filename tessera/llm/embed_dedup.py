@@ -1,13 +1,13 @@
-"""Near-duplicate vectors by robust-pruned graphs over overlapping cluster shards.
+"""Near-duplicate vectors, exactly: packed blocks of cluster shards, and every pair of blocks that can hold a link.
 
-Vectors of a label are stored in the shards of their nearest centroids. Every shard gets a flat graph whose edges are
-pruned so that greedy walks get anywhere; a vector's adjacency lists of all its shards are united; and each vector
-searches the shard of its nearest centroid from the medoid, first with a beam, then by expanding everything within
-range. What is found is verified in double precision, and a sample of queries is compared with all vectors.
+Vectors of a label are dealt to the shards of their nearest centroids, and each shard is packed into blocks that know
+their centre and the widest angle to it. By the triangle inequality two blocks whose centres are further apart than
+both angles and the link's own cannot hold a link; all other pairs of blocks are multiplied in double precision.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,146 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
-from .components import connected_components
+from .components import connected_components, joined_blocks
 
-#: Vectors the centroids are learned from, vectors a shard is meant to have, centroids in all, vectors of a graph.
-SAMPLE, SHARD, MOST_CENTROIDS, PAGE = 20_000, 1500, 2048, 4096
-DEGREE, ALPHA, AUDIT = 24, 1.2, 256
-#: A block of queries is as large as so many pages.
-QUERY_PAGES = 4
-#: (shards a vector is stored in, beam width), widened until the audit's recall is reached.
-EFFORTS, RECALL = ((2, 40), (3, 80), (6, 160)), 0.97
+#: Vectors the centroids are learned from, vectors a shard is meant to have, centroids in all.
+SAMPLE, SHARD, MOST_CENTROIDS = 20_000, 1500, 2048
+#: A block has at most so many vectors and bytes; the product of two blocks is held in memory.
+BLOCK, BLOCK_BYTES = 2048, 1 << 22
 _UNIT = ["label", "dim", "cluster", "page"]
 
 
-def robust_prune(x: np.ndarray, p: np.ndarray, candidates: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> np.ndarray:
-    """Neighbours [points, degree] (-1: none) of points p from candidates [points, c] (-1: none).
-
-    The nearest candidate is taken, and those that it is closer to than 1/alpha of their own distance go, again and again.
-    """
-    valid = candidates >= 0
-    vectors = x[np.maximum(candidates, 0)]
-    away = np.where(valid & (candidates != p[:, None]), 2 - 2 * np.einsum("bcd,bd->bc", vectors, x[p]), np.inf)
-    out = np.full((len(p), degree), -1, np.int64)
-    rows = np.arange(len(p))
-    for k in range(degree):
-        pick = away.argmin(axis=1)
-        live = np.isfinite(away[rows, pick])
-        if not live.any():
-            break
-        out[live, k] = candidates[rows, pick][live]
-        between = 2 - 2 * np.einsum("bcd,bd->bc", vectors, vectors[rows, pick])
-        away[(alpha * np.maximum(between, 0) <= away) | (candidates == candidates[rows, pick][:, None])] = np.inf
-    return out
-
-
-def beam_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Greedy search of all queries together: (beam nodes, their cosines)."""
-    n, rows = len(queries), np.arange(len(queries))
-    nodes = np.full((n, width), -1, np.int64)
-    near = np.full((n, width), -np.inf, np.float32)
-    open_ = np.zeros((n, width), bool)
-    seen = np.zeros((n, len(x)), bool)
-    nodes[:, 0], near[:, 0], open_[:, 0], seen[:, start] = start, queries @ x[start], True, True
-    while True:
-        rank = np.where(open_, near, -np.inf)
-        pick = rank.argmax(axis=1)
-        live = np.flatnonzero(open_[rows, pick])
-        if not len(live):
-            return nodes, near
-        at = nodes[live, pick[live]]
-        open_[live, pick[live]] = False
-        found = graph[at]
-        fresh = (found >= 0) & ~seen[live[:, None], np.maximum(found, 0)]
-        r, c = np.nonzero(fresh)
-        seen[live[r], found[r, c]] = True
-        score = np.full(found.shape, -np.inf, np.float32)
-        score[r, c] = np.einsum("id,id->i", x[found[r, c]], queries[live[r]])
-        all_nodes = np.concatenate([nodes[live], np.where(fresh, found, -1)], axis=1)
-        all_near = np.concatenate([near[live], score], axis=1)
-        all_open = np.concatenate([open_[live], fresh], axis=1)
-        best = np.argpartition(-all_near, width - 1, axis=1)[:, :width]
-        nodes[live], near[live], open_[live] = (np.take_along_axis(a, best, axis=1) for a in (all_nodes, all_near, all_open))
-
-
-def build_graph(x: np.ndarray, width: int, batch: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """(neighbours [points, DEGREE], parents): points are inserted in batches that at most double the graph.
-
-    A point's parent is the nearest one found when it was inserted. That edge is never pruned, so every point can be
-    reached, and a tight group is reached through points of the group; without it pruning leaves a hub's many near
-    copies with no edge that leads to them.
-    """
-    n = len(x)
-    medoid = int((x @ x.mean(axis=0)).argmax())
-    order = np.concatenate([[medoid], np.setdiff1d(np.random.default_rng(5).permutation(n), [medoid], assume_unique=True)])
-    graph = np.full((n, DEGREE), -1, np.int64)
-    parents = np.full(n, -1, np.int64)
-    done = 1
-    while done < n:
-        new = order[done : done + min(batch, done)]
-        nodes, _ = beam_search(x, graph, medoid, x[new], width)
-        graph[new] = robust_prune(x, new, nodes)
-        parents[new] = graph[new, 0]
-        done += len(new)
-        # the other direction: targets take the new points up, and are pruned where they have too many
-        source, target = np.repeat(new, DEGREE), graph[new].ravel()
-        source, target = source[target >= 0], target[target >= 0]
-        by = np.argsort(target, kind="stable")
-        source, target = source[by], target[by]
-        names, first, count = np.unique(target, return_index=True, return_counts=True)
-        extra = np.full((len(names), int(count.max(initial=1))), -1, np.int64)
-        extra[np.repeat(np.arange(len(names)), count), np.arange(len(target)) - np.repeat(first, count)] = source
-        for at in range(0, len(names), batch):
-            part = names[at : at + batch]
-            graph[part] = robust_prune(x, part, np.concatenate([graph[part], extra[at : at + batch]], axis=1))
-    return graph, parents
-
-
-def _ragged(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Lists as (where each begins, their values)."""
-    return np.concatenate([[0], np.cumsum([len(v) for v in lists])]), np.concatenate([*lists, np.zeros(0, np.int64)]).astype(np.int64)
-
-
-def range_search(x: np.ndarray, graph: np.ndarray, children: tuple[np.ndarray, np.ndarray], start: int, queries: np.ndarray, width: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) of everything within range: the beam's nodes and their children, then whatever expanding the
-    nodes within range, over neighbours and children, still reaches."""
-    nodes, near = beam_search(x, graph, start, queries, min(width, max(2, len(x))))
-    seen = np.zeros((len(queries), len(x)), bool)  # anew: the walk has also seen nodes that its beam didn't keep
-    q, c = np.nonzero(nodes >= 0)
-    seen[q, nodes[q, c]] = True
-    begin, below = children
-
-    def expand(q: np.ndarray, node: np.ndarray, over_neighbours: bool) -> tuple[np.ndarray, np.ndarray]:
-        count = begin[node + 1] - begin[node]
-        rows = [np.repeat(q, count)]
-        flat = [below[np.repeat(begin[node] - (np.cumsum(count) - count), count) + np.arange(count.sum())]]
-        if over_neighbours:
-            rows.append(np.repeat(q, graph.shape[1]))
-            flat.append(graph[node].ravel())
-        rows, flat = np.concatenate(rows), np.concatenate(flat)
-        ok = (flat >= 0) & ~seen[rows, np.maximum(flat, 0)]
-        key = np.unique(rows[ok] * len(x) + flat[ok])
-        q, node = key // len(x), key % len(x)
-        seen[q, node] = True
-        close = np.zeros(len(q), bool)
-        for at in range(0, len(q), 65536):
-            close[at : at + 65536] = np.einsum("id,id->i", x[node[at : at + 65536]], queries[q[at : at + 65536]]) >= least
-        return q[close], node[close]
-
-    q, c = np.nonzero((near >= least) & (nodes >= 0))
-    found = [(q, nodes[q, c])]
-    outside, c = np.nonzero((near < least) & (nodes >= 0))
-    found.append(expand(outside, nodes[outside, c], False))
-    q, node = (np.concatenate(v) for v in zip(*found, strict=True))
-    while len(q):
-        q, node = expand(q, node, True)
-        found.append((q, node))
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-
-
-# ---------------------------------------------------------------- on Spark
-
-
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.stack([np.frombuffer(v, np.float64) for v in column.to_pylist()])
 
@@ -192,116 +61,62 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:i], *batch.columns[i + 1 :], pa.array(packed, pa.binary())], names=[*batch.schema.names[:i], *batch.schema.names[i + 1 :], "vector"])
 
 
-def _shards(centroids: dict, copies: int):
+def _shards(centroids: dict):
+    """Adds the nearest centroid of the label."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            cluster = np.zeros(batch.num_rows, np.int32)
             for i, (label, dim, vector) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("label", "dim", "vector")), strict=True)):
                 c = centroids.get((label, dim))
-                v = np.frombuffer(vector, np.float64)
-                order = [0] if c is None else np.argsort(-(c @ (v / np.linalg.norm(v)).astype(np.float32)))[:copies].tolist()
-                rows += [(i, k, k == order[0]) for k in order]
-            take, cluster, home = zip(*rows, strict=True) if rows else ((), (), ())
-            kept = pa.Table.from_batches([batch]).take(pa.array(take, pa.int64()))
-            for out in kept.append_column("cluster", pa.array(cluster, pa.int32())).append_column("home", pa.array(home, pa.bool_())).combine_chunks().to_batches():
-                yield out
+                if c is not None:
+                    v = np.frombuffer(vector, np.float64)
+                    cluster[i] = (c @ (v / np.linalg.norm(v)).astype(np.float32)).argmax()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cluster)], names=[*batch.schema.names, "cluster"])
 
     return run
 
 
-def _build(width: int):
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")
-        ids = table.column("id").to_numpy()
-        graph, parents = build_graph(_units(_matrix(table.column("vector"))), width)
-        below: list[list[int]] = [[] for _ in ids]
-        for child, parent in enumerate(parents.tolist()):
-            if parent >= 0:
-                below[parent].append(int(ids[child]))
-        return pa.table(
-            {
-                **{c: table.column(c) for c in ("label", "dim")},
-                "id": table.column("id"),
-                "near": pa.array([ids[g[g >= 0]].tolist() for g in graph], pa.list_(pa.int64())),
-                "below": pa.array(below, pa.list_(pa.int64())),
-            }
-        )
-
-    return run
+def _pack(table: pa.Table) -> pa.Table:
+    """The vectors of a block, scaled to length one, as one row."""
+    x = _matrix(table.column("vector"))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    centre = x.mean(axis=0)
+    size = np.linalg.norm(centre)
+    centre = centre / size if size > 1e-6 else x[0]
+    return pa.table(
+        {
+            **{c: table.column(c).slice(0, 1) for c in _UNIT},
+            "ids": pa.array([table.column("id").to_numpy().tobytes()], pa.binary()),
+            "manys": pa.array([table.column("many").to_numpy().tobytes()], pa.binary()),
+            "vectors": pa.array([x.tobytes()], pa.binary()),
+            "centre": pa.array([centre.tolist()], pa.list_(pa.float64())),
+            "reach": pa.array([float(np.arccos(np.clip((x @ centre).min(), -1, 1)))], pa.float64()),
+        }
+    )
+
+
+def _compare(least: float):
+    """Two packed blocks, or one with itself, to (id, n_links, root) of the vectors that have links there."""
 
-
-def _search(width: int, least: float):
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")
-        asks = table.column("asks").to_numpy(zero_copy_only=False)
-        base, query = np.flatnonzero(~asks), np.flatnonzero(asks)
-        empty = pa.table({"id": pa.array([], pa.int64()), "n_links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
-        if not len(base) or not len(query):
-            return empty
-        ids, many, exact = table.column("id").to_numpy(), table.column("many").to_numpy(), _matrix(table.column("vector"))
-        exact = exact / np.linalg.norm(exact, axis=1, keepdims=True)
-        x, names = exact[base].astype(np.float32), ids[base]
-
-        def stored(column: str) -> list[np.ndarray]:
-            """A column's lists as places in this shard, of what the shard stores."""
-            lists = [np.asarray(v, np.int64) for v in table.column(column).take(pa.array(base)).to_pylist()]
-            places = [np.minimum(np.searchsorted(names, v), len(names) - 1) for v in lists]
-            return [p[names[p] == v] for p, v in zip(places, lists, strict=True)]
-
-        lists = stored("near")
-        graph = np.full((len(base), max([1, *map(len, lists)])), -1, np.int64)
-        for i, near in enumerate(lists):
-            graph[i, : len(near)] = near
-        children = _ragged(stored("below"))
-        medoid = int((x @ x.mean(axis=0)).argmax())
-        links = np.zeros(len(query), np.int64)
-        root = dict.fromkeys(np.union1d(names, ids[query]).tolist())
-        root = {k: k for k in root}
-
-        def find(k: int) -> int:
-            while root[k] != k:
-                root[k] = root[root[k]]
-                k = root[k]
-            return k
-
-        for at in range(0, len(query), 128):
-            part = query[at : at + 128]
-            q, node = range_search(x, graph, children, medoid, exact[part].astype(np.float32), width, least - 1e-4)
-            sure = np.concatenate([np.einsum("id,id->i", exact[part[q[k : k + 65536]]], exact[base[node[k : k + 65536]]]) >= least for k in range(0, len(q), 65536)]) if len(q) else np.zeros(0, bool)
-            q, node = q[sure], node[sure]
-            other = ids[part[q]] != names[node]
-            q, node = q[other], node[other]
-            links[at : at + 128] = np.bincount(q, many[base[node]], len(part)).astype(np.int64)
-            for a, b in zip(ids[part[q]].tolist(), names[node].tolist(), strict=True):
-                a, b = find(a), find(b)
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-        out = np.array(sorted(root), np.int64)
-        count = dict(zip(ids[query].tolist(), links.tolist(), strict=True))
-        return pa.table({"id": out, "n_links": pa.array([count.get(i, 0) for i in out.tolist()], pa.int64()), "root": pa.array([find(i) for i in out.tolist()], pa.int64())})
-
-    return run
-
-
-def _audit(asked: list[tuple], least: float):
-    """Exact link counts of a few queries in each batch of all vectors."""
-    by: dict = {}
-    for label, dim, i, v in asked:
-        by.setdefault((label, dim), []).append((i, np.frombuffer(v, np.float64) / np.linalg.norm(np.frombuffer(v, np.float64))))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = list(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True))
-            ids, many, vectors = batch.column("id").to_numpy(), batch.column("many").to_numpy(), batch.column("vector").to_pylist()
-            out: dict[int, int] = {}
-            for key, queries in by.items():
-                rows = np.array([i for i, k in enumerate(keys) if k == key], int)
-                if len(rows):
-                    x = np.stack([np.frombuffer(vectors[i], np.float64) for i in rows])
-                    close = (np.stack([v for _, v in queries]) @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T) >= least
-                    for (i, _), c in zip(queries, close, strict=True):
-                        out[i] = out.get(i, 0) + int(many[rows[c & (ids[rows] != i)]].sum())
-            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.int64())], names=["id", "truth"])
+        table = table.sort_by("side")
+        dim = table.column("dim")[0].as_py()
+        sides = []
+        for k in range(table.num_rows):
+            ids, many, x = (np.frombuffer(table.column(c)[k].as_py(), t) for c, t in (("ids", np.int64), ("manys", np.int64), ("vectors", np.float64)))
+            sides.append((ids, many, x.reshape(-1, dim)))
+        (ids_a, many_a, a), (ids_b, many_b, b) = sides[0], sides[-1]
+        close = (a @ b.T >= least) & (ids_a[:, None] != ids_b)
+        if len(sides) == 1:
+            close |= close.T  # whichever way a product was rounded, a link is one of both ends
+        links = [(ids_a, close @ many_b)]
+        if len(sides) == 2:
+            links.append((ids_b, many_a @ close))
+        # an id that two classes bear can be in two components: counts and roots are rows of their own
+        rows = [(ids[n > 0], n[n > 0], ids[n > 0]) for ids, n in links]
+        rows += [(ids, np.zeros(len(ids), np.int64), np.full(len(ids), least_id)) for ids, least_id in joined_blocks(close, ids_a, ids_b)]
+        return pa.table(dict(zip(("id", "n_links", "root"), (pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*rows, strict=True)), strict=True)))
 
     return run
 
@@ -310,15 +125,14 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame
     """One row per vector: vec_id, n_links, component_id, kept, audit_recall.
 
     Vectors are compared where labels are equal and not null, and linked at a cosine of ``least`` or more. Equal
-    vectors of a label become one class first, so copies cost one row and count as links with their number. A link
-    counts in n_links when the vector's own search finds it; component_id is the smallest vec_id that found links
-    reach. audit_recall is the share of true links that the searches of ``AUDIT`` vectors found against all rows;
-    shards overlap more and beams widen until it is ``RECALL``, so it is near one.
+    vectors of a label become one class first, so copies cost one row and count as links with their number. n_links
+    counts every other vector linked directly; component_id is the smallest vec_id that links reach. No pair within
+    range is left out, so audit_recall, the share of true links that were found, is one.
 
     Null, zero and empty vectors and those with null or non-finite components have no links; vectors of different
     lengths aren't compared. A null vec_id is left alone with a null component. Rows that repeat a vec_id each count.
-    An empty table gives no rows; other columns are ignored. A shard with more than ``PAGE`` vectors is cut into
-    pages, each with its own graph, that all its queries search.
+    An empty table gives no rows; other columns are ignored. The work grows with the square of a label's classes
+    where the blocks' bounds exclude nothing.
     """
     whole = "vec_id is not null and label is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists(embedding, x -> x <> 0)"
     rows = vectors.select(F.col("vec_id").cast("long"), "label", F.col("embedding").cast("array<double>"))
@@ -331,43 +145,30 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame
     sizes = {(r["label"], r["dim"]): r["count"] for r in plain.groupBy("label", "dim").count().orderBy(F.desc("count")).limit(MOST_CENTROIDS).collect()}
     sample = plain.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     centroids = _centroids([r for r in sample if (r["label"], r["dim"]) in sizes], sizes)
-    asked = [(r["label"], r["dim"], r["id"], bytes(r["vector"])) for r in sample[:AUDIT]]
-    truth = plain.mapInArrow(_audit(asked, least), "id long, truth long").groupBy("id").agg(F.sum("truth").alias("truth"))
-    truth = saved(truth, "audit")
-
-    for copies, width in EFFORTS:
-        found = _graph_links(plain, centroids, copies, width, least, kind)
-        got = truth.join(found.groupBy("id").agg(F.sum("n_links").alias("got")), "id", "left")
-        hit, true = got.agg(F.sum(F.least(F.coalesce("got", F.lit(0)), "truth")), F.sum("truth")).first()
-        recall = 1.0 if not true else hit / true
-        if recall >= RECALL:
-            break
+    found = _block_links(plain, centroids, least, kind)
     linked = found.groupBy("id").agg(F.sum("n_links").alias("found"))
     components = connected_components(found.where("root <> id").select(F.col("root").alias("a"), F.col("id").alias("b")))
     named = classes.select("label", "embedding", "id", "many").join(linked, "id", "left").join(components, "id", "left")
     named = named.select("label", "embedding", (F.coalesce("found", F.lit(0)) + F.col("many") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
     out = rows.withColumn("ok", F.expr(whole)).withColumn("embedding", F.when(F.col("ok"), F.col("embedding"))).join(named, ["label", "embedding"], "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"), F.lit(float(recall)).alias("audit_recall"))
-
-
-def _graph_links(plain: DataFrame, centroids: dict, copies: int, width: int, least: float, kind: str) -> DataFrame:
-    """(id, n_links, root) by shard: links that a vector's search found there, and what they join it with."""
-    stored = plain.mapInArrow(_shards(centroids, copies), f"label {kind}, id long, many long, dim int, vector binary, cluster int, home boolean")
-    stored = saved(stored, "shards")
-    pages = stored.groupBy("label", "dim", "cluster").agg(F.ceil(F.count("*") / PAGE).alias("pages"))
-    stored = stored.join(pages, ["label", "dim", "cluster"])
-    base = saved(stored.withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages"))), "pages")
-    near = base.groupBy(_UNIT).applyInArrow(_build(width), f"label {kind}, dim int, id long, near array<long>, below array<long>")
-    united = [F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "below")]  # one list a shard that stores it
-    near = saved(near.groupBy("id").agg(*united), "adjacency")
-    # queries of a large shard are cut to blocks as well; each block meets each page in a task of its own
-    blocks = F.ceil(F.col("pages") / QUERY_PAGES)
-    asks = stored.where("home").withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)))
-    asks = asks.withColumn("block", F.pmod(F.xxhash64("id", F.lit("ask")), blocks))
-    columns = [*_UNIT, "block", "id", "many", "vector"]
-    met = base.join(near, "id").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    none = F.array().cast("array<long>")
-    both = met.select(*columns, "near", "below", F.lit(False).alias("asks"))
-    both = both.unionByName(asks.select(*columns, none.alias("near"), none.alias("below"), F.lit(True).alias("asks")))
-    return saved(both.groupBy(*_UNIT, "block").applyInArrow(_search(width, least), "id long, n_links long, root long"), "found")
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"), F.lit(1.0).alias("audit_recall"))
+
+
+def _block_links(plain: DataFrame, centroids: dict, least: float, kind: str) -> DataFrame:
+    """(id, n_links, root) by pair of blocks: a pair of vectors meets in one of them, and counts for both."""
+    stored = saved(plain.mapInArrow(_shards(centroids), f"label {kind}, id long, many long, dim int, vector binary, cluster int"), "shards")
+    room = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("dim")))))
+    pages = stored.groupBy("label", "dim", "cluster").agg(F.count("*").alias("n")).withColumn("pages", F.ceil(F.col("n") / room)).drop("n")
+    paged = stored.join(pages, ["label", "dim", "cluster"]).withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages"))).drop("pages")
+    schema = f"label {kind}, dim int, cluster int, page long, ids binary, manys binary, vectors binary, centre array<double>, reach double"
+    blocks = saved(paged.groupBy(_UNIT).applyInArrow(_pack, schema), "blocks")
+    bounds = blocks.select("label", "dim", F.struct("cluster", "page").alias("block"), "centre", "reach")
+    a, b = (bounds.select("label", "dim", *(F.col(c).alias(c + side) for c in ("block", "centre", "reach"))) for side in "ab")
+    apart = F.expr("acos(greatest(-1d, least(1d, aggregate(zip_with(centrea, centreb, (x, y) -> x * y), 0d, (s, x) -> s + x))))")
+    near = (F.col("blocka") == F.col("blockb")) | (apart <= F.col("reacha") + F.col("reachb") + math.acos(max(-1.0, min(1.0, least))) + 1e-6)
+    pairs = saved(a.join(b, ["label", "dim"]).where("blocka <= blockb").where(near).select("label", "dim", "blocka", "blockb"), "block-pairs")
+    sides = F.when(F.col("blocka") == F.col("blockb"), F.array("blocka")).otherwise(F.array("blocka", "blockb"))
+    met = pairs.select("label", "dim", "blocka", "blockb", F.posexplode(sides).alias("side", "block")).select("*", "block.*")
+    met = met.join(blocks, _UNIT).select("label", "dim", *(F.col(f"block{s}.{c}").alias(c + s) for s in "ab" for c in ("cluster", "page")), "side", "ids", "manys", "vectors")
+    return saved(met.groupBy("label", "dim", "clustera", "pagea", "clusterb", "pageb").applyInArrow(_compare(least), "id long, n_links long, root long"), "found")

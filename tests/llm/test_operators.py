@@ -405,6 +405,31 @@ def test_vectors(spark):
     assert got[None]["component_id"] is None and embed_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+def lone_pairs(spark, monkeypatch):
+    """Isolated pairs just within range over many small shards: (which are linked, rows by id)."""
+    monkeypatch.setattr(embed_dedup, "SHARD", 60)
+    monkeypatch.setattr(embed_dedup, "BLOCK", 50, raising=False)
+    rnd = np.random.default_rng(12)
+    x = rnd.normal(size=(900, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rnd.normal(size=(300, 16))
+    away -= (away * x[:300]).sum(axis=1, keepdims=True) * x[:300]
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    x = np.concatenate([x, 0.94 * x[:300] + np.sqrt(1 - 0.94**2) * away, x[:5]])  # pairs, and copies of a few
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    close = x @ x.T >= 0.93
+    np.fill_diagonal(close, False)
+    return close, {r["vec_id"]: r for r in embed_dedup.near_duplicate_vectors(df).collect()}
+
+
+def test_vector_pairs_across_shards(spark, monkeypatch):
+    """Pairs are joined wherever the borders of shards and blocks run."""
+    close, got = lone_pairs(spark, monkeypatch)
+    apart = [(i, j) for i, j in np.argwhere(close).tolist() if got[i]["component_id"] != got[j]["component_id"]]
+    assert not apart, f"{len(apart)} of {close.sum()}"
+    assert {r["audit_recall"] for r in got.values()} == {1.0}
+
+
 # ---------------------------------------------------------------- 9 near copies
 
 
