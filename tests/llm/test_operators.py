@@ -430,6 +430,12 @@ def test_vector_pairs_across_shards(spark, monkeypatch):
     assert {r["audit_recall"] for r in got.values()} == {1.0}
 
 
+def test_vector_links_count_at_both_ends(spark, monkeypatch):
+    close, got = lone_pairs(spark, monkeypatch)
+    wrong = [i for i in got if got[i]["n_links"] != close[i].sum()]
+    assert not wrong, f"{len(wrong)} of {len(got)}"
+
+
 # ---------------------------------------------------------------- 9 near copies
 
 
