@@ -349,6 +349,46 @@ def test_recordings(spark):
     assert media.match_recordings(df.limit(0), "media_id", "audio").count() == 0
 
 
+def aligned_parts(cells):
+    """Smallest recording that links reach, by bit_error_rate at every offset of every pair; and the linked pairs."""
+    prints = [media.fingerprint(media.chroma(media.wav_samples(c))) for c in cells]
+    pairs = []
+    for i, a in enumerate(prints):
+        for j, b in enumerate(prints[:i]):
+            rates = [media.bit_error_rate(a, b, d) for d in range(-len(b), len(a) + 1)]
+            if any(e <= media.MOST_ERRORS and n >= media.LEAST_OVERLAP * min(len(a), len(b)) for e, n in rates):
+                pairs.append((i, j))
+    part = list(range(len(cells)))
+    for _ in cells:
+        for i, j in pairs:
+            part[i] = part[j] = min(part[i], part[j])
+    return part, pairs, prints
+
+
+def test_noisy_recordings_are_those_that_align(spark):
+    """Up to MOST_ERRORS, with no integers in a row alike, as by brute-force alignment."""
+    rnd = np.random.default_rng(18)
+    songs = [media.note_samples(rnd.normal(size=70).tolist()) for _ in range(8)]
+    cut = [s[k * media.HOP + 100 * k :] for k, s in enumerate(songs)]
+    cells = [wav(s) for s in songs] + [wav(0.5 * s + rnd.normal(scale=scale, size=len(s))) for scale in (0.1, 0.2, 0.3, 0.4, 0.5) for s in cut]
+    part, pairs, prints = aligned_parts(cells)
+    runs = [{tuple(f[k : k + 3]) for k in range(len(f) - 2)} for f in map(np.ndarray.tolist, prints)]
+    assert sum(not runs[i] & runs[j] for i, j in pairs) >= 5  # some pairs share no three integers
+    df = spark.createDataFrame(list(enumerate(cells)), "media_id long, audio binary")
+    got = {r["media_id"]: r["component_id"] for r in media.match_recordings(df, "media_id", "audio").collect()}
+    wrong = [i for i, p in enumerate(part) if got[i] != p]
+    assert not wrong, f"{len(wrong)} of {len(part)}"
+
+
+def test_still_parts_are_no_match():
+    """Equal integers in a row fit anywhere; recordings that share nothing else aren't linked, whatever their overlap."""
+    rnd = np.random.default_rng(2)
+    tails = [rnd.integers(0, 1 << 32, 20).astype(np.uint32) for _ in range(2)]
+    a, b = (np.concatenate([np.zeros(40, np.uint32), t]) for t in tails)
+    assert not media.matches([a], [b]).any() and media.matches([a], [a[15:]]).all()
+    assert media.matches([a, b, a[3:]]).tolist() == [[False, False, True], [False, False, False], [True, False, False]]
+
+
 def test_silence_is_no_common_run(spark):
     """Recordings that share nothing but a long silence aren't even compared."""
     import pyarrow as pa
