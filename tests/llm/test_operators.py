@@ -380,6 +380,16 @@ def test_noisy_recordings_are_those_that_align(spark):
     assert not wrong, f"{len(wrong)} of {len(part)}"
 
 
+def test_excerpt_of_a_later_chorus(spark):
+    """An exact excerpt is found though its longer part is also in the recording before, with another verse after it."""
+    rnd = np.random.default_rng(12)
+    chorus, (low, high) = rnd.integers(-18, 19, 60), rnd.integers(0, 12, 2)
+    verses = [rnd.integers(k, k + 3, 40) for k in (low, high)]
+    whole, excerpt = (wav(media.note_samples([*np.concatenate(v).tolist(), 18])) for v in ((chorus, verses[0], chorus, verses[1]), (chorus, verses[1])))
+    df = spark.createDataFrame([(0, whole), (1, excerpt)], "media_id long, audio binary")
+    assert {r["component_id"] for r in media.match_recordings(df, "media_id", "audio").collect()} == {0}
+
+
 def test_still_parts_are_no_match():
     """Equal integers in a row fit anywhere; recordings that share nothing else aren't linked, whatever their overlap."""
     rnd = np.random.default_rng(2)
