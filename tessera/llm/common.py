@@ -24,11 +24,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that driver and executors share: the one that ``spark.checkpoint.dir`` names.
 
-    Where the setting is absent (single-machine tests) a temporary folder is made for the session.
+    Where the setting is absent a temporary folder is made for the session, on a single machine (tests) only.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _scratch:
         _scratch[app] = "file://" + tempfile.mkdtemp(prefix="tessera-")
@@ -57,7 +59,27 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete saved tables that nothing will read any more."""
+    for table in tables:
+        if table is not None:
+            _delete(table.sparkSession, table.saved_at)
+
+
+def join_spread(many: DataFrame, few: DataFrame, key: str, by: str, parts: int = 64) -> DataFrame:
+    """many.join(few, key) where one key may hold most rows of ``many``.
+
+    These are dealt over ``parts`` tasks by a hash of the column ``by``, and the rows of ``few``, which is meant to be
+    much smaller, go to each of them.
+    """
+    left = many.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+    right = few.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return left.join(right, [key, "_part"]).drop("_part")
 
 
 def ascii_lower(col):

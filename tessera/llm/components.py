@@ -6,14 +6,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import release, saved
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component_id) for every id that an edge names; component_id is the smallest id it can reach.
 
     Each step is a grouped minimum and a join, so no node's neighbours are ever collected; a hub only makes a
-    skewed join side. Nulls and self-links are dropped; repeated edges count once. Steps are written to the shared
+    skewed join side, which adaptive execution splits. Nulls and self-links are dropped; repeated edges count once. Steps are written to the shared
     folder, and the loop ends when a round leaves the edges unchanged (about log of the longest chain).
     """
     now = saved(
@@ -27,7 +27,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        now = saved(small.where("u <> v").distinct(), "links")
+        old, now = now, saved(small.where("u <> v").distinct(), "links")
+        release(old)
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             break

@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
-from .components import connected_components
+from .common import join_spread, saved
+from .components import connected_components, joined_blocks
 from .hashing import U64, mix, shingles, slices, span_hashes, word_spans
 
 WIDTH = 5
@@ -20,8 +20,12 @@ MANTISSA = 10
 _SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, registers binary"
 #: Ids of documents to read again are broadcast up to this many (16 MB or so), beyond it they are joined by shuffles.
 MOST_BROADCAST_IDS = 1_000_000
-#: Shingles in a block of documents that one task compares with another block.
-BLOCK_SHINGLES = 150_000
+#: A block that one task compares with another has at most so many documents and about so many shingles.
+BLOCK_DOCS, BLOCK_SHINGLES = 2000, 150_000
+#: Groups of more pairs of blocks first have all members compared with so many leads, again as long as that joins much.
+FEW_BLOCK_PAIRS, LEADS = 8, 64
+#: Members of a band up to which its open pairs become rows; larger bands are compared as blocks.
+PAIRED = 32
 _ROUNDS = 400
 
 
@@ -186,8 +190,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     Documents with equal sets become one class first, so groups of copies cost one row. Classes meet in bands of
     their compressed registers. Every class is compared with one lead, the smallest class of most of its bands. Pairs
     that this leaves in different components are compared as blocks where their leads' leads agree, which they do in
-    large groups of near copies, and else one by one. Estimates from the registers drop unlikely pairs; the rest are
-    confirmed on full sets. Every pair that shares a band is thus either connected or compared.
+    large groups of near copies, or where a band has many of them, and else one by one. Estimates from the registers
+    drop unlikely pairs; the rest are confirmed on full sets. Every pair that shares a band is thus either connected or
+    compared.
 
     Texts that are null, empty or without words have an empty set and no links. Rows with a null doc_id stay alone,
     with a null component. Rows that repeat a doc_id are one document, with the links of all its texts. Empty tables give
@@ -195,10 +200,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """
     sketched = saved(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sketch_batches, _SKETCH), "sketches")
     key = ["k1", "k2", "n_shingles"]
-    classes = sketched.where("n_shingles > 0 and doc_id is not null").groupBy(key).agg(F.min("doc_id").alias("id"))
-    # a class goes by its smallest doc_id; both sides are dealt by the key, so dropping repeated rows needs no shuffle
-    heads = sketched.join(classes, key).where("doc_id = id").dropDuplicates(key)
-    heads = saved(heads.select("id", F.col("n_shingles").alias("n"), "registers"), "heads")
+    # a class goes by its smallest doc_id; copies are combined before they are shuffled
+    classes = sketched.where("n_shingles > 0 and doc_id is not null").groupBy(key).agg(F.min("doc_id").alias("id"), F.min_by("registers", "doc_id").alias("registers"))
+    heads = saved(classes.select("id", *key, "registers"), "classes")
+    classes, heads = heads.select("id", *key), heads.select("id", F.col("n_shingles").alias("n"), "registers")
 
     slots = heads.mapInArrow(_band_batches, "id long, bands array<long>").select(F.explode("bands").alias("band"), "id")
     shared = slots.groupBy("band").agg(F.min("id").alias("lead"), F.count("*").alias("many")).where("many > 1")
@@ -210,19 +215,25 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     found = connected_components(known)
 
     tops = saved(_tops(slots, first), "tops")
-    inside = _links_inside(tops, found, heads, docs, percent)
-    known = saved(known.unionByName(inside), "links-inside")
-    found = connected_components(known)
+    known, found = _join_groups(tops.select(F.col("top").alias("g"), "id"), known, found, heads, docs, percent)
 
     # what is left: pairs of a band that belong to different tops, and aren't in one component yet
     marked = slots.select("band", "id").join(tops, "id").join(found, "id", "left").select("band", "id", "top", F.coalesce("component_id", "id").alias("part"))
-    mixed = marked.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("band")
-    marked = saved(marked.join(mixed, "band").join(heads.select("id", "n"), "id"), "open-bands")
+    mixed = marked.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("many"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members"))
+    mixed = saved(mixed.where("low <> high"), "mixed-bands")
+    marked = saved(marked.join(mixed.where(F.col("many") <= PAIRED).select("band"), "band").join(heads.select("id", "n"), "id"), "open-bands")
     one, two = (marked.select("band", F.col("id").alias(k), *[F.col(c).alias(c + k) for c in ("part", "top", "n")]) for k in "ab")
     open_pair = f"a < b and parta <> partb and topa <> topb and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
     rest = one.join(two, "band").where(open_pair).select("a", "b").distinct()
-    more = _confirmed(_likely_pairs(rest, heads, percent), docs, percent)
-    joined = connected_components(known.unionByName(more))
+    more, joined = _confirmed(_likely_pairs(rest, heads, percent), docs, percent), found
+    if not more.isEmpty():
+        known = saved(known.unionByName(more), "known")
+        joined = connected_components(known)
+    # many bands of a large group have the same members: one of these bands is enough
+    large = mixed.where(F.col("many") > PAIRED).groupBy("many", "members").agg(F.min("band").alias("g")).select("g")
+    if not large.isEmpty():
+        large = saved(slots.select(F.col("band").alias("g"), "id").join(large, "g"), "large-bands")
+        known, joined = _join_groups(large, known, joined, heads, docs, percent)
 
     named = classes.join(joined, "id", "left").select(*key, F.coalesce("component_id", "id").alias("smallest"))
     # a null key part never joins, which leaves sets that are empty and rows without an id to themselves
@@ -245,73 +256,161 @@ def _tops(slots: DataFrame, first: DataFrame) -> DataFrame:
     return known.join(next_lead, "lead", "left").select("id", F.coalesce("top", "lead").alias("top"))
 
 
-def _links_inside(tops: DataFrame, found: DataFrame, heads: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between classes of one top, enough of them to join what any links join.
+# ---------------------------------------------------------------- large groups
+
 
-    Pairs that are in one component already need no look: members are near (in the top's component) or open, and
-    blocks of open members meet one another and the blocks of near ones. A block holds about ``BLOCK_SHINGLES``
-    shingles whatever the group's size; two blocks are compared as matrices in one task, and no pair becomes a row.
+def _join_groups(groups: DataFrame, known: DataFrame, found: DataFrame, heads: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links and components, with enough links between members of a group (g, id) to join what any of them join.
+
+    Members of a group's largest component are near, the others open; pairs of one component need no look. Blocks of
+    open members meet one another and the blocks of near ones; a block is one row, two are compared as matrices in one
+    task, and no pair of documents becomes a row. In groups of many blocks all members are first compared with a few
+    leads, round after round as long as that leaves clearly fewer open ones; each round is linear in the members.
     """
-    part = F.coalesce("component_id", "id")
-    members = tops.join(found, "id", "left").select("id", "top", part.alias("part"))
-    mixed = members.groupBy("top").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("top")
-    of_top = mixed.join(found.withColumnRenamed("id", "top"), "top", "left").select("top", F.coalesce("component_id", "top").alias("main"))
-    members = saved(members.join(of_top, "top").join(heads.select("id", "n"), "id").select("id", "top", "n", (F.col("part") == F.col("main")).alias("near")), "members")
-    size = F.sum(F.when(F.col("near"), 0).otherwise(F.col("n")))
-    blocks = members.groupBy("top").agg(F.ceil(size / BLOCK_SHINGLES).alias("open_blocks"), F.ceil((F.sum("n") - size) / BLOCK_SHINGLES).alias("near_blocks"))
-    placed = members.join(blocks, "top").withColumn("block", F.pmod(F.xxhash64("id"), F.when(F.col("near"), F.col("near_blocks")).otherwise(F.col("open_blocks"))))
-    to_open = F.expr("transform(sequence(0L, open_blocks - 1), k -> struct(least(block, k) as i, greatest(block, k) as j, false as cross, if(block <= k, 0, 1) as side))")
-    to_near = F.expr("if(near_blocks > 0, transform(sequence(0L, near_blocks - 1), k -> struct(block as i, k as j, true as cross, 0 as side)), array())")
-    from_near = F.expr("transform(sequence(0L, open_blocks - 1), k -> struct(k as i, block as j, true as cross, 1 as side))")
-    meetings = F.when(F.col("near"), F.when(F.col("open_blocks") > 0, from_near)).otherwise(F.concat(to_open, to_near))
-    placed = placed.select("id", "top", F.explode(meetings).alias("m")).select("id", "top", "m.i", "m.j", "m.cross", "m.side")
+    members = _open_members(groups, found, heads)
+    if members.isEmpty():
+        return known, found
     sets = _sets_of(members.select("id").distinct(), docs)
-    met = placed.join(sets, "id").groupBy("top", "cross", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
-    return saved(met.distinct(), "inside")
+    before = None
+    for turn in range(1, 1000):
+        sizes = saved(_block_counts(members), "group-sizes")
+        large = sizes.where(F.col("open_blocks") * (F.col("open_blocks") + F.col("near_blocks")) > FEW_BLOCK_PAIRS)
+        left = large.agg(F.sum("open_docs")).first()[0]
+        if not left or (before is not None and left > 0.7 * before):
+            break
+        before = left
+        some = join_spread(members, large.select("g"), "g", "id")
+        blocks = _packed_blocks(some, large, sets)
+        # half of the leads are open, half near
+        draw = F.xxhash64("id", F.lit(turn))
+        leads = some.withColumn("bucket", F.pmod(draw, F.lit(LEADS // 2))).groupBy("g", "near", "bucket").agg(F.min_by("id", draw).alias("id"))
+        leads = leads.select("g", "id").join(sets, "id").select("g", F.lit(True).alias("near"), F.lit(0).cast("long").alias("block"), "id", "shingles")
+        leads = leads.groupBy("g", "near", "block").applyInArrow(_pack, _BLOCK).select("g", *[F.col(c).alias("lead_" + c) for c in ("ids", "sizes", "shingles")])
+        met = join_spread(blocks, saved(leads, "group-leads"), "g", "block", 16).mapInArrow(_meet_leads(percent), "a long, b long")
+        known, found = _with_links(known, found, met)
+        members = _open_members(groups, found, heads)
+        if members.isEmpty():
+            return known, found
+
+    blocks = _packed_blocks(members, sizes, sets)
+    last = F.col("open_blocks") - 1
+    pairs = sizes.select("g", "open_blocks", "near_blocks", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("i"))
+    with_open = F.transform(F.sequence("i", last), lambda j: F.struct(F.lit(False).alias("near"), j.alias("block")))
+    none = F.array().cast("array<struct<near:boolean,block:bigint>>")
+    with_near = F.when(F.col("near_blocks") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("near_blocks") - 1), lambda j: F.struct(F.lit(True).alias("near"), j.alias("block")))).otherwise(none)
+    pairs = saved(pairs.select("g", "i", F.explode(F.concat(with_open, with_near)).alias("other")), "block-pairs")
+    own = F.struct(F.lit(False).alias("near"), F.col("i").alias("block"))
+    sides = F.when(own == F.col("other"), F.array(own)).otherwise(F.array(own, F.col("other")))
+    met = pairs.select("g", "i", F.col("other.near").alias("to_near"), F.col("other.block").alias("j"), F.posexplode(sides).alias("side", "at")).select("g", "i", "to_near", "j", "side", "at.*")
+    met = met.join(blocks, ["g", "near", "block"]).groupBy("g", "i", "to_near", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
+    return _with_links(known, found, met)
+
+
+def _with_links(known: DataFrame, found: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    links = saved(links.distinct(), "inside")
+    if links.isEmpty():
+        return known, found
+    known = saved(known.unionByName(links), "known")
+    return known, connected_components(known)
+
+
+def _open_members(groups: DataFrame, found: DataFrame, heads: DataFrame) -> DataFrame:
+    """(g, id, n, near) of groups of more than one component. A hot group's rows are counted before they are shuffled."""
+    parts = saved(groups.join(found, "id", "left").select("g", "id", F.coalesce("component_id", "id").alias("part")), "group-parts")
+    mains = parts.groupBy("g", "part").agg(F.count("*").alias("many")).groupBy("g").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("many", -F.col("part"))).alias("main"))
+    mains = saved(mains.where("parts > 1").select("g", "main"), "group-mains")
+    near = (F.col("part") == F.col("main")).alias("near")
+    return saved(join_spread(parts, mains, "g", "id").join(heads.select("id", "n"), "id").select("g", "id", "n", near), "members")
+
+
+def _block_counts(members: DataFrame) -> DataFrame:
+    """(g, open_docs, open_blocks, near_blocks)"""
+    is_open, is_near = ~F.col("near"), F.col("near")
+
+    def blocks(which):
+        docs, shingles = F.count(F.when(which, 1)), F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0))
+        return F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES))
+
+    return members.groupBy("g").agg(F.count(F.when(is_open, 1)).alias("open_docs"), blocks(is_open).alias("open_blocks"), blocks(is_near).alias("near_blocks"))
+
+
+_BLOCK = "g long, near boolean, block long, ids binary, sizes binary, shingles binary"
+
 
+def _packed_blocks(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members of each block as one row."""
+    placed = join_spread(members, sizes.select("g", "open_blocks", "near_blocks"), "g", "id")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.when(F.col("near"), F.col("near_blocks")).otherwise(F.col("open_blocks"))))
+    return saved(placed.select("g", "near", "block", "id").join(sets, "id").groupBy("g", "near", "block").applyInArrow(_pack, _BLOCK), "blocks")
 
-def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """How many hashes each set of one list shares with each of another, by products of incidence matrices."""
-    out = np.zeros((len(left), len(right)), np.float32)
-    both = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
-    places = [[np.searchsorted(both, s[np.isin(s, both, assume_unique=True)]) for s in side] for side in (left, right)]
+
+def _pack(table: pa.Table) -> pa.Table:
+    sets = table.column("shingles").to_pylist()
+    packed = {"ids": table.column("id").to_numpy().astype(np.int64).tobytes(), "sizes": np.array([len(s) // 8 for s in sets], np.int64).tobytes(), "shingles": b"".join(sets)}
+    return pa.table({**{c: table.column(c).slice(0, 1) for c in ("g", "near", "block")}, **{c: pa.array([v], pa.binary()) for c, v in packed.items()}})
+
+
+def _unpacked(ids: bytes, sizes: bytes, shingles: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64), np.frombuffer(shingles, U64)
+
+
+def common_counts(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How many hashes each set of one side shares with each of the other, by products of incidence matrices.
+
+    A side is (sizes, hashes set after set), each set distinct.
+    """
+    out = np.zeros((len(left[0]), len(right[0])), np.float32)
+    both = np.intersect1d(left[1], right[1])
+    if not len(both):
+        return out
+    sides = []
+    for sizes, hashes in (left, right):
+        place = np.minimum(np.searchsorted(both, hashes), len(both) - 1)
+        there = both[place] == hashes
+        place, row = place[there], np.repeat(np.arange(len(sizes)), sizes)[there]
+        order = np.argsort(place, kind="stable")
+        sides.append((place[order], row[order], len(sizes)))
     for at in range(0, len(both), 2048):
         tables = []
-        for side in places:
-            table = np.zeros((len(side), 2048), np.float32)
-            for r, p in enumerate(side):
-                table[r, p[np.searchsorted(p, at) : np.searchsorted(p, at + 2048)] - at] = 1
+        for place, row, n in sides:
+            a, b = np.searchsorted(place, [at, at + 2048])
+            table = np.zeros((n, 2048), np.float32)
+            table[row[a:b], place[a:b] - at] = 1
             tables.append(table)
         out += tables[0] @ tables[1].T
     return out
 
 
+def _links(one: tuple, two: tuple | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest id, id) that join what the links between two blocks, or inside one, join."""
+    ids, sizes, hashes = one
+    other_ids, other_sizes, other_hashes = two or one
+    common = common_counts((sizes, hashes), (other_sizes, other_hashes))
+    linked = ((100 + percent) * common >= percent * (sizes[:, None] + other_sizes[None]).astype(np.float32)) & (common > 0)
+    joined = joined_blocks(linked, ids, other_ids)
+    roots, names = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for members, least in joined:
+        members = np.unique(members)
+        names.append(members[members != least])
+        roots.append(np.full(len(names[-1]), least))
+    return np.concatenate(roots), np.concatenate(names)
+
+
+def _meet_leads(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                roots, names = _links(_unpacked(row["ids"], row["sizes"], row["shingles"]), _unpacked(row["lead_ids"], row["lead_sizes"], row["lead_shingles"]), percent)
+                yield pa.RecordBatch.from_arrays([pa.array(roots), pa.array(names)], names=["a", "b"])
+
+    return run
+
+
 def _compare_blocks(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        ids, side = table.column("id").to_numpy(), table.column("side").to_numpy()
-        sets = [np.frombuffer(x, U64) for x in table.column("shingles").to_pylist()]
-        within = not table.column("cross")[0].as_py() and table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        one = np.flatnonzero(side == 0)
-        two = one if within else np.flatnonzero(side == 1)
-        pairs = {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())}
-        if len(one) and len(two):
-            common = common_counts([sets[i] for i in one], [sets[i] for i in two])
-            sizes = np.array([len(s) for s in sets], np.float32)
-            linked = (100 + percent) * common >= percent * (sizes[one][:, None] + sizes[two][None])
-            linked &= common > 0
-            mine, other = ids[one], ids[two]
-            while True:  # the smallest id that links reach inside these blocks
-                low = np.minimum(mine, np.where(linked, other[None], np.iinfo(np.int64).max).min(axis=1))
-                high = np.minimum(other, np.where(linked, low[:, None], np.iinfo(np.int64).max).min(axis=0))
-                if within:
-                    low = high = np.minimum(low, high)
-                if (low == mine).all() and (high == other).all():
-                    break
-                mine, other = low, high
-            names, roots = np.concatenate([ids[one], ids[two]]), np.concatenate([mine, other])
-            some = names != roots
-            pairs = {"a": pa.array(roots[some], pa.int64()), "b": pa.array(names[some], pa.int64())}
-        return pa.table(pairs)
+        sides = [_unpacked(*(table.column(c)[k].as_py() for c in ("ids", "sizes", "shingles"))) for k in range(table.num_rows)]
+        roots, names = _links(sides[0], sides[1] if len(sides) > 1 else None, percent)
+        return pa.table({"a": pa.array(roots), "b": pa.array(names)})
 
     return run
 
@@ -327,6 +426,8 @@ def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents whose full sets are similar enough; texts are read again for the documents named only."""
+    if pairs.isEmpty():
+        return pairs
     sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), docs)
     a, b = (sets.select(F.col("id").alias(k), F.col("shingles").alias("s" + k)) for k in "ab")
     return saved(pairs.join(b, "b").join(a, "a").mapInArrow(_linked(percent), "a long, b long").distinct(), "confirmed")

@@ -524,26 +524,53 @@ def test_near_copies_of_odd_texts(odd, no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
 
 
-def test_near_copies_in_large_groups(spark, monkeypatch):
-    """A group of edited copies, many of them beyond the threshold of one another, in small blocks."""
-    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 1500)
-    rnd = random.Random(12)
+def edited_copies(rnd, n=150):
+    """Rows (id, text): edited copies of one text, many beyond the threshold of one another, and a chain of them."""
     base = [f"w{rnd.randrange(500)}" for _ in range(80)]
     rows = []
-    for i in range(150):
+    for i in range(n):
         w = list(base)
         for _ in range(rnd.randrange(1, 6)):
             w[rnd.randrange(len(w))] = f"e{rnd.randrange(10**6)}"
         rows.append((i, " ".join(w)))
     chain = list(base)
-    for i in range(150, 170):  # each is near the one before, few are near the first
+    for i in range(n, n + 20):  # each is near the one before, few are near the first
         chain[(7 * i) % 80] = f"c{i}"
         rows.append((i, " ".join(chain)))
+    return rows
+
+
+@pytest.mark.parametrize(("docs", "few", "paired"), [(2000, 8, 32), (25, 0, 2)])
+def test_near_copies_in_large_groups(spark, monkeypatch, docs, few, paired):
+    """Blocks of any size, with rounds of leads and without, and bands compared as pairs or as blocks."""
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", docs)
+    monkeypatch.setattr(minhash, "FEW_BLOCK_PAIRS", few)
+    monkeypatch.setattr(minhash, "PAIRED", paired)
+    monkeypatch.setattr(minhash, "LEADS", 6)
+    rows = edited_copies(random.Random(12))
     part, _ = brute_components(rows)
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == part and len(set(part.values())) > 3
 
 
+def test_blocks_are_bounded(spark, monkeypatch):
+    """40,000 short sets of one group make blocks of some BLOCK_DOCS, and rows in proportion to the members."""
+    members = spark.range(40_000).selectExpr("7L as g", "id", "4L as n", "id % 2 = 0 as near")
+    sizes = minhash._block_counts(members)
+    assert sizes.first().asDict() == {"g": 7, "open_docs": 20_000, "open_blocks": 10, "near_blocks": 10}
+    sets = members.selectExpr("id", "unhex(repeat(lpad(hex(id), 16, '0'), 4)) as shingles")
+    blocks = minhash._packed_blocks(members, sizes, sets)
+    most, rows, docs = blocks.agg(F.max(F.length("sizes") / 8), F.count("*"), F.sum(F.length("ids") / 8)).first()
+    assert rows == 20 and docs == 40_000 and most < 1.2 * minhash.BLOCK_DOCS
+
+
+def test_common_counts():
+    rnd = np.random.default_rng(9)
+    left, right = ([np.unique(rnd.integers(0, 9000, rnd.integers(0, 4000)).astype(np.uint64)) for _ in range(7)] for _ in range(2))
+    flat = [(np.array([len(s) for s in side]), np.concatenate(side)) for side in (left, right)]
+    assert (minhash.common_counts(*flat) == [[len(np.intersect1d(a, b)) for b in right] for a in left]).all()
+
+
 def test_sketches_estimate():
     rnd = np.random.default_rng(4)
     with np.errstate(over="ignore"):
