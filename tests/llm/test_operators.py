@@ -587,45 +587,68 @@ def test_sketches_estimate():
 # ---------------------------------------------------------------- 10 language model
 
 
-def test_language_model(odd, no_docs):
-    """Every probability against dictionaries, and the model's chances sum to one."""
-    df, rows = odd
-    texts = [(i, [None, *words(t), "</s>"]) for i, t, *_ in rows]
+def plain_scores(rows, order):
+    """(doc_id, tokens, known tokens, training tokens, base score, score) of each row, by dictionaries; and the chances."""
+    texts = [(i, ["<s>", *words(t), "</s>"]) for i, t, *_ in rows]
     train = [t for i, t in texts if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
-    pairs = Counter(p for t in train for p in zip(t, t[1:], strict=False))
-    count, left, follow, kinds = Counter(), Counter(), Counter(), defaultdict(lambda: [0, 0, 0, 0])
-    for (v, w), c in pairs.items():
-        count[w] += c
-        left[w] += 1
-        follow[v] += c
-        kinds[v][min(c, 3)] += 1
-    of = lambda counts: ngram_lm.discounts([sum(c == k for c in counts) for k in (1, 2, 3, 4)])
-    d2, d1, total, n, v_ = of(list(pairs.values())), of(list(left.values())), sum(left.values()), sum(count.values()), len(count)
-    spare = sum(d1[min(c, 3)] for c in left.values()) / total
-
-    def chance(v, w):
-        one = max(left[w] - d1[min(left[w], 3)], 0) / total + spare / (v_ + 1)
-        if not follow[v]:
-            return one
-        return (max(pairs[v, w] - d2[min(pairs[v, w], 3)], 0) + sum(d2[k] * kinds[v][k] for k in (1, 2, 3)) * one) / follow[v]
-
-    expected = Counter()
+    count = {k: Counter(tuple(t[i - k + 1 : i + 1]) for t in train for i in range(max(k - 1, 1), len(t))) for k in range(1, order + 1)}
+    value = {order: count[order]}
+    for k in range(1, order):  # different tokens before a gram; its count where it starts a text
+        value[k] = Counter(g[1:] for g in count[k + 1])
+        for g, c in count[k].items():
+            if g[0] == "<s>":
+                value[k][g] = c
+    d = {k: ngram_lm.discounts([sum(c == n for c in value[k].values()) for n in (1, 2, 3, 4)]) for k in value}
+    total, spare = defaultdict(int), defaultdict(float)
+    for k in value:
+        for g, c in value[k].items():
+            total[g[:-1]] += c
+            spare[g[:-1]] += d[k][min(c, 3)]
+    v = len(count[1])
+
+    def chance(g):
+        c, below = value[len(g)][g], chance(g[1:]) if len(g) > 1 else 1 / (v + 1)
+        return (max(c - d[len(g)][min(c, 3)], 0) + spare[g[:-1]] * below) / total[g[:-1]] if total[g[:-1]] else below
+
+    n = sum(count[1].values())
+    out = Counter()
     for i, t in texts:
-        score, base = sum(math.log10(chance(*p)) for p in zip(t, t[1:], strict=False)), sum(math.log10((count[w] + 1) / (n + v_ + 1)) for w in t[1:])
-        expected[i, len(t) - 1, sum(count[w] > 0 for w in t[1:]), n, round(base, 4), round(score, 4)] += 1
-    got = Counter((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4), round(r["score"], 4)) for r in ngram_lm.score_texts(df).collect())
-    assert got == expected
-    assert sum(chance(None, w) for w in count) + chance(None, "?") == pytest.approx(1)
-    assert ngram_lm.score_texts(no_docs).count() == 0
+        score = sum(math.log10(chance(tuple(t[max(0, j - order + 1) : j + 1]))) for j in range(1, len(t)))
+        base = sum(math.log10((count[1][w,] + 1) / (n + v + 1)) for w in t[1:])
+        out[i, len(t) - 1, sum(count[1][w,] > 0 for w in t[1:]), n, round(base, 4), round(score, 4)] += 1
+    return out, chance, [w for w, in count[1]]
 
 
-def test_large_counts():
-    """Counts beyond a byte are listed apart."""
-    import pyarrow as pa
+@pytest.mark.parametrize(("order", "range_bytes"), [(2, 64 << 20), (3, 2000), (4, 64 << 20)])
+def test_language_model(odd, no_docs, monkeypatch, order, range_bytes):
+    """Every probability against dictionaries, with more ranges than may be open; chances sum to one."""
+    monkeypatch.setattr(ngram_lm, "RANGE_BYTES", range_bytes)
+    monkeypatch.setattr(ngram_lm, "MOST_OPEN", 2)
+    df, rows = odd
+    expected, chance, names = plain_scores(rows, order)
+    found = ngram_lm.score_texts(df, order=order).collect()
+    assert Counter((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4), round(r["score"], 4)) for r in found) == expected
+    for before in (("<s>",), ("uno",), ("uno", "dos")[: order - 1]):
+        assert sum(chance((*before, w)) for w in [*names, "?"]) == pytest.approx(1)
+    if order == 3:
+        assert ngram_lm.score_texts(no_docs).count() == 0
 
-    keys, counts = np.array([3, 9, 12], np.uint64), np.array([254, 255, 100_000], np.uint32)
-    import tempfile
 
-    folder = tempfile.mkdtemp()
-    ngram_lm._write_bigrams(folder)(pa.table({"part": pa.array([0], pa.int32()), "keys": [keys.tobytes()], "v0": [counts.tobytes()]}))
-    assert ngram_lm.Bigrams(folder, 0).counts(np.array([3, 4, 9, 12], np.uint64)).tolist() == [254, 0, 255, 100_000]
+def test_model_files_hold_large_counts_and_must_be_there(tmp_path):
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(5)
+    keys = np.unique(rnd.integers(0, 1 << 63, 5000).astype(np.uint64))
+    counts = rnd.choice([1, 2, 254, 255, 100_000, 1 << 40], len(keys)).astype(np.int64)
+    model = ngram_lm.Model(str(tmp_path), 2)
+    (row,) = ngram_lm._ranges(0, keys, counts).to_pylist()
+    row = {k: v for k, v in row.items()}
+    table = pa.table({"part": pa.array([0], pa.int32()), "n": [row["n"]], "keys": [row["keys"]], "v0": [row["v0"]]})
+    made = ngram_lm._write_range(str(tmp_path), 2, 0, True, False)(table).to_pylist()
+    model.add(2, 0, made)
+    asked = np.unique(np.concatenate([keys, rnd.integers(0, 1 << 63, 3000).astype(np.uint64)]))
+    want = dict(zip(keys.tolist(), counts.tolist(), strict=True))
+    assert ngram_lm.Level(model, 2).look_up(asked, ("count",))[0].tolist() == [want.get(k, 0) for k in asked.tolist()]
+    model.folder = str(tmp_path / "elsewhere")
+    with pytest.raises(FileNotFoundError):
+        ngram_lm.Level(model, 2).look_up(asked, ("count",))
