@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, saved
+from .common import WORD, release, saved
 
-_TOLERANCE, _MOST_STEPS = 1e-11, 60
+_TOLERANCE, _MOST_STEPS = 1e-7, 200
 
 
 def source_targets(sized: DataFrame, weights: Sequence[int], share: float, cap: float) -> DataFrame:
@@ -36,32 +36,61 @@ def source_targets(sized: DataFrame, weights: Sequence[int], share: float, cap:
     return ranked.withColumn("at", level).select("source", "source_size", F.least("most", F.coalesce(F.col("weight") * F.col("at"), F.col("most"))).alias("target"))
 
 
-def balanced_rates(histogram: DataFrame, targets: DataFrame) -> DataFrame:
-    """targets with the rate of each source's documents.
+def balanced_tilts(histogram: DataFrame, wanted: DataFrame, cap: float) -> DataFrame:
+    """(s, unit, tilt) by source: documents of size z are to be taken at the rate least(cap, exp(tilt * z / unit)).
 
-    The rates minimise the relative entropy of the mix's words against the corpus's under the token constraints
-    (rate-weighted words of a source = its target). The dual is convex with one multiplier a source, the solution is
-    the exponential tilt rate = exp(multiplier), and each Newton step takes the gradient and curvature from one
-    distributed sum over the documents' size histogram.
+    These rates have the least relative entropy against taking every document once, among all whose words come to
+    ``wanted`` (s, unit, target, tilt) and that nowhere exceed ``cap``: the dual of that problem is convex with one
+    multiplier, the tilt, for each source's token constraint, and the bound clips the rates. Newton steps on the
+    logarithm of the words, kept inside a bracket of the root, take words and slope from one distributed sum over the
+    histogram of sizes. Sums are of whole numbers, so they don't depend on the order of rows. A source that is to be
+    taken ``cap`` times whole has a null tilt: the root is at infinity.
     """
-    state = targets.withColumn("tilt", F.lit(0.0))
+    endless = F.lit(float("inf"))
+    state = saved(wanted.select("s", "unit", "target", "tilt", (-endless).alias("low"), endless.alias("high"), F.lit(False).alias("done")), "mix-tilts")
+    z = F.col("size") / F.col("unit")
+    rate = F.least(F.lit(float(cap)), F.exp(F.least(F.col("tilt") * z, F.lit(40.0))))
     for _ in range(_MOST_STEPS):
-        words = (
-            histogram.join(state.select(F.col("source").alias("s"), "tilt"), F.col("source").eqNullSafe(F.col("s")))
-            .groupBy("source")
-            .agg(F.sum(F.col("n") * F.col("size") * F.exp("tilt")).alias("words"))
+        open_ = state.where(~F.col("done"))
+        sums = (
+            histogram.join(open_.select("s", "unit", "tilt"), F.col("source").eqNullSafe(F.col("s")))
+            .groupBy("s")
+            .agg(_exact_sum(F.col("n") * F.col("size") * rate).alias("words"), _exact_sum(F.when(rate < cap, F.col("n") * F.col("size") * rate * z).otherwise(0.0)).alias("slope"))
         )
-        state = saved(
-            state.join(words.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left")
-            .withColumn("gap", F.when(F.col("words") > 0, (F.col("words") - F.col("target")) / F.col("words")).otherwise(0.0))
-            .withColumn("tilt", F.col("tilt") - F.col("gap"))
-            .select("source", "source_size", "target", "tilt", "gap"),
-            "mix-step",
+        gap = F.log(F.col("words") / F.col("target"))
+        newton = F.col("tilt") - gap * F.col("words") / F.col("slope")
+        reach = F.greatest(F.lit(2.0), F.abs("tilt"))
+        stepped = F.greatest(F.col("tilt") - reach, F.least(F.col("tilt") + reach, F.coalesce(newton, F.when(gap < 0, F.col("tilt") + reach).otherwise(F.col("tilt") - reach))))
+        middle = (F.col("low") + F.col("high")) / 2
+        inside = (stepped > F.col("low")) & (stepped < F.col("high"))
+        at_end = F.coalesce(F.abs(gap) < _TOLERANCE, F.lit(True)) | (F.col("high") - F.col("low") < 1e-12 * F.greatest(F.lit(1.0), F.abs("tilt")))
+        old, state = (
+            state,
+            saved(
+                state.join(sums.withColumnRenamed("s", "t"), F.col("s").eqNullSafe(F.col("t")), "left")
+                .withColumn("high", F.when(gap > 0, F.col("tilt")).otherwise(F.col("high")))
+                .withColumn("low", F.when(gap <= 0, F.col("tilt")).otherwise(F.col("low")))
+                .withColumn("next", F.when(inside, stepped).otherwise(middle))
+                .select("s", "unit", "target", F.when(F.col("done") | at_end, F.col("tilt")).otherwise(F.col("next")).alias("tilt"), "low", "high", (F.col("done") | at_end).alias("done")),
+                "mix-tilts",
+            ),
         )
-        if (state.agg(F.max(F.abs("gap"))).first()[0] or 0.0) < _TOLERANCE:
-            break
-        state = state.drop("gap")
-    return state.select("source", "source_size", "target", F.round(F.exp("tilt"), 9).alias("rate"))
+        release(old)
+        if state.where(~F.col("done")).isEmpty():
+            return state.select("s", "unit", "tilt")
+    raise ArithmeticError("the tilts of some sources did not converge")
+
+
+def _exact_sum(x):
+    """A sum that is the same in any order: of whole millionths."""
+    return (F.sum(F.round(x * 1e6).cast("decimal(38,0)")).cast("double") / 1e6)
+
+
+def _wanted(sized: DataFrame, targets: DataFrame, cap: float, tilt) -> DataFrame:
+    """(s, unit, target, tilt) of the sources in ``sized`` (s, words, docs), without those that are taken ``cap`` times or not at all."""
+    joined = sized.join(targets.select(F.col("source").alias("t"), "target"), F.col("s").eqNullSafe(F.col("t")))
+    joined = joined.where((F.col("target") > 0) & (F.col("target") < F.col("words") * cap * (1 - 1e-12)))
+    return joined.select("s", (F.col("words") / F.col("docs")).alias("unit"), "target", tilt.alias("tilt"))
 
 
 def mix_sources(
@@ -75,10 +104,11 @@ def mix_sources(
     """How many words of each document a mix of the sources takes.
 
     Returns doc_id, size (words of the text, 0 for null), source_size, target, rate, copies, taken = copies * size and source.
-    Documents of a source are taken from the longest to the shortest, and copies are the whole steps of the running
-    sum of rates, so the sum of what is taken never drifts from the rates. The documents that hold the last
-    ``fine_share`` of a source's words are rounded with the rate that makes up for the rounding of the longer ones;
-    a source misses its target by about half of one of those short texts. No document has more than ceil(cap) copies.
+    Rates are exponential tilts by size (see ``balanced_tilts``). Documents of a source are taken from the longest to
+    the shortest, and copies are the whole steps of the running sum of rates, so counts never drift from the rates.
+    Rounding leaves some words of the target over or short, up to those of one long text; the documents that hold the
+    last ``fine_share`` of a source's words are therefore balanced once more, against what is left of the target; a
+    source misses its target by about half of one of those short texts. No document has more than ceil(cap) copies.
 
     Every row counts, repeated rows each for themselves. Null sources form one source, the last; a null doc_id is
     kept; empty texts have size 0 and take nothing; an empty table gives no rows. Other columns are ignored. Only
@@ -88,45 +118,57 @@ def mix_sources(
     """
     sized = saved(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
     histogram = saved(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-histogram")
-    rates = balanced_rates(histogram, saved(source_targets(sized, weights, share, cap), "mix-targets"))
+    targets = saved(source_targets(sized, weights, share, cap), "mix-targets")
+    filled = histogram.where("size > 0")
+    whole = filled.groupBy(F.col("source").alias("s")).agg(F.sum(F.col("n") * F.col("size")).alias("words"), F.sum("n").alias("docs"))
+    tilts = balanced_tilts(filled, _wanted(whole, targets, cap, F.log(F.col("target") / F.col("words"))), cap)
 
     # the histogram has a row for each size of a source, never more than the longest text has words
     down = Window.partitionBy("source").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ladder = (
-        histogram.join(rates.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-        .drop("s")
-        .withColumn("n_above", F.coalesce(F.sum("n").over(down), F.lit(0)))
-        .withColumn("fine", F.coalesce(F.sum(F.col("n") * F.col("size")).over(down), F.lit(0)) >= F.col("source_size") * F.lit(1 - fine_share))
-        .withColumn("rate", F.least("rate", F.lit(float(cap))))
-    )
-    part = Window.partitionBy("source")
-    coarse_words = F.sum(F.when(~F.col("fine"), F.col("size") * (_steps("n_above", "n", "rate")))).over(part)
-    fine_words = F.sum(F.when(F.col("fine"), F.col("size") * F.col("n"))).over(part)
-    made_up = F.round(F.greatest(F.lit(0.0), F.least(F.lit(float(cap)), F.try_divide(F.col("target") - F.coalesce(coarse_words, F.lit(0)), fine_words))), 9)
-    ladder = (
-        ladder.withColumn("made_up", made_up)
-        .withColumn("n_coarse", F.coalesce(F.sum(F.when(~F.col("fine"), F.col("n"))).over(part), F.lit(0)))
-        .withColumn("n_above", F.when(F.col("fine"), F.col("n_above") - F.col("n_coarse")).otherwise(F.col("n_above")))
-        .withColumn("rate", F.when(F.col("fine") & F.col("made_up").isNotNull(), F.col("made_up")).otherwise(F.col("rate")))
-        .select(F.col("source").alias("s"), F.col("size").alias("z"), "n", "n_above", "rate", "source_size", "target")
-    )
-
+    ladder = filled.join(targets.select(F.col("source").alias("t"), "source_size", "target"), F.col("source").eqNullSafe(F.col("t"))).drop("t")
+    ladder = _with_rates(ladder, tilts, cap).withColumn("fine", F.coalesce(F.sum(F.col("n") * F.col("size")).over(down), F.lit(0)) >= F.col("source_size") * F.lit(1 - fine_share))
+    ladder = saved(ladder.withColumn("before", F.coalesce(F.sum(F.col("n") * F.col("rate")).over(down), F.lit(0.0))), "mix-ladder")
+
+    # what the rounding of the longer documents leaves to the fine ones
+    coarse = ladder.where("not fine").groupBy(F.col("source").alias("c")).agg(F.sum(F.col("size") * _steps(F.col("before"), F.col("n") * F.col("rate"))).alias("coarse"))
+    left = targets.join(coarse, F.col("source").eqNullSafe(F.col("c")), "left").select("source", F.greatest(F.lit(0.0), F.col("target") - F.coalesce("coarse", F.lit(0))).alias("target"))
+    fine = ladder.where("fine")
+    sums = fine.groupBy(F.col("source").alias("s")).agg(F.sum(F.col("n") * F.col("size")).alias("words"), F.sum("n").alias("docs"))
+    again = balanced_tilts(fine.select("source", "size", "n"), _wanted(sums, saved(left, "mix-left"), cap, F.lit(0.0)), cap)
+    fine = _with_rates(fine.drop("rate", "before").join(left.select(F.col("source").alias("l"), F.col("target").alias("rest")), F.col("source").eqNullSafe(F.col("l"))), again, cap, F.col("rest"))
+    fine = fine.withColumn("before", F.coalesce(F.sum(F.col("n") * F.col("rate")).over(down), F.lit(0.0)))
+    columns = [F.col("source").alias("s"), F.col("size").alias("z"), "n", "before", "rate"]
+    ladder = saved(ladder.where("not fine").select(*columns).unionByName(fine.select(*columns)), "mix-rates")
+
+    per_source = targets.select(F.col("source").alias("t"), "source_size", "target")
     placed = sized.join(ladder, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))).drop("s", "z")
     placed = placed.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / rows_per_bucket)))
     buckets = placed.groupBy("source", "size", "bucket").agg(F.count("*").alias("in_bucket"))
     ahead = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("bucket").alias("k"), F.coalesce(F.sum("in_bucket").over(ahead), F.lit(0)).alias("ahead"))
     within = Window.partitionBy("source", "size", "bucket").orderBy(F.xxhash64("doc_id", F.lit("mix")), "doc_id")
-    copies = _steps("before", F.lit(1), "rate")
-    return (
+    copies = _steps(F.col("before") + (F.col("ahead") + F.col("place")) * F.col("rate"), F.col("rate"))
+    placed = (
         placed.withColumn("place", F.row_number().over(within) - 1)
         .join(buckets, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("bucket") == F.col("k")))
-        .withColumn("before", F.col("n_above") + F.col("ahead") + F.col("place"))
-        .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("long"))
+        .select("doc_id", "size", "source", "rate", copies.cast("long").alias("copies"))
+    )
+    empty = sized.where("size = 0").select("doc_id", "size", "source", F.lit(0.0).alias("rate"), F.lit(0).cast("long").alias("copies"))
+    return (
+        placed.unionByName(empty)
+        .join(per_source, F.col("source").eqNullSafe(F.col("t")))
         .select("doc_id", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"), "source")
     )
 
 
+def _with_rates(ladder: DataFrame, tilts: DataFrame, cap: float, target=None) -> DataFrame:
+    """ladder with the rate of each size; a source without a tilt is taken ``cap`` times, or not at all where it has no target."""
+    joined = ladder.join(tilts, F.col("source").eqNullSafe(F.col("s")), "left")
+    tilted = F.least(F.lit(float(cap)), F.exp(F.least(F.col("tilt") * F.col("size") / F.col("unit"), F.lit(40.0))))
+    plain = F.when((F.col("target") if target is None else target) > 0, F.lit(float(cap))).otherwise(0.0)
+    return joined.withColumn("rate", F.round(F.coalesce(tilted, plain), 9)).drop("s", "unit", "tilt")
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs, each as often as ``mix_sources`` with these options takes it.
 
@@ -145,7 +187,6 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     return named.unionByName(nameless).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
-def _steps(before, n, rate):
-    """Whole numbers that the running sum of rates passes between ``before`` and ``before + n`` documents."""
-    start, n, rate = (F.col(x) if isinstance(x, str) else x for x in (before, n, rate))
-    return F.floor((start + n) * rate + F.lit(0.49)) - F.floor(start * rate + F.lit(0.49))
+def _steps(start, more):
+    """Whole numbers that a running sum of rates passes from ``start`` on, by ``more``."""
+    return F.floor(start + more + F.lit(0.49)) - F.floor(start + F.lit(0.49))
