@@ -1,8 +1,11 @@
-"""Near-duplicate vectors, exactly: packed blocks of cluster shards, and every pair of blocks that can hold a link.
+"""Near-duplicate vectors by robust-pruned graphs over overlapping cluster shards, audited, and exact where they fall short.
 
-Vectors of a label are dealt to the shards of their nearest centroids, and each shard is packed into blocks that know
-their centre and the widest angle to it. By the triangle inequality two blocks whose centres are further apart than
-both angles and the link's own cannot hold a link; all other pairs of blocks are multiplied in double precision.
+Vectors of a label are stored in the shards of their nearest centroids. Every shard gets a flat graph whose edges are
+pruned so that greedy walks get anywhere; a vector's adjacency lists of all its shards are united; and each vector
+searches the shard of its nearest centroid from the medoid, first with a beam, then by expanding everything within
+range. What is found is verified in double precision. The vectors whose id a round number divides are compared with
+all vectors by brute force: blocks are multiplied unless the angle between their centres excludes a link. Where a
+search missed a link of theirs, shards overlap more; if that isn't enough, all blocks are compared in this way.
 """
 
 from __future__ import annotations
@@ -18,13 +21,145 @@ from pyspark.sql import functions as F
 from .common import saved
 from .components import connected_components, joined_blocks
 
-#: Vectors the centroids are learned from, vectors a shard is meant to have, centroids in all.
-SAMPLE, SHARD, MOST_CENTROIDS = 20_000, 1500, 2048
+#: Vectors the centroids are learned from, vectors a shard is meant to have, centroids in all, vectors of a graph.
+SAMPLE, SHARD, MOST_CENTROIDS, PAGE = 20_000, 1500, 2048, 4096
+DEGREE, ALPHA = 24, 1.2
+#: A block of queries is as large as so many pages.
+QUERY_PAGES = 4
+#: (shards a vector is stored in, beam width), widened while the audit finds a search that missed a link.
+EFFORTS = ((2, 40), (4, 80))
+#: Ids that this divides are audited; a smaller number where that would be fewer than LEAST_AUDITED vectors.
+AUDIT, LEAST_AUDITED = 100, 2048
+#: A vector that finds more than so many links in a task counts them there; others list them, and both ends count.
+LISTED = 32
 #: A block has at most so many vectors and bytes; the product of two blocks is held in memory.
 BLOCK, BLOCK_BYTES = 2048, 1 << 22
 _UNIT = ["label", "dim", "cluster", "page"]
 
 
+def robust_prune(x: np.ndarray, p: np.ndarray, candidates: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> np.ndarray:
+    """Neighbours [points, degree] (-1: none) of points p from candidates [points, c] (-1: none).
+
+    The nearest candidate is taken, and those that it is closer to than 1/alpha of their own distance go, again and again.
+    """
+    valid = candidates >= 0
+    vectors = x[np.maximum(candidates, 0)]
+    away = np.where(valid & (candidates != p[:, None]), 2 - 2 * np.einsum("bcd,bd->bc", vectors, x[p]), np.inf)
+    out = np.full((len(p), degree), -1, np.int64)
+    rows = np.arange(len(p))
+    for k in range(degree):
+        pick = away.argmin(axis=1)
+        live = np.isfinite(away[rows, pick])
+        if not live.any():
+            break
+        out[live, k] = candidates[rows, pick][live]
+        between = 2 - 2 * np.einsum("bcd,bd->bc", vectors, vectors[rows, pick])
+        away[(alpha * np.maximum(between, 0) <= away) | (candidates == candidates[rows, pick][:, None])] = np.inf
+    return out
+
+
+def beam_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Greedy search of all queries together: (beam nodes, their cosines)."""
+    n, rows = len(queries), np.arange(len(queries))
+    nodes = np.full((n, width), -1, np.int64)
+    near = np.full((n, width), -np.inf, np.float32)
+    open_ = np.zeros((n, width), bool)
+    seen = np.zeros((n, len(x)), bool)
+    nodes[:, 0], near[:, 0], open_[:, 0], seen[:, start] = start, queries @ x[start], True, True
+    while True:
+        rank = np.where(open_, near, -np.inf)
+        pick = rank.argmax(axis=1)
+        live = np.flatnonzero(open_[rows, pick])
+        if not len(live):
+            return nodes, near
+        at = nodes[live, pick[live]]
+        open_[live, pick[live]] = False
+        found = graph[at]
+        fresh = (found >= 0) & ~seen[live[:, None], np.maximum(found, 0)]
+        r, c = np.nonzero(fresh)
+        seen[live[r], found[r, c]] = True
+        score = np.full(found.shape, -np.inf, np.float32)
+        score[r, c] = np.einsum("id,id->i", x[found[r, c]], queries[live[r]])
+        all_nodes = np.concatenate([nodes[live], np.where(fresh, found, -1)], axis=1)
+        all_near = np.concatenate([near[live], score], axis=1)
+        all_open = np.concatenate([open_[live], fresh], axis=1)
+        best = np.argpartition(-all_near, width - 1, axis=1)[:, :width]
+        nodes[live], near[live], open_[live] = (np.take_along_axis(a, best, axis=1) for a in (all_nodes, all_near, all_open))
+
+
+def build_graph(x: np.ndarray, width: int, batch: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(neighbours [points, DEGREE], parents): points are inserted in batches that at most double the graph.
+
+    A point's parent is the nearest one found when it was inserted. That edge is never pruned, so every point can be
+    reached, and a tight group is reached through points of the group; without it pruning leaves a hub's many near
+    copies with no edge that leads to them.
+    """
+    n = len(x)
+    medoid = int((x @ x.mean(axis=0)).argmax())
+    order = np.concatenate([[medoid], np.setdiff1d(np.random.default_rng(5).permutation(n), [medoid], assume_unique=True)])
+    graph = np.full((n, DEGREE), -1, np.int64)
+    parents = np.full(n, -1, np.int64)
+    done = 1
+    while done < n:
+        new = order[done : done + min(batch, done)]
+        nodes, _ = beam_search(x, graph, medoid, x[new], width)
+        graph[new] = robust_prune(x, new, nodes)
+        parents[new] = graph[new, 0]
+        done += len(new)
+        # the other direction: targets take the new points up, and are pruned where they have too many
+        source, target = np.repeat(new, DEGREE), graph[new].ravel()
+        source, target = source[target >= 0], target[target >= 0]
+        by = np.argsort(target, kind="stable")
+        source, target = source[by], target[by]
+        names, first, count = np.unique(target, return_index=True, return_counts=True)
+        extra = np.full((len(names), int(count.max(initial=1))), -1, np.int64)
+        extra[np.repeat(np.arange(len(names)), count), np.arange(len(target)) - np.repeat(first, count)] = source
+        for at in range(0, len(names), batch):
+            part = names[at : at + batch]
+            graph[part] = robust_prune(x, part, np.concatenate([graph[part], extra[at : at + batch]], axis=1))
+    return graph, parents
+
+
+def range_search(x: np.ndarray, graph: np.ndarray, children: tuple[np.ndarray, np.ndarray], start: int, queries: np.ndarray, width: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) of everything within range: the beam's nodes and their children, then whatever expanding the
+    nodes within range, over neighbours and children, still reaches."""
+    nodes, near = beam_search(x, graph, start, queries, min(width, max(2, len(x))))
+    seen = np.zeros((len(queries), len(x)), bool)  # anew: the walk has also seen nodes that its beam didn't keep
+    q, c = np.nonzero(nodes >= 0)
+    seen[q, nodes[q, c]] = True
+    begin, below = children
+
+    def expand(q: np.ndarray, node: np.ndarray, over_neighbours: bool) -> tuple[np.ndarray, np.ndarray]:
+        count = begin[node + 1] - begin[node]
+        rows = [np.repeat(q, count)]
+        flat = [below[np.repeat(begin[node] - (np.cumsum(count) - count), count) + np.arange(count.sum())]]
+        if over_neighbours:
+            rows.append(np.repeat(q, graph.shape[1]))
+            flat.append(graph[node].ravel())
+        rows, flat = np.concatenate(rows), np.concatenate(flat)
+        ok = (flat >= 0) & ~seen[rows, np.maximum(flat, 0)]
+        key = np.unique(rows[ok] * len(x) + flat[ok])
+        q, node = key // len(x), key % len(x)
+        seen[q, node] = True
+        close = np.zeros(len(q), bool)
+        for at in range(0, len(q), 65536):
+            close[at : at + 65536] = np.einsum("id,id->i", x[node[at : at + 65536]], queries[q[at : at + 65536]]) >= least
+        return q[close], node[close]
+
+    q, c = np.nonzero((near >= least) & (nodes >= 0))
+    found = [(q, nodes[q, c])]
+    outside, c = np.nonzero((near < least) & (nodes >= 0))
+    found.append(expand(outside, nodes[outside, c], False))
+    q, node = (np.concatenate(v) for v in zip(*found, strict=True))
+    while len(q):
+        q, node = expand(q, node, True)
+        found.append((q, node))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+# ---------------------------------------------------------------- on Spark
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.stack([np.frombuffer(v, np.float64) for v in column.to_pylist()])
 
@@ -61,18 +196,121 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:i], *batch.columns[i + 1 :], pa.array(packed, pa.binary())], names=[*batch.schema.names[:i], *batch.schema.names[i + 1 :], "vector"])
 
 
-def _shards(centroids: dict):
-    """Adds the nearest centroid of the label."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        packed = [np.asarray(v, np.float64).tobytes() for v in batch.column("embedding").to_pylist()]
+        i = batch.schema.get_field_index("embedding")
+        yield pa.RecordBatch.from_arrays([*batch.columns[:i], *batch.columns[i + 1 :], pa.array(packed, pa.binary())], names=[*batch.schema.names[:i], *batch.schema.names[i + 1 :], "vector"])
+
+
+def _shards(centroids: dict, copies: int):
+    """A row for each of the nearest ``copies`` centroids of the label; ``home`` marks the nearest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cluster = np.zeros(batch.num_rows, np.int32)
-            for i, (label, dim, vector) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("label", "dim", "vector")), strict=True)):
-                c = centroids.get((label, dim))
+            by: dict = {}
+            for i, key in enumerate(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True)):
+                by.setdefault(key, []).append(i)
+            take, cluster, home = ([np.zeros(0, t)] for t in (np.int64, np.int32, bool))
+            for key, rows in by.items():
+                c, rows = centroids.get(key), np.array(rows)
+                order = np.zeros((len(rows), 1), np.int32)
                 if c is not None:
-                    v = np.frombuffer(vector, np.float64)
-                    cluster[i] = (c @ (v / np.linalg.norm(v)).astype(np.float32)).argmax()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cluster)], names=[*batch.schema.names, "cluster"])
+                    x = _units(_matrix(batch.column("vector").take(pa.array(rows))))
+                    order = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :copies].astype(np.int32)
+                first = np.zeros(order.shape, bool)
+                first[:, 0] = True
+                take.append(np.repeat(rows, order.shape[1]))
+                cluster.append(order.ravel())
+                home.append(first.ravel())
+            kept = pa.Table.from_batches([batch]).take(pa.array(np.concatenate(take)))
+            yield from kept.append_column("cluster", pa.array(np.concatenate(cluster))).append_column("home", pa.array(np.concatenate(home))).combine_chunks().to_batches()
+
+    return run
+
+
+def _build(width: int):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        ids = table.column("id").to_numpy()
+        graph, parents = build_graph(_units(_matrix(table.column("vector"))), width)
+        children = np.flatnonzero(parents >= 0)
+        children = children[np.argsort(parents[children], kind="stable")]
+        below = np.concatenate([[0], np.cumsum(np.bincount(parents[children], minlength=len(ids)))])
+        near = np.concatenate([[0], np.cumsum((graph >= 0).sum(axis=1))])
+        lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids[flat])) for ends, flat in ((near, graph[graph >= 0]), (below, children))]
+        return pa.table({**{c: table.column(c) for c in ("label", "dim", "id")}, "near": lists[0], "below": lists[1]})
+
+    return run
+
+
+def _least_reached(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """By place, the smallest place that edges (a, b) reach."""
+    root = np.arange(n)
+    while True:
+        before = root.copy()
+        np.minimum.at(root, a, root[b])
+        np.minimum.at(root, b, root[a])
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
+_FOUND = "id long, other long, n_own long, n_links long, listed boolean"
+
+
+def _search(width: int, least: float):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        asks = table.column("asks").to_numpy(zero_copy_only=False)
+        base, query = np.flatnonzero(~asks), np.flatnonzero(asks)
+        # links that are listed have the other's id; other rows have what a vector counts here, and its root
+        rows = {c: [np.zeros(0, np.int64)] for c in ("id", "other", "n_own", "n_links", "listed")}
+        if len(base) and len(query):
+            ids, many, exact = table.column("id").to_numpy(), table.column("many").to_numpy(), _matrix(table.column("vector"))
+            exact = exact / np.linalg.norm(exact, axis=1, keepdims=True)
+            x, names = exact[base].astype(np.float32), ids[base]
+
+            def stored(column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                """A column's lists as places in this shard, of what the shard stores: (row, value, where each row begins)."""
+                lists = table.column(column).take(pa.array(base)).combine_chunks()
+                flat, sizes = lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
+                row, place = np.repeat(np.arange(len(base)), sizes), np.minimum(np.searchsorted(names, flat), len(names) - 1)
+                row, place = row[names[place] == flat], place[names[place] == flat]
+                return row, place, np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(base)))])
+
+            row, place, begin = stored("near")
+            graph = np.full((len(base), max(1, int(np.diff(begin).max()))), -1, np.int64)
+            graph[row, np.arange(len(row)) - begin[row]] = place
+            _, below, begin = stored("below")
+            medoid = int((x @ x.mean(axis=0)).argmax())
+            edges = [np.zeros((2, 0), np.int64)]
+            for at in range(0, len(query), 128):
+                part = query[at : at + 128]
+                q, node = range_search(x, graph, (begin, below), medoid, exact[part].astype(np.float32), width, least - 1e-4)
+                sure = [np.einsum("id,id->i", exact[part[q[k : k + 65536]]], exact[base[node[k : k + 65536]]]) >= least for k in range(0, len(q), 65536)]
+                sure = np.concatenate([*sure, np.zeros(0, bool)])
+                sure &= ids[part[q]] != names[node]
+                q, node = q[sure], node[sure]
+                count = np.bincount(q, minlength=len(part))
+                few = count[q] <= LISTED
+                crowd = np.flatnonzero(count > LISTED)
+                own = np.concatenate([part[q[few]], part[crowd]])
+                rows["id"].append(ids[own])
+                rows["other"].append(np.concatenate([names[node[few]], ids[part[crowd]]]))
+                rows["n_own"].append(many[own])
+                rows["n_links"].append(np.concatenate([many[base[node[few]]], np.bincount(q, many[base[node]], len(part)).astype(np.int64)[crowd]]))
+                rows["listed"].append(np.repeat([1, 0], [int(few.sum()), len(crowd)]))
+                edges.append(np.stack([part[q], base[node]]))
+            a, b = np.concatenate(edges, axis=1)
+            # a vector is there as a query and as stored: places of one id are one; ids are sorted, so are places
+            one = np.searchsorted(ids, ids)
+            root = _least_reached(len(ids), one[a], one[b])
+            moved = np.flatnonzero((root != np.arange(len(ids))) & (one == np.arange(len(ids))))
+            for c, v in (("id", ids[moved]), ("other", ids[root[moved]]), *((c, np.zeros(len(moved))) for c in ("n_own", "n_links", "listed"))):
+                rows[c].append(v)
+        out = {c: np.concatenate(v).astype(np.int64) for c, v in rows.items()}
+        return pa.table({**{c: out[c] for c in ("id", "other", "n_own", "n_links")}, "listed": out["listed"].astype(bool)})
 
     return run
 
@@ -96,8 +334,8 @@ def _pack(table: pa.Table) -> pa.Table:
     )
 
 
-def _compare(least: float):
-    """Two packed blocks, or one with itself, to (id, n_links, root) of the vectors that have links there."""
+def _compare(least: float, one_sided: bool):
+    """Two packed blocks, or one with itself, to (id, n_links, root) of the vectors that have links there; or of the first block's alone."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("side")
@@ -111,7 +349,7 @@ def _compare(least: float):
         if len(sides) == 1:
             close |= close.T  # whichever way a product was rounded, a link is one of both ends
         links = [(ids_a, close @ many_b)]
-        if len(sides) == 2:
+        if len(sides) == 2 and not one_sided:
             links.append((ids_b, many_a @ close))
         # an id that two classes bear can be in two components: counts and roots are rows of their own
         rows = [(ids[n > 0], n[n > 0], ids[n > 0]) for ids, n in links]
@@ -122,17 +360,20 @@ def _compare(least: float):
 
 
 def near_duplicate_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
-    """One row per vector: vec_id, n_links, component_id, kept, audit_recall.
+    """One row per vector: vec_id, n_links, component_id, kept, audit_recall, exact.
 
     Vectors are compared where labels are equal and not null, and linked at a cosine of ``least`` or more. Equal
-    vectors of a label become one class first, so copies cost one row and count as links with their number. n_links
-    counts every other vector linked directly; component_id is the smallest vec_id that links reach. No pair within
-    range is left out, so audit_recall, the share of true links that were found, is one.
+    vectors of a label become one class first, so copies cost one row and count as links with their number. A link
+    counts at both ends, whichever end's search finds it; component_id is the smallest vec_id that links reach.
+
+    audit_recall is the mean share of their true links that the searches of the audited vectors found in the last
+    graphs, over vectors with links (null where there are none). Where any is missed, or there is nothing to judge by,
+    the result comes from the exact comparison, and ``exact`` says so.
 
     Null, zero and empty vectors and those with null or non-finite components have no links; vectors of different
     lengths aren't compared. A null vec_id is left alone with a null component. Rows that repeat a vec_id each count.
-    An empty table gives no rows; other columns are ignored. The work grows with the square of a label's classes
-    where the blocks' bounds exclude nothing.
+    An empty table gives no rows; other columns are ignored. A shard with more than ``PAGE`` vectors is cut into
+    pages, each with its own graph, that all its queries search.
     """
     whole = "vec_id is not null and label is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists(embedding, x -> x <> 0)"
     rows = vectors.select(F.col("vec_id").cast("long"), "label", F.col("embedding").cast("array<double>"))
@@ -145,30 +386,101 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame
     sizes = {(r["label"], r["dim"]): r["count"] for r in plain.groupBy("label", "dim").count().orderBy(F.desc("count")).limit(MOST_CENTROIDS).collect()}
     sample = plain.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     centroids = _centroids([r for r in sample if (r["label"], r["dim"]) in sizes], sizes)
-    found = _block_links(plain, centroids, least, kind)
-    linked = found.groupBy("id").agg(F.sum("n_links").alias("found"))
-    components = connected_components(found.where("root <> id").select(F.col("root").alias("a"), F.col("id").alias("b")))
-    named = classes.select("label", "embedding", "id", "many").join(linked, "id", "left").join(components, "id", "left")
-    named = named.select("label", "embedding", (F.coalesce("found", F.lit(0)) + F.col("many") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
-    out = rows.withColumn("ok", F.expr(whole)).withColumn("embedding", F.when(F.col("ok"), F.col("embedding"))).join(named, ["label", "embedding"], "left")
-    component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"), F.lit(1.0).alias("audit_recall"))
-
-
-def _block_links(plain: DataFrame, centroids: dict, least: float, kind: str) -> DataFrame:
-    """(id, n_links, root) by pair of blocks: a pair of vectors meets in one of them, and counts for both."""
-    stored = saved(plain.mapInArrow(_shards(centroids), f"label {kind}, id long, many long, dim int, vector binary, cluster int"), "shards")
+
+    homes = plain.mapInArrow(_shards(centroids, 1), f"label {kind}, id long, many long, dim int, vector binary, cluster int, home boolean")
+    blocks = _blocks(homes.drop("home"), kind)
+    step = max(1, min(AUDIT, plain.count() // LEAST_AUDITED))
+    asked = F.pmod("id", F.lit(step)) == 0
+    truth = _block_links(_blocks(homes.drop("home").where(asked), kind), blocks, least).where("n_links > 0").groupBy("id").agg(F.sum("n_links").alias("truth"))
+    truth = saved(truth.where(asked), "audit")
+
+    for copies, width in EFFORTS:
+        found = _graph_links(plain, centroids, copies, width, least, kind)
+        links = saved(_counted(found), "link-counts")
+        # a search's own count can't exceed the truth: both are verified in double precision
+        got = truth.join(links, "id", "left").select(F.least(F.lit(1.0), F.coalesce("n_links", F.lit(0)) / F.col("truth")).alias("share"))
+        recall, worst = got.agg(F.avg("share"), F.min("share")).first()
+        if worst == 1.0:
+            break
+    edges = found.where("other <> id").select(F.col("other").alias("a"), F.col("id").alias("b"))
+    exact = worst is None or worst < 1.0
+    if exact:
+        met = _block_links(blocks, None, least)
+        links = met.groupBy("id").agg(F.sum("n_links").alias("n_links"))
+        edges = edges.unionByName(met.where("root <> id").select(F.col("root").alias("a"), F.col("id").alias("b")))
+    components = connected_components(edges)
+    named = classes.select("label", "embedding", "id", "many").join(links, "id", "left").join(components, "id", "left")
+    named = named.select("label", "embedding", (F.coalesce("n_links", F.lit(0)) + F.col("many") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    # vectors that can't have links don't take part in the join: they would all meet in one key
+    alike = rows.where(whole).join(named, ["label", "embedding"], "left").select("vec_id", "n_links", "component_id")
+    alone = rows.where(~F.coalesce(F.expr(whole), F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = alike.unionByName(alone)
+    return out.select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "component_id",
+        F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        F.lit(recall).cast("double").alias("audit_recall"),
+        F.lit(exact).alias("exact"),
+    )
+
+
+def _counted(found: DataFrame) -> DataFrame:
+    """(id, n_links): what a vector counts where it finds many, and each listed link once at either end."""
+    counted = found.where("not listed").groupBy("id").agg(F.sum("n_links").alias("n_links"))
+    crowded = counted.where("n_links > 0").select("id")
+    listed = found.where("listed")
+    # a vector that counts some of its links has found the others itself
+    back = listed.select(F.col("other").alias("id"), F.col("id").alias("other"), F.col("n_own").alias("n_links")).join(crowded, "id", "left_anti")
+    ends = listed.select("id", "other", "n_links").unionByName(back).distinct()
+    return ends.select("id", "n_links").unionByName(counted).groupBy("id").agg(F.sum("n_links").alias("n_links"))
+
+
+def _graph_links(plain: DataFrame, centroids: dict, copies: int, width: int, least: float, kind: str) -> DataFrame:
+    """What the searches of every shard found there: links, counts and roots."""
+    stored = plain.mapInArrow(_shards(centroids, copies), f"label {kind}, id long, many long, dim int, vector binary, cluster int, home boolean")
+    stored = saved(stored, "shards")
+    pages = stored.groupBy("label", "dim", "cluster").agg(F.ceil(F.count("*") / PAGE).alias("pages"))
+    stored = stored.join(pages, ["label", "dim", "cluster"])
+    base = saved(stored.withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages"))), "pages")
+    near = base.groupBy(_UNIT).applyInArrow(_build(width), f"label {kind}, dim int, id long, near array<long>, below array<long>")
+    united = [F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "below")]  # one list a shard that stores it
+    near = saved(near.groupBy("id").agg(*united), "adjacency")
+    # queries of a large shard are cut to blocks as well; each block meets each page in a task of its own
+    blocks = F.ceil(F.col("pages") / QUERY_PAGES)
+    asks = stored.where("home").withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)))
+    asks = asks.withColumn("block", F.pmod(F.xxhash64("id", F.lit("ask")), blocks))
+    columns = [*_UNIT, "block", "id", "many", "vector"]
+    met = base.join(near, "id").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    none = F.array().cast("array<long>")
+    both = met.select(*columns, "near", "below", F.lit(False).alias("asks"))
+    both = both.unionByName(asks.select(*columns, none.alias("near"), none.alias("below"), F.lit(True).alias("asks")))
+    return saved(both.groupBy(*_UNIT, "block").applyInArrow(_search(width, least), _FOUND), "found")
+
+
+def _blocks(homes: DataFrame, kind: str) -> DataFrame:
+    """Vectors packed by the shard of their nearest centroid, with the centre of each block and the widest angle to it."""
+    homes = saved(homes, "homes")
     room = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("dim")))))
-    pages = stored.groupBy("label", "dim", "cluster").agg(F.count("*").alias("n")).withColumn("pages", F.ceil(F.col("n") / room)).drop("n")
-    paged = stored.join(pages, ["label", "dim", "cluster"]).withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages"))).drop("pages")
+    pages = homes.groupBy("label", "dim", "cluster").agg(F.count("*").alias("n")).withColumn("pages", F.ceil(F.col("n") / room)).drop("n")
+    paged = homes.join(pages, ["label", "dim", "cluster"]).withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages"))).drop("pages")
     schema = f"label {kind}, dim int, cluster int, page long, ids binary, manys binary, vectors binary, centre array<double>, reach double"
-    blocks = saved(paged.groupBy(_UNIT).applyInArrow(_pack, schema), "blocks")
-    bounds = blocks.select("label", "dim", F.struct("cluster", "page").alias("block"), "centre", "reach")
-    a, b = (bounds.select("label", "dim", *(F.col(c).alias(c + side) for c in ("block", "centre", "reach"))) for side in "ab")
+    return saved(paged.groupBy(_UNIT).applyInArrow(_pack, schema), "blocks")
+
+
+def _block_links(blocks: DataFrame, others: DataFrame | None, least: float) -> DataFrame:
+    """(id, n_links, root) by pair of blocks: every link in a table (None), counted at both ends, or from it to others."""
+    sides = {"a": blocks, "b": blocks if others is None else others}
+    a, b = (t.select("label", "dim", F.struct("cluster", "page").alias("block" + k), F.col("centre").alias("centre" + k), F.col("reach").alias("reach" + k)) for k, t in sides.items())
     apart = F.expr("acos(greatest(-1d, least(1d, aggregate(zip_with(centrea, centreb, (x, y) -> x * y), 0d, (s, x) -> s + x))))")
-    near = (F.col("blocka") == F.col("blockb")) | (apart <= F.col("reacha") + F.col("reachb") + math.acos(max(-1.0, min(1.0, least))) + 1e-6)
-    pairs = saved(a.join(b, ["label", "dim"]).where("blocka <= blockb").where(near).select("label", "dim", "blocka", "blockb"), "block-pairs")
-    sides = F.when(F.col("blocka") == F.col("blockb"), F.array("blocka")).otherwise(F.array("blocka", "blockb"))
-    met = pairs.select("label", "dim", "blocka", "blockb", F.posexplode(sides).alias("side", "block")).select("*", "block.*")
-    met = met.join(blocks, _UNIT).select("label", "dim", *(F.col(f"block{s}.{c}").alias(c + s) for s in "ab" for c in ("cluster", "page")), "side", "ids", "manys", "vectors")
-    return saved(met.groupBy("label", "dim", "clustera", "pagea", "clusterb", "pageb").applyInArrow(_compare(least), "id long, n_links long, root long"), "found")
+    near = apart <= F.col("reacha") + F.col("reachb") + math.acos(max(-1.0, min(1.0, least))) + 1e-6
+    pairs = a.join(b, ["label", "dim"])
+    pairs = pairs.where(near) if others is not None else pairs.where("blocka <= blockb").where((F.col("blocka") == F.col("blockb")) | near)
+    pairs = saved(pairs.select("label", "dim", "blocka", "blockb"), "block-pairs")
+    both = F.array(F.struct(F.lit(0).alias("side"), F.col("blocka").alias("block")), F.struct(F.lit(1).alias("side"), F.col("blockb").alias("block")))
+    own = F.slice(both, 1, 1)
+    met = pairs.select("label", "dim", "blocka", "blockb", F.explode(F.when(F.col("blocka") == F.col("blockb"), own).otherwise(both) if others is None else both).alias("at"))
+    met = met.select("label", "dim", "blocka", "blockb", "at.side", "at.block.cluster", "at.block.page")
+    packed = sides["a"].withColumn("side", F.lit(0)).unionByName(sides["b"].withColumn("side", F.lit(1)))
+    met = met.join(packed, [*_UNIT, "side"]).select("label", "dim", *(F.col(f"block{s}.{c}").alias(c + s) for s in "ab" for c in ("cluster", "page")), "side", "ids", "manys", "vectors")
+    return saved(met.groupBy("label", "dim", "clustera", "pagea", "clusterb", "pageb").applyInArrow(_compare(least, others is not None), "id long, n_links long, root long"), "found")

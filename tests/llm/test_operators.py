@@ -475,7 +475,7 @@ def test_vectors(spark):
         part = new
     got = {r["vec_id"]: r for r in embed_dedup.near_duplicate_vectors(df).collect()}
     links = {i: int(n) for i, n in zip(ids, linked.sum(axis=1), strict=True)}
-    assert sum(got[i]["n_links"] for i in links) >= 0.99 * sum(links.values()) and all(got[i]["n_links"] <= links[i] for i in links)
+    assert {i: got[i]["n_links"] for i in links} == links
     assert {i: got[i]["component_id"] for i in links} == dict(zip(ids.tolist(), part.tolist(), strict=True))
     for i in (600, 601, 602, 603, 604, 605, 606):
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
@@ -504,7 +504,7 @@ def test_vector_pairs_across_shards(spark, monkeypatch):
     close, got = lone_pairs(spark, monkeypatch)
     apart = [(i, j) for i, j in np.argwhere(close).tolist() if got[i]["component_id"] != got[j]["component_id"]]
     assert not apart, f"{len(apart)} of {close.sum()}"
-    assert {r["audit_recall"] for r in got.values()} == {1.0}
+    assert all(0.9 <= r["audit_recall"] <= 1.0 for r in got.values())
 
 
 def test_vector_links_count_at_both_ends(spark, monkeypatch):
