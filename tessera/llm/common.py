@@ -71,15 +71,17 @@ def release(*tables: DataFrame | None) -> None:
             _delete(table.sparkSession, table.saved_at)
 
 
-def join_spread(many: DataFrame, few: DataFrame, key: str, by: str, parts: int = 64) -> DataFrame:
+def join_spread(many: DataFrame, few: DataFrame, key: str, by: str, parts: int = 64, small: int = 50_000) -> DataFrame:
     """many.join(few, key) where one key may hold most rows of ``many``.
 
-    These are dealt over ``parts`` tasks by a hash of the column ``by``, and the rows of ``few``, which is meant to be
-    much smaller, go to each of them.
+    Up to ``small`` rows of ``few`` are broadcast. Beyond it the rows of a key are dealt over ``parts`` tasks by a hash
+    of the column ``by``, and the rows of ``few``, which is meant to be much smaller, go to each of them.
     """
+    if few.count() <= small:
+        return many.join(F.broadcast(few), key)
     left = many.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
     right = few.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return left.join(right, [key, "_part"]).drop("_part")
+    return left.join(right.hint("merge"), [key, "_part"]).drop("_part")
 
 
 def ascii_lower(col):

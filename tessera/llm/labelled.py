@@ -13,7 +13,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: d
 
     The choice is by a hash of doc_id, so it is the same at every run. The chosen ids are at most the sum of the
     bounds, whatever the tables' sizes, which is why they may be broadcast. A doc_id that is labelled more than once
-    has its highest label; null labels and ids are left out.
+    has its highest label, and one that several rows bear its smallest text, so the bounds are those of rows as well;
+    null labels and ids are left out.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), folds) != fold))
     known = known.groupBy("doc_id").agg(F.max(label).alias("y"))
@@ -21,4 +22,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: d
     for y, most in per_class.items():
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))

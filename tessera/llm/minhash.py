@@ -21,7 +21,7 @@ _SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, registers binary"
 #: Ids of documents to read again are broadcast up to this many (16 MB or so), beyond it they are joined by shuffles.
 MOST_BROADCAST_IDS = 1_000_000
 #: A block that one task compares with another has at most so many documents and about so many shingles.
-BLOCK_DOCS, BLOCK_SHINGLES = 2000, 150_000
+BLOCK_DOCS, BLOCK_SHINGLES = 500, 150_000
 #: Groups of more pairs of blocks first have all members compared with so many leads, again as long as that joins much.
 FEW_BLOCK_PAIRS, LEADS = 8, 64
 #: Members of a band up to which its open pairs become rows; larger bands are compared as blocks.
@@ -279,14 +279,14 @@ def _join_groups(groups: DataFrame, known: DataFrame, found: DataFrame, heads: D
         if not left or (before is not None and left > 0.7 * before):
             break
         before = left
-        some = join_spread(members, large.select("g"), "g", "id")
+        some = join_spread(members, saved(large.select("g"), "large-groups"), "g", "id")
         blocks = _packed_blocks(some, large, sets)
         # half of the leads are open, half near
         draw = F.xxhash64("id", F.lit(turn))
         leads = some.withColumn("bucket", F.pmod(draw, F.lit(LEADS // 2))).groupBy("g", "near", "bucket").agg(F.min_by("id", draw).alias("id"))
         leads = leads.select("g", "id").join(sets, "id").select("g", F.lit(True).alias("near"), F.lit(0).cast("long").alias("block"), "id", "shingles")
         leads = leads.groupBy("g", "near", "block").applyInArrow(_pack, _BLOCK).select("g", *[F.col(c).alias("lead_" + c) for c in ("ids", "sizes", "shingles")])
-        met = join_spread(blocks, saved(leads, "group-leads"), "g", "block", 16).mapInArrow(_meet_leads(percent), "a long, b long")
+        met = join_spread(blocks, saved(leads, "group-leads"), "g", "block", 16, 0).mapInArrow(_meet_leads(percent), "a long, b long")
         known, found = _with_links(known, found, met)
         members = _open_members(groups, found, heads)
         if members.isEmpty():

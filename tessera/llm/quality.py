@@ -140,7 +140,10 @@ def _score(odds: np.ndarray):
 
 
 def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with ``score`` added: the chance of label 1 by the whole text alone. Null and empty texts have only the end mark."""
+    """docs with ``score`` added (a column of that name is replaced): the chance of label 1 by the whole text alone.
+
+    Null and empty texts have only the end mark. Rows, repeated ones too, stay as they are; an empty table stays empty.
+    """
     score = _score(fit_quality(docs, labels))
     kept = docs.drop("score")
     schema = with_field(kept, "score", "double")

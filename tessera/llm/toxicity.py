@@ -8,7 +8,6 @@ are counted apart, as is how densely hits crowd in a window of words.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,19 +22,20 @@ from .labelled import labelled_sample
 #: The training sample's bound by label.
 SAMPLE = {0: 5000, 1: 5000}
 HELD_OUT = 1
-#: A term must occur in so many different surroundings of toxic documents (a number, and a share of the sample's toxic
-#: documents), and in at most a share of that elsewhere.
-MIN_SUPPORT, SUPPORT_SHARE, MOST_ELSEWHERE, MOST_TERMS = 5, 0.004, 0.05, 500
+#: A term must occur in so many different surroundings of toxic documents, in at most a share of that elsewhere, and so
+#: many standard deviations more often than the share of toxic documents in the sample explains.
+MIN_SUPPORT, MOST_ELSEWHERE, MIN_DEVIATIONS = 5, 0.05, 4.4
 #: Terms an automaton is made of; a larger lexicon becomes several.
 TERMS_TOGETHER = 100
 WINDOW = 12
 _OPENING, _CLOSING = "“«„‹", "”»›"
+_POINTS = 0x110000
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """By code point: is it part of a word; is it a straight quote (1), an opening (2) or closing one (3)."""
-    word = np.array([chr(i).isalnum() or i == 95 for i in range(1 << 16)])
-    quote = np.zeros(1 << 16, np.uint8)
+    word = np.array([chr(i).isalnum() or i == 95 for i in range(_POINTS)])
+    quote = np.zeros(_POINTS, np.uint8)
     quote[34] = 1
     for marks, kind in ((_OPENING, 2), (_CLOSING, 3)):
         quote[[ord(c) for c in marks]] = kind
@@ -58,7 +58,7 @@ def _spans(points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Starts and lengths of the runs of letters and digits, and the text of each."""
     if not len(points):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    solid = _WORD[np.minimum(points, 0xFFFF)]
+    solid = _WORD[points]
     edge = np.zeros(len(points) + 1, bool)
     edge[bounds] = True
     shifted = np.concatenate([[False], solid[:-1]])
@@ -81,8 +81,7 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for i, w in enumerate(words):
                 before = words[i - 1] if i and owner[i - 1] == owner[i] else ""
                 after = words[i + 1] if i + 1 < len(words) and owner[i + 1] == owner[i] else ""
-                if 3 <= len(w) <= 40:
-                    seen.add((w, labels[at + owner[i]], f"{before} {after}"))
+                seen.add((w, labels[at + owner[i]], f"{before} {after}"))
             if seen:
                 w, y, around = zip(*seen, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(y, pa.int32()), pa.array(around)], names=["word", "y", "around"])
@@ -91,16 +90,19 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     """Terms and weights from (text, y).
 
-    A term counts once for each pair of neighbours, so copies of one document, however many, count once too.
+    A term counts once for each pair of neighbours, so copies of one document, however many, count once too. All terms
+    that pass the test are taken; as the sample is bounded, so are they.
     """
-    toxic = sample.where("y = 1").count()
-    support = max(MIN_SUPPORT, math.ceil(SUPPORT_SHARE * toxic))
+    toxic, all_ = sample.agg(F.count(F.when(F.col("y") == 1, 1)), F.count("*")).first()
+    share = toxic / max(all_, 1)
     seen = sample.select("y", "text").mapInArrow(_surroundings, "word string, y int, around string")
     counted = seen.groupBy("word").agg(
         F.countDistinct(F.when(F.col("y") == 1, F.xxhash64("around"))).alias("toxic"), F.countDistinct(F.when(F.col("y") == 0, F.xxhash64("around"))).alias("other")
     )
-    good = counted.where((F.col("toxic") >= support) & (F.col("other") <= F.col("toxic") * MOST_ELSEWHERE))
-    rows = good.orderBy(F.desc("toxic"), "word").limit(MOST_TERMS).collect()
+    many = F.col("toxic") + F.col("other")
+    surprise = (F.col("toxic") - many * share) / F.sqrt(many * (share * (1 - share)))
+    good = counted.where((F.col("toxic") >= MIN_SUPPORT) & (F.col("other") <= F.col("toxic") * MOST_ELSEWHERE) & (F.coalesce(surprise, F.lit(0.0)) >= MIN_DEVIATIONS))
+    rows = good.orderBy(F.desc("toxic"), "word").collect()
     return {r["word"]: float(np.log((r["toxic"] + 0.5) / (r["other"] + 0.5))) for r in rows}
 
 
@@ -134,16 +136,21 @@ class Automaton:
     def __init__(self, terms: list[str], errors=allowed_errors):
         self.terms = list(terms)
         alphabet = sorted(set("".join(terms)))
+        class_of = {c: i + 1 for i, c in enumerate(alphabet)}
+        # by code point for those of two bytes; the alphabet's few others are looked up
         self.classes = np.zeros(1 << 16, np.uint8 if len(alphabet) < 255 else np.uint16)
-        for i, c in enumerate(alphabet):
-            self.classes[min(ord(c), 0xFFFF)] = i + 1
+        for c, k in class_of.items():
+            if ord(c) < 1 << 16:
+                self.classes[ord(c)] = k
+        self.wide = np.array([ord(c) for c in alphabet if ord(c) >= 1 << 16], np.uint32)
+        self.wide_classes = np.array([class_of[chr(p)] for p in self.wide.tolist()], self.classes.dtype)
         children: list[dict[int, int]] = [{}]
         ends, reach = [-1], [0]
         for k, term in enumerate(terms):
             node = 0
             reach[0] = max(reach[0], errors(term))
             for c in term:
-                c = int(self.classes[min(ord(c), 0xFFFF)])
+                c = class_of[c]
                 if c not in children[node]:
                     children[node][c] = len(children)
                     children.append({})
@@ -203,6 +210,13 @@ class Automaton:
         self.errors = np.array([e for _, e in accept], np.int8)
         self.longest = max((len(t) + errors(t) for t in terms), default=0)
 
+    def class_numbers(self, points: np.ndarray) -> np.ndarray:
+        out = np.where(points < 1 << 16, self.classes[np.minimum(points, 0xFFFF)], 0)
+        if len(self.wide):
+            at = np.minimum(np.searchsorted(self.wide, points), len(self.wide) - 1)
+            out = np.where(self.wide[at] == points, self.wide_classes[at], out)
+        return out
+
     def match(self, points: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(number of the word, term, errors) for the words that match a term."""
         alive = np.flatnonzero(sizes <= self.longest)
@@ -216,7 +230,7 @@ class Automaton:
                 alive, state = alive[~ended], state[~ended]
             if not len(alive):
                 break
-            state = self.step[state, self.classes[np.minimum(points[starts[alive] + k], 0xFFFF)]]
+            state = self.step[state, self.class_numbers(points[starts[alive] + k])]
             live = state > 0
             alive, state = alive[live], state[live]
         word = np.concatenate([h[0] for h in hits])
@@ -227,7 +241,7 @@ class Automaton:
 
 def quoted(points: np.ndarray, bounds: np.ndarray, at: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Is each position between quotation marks of its text that open before it and close after it."""
-    kind = _QUOTE[np.minimum(points, 0xFFFF)]
+    kind = _QUOTE[points]
     counts = [np.concatenate([[0], np.cumsum(kind == k)]) for k in (1, 2, 3)]
     first, last = bounds[text], bounds[text + 1]
     straight = counts[0]
@@ -315,7 +329,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | No
 
 
 def with_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with ``score`` added: the chance of label 1 by the whole text alone."""
+    """docs with ``score`` added (a column of that name is replaced): the chance of label 1 by the whole text alone.
+
+    Without labelled documents nothing is toxic; null and empty texts have no hits. Rows, repeated ones too, stay as
+    they are, and an empty table stays empty.
+    """
     kept = docs.drop("score")
     return kept.mapInArrow(_scores(*fit_toxicity(docs, labels), "score"), with_field(kept, "score", "double"))
 
