@@ -31,7 +31,7 @@ START, END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 HELD_OUT, FOLDS = 2, 7
 ORDER = 3
 #: Bytes of text a range of hashes is made for, and how many distinct grams a task gathers before it passes them on.
-RANGE_BYTES, MOST_GATHERED = 64 << 20, 3_000_000
+RANGE_BYTES, MOST_GATHERED = 32 << 20, 3_000_000
 #: Ranges of an order that a task keeps mapped, the most parts a shuffle has, and bytes of text looked up together.
 MOST_OPEN, MOST_PARTS, TOGETHER = 256, 8192, 2 << 20
 _ONE = 1 << 32
@@ -94,16 +94,43 @@ def _unsqueezed(blob: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.int64).ravel()
 
 
+def _numbered(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each row of values, the different rows one after another): few rows differ, whatever they hold."""
+    if len(values) == 1:
+        return values[0], np.zeros(0, np.int64)
+    names = np.zeros(len(values[0]), U64)
+    for k, v in enumerate(values):
+        names = mix(names ^ (v.view(U64) + U64(k)))
+    _, first, numbers = np.unique(names, return_index=True, return_inverse=True)
+    return numbers.astype(np.int64), np.stack([v[first] for v in values]).ravel()
+
+
 def _ranges(bits: int, keys: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
-    """One row a range of hashes (the top bits) with the sorted keys in it, as steps, and their values."""
+    """One row a range of hashes (the top bits) with the sorted keys in it, as steps, and their values, numbered."""
     cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=U64) << U64(64 - bits)) if bits else np.zeros(0, np.int64)
     cuts = np.concatenate([[0], cuts, [len(keys)]])
     full = np.flatnonzero(np.diff(cuts))
-    steps = [np.diff(keys[cuts[i] : cuts[i + 1]], prepend=U64(0)) for i in full]
-    columns = [pa.array([_squeezed(s) for s in steps], pa.binary())]
-    columns += [pa.array([_squeezed(v[cuts[i] : cuts[i + 1]]) for i in full], pa.binary()) for v in values]
-    names = ["part", "n", "keys", *(f"v{i}" for i in range(len(values)))]
-    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([len(s) for s in steps], pa.int64()), *columns], names=names)
+    rows = {c: [] for c in ("part", "n", "keys", "numbers", "kinds", "table")}
+    for i in full.tolist():
+        own = slice(cuts[i], cuts[i + 1])
+        numbers, table = _numbered([v[own] for v in values])
+        row = (i, len(numbers), _squeezed(np.diff(keys[own], prepend=U64(0))), _squeezed(numbers), len(table), _squeezed(table))
+        for c, v in zip(rows, row, strict=True):
+            rows[c].append(v)
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()), strict=True)], names=list(rows))
+
+
+_RUN = "part int, n long, keys binary, numbers binary, kinds long, table binary"
+
+
+def _gathered(table: pa.Table, n_values: int) -> tuple[np.ndarray, ...]:
+    """Keys and values of the runs of a range, summed."""
+    parts = []
+    for row in table.select(["n", "keys", "numbers", "kinds", "table"]).to_pylist():
+        keys = np.cumsum(_unsqueezed(row["keys"], row["n"]).view(U64), dtype=U64)
+        numbers = _unsqueezed(row["numbers"], row["n"])
+        parts.append((keys, *(v[numbers] for v in _unsqueezed(row["table"], row["kinds"]).reshape(n_values, -1))) if n_values > 1 else (keys, numbers))
+    return _summed(*map(np.concatenate, zip(*parts, strict=True)))
 
 
 def _runs(level: int, bits: int, model: Model):
@@ -192,11 +219,9 @@ def _write_range(folder: str, level: int, bits: int, top: bool, has_total: bool)
     """One range of hashes as a file, and what discounts need to know of it."""
 
     def run(table: pa.Table) -> pa.Table:
-        part, runs = table.column("part")[0].as_py(), table.column("n").to_pylist()
-        columns = [c for c in table.column_names if c.startswith("v")]
+        part = table.column("part")[0].as_py()
         with np.errstate(over="ignore"):
-            keys = np.concatenate([np.cumsum(_unsqueezed(b, n).view(U64), dtype=U64) for b, n in zip(table.column("keys").to_pylist(), runs, strict=True)])
-            keys, count, *shares = _summed(keys, *(np.concatenate([_unsqueezed(b, n) for b, n in zip(table.column(c).to_pylist(), runs, strict=True)]) for c in columns))
+            keys, count, *shares = _gathered(table, 1 if top else 3 + has_total)
         adjusted = count if top else _whole(shares[0])
         single = (count == 1) if level > 1 else np.zeros(len(keys), bool)
         arrays = []
@@ -378,9 +403,8 @@ def fit(docs: DataFrame, training, folder: str | None = None, order: int = ORDER
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     most = max(0, int(size - 1) // RANGE_BYTES).bit_length() if size else 0
     for level in range(order, 0, -1):
-        bits = most if level > 1 else max(0, most - 5)  # there are far fewer words than longer grams
-        values = 1 if level == order else 3 + model.has_total(level)
-        runs = texts.mapInArrow(_runs(level, bits, model), "part int, n long, keys binary, " + ", ".join(f"v{i} binary" for i in range(values)))
+        bits = most if level > 1 else max(0, most - 1)  # there are fewer words than longer grams
+        runs = texts.mapInArrow(_runs(level, bits, model), _RUN)
         # as many parts as the ranges need, whatever the session's setting
         dealt = runs.repartition(min(2 << bits, MOST_PARTS), "part").groupBy("part")
         made = dealt.applyInArrow(_write_range(model.folder, level, bits, level == order, model.has_total(level)), "part int, " + ", ".join(f"{c} long" for c in _SUMS))

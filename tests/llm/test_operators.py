@@ -804,9 +804,7 @@ def test_model_files_hold_large_counts_and_must_be_there(tmp_path):
     keys = np.unique(rnd.integers(0, 1 << 63, 5000).astype(np.uint64))
     counts = rnd.choice([1, 2, 254, 255, 100_000, 1 << 40], len(keys)).astype(np.int64)
     model = ngram_lm.Model(str(tmp_path), 2)
-    (row,) = ngram_lm._ranges(0, keys, counts).to_pylist()
-    row = {k: v for k, v in row.items()}
-    table = pa.table({"part": pa.array([0], pa.int32()), "n": [row["n"]], "keys": [row["keys"]], "v0": [row["v0"]]})
+    table = pa.Table.from_batches([ngram_lm._ranges(0, keys, counts)])
     made = ngram_lm._write_range(str(tmp_path), 2, 0, True, False)(table).to_pylist()
     model.add(2, 0, made)
     asked = np.unique(np.concatenate([keys, rnd.integers(0, 1 << 63, 3000).astype(np.uint64)]))
