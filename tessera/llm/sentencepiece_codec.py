@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import with_field
-from .hashing import U64, mix
+from .hashing import U64, mix, slices
 from .piece_store import PieceStore
 
 MARK = "▁"
@@ -244,8 +244,8 @@ def _encoded(path: str, kind: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path, kind)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for at, end, _, _ in slices(batch.column("text")):
+                part = batch.slice(at, end - at)
                 got = codec.encode(["" if t is None else t for t in part.column("text").to_pylist()])
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(g) for g in got])]), pa.int32())
                 ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(got).astype(np.int32)))
@@ -292,8 +292,8 @@ def round_trips(docs: DataFrame, path: str, kind: str | None = None) -> DataFram
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path, kind)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for at, end, _, _ in slices(batch.column("text")):
+                part = batch.slice(at, end - at)
                 texts = ["" if t is None else t for t in part.column("text").to_pylist()]
                 ids = codec.encode(texts)
                 back = codec.decode(ids)

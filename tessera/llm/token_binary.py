@@ -8,6 +8,7 @@ place on the next level, so any id is found from a few bytes and no block is dec
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .hashing import slices
 from .piece_store import PieceStore
 
 _MAGIC = b"DAC1"
@@ -120,11 +122,24 @@ def _byte_characters() -> dict[int, str]:
 _BYTES = _byte_characters()
 
 
+def _is_plain(spec: dict) -> bool:
+    """Whether a tokenizer's file says that it cuts as above: byte level, nothing normalised, no tokens but <|...|> apart."""
+    cut, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    return (
+        spec.get("normalizer") is None
+        and (cut.get("type"), cut.get("add_prefix_space", True), cut.get("use_regex", True)) == ("ByteLevel", False, True)
+        and model.get("type", "BPE") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        and all(t["content"].startswith("<|") for t in spec.get("added_tokens") or [])
+    )
+
+
 class PieceEncoder(PieceStore):
     """A byte-level BPE of the tokenizers library, piece by piece.
 
     Texts of familiar characters are cut as the library cuts them before merging, and its model merges each new piece
-    once. Other texts are cut at white space, and what is new goes through the whole library.
+    once. Other texts are cut at white space, and what is new goes through the whole library. So do whole texts where
+    the tokenizer isn't one that cuts in this way.
     """
 
     def __init__(self, path: str, most: int = 300_000):
@@ -134,15 +149,19 @@ class PieceEncoder(PieceStore):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        with open(path, encoding="utf-8") as f:
+            self.plain = _is_plain(json.load(f))
 
     def cut(self, text: str) -> list[str]:
+        if not self.plain:
+            return [text] if text else []
         if not _OTHER.search(text):
             return _PRETOKEN.findall(text)
         return [text] if _UNSURE.search(text) else _PIECE.findall(text)
 
     def learn(self, fresh: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         ids: list[list[int]] = []
-        single = [_PRETOKEN.fullmatch(p) is not None and not _OTHER.search(p) for p in fresh]
+        single = [self.plain and _PRETOKEN.fullmatch(p) is not None and not _OTHER.search(p) for p in fresh]
         order = [p for p, s in zip(fresh, single, strict=True) if s] + [p for p, s in zip(fresh, single, strict=True) if not s]
         n = sum(single)
         for p in order[:n]:
@@ -175,9 +194,9 @@ def _encode(path: str, end_id: int, shard_ids: int):
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=["part", "seq", "doc_ids", "lengths", "n_tokens", "codes"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                texts = ["" if t is None else t for t in batch.column("text").slice(at, 128).to_pylist()]
-                for doc_id, ids in zip(batch.column("doc_id").slice(at, 128).to_pylist(), pieces.encode(texts), strict=True):
+            for at, end, _, _ in slices(batch.column("text")):
+                texts = ["" if t is None else t for t in batch.column("text").slice(at, end - at).to_pylist()]
+                for doc_id, ids in zip(batch.column("doc_id").slice(at, end - at).to_pylist(), pieces.encode(texts), strict=True):
                     owners.append(doc_id)
                     pending.append(np.append(ids, np.uint32(end_id)))
                     size += len(ids) + 1
@@ -193,9 +212,10 @@ def _encode(path: str, end_id: int, shard_ids: int):
 def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> None:
     """Encode whole texts in ascending doc_id order (null ids first, ties by text) and write the shards to ``path``.
 
-    Ranges of doc_id are the partitions, so parts follow one another in order; Spark commits each task's shards once.
+    Ranges of doc_id, and of the beginnings of texts where many rows bear one id, are the partitions, so parts follow
+    one another in order; Spark commits each task's shards once.
     """
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_encode(tokenizer, end_id, shard_ids), _SHARD).write.parquet(path)
 
 
@@ -243,22 +263,35 @@ def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).mapInArrow(unpack, "doc_id long, ids array<long>")
 
 
-def ids_at(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
-    """(doc_id, place, id) for each (doc_id, place) asked for; place counts from 0 and must lie in the document.
+def ids_at(spark: SparkSession, path: str, places: DataFrame, together: int = 500_000) -> DataFrame:
+    """(doc_id, place, id) for each (doc_id, place) asked for; place counts from 0.
 
-    Only the shards that hold the documents asked for are joined, and of their codes only the addressed bytes are read.
+    id is null where the place is null or outside the document, and where there is no such document; a doc_id that
+    several documents bear has a row for each. The places asked of a shard meet it once, ``together`` at a time, and of
+    its codes only the addressed bytes are read.
     """
     shards = spark.read.parquet(path)
     inner = F.expr("transform(sequence(0, size(lengths) - 1), i -> aggregate(slice(lengths, 1, i), 0L, (a, x) -> a + x))")
-    index = shards.select("part", "seq", F.explode(F.arrays_zip("doc_ids", inner.alias("inner"))).alias("d")).select("part", "seq", F.col("d.doc_ids").alias("doc_id"), F.col("d.inner").alias("inner"))
-    wanted = places.join(index, "doc_id").join(shards.select("part", "seq", "codes"), ["part", "seq"])
-
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [Codes(c.as_py())[a.as_py() + p.as_py()] for c, a, p in zip(batch.column("codes"), batch.column("inner"), batch.column("place"), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("place").cast(pa.int64()), pa.array(got, pa.int64())], names=["doc_id", "place", "id"])
-
-    return wanted.select("doc_id", "place", "inner", "codes").mapInArrow(fetch, "doc_id long, place long, id long")
+    index = shards.select("part", "seq", F.explode(F.arrays_zip("doc_ids", inner.alias("inner"), "lengths")).alias("d"))
+    index = index.select("part", "seq", F.col("d.doc_ids").alias("doc_id"), F.col("d.inner").alias("inner"), F.col("d.lengths").alias("length"))
+    asked = places.select(F.col("doc_id").cast("long"), F.col("place").cast("long")).join(index, "doc_id", "left")
+    inside = F.coalesce((F.col("place") >= 0) & (F.col("place") < F.col("length")), F.lit(False))
+    outside = asked.where(~inside).select("doc_id", "place", F.lit(None).cast("long").alias("id"))
+    wanted = asked.where(inside).select("part", "seq", "doc_id", "place", (F.col("inner") + F.col("place")).alias("at"))
+    turns = wanted.groupBy("part", "seq").agg(F.ceil(F.count("*") / together).cast("int").alias("turns"))
+    wanted = wanted.join(turns, ["part", "seq"]).withColumn("turn", F.pmod(F.xxhash64("at"), F.col("turns")).cast("int")).drop("turns")
+    codes = shards.select("part", "seq", "codes").join(turns, ["part", "seq"]).select("part", "seq", "codes", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"))
+
+    def fetch(asked: pa.Table, held: pa.Table) -> pa.Table:
+        got = []
+        if held.num_rows and asked.num_rows:
+            codes = Codes(held.column("codes")[0].as_py())
+            got = [codes[i] for i in asked.column("at").to_pylist()]
+        return pa.table({"doc_id": asked.column("doc_id"), "place": asked.column("place"), "id": pa.array(got, pa.int64())})
+
+    key = ["part", "seq", "turn"]
+    wanted, codes = (t.toDF(*t.columns) for t in (wanted, codes))  # columns of their own, though both come from the shards
+    return wanted.groupBy(*key).cogroup(codes.groupBy(*key)).applyInArrow(fetch, "doc_id long, place long, id long").unionByName(outside)
 
 
 def encoded_digests(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, saved
+from .common import ascii_lower, release, saved
 
 #: (verdict, host and path): the path begins at the first slash.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-_ABSOLUTE_LINK = r"""(?i)href\s*=\s*["']?\s*([a-z][a-z0-9+.\-]*://[^"'\s>]+)"""
+_ABSOLUTE_LINK = r"""(?i)href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.\-]*:)?//[^"'\s>]+)"""
+_RELATIVE_LINK = r"""(?i)href\s*=\s*["']?\s*(?!["'\s>#]|//|[a-z][a-z0-9+.\-]*:)"""
 
 
 def host_of(url):
@@ -38,10 +39,16 @@ def match_rules(df: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Data
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst, weight): pages of src with absolute links to another host dst. Relative links stay on their host."""
-    linked = pages.where(F.contains("html", F.lit("://"))).select(
-        "page_id", host_of(F.col("url")).alias("src"), F.explode(F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(_ABSOLUTE_LINK), 1), host_of))).alias("dst")
-    )
+    """(src, dst, weight): pages of src with links to another host dst.
+
+    Links are absolute, or begin with ``//``; relative ones stay on their host, unless the page has a base elsewhere.
+    """
+    html = F.regexp_replace("html", r"(?i)<base\b[^>]*>", "")
+    absolute = F.transform(F.regexp_extract_all(html, F.lit(_ABSOLUTE_LINK), 1), lambda x: host_of(F.when(x.startswith("//"), F.concat(F.lit("http:"), x)).otherwise(x)))
+    base = F.regexp_extract("html", r"(?i)<base\b[^>]*" + _ABSOLUTE_LINK.removeprefix("(?i)"), 1)
+    base = host_of(F.when(base.startswith("//"), F.concat(F.lit("http:"), base)).otherwise(base))
+    based = F.when(html.rlike(_RELATIVE_LINK), F.array(base)).otherwise(F.array().cast("array<string>"))
+    linked = pages.where(F.contains("html", F.lit("//"))).select("page_id", host_of(F.col("url")).alias("src"), F.explode(F.array_distinct(F.concat(absolute, based))).alias("dst"))
     return linked.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
@@ -65,6 +72,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
         new = saved(moved.unionByName(start.select("host", (F.col("rank") * back).alias("rank"))).groupBy("host").agg(F.sum("rank").alias("rank")), "rank")
         both = new.withColumnRenamed("rank", "new").join(ranks, "host", "full")
         change = both.agg(F.sum(F.abs(F.coalesce("new", F.lit(0.0)) - F.coalesce("rank", F.lit(0.0))))).first()[0] or 0.0
+        release(moved, ranks if ranks is not start else None)
         ranks = new
         if change < tolerance:
             break

@@ -171,6 +171,10 @@ def test_link_graph(spark):
     edges = {(r["src"], r["dst"]): r["weight"] for r in url_filter.host_edges(df).collect()}
     assert edges == {(h, o): 1.0 for h, out in links.items() for o in out}
 
+    odd = ["<a href='//b.net/x'>", '<base href="http://far.net/d/"><a href="p">', '<base href="http://far.net/d/"><a href="#top">', '<base href="//far.net"><a href=q>', None, "", '<a href="mailto:x@y.z">', "<a href='HTTPS://B.net'> " * 2000]
+    found = url_filter.host_edges(spark.createDataFrame([(i, "http://a.net/", h) for i, h in enumerate(odd)] * 2, "page_id long, url string, html string")).collect()
+    assert {(r["src"], r["dst"], r["weight"]) for r in found} == {("a.net", "b.net", 4.0), ("a.net", "far.net", 4.0)}
+
     def power(edges, seeds):
         rank = {s: 1 / len(seeds) for s in seeds}
         for _ in range(200):
@@ -390,13 +394,26 @@ def test_token_files(spark, odd, no_docs, tmp_path):
         ids = np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4")
         assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (doc_id, start, len(ids), zlib.crc32(ids.tobytes())), text
         start += len(ids)
-    asked = spark.createDataFrame([(1008, 0), (1008, 3)], "doc_id long, place long")
     want = library.encode(ODD_TEXTS[8], add_special_tokens=False).ids
-    assert {(r["place"], r["id"]) for r in token_binary.ids_at(spark, str(tmp_path / "ids"), asked).collect()} == {(0, want[0]), (3, want[3])}
+    asked = spark.createDataFrame([(1008, 0), (1008, 3), (1008, len(want)), (1008, len(want) + 1), (1008, -1), (1008, None), (77777, 0), (None, 5)], "doc_id long, place long")
+    expected = {(1008, 0, want[0]), (1008, 3, want[3]), (1008, len(want), 2), (1008, len(want) + 1, None), (1008, -1, None), (1008, None, None), (77777, 0, None), (None, 5, None)}
+    for together in (1, 500_000):
+        assert {tuple(r) for r in token_binary.ids_at(spark, str(tmp_path / "ids"), asked, together).collect()} == expected
     assert token_binary.read_token_ids(spark, str(tmp_path / "ids")).where("doc_id = 1008").first()["ids"] == [*want, 2]
     assert token_binary.encoded_digests(no_docs, str(tmp_path / "none"), path).count() == 0
 
 
+def test_other_tokenizers_go_through_the_library():
+    """A file that says it cuts otherwise is never cut here."""
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), token_binary.PieceEncoder(path)
+    assert not own.plain and token_binary.PieceEncoder(P.path("byte_bpe_50k.json")).plain
+    for text, ids in zip(ODD_TEXTS, own.encode(ODD_TEXTS), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_sentencepiece_is_the_library(spark, odd, no_docs):
     from sentencepiece import SentencePieceProcessor
 
