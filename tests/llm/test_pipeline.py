@@ -48,8 +48,30 @@ def test_stages(spark, corpus_dir):
     good, clean, single, mixed, encoded = kept
     assert not {i for i in ids(good) if i < 360 and i % 6 == 0} and len({i for i in ids(good) if i < 360 and i % 6 != 0}) > 290
     assert not {i for i in ids(clean) if i < 360 and i % 6 == 1} and {i for i in ids(clean) if i % 6 not in (0, 1)} == {i for i in ids(good) if i % 6 not in (0, 1)}
-    assert single.count(None) == good.count(None) == 4
+    assert good.count(None) == 4 and single.count(None) == 0  # copies without an id go as any others
     assert {i for i in ids(single) if i >= 1000} <= {2000} and len(ids(single)) == len(set(ids(single))) and {i for i in ids(single) if i < 1000} == {i for i in ids(clean) if i < 1000}
     assert set(mixed) <= set(single) and max(mixed.count(i) for i in mixed if i is not None) <= 2
-    assert None in mixed and mixed.count(None) <= 8  # rows without an id are mixed as well
     assert sorted(encoded, key=str) == sorted(mixed, key=str)
+
+
+def test_near_copies_of_rows_without_an_id_of_their_own(spark):
+    """Rows without an id and rows that share one are documents by their texts; one of each group stays, the same at every run."""
+    rnd = random.Random(2)
+    texts = [" ".join(f"w{rnd.randrange(900)}" for _ in range(40)) for _ in range(4)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (None, texts[1] + " end"), (None, texts[2]), (None, texts[2]), (7, texts[3]), (8, texts[3] + " end"), (None, None), (9, ""), (10, "")]
+    docs = spark.createDataFrame([(i, t, "es", None, 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.unionByName(docs.where("doc_id = 1").withColumn("lang", corpus_pipeline.F.lit("fr")))
+    kept = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert kept.count((1, texts[0], "es", None, 1)) == 1 and not [r for r in kept if r[2] == "fr"]
+    group = [r for r in kept if r[1] and r[1].startswith(texts[1])]
+    assert len(group) == 1 and sum(r[1] == texts[2] for r in kept) == 1
+    assert {r[0] for r in kept if r[0] and r[0] > 1} == {7, 9, 10} and len(kept) == 7
+    again = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs.repartition(5), "").collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, again))
+
+
+def test_stages_on_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and out.count() == 0
