@@ -31,9 +31,9 @@ START, END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 HELD_OUT, FOLDS = 2, 7
 ORDER = 3
 #: Bytes of text a range of hashes is made for, and how many distinct grams a task gathers before it passes them on.
-RANGE_BYTES, MOST_GATHERED = 32 << 20, 3_000_000
+RANGE_BYTES, MOST_GATHERED = 32 << 20, 2_000_000
 #: Ranges of an order that a task keeps mapped, the most parts a shuffle has, and bytes of text looked up together.
-MOST_OPEN, MOST_PARTS, TOGETHER = 256, 8192, 2 << 20
+MOST_OPEN, MOST_PARTS, TOGETHER = 256, 8192, 1 << 20
 _ONE = 1 << 32
 _FALLBACK = np.array([0.0, 0.5, 1.0, 1.5])
 
