@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters with marks that Spanish, French, German and Portuguese texts use, and what folding makes of them.
-_MARKED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
-_PLAIN = "aaaaaaeeeeiiiiooooouuuuncyyAAAAAAEEEEIIIIOOOOOUUUUNCY"
+def _letters() -> tuple[str, str]:
+    """Latin letters with marks and the single letters that compatibility decomposition makes of them."""
+    bases = {}
+    for point in (*range(0xAA, 0x250), *range(0x1E00, 0x1F00)):
+        base = "".join(c for c in unicodedata.normalize("NFKD", chr(point)) if not unicodedata.combining(c))
+        if len(base) == 1 and base != chr(point) and base.isalnum():
+            bases[chr(point)] = base
+    return "".join(bases), "".join(bases.values())
+
+
+_MARKED, _PLAIN = _letters()
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ENTITIES = (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 #: Spanish month names.
@@ -53,8 +63,14 @@ def ascii_lower(c: Column | str) -> Column:
 
 
 def fold(c: Column | str) -> Column:
-    """Lower case without accents."""
-    return F.lower(F.translate(_col(c), _MARKED, _PLAIN))
+    """Lower case without marks, whether they are part of a letter or follow it."""
+    return F.lower(F.translate(F.regexp_replace(_col(c), r"\p{Mn}", ""), _MARKED, _PLAIN))
+
+
+def folded(text: str) -> str:
+    """What ``fold`` makes of a single text."""
+    bare = "".join(c for c in text if unicodedata.category(c) != "Mn")
+    return bare.translate(str.maketrans(_MARKED, _PLAIN)).lower()
 
 
 def normalize_name(c: Column | str) -> Column:
@@ -113,18 +129,20 @@ def absolutize(link: Column | str, base: str) -> Column:
 
 
 def name_from_url(c: Column | str) -> Column:
-    """A readable title from a file's URL: decoded, without extension, hash, date and reference tail."""
-    name = F.try_url_decode(F.element_at(F.split(_col(c), "/"), -1))
-    for pattern, new in ((r"(?i)\.(pdf|docx?|html?)$", ""), (r"^[0-9a-f]{8,}[-_]", ""), (r"[-_ ]*\d{1,2}[-_]\d{1,2}[-_]\d{2,4}$", ""), (r"(?i)\s*\(ref[^)]*\)\s*$", ""), ("[_-]+", " ")):
-        name = F.regexp_replace(name, pattern, new)
-    return squeeze(name)
-
-
-def title_of(c: Column | str, head: int = 3000, most: int = 300) -> Column:
-    """A law's title from the head of its text, cut before 'Última Reforma' and at the first period after 50 characters."""
-    found = first_match(F.substring(_col(c), 1, head), rx(r"((?:ley|c[oó]digo|constituci[oó]n|reglamento|decreto)\s+[^\n]{5,}(?:\n[^\n]+){0,3})"), 1)
-    found = squeeze(F.regexp_replace(found, rx(r"\s*[uú]ltima\s+reforma.*$", "isdU"), ""))
-    return F.substring(F.regexp_replace(found, r"(?s)^(.{50,}?)\..*$", "$1"), 1, most)
+    """A readable title from a file's URL: decoded, without extension, hash or number before it, date and reference tail."""
+    name = F.try_url_decode(F.replace(F.element_at(F.split(_col(c), "/"), -1), F.lit("+"), F.lit("%2B")))
+    tails = (r"(?i)\.(pdf|docx?|html?)$", r"^[0-9a-fA-F]{6,40}_+", r"^[0-9]+_+", r"_\d{4}-\d{2}-\d{2}$", r"(?iU)\s*\([^)]*ref[^)]*\)\s*$")
+    for pattern in tails:
+        name = F.regexp_replace(name, pattern, "")
+    return squeeze(F.translate(name, "-_", "  "))
+
+
+def title_of(c: Column | str, words: str, head: int = 3000, most: int = 300) -> Column:
+    """A law's title from the head of its text: from one of ``words`` on, cut before 'Última Reforma' and, where it is
+    long, at its first period."""
+    found = squeeze(first_match(F.substring(_col(c), 1, head), rx(rf"((?:{words})\s+[A-ZÁÉÍÓÚÑÜ\d\s,\-\.\(\)/]{{15,250}})"), 1))
+    found = F.regexp_replace(found, r"(?U)\s+[ÚU]ltima\s+[Rr]eforma.*$", "")
+    return F.substring(F.when(F.length(found) > 50, F.split_part(found, F.lit("."), F.lit(1))).otherwise(found), 1, most)
 
 
 def first_word(c: Column | str) -> Column:

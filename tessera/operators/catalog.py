@@ -72,10 +72,80 @@ STATUS_HEADINGS = [
 ]
 STATUS_SEVERITY = {"derogada": 5, "sin_efectos": 4, "suspendida": 3, "modificada": 2, "interrumpida": 1}
 STATUS_KEY = r"\b([IVX]+\-(?:P|J|TS|TASS|TASR|TA|CASR|CASS|CASE|TJ|JL|JM|RM)\-[\w\-]+)"
-STATUS_KEY_SHORT = STATUS_KEY[:-1] + r"?)\b"  # the shortest form, which stops at the first hyphen
+#: The form whose last part is as short as it can be.
+STATUS_KEY_SHORT = r"\b([IVX]+\-(?:P|J|TS|TASS|TASR|TA|CASR|CASS|CASE|TJ|JL|JM|RM)\-[\w\-]+?)\b"
 
-# Marks that give a web platform away, in order.
-PLATFORMS = [("wp-content", "wordpress"), ("wordpress", "wordpress"), ("ng-version", "angular"), ("__VIEWSTATE", "aspnet"), (".aspx", "aspnet"), ("drupal", "drupal"), ("joomla", "joomla")]
+# Marks in the lower-cased head of a page that give its platform away, in order.
+PLATFORMS = [
+    ("wp-json", "wordpress"),
+    ("wp-content", "wordpress"),
+    ("data-beasties-container", "angular"),
+    ("_ngcontent", "angular"),
+    ("asp.net", "aspnet"),
+    ("viewstate", "aspnet"),
+    ("drupal", "drupal"),
+    ("joomla", "joomla"),
+]
+
+# Words that say what a treaty is about, in order of precedence; a first and a later list.
+TREATY_KINDS = [
+    ("ddhh", r"derechos\s+humanos|civiles|sociales|cultural|niño|mujer|indígena|tortura|discriminación|refugiado|asilo|protección|libertad|igualdad"),
+    ("comercial", r"comerc|inversi[oó]n|aduanal|fiscal|tributari|libre\s+comercio|tlcan|t-mec|financ|econ[oó]mic|empresa|mercanc[ií]a|propiedad\s+intelectual"),
+]
+TREATY_KINDS_LATER = [
+    ("ddhh", r"derechos\s+humanos|civiles|sociales|culturales|niñ|mujer|indígena|tortura|discriminación|refugiad|asilo|migrant|libertad|igualdad|genocidio|esclavitud|trata\s+de\s+personas|desaparición\s+forzada|defensores"),
+    ("comercial", r"comerc|inversi[oó]n|aduana|fiscal|tributari|libre\s+comercio|tlcan|t-mec|financ|econ[oó]mic|empresa|mercanc[ií]a|propiedad\s+intelectual|tributo|impuesto|doble\s+(?:imposición|tributación)"),
+]
+
+# Fields of an administrative thesis, by what its text calls them.
+THESIS_CLAVE = r"^Clave:\s*([^\n]+?)\s*$"
+THESIS_MATERIA = r"^Materia:\s*(.+?)(?=^Clave:|\z)"
+THESIS_RUBRO = r"^Rubro:\s*(.+?)(?=^[a-záéíóúñ]|^\(|^R\.T\.F|\z)"
+THESIS_PRECEDENTS = r"(?:PRECEDENTE\(?S\)?|REITERACI[OÓ]N(?:\s+QUE\s+SE\s+PUBLICA)?)\s*:?\s*\n"
+THESIS_PROCEDURE = r"^(?:Juicio\s+Contencioso|Revisi[oó]n\s+(?:No|N[uú]m)|Expediente\s+(?:N[uú]m|No)|Recurso\s+de\s+Apelaci[oó]n|Reclamaci[oó]n\s+(?:No|N[uú]m)|Queja\s+(?:No|N[uú]m)|Incidente\s+de\s+\w+)"
+THESIS_JUICIO = (
+    r"(?:Juicio\s+Contencioso\s+Administrativo|Juicio(?:\s+Atrayente)?|Revisi[oó]n|Expediente|Recurso\s+de\s+Apelaci[oó]n|Reclamaci[oó]n|Queja|Excitativa\s+de\s+Justicia|Incidente\s+de\s+\w+|Contradicci[oó]n\s+de\s+Sentencias?)"
+    r"\s+(?:Atrayente\s+)?(?:N[uú]m\.?|N[uú]mero|No\.)\s*([\w\-\/\.]+)"
+)
+THESIS_PONENTE = r"Magistrad[oa]\s+Ponente:\s*([^\.]+?)(?=\.\-\s*Secretari|\.\s*Secretari|\-\s*Secretari|\.\s*\(|\z)"
+THESIS_SECRETARIO = r"Secretari[oa](?:\s+de\s+Acuerdos)?:\s*(?:Lic\.\s*)?([^\.]+?)(?=\.\s*\(|\.\s*\z|\.\n|\(Tesis|\z)"
+THESIS_VOTACION = r"((?:por\s+)?(?:unanimidad|mayor[íi]a)\s+de\s+\d+\s+votos[^\.]*?)(?=\.|\-|\z)"
+THESIS_SESION = r"sesi[oó]n\s+de\s+(\d{1,2}\s+de\s+\w+\s+de\s+\d{4})"
+THESIS_REVISTA = r"R\.?T\.?F\.?(?:J\.?A\.?|F\.?)[^\n]*"
+THESIS_REVISTA_ANIO = r"R\.?T\.?F\.?[JF]\.?A?\.?[^\n]*?(?:A[ñn]o\s+\w+\.?\s*)?(\d{4})"
+
+# The head of an international court's document.
+COURT_CASE = r"^\s*(Caso\s+[\w\s\.,\-]+?Vs\.\s+[\w\s\.,\-]+)$"
+COURT_OPINION = r"^\s*(Opinión\s+Consultiva\s+OC[-\s\d/]+[\w\s]+)$"
+COURT_DATE = r"Sentencia\s+de\s+(\d{1,2}\s+de\s+\w+\s+de\s+\d{4})"
+
+# A gazette's notes and pages.
+GAZETTE_TITLE = r"<title>(?:DOF\s*-\s*)?([^<]+)</title>"
+GAZETTE_ISSUER = r"<b>SECRETAR[ÍI]A\s+DE\s+([^<\n]{3,80})</b>"
+GAZETTE_KIND = r"^(DECRETO\s+(?:PROMULGATORIO|POR\s+EL\s+QUE)?[^.\n]{0,80}|ACUERDO[^.\n]{0,80}|REGLAMENTO[^.\n]{0,80}|LEY[^.\n]{0,80}|RESOLUCI[ÓO]N[^.\n]{0,80}|AVISO[^.\n]{0,80}|CIRCULAR[^.\n]{0,80})"
+GAZETTE_SELECTORS = ("#DivDetalleNota", "#detalleNota", "div.detalleNota", "article", "main", "div.content", "div#content")
+GAZETTE_DROPPED = ("script", "style", "noscript", "iframe", "form")
+GAZETTE_CHROME = r"(DOF\s*-\s*Diario Oficial de la Federación|jkmegamenu\.definemenu|\$\(document\)\.ready|var nombre_cookie|function getCookie|ARRcookies|setCookie|document\.cookie|window\.|<\?-?-|var\s+\w+\s*=)"
+GAZETTE_BEGINNING = r"(SECRETARÍA DE|PODER (?:EJECUTIVO|JUDICIAL)|DECRETO|ACUERDO|RESOLUCIÓN|AVISO|CONVENIO|REGLAMENTO|MANUAL|PROGRAMA|ANTEPROYECTO|FE\s+DE\s+ERRATAS)\b"
+
+# An electoral court's thesis pages.
+ELECTORAL_RUBRO = r"(?:rubro|sumario)[\s:]+([A-ZÁÉÍÓÚÑ][^<\n]{15,300})"
+ELECTORAL_CLAVE = r"\b((?:Jurisprudencia|Tesis)\s+(?:[XLI]+/?)?\d{1,4}\s*/\s*\d{4})"
+ELECTORAL_INSTANCIA = r"\b(Sala\s+Superior|Sala\s+Regional[^\n<]*)\b"
+ELECTORAL_TIPO = r"\b(Jurisprudencia|Tesis\s+Aislada|Tesis\s+(?:Relevante|Vinculante))\b"
+ELECTORAL_PARTES = r"(?:Actor|Promovente|Demandante)[\s:]+([^\n<]{3,200})"
+ELECTORAL_FECHA = r"(\d{1,2}\s+de\s+\w+\s+de\s+(\d{4}))"
+
+# Forms of a recommendation's number and year, in a link's label and in its address; fields of its text.
+RECOMMENDATION_LABELS = (r"Rec(?:omendaci[oó]n)?[\s/\-#]*(\d{1,4})\s*/\s*(\d{4})", r"(\d{1,4})\s*/\s*(\d{4})")
+RECOMMENDATION_ADDRESSES = (r"Rec(\d{1,4})_?(\d{4})", r"/(\d{4})-(\d{1,4})/", r"Rec(\d+)_(\d+)")
+RECOMMENDATION_NUMBER = r"Recomendaci[oó]n\s+(?:No\.|N[uú]mero)?\s*(\d+/\d{4}|\d+[\sde]+\d{4})"
+RECOMMENDATION_ADDRESSEE = r"(?:DESTINATARIA|DESTINATARIO|destinada\s+a|dirigida\s+a)[:\s]+([^\n\r\.;]+)"
+RECOMMENDATION_DATE = r"M[eé]xico,\s+(?:Ciudad\s+de\s+M[eé]xico,\s+)?(?:a\s+)?(\d{1,2}\s+de\s+\w+\s+de\s+\d{4})"
+RECOMMENDATION_SUBJECT = r"^\s*(?:Tema|Caso)[:\s]+(.{20,300})"
+
+# Words that a state law's title begins with.
+LAW_WORDS = "LEY|CÓDIGO|REGLAMENTO|DECRETO|ESTATUTO|MANUAL|ACUERDO|REGLAS|LINEAMIENTOS|ARANCEL"
 
 # Treaty names (folded) and their registry numbers, in order of precedence.
 TREATY_REGISTRY = [

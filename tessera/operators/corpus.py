@@ -61,6 +61,7 @@ SOURCES: dict[str, SourceSpec] = {
             "scjn_tesis",
             "registro_digital",
             {
+                "source_url": "concat('https://bj.scjn.gob.mx/documento/sentencias_pub/', registro_digital)",
                 "tipo": "if(lower(coalesce(tipo, '')) like 'tesis de juris%', 'jurisprudencia', 'tesis_aislada')",
                 "jerarquia": "'criterio_pjf'",
                 "titulo": "coalesce(nullif(titulo, ''), rubro)",
@@ -88,6 +89,7 @@ SOURCES: dict[str, SourceSpec] = {
             "tfja",
             "id_tfja",
             {
+                "source_url": "concat('https://www.tfja.gob.mx/cesmdfa/sctj/tesis-pdf-detalle/', id_tfja, '/')",
                 "tipo": "'criterio_tfja'",
                 "jerarquia": "'administrativo'",
                 "titulo": "rubro",
@@ -110,6 +112,7 @@ SOURCES: dict[str, SourceSpec] = {
             "sre_tratado",
             "token_sre",
             {
+                "source_url": "concat('https://cja.sre.gob.mx/tratadosmexico/tratados/', token_sre)",
                 "tipo": "'tratado'",
                 "jerarquia": "if(tipo = 'ddhh', 'convencional', 'internacional')",
                 "titulo": "nombre",
@@ -143,6 +146,7 @@ SOURCES: dict[str, SourceSpec] = {
             "scjn_ejecutoria",
             "registro_digital",
             {
+                "source_url": "concat('https://bj.scjn.gob.mx/documento/ejecutorias/', registro_digital)",
                 "tipo": "'ejecutoria'",
                 "jerarquia": "'pjf_sentencia'",
                 "titulo": "asunto",
@@ -160,6 +164,7 @@ SOURCES: dict[str, SourceSpec] = {
             "scjn_voto",
             "registro_digital",
             {
+                "source_url": "concat('https://bj.scjn.gob.mx/documento/votos/', registro_digital)",
                 "tipo": "coalesce(nullif(tipo_voto, ''), 'voto_particular')",
                 "jerarquia": "'pjf_sentencia'",
                 "titulo": "concat('Voto — exp ', coalesce(nullif(num_expediente, ''), '?'))",
@@ -183,6 +188,7 @@ SOURCES: dict[str, SourceSpec] = {
             "scjn_vtaquigrafica",
             "id_native",
             {
+                "source_url": "concat('https://bj.scjn.gob.mx/documento/vtaquigraficas/', id_native)",
                 "tipo": "'version_taquigrafica'",
                 "jerarquia": "'pjf_sesion'",
                 "titulo": "concat('Sesión ', coalesce(fechaSesion, ''), ' — ', coalesce(organoJurisdiccional, ''))",
@@ -227,6 +233,7 @@ SOURCES: dict[str, SourceSpec] = {
             "scjn_sentencia",
             "id_engrose",
             {
+                "source_url": "concat('https://bj.scjn.gob.mx/documento/sentencias_pub/', id_engrose)",
                 "tipo": "coalesce(nullif(tipo_asunto, ''), 'sentencia')",
                 "jerarquia": "'pjf_sentencia'",
                 "titulo": "concat(coalesce(tipo_asunto, 'None'), ' ', coalesce(num_expediente, 'None'))",

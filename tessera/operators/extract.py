@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import decode_entities, drop_blocks, first_match, first_of, ordered_case, rx, squeeze, strip, text_only
+from ..functions.text import clave_parts, decode_entities, drop_blocks, first_match, ordered_case, rx, squeeze, strip, text_only
 from . import catalog
 
 
@@ -30,40 +32,33 @@ def match_spans(c: Column, pattern: str) -> Column:
 
 
 def citation_windows(df: DataFrame, id_col: str, text_col: str, patterns: dict[str, str], article: str = catalog.ARTICLE, reach: int = 200, around: int = 30, most: int = 300, flags: str = "idU") -> DataFrame:
-    """Article references near laws: (id, code, law_pos, ref_pos, articulo, fraccion, parrafo, raw).
+    """Article references near laws: (id, code, law_ord, law_pos, ref_pos, articulo, fraccion, parrafo, raw).
 
     Each match of a law's pattern opens a window of ``reach`` characters either side; every reference in it is a row,
     so a reference near two laws is one for each. ``raw`` is the reference with ``around`` characters either side,
-    at most ``most``. Patterns are literals, one pass each; rows without any match leave before the windows are cut.
+    at most ``most``. Texts are read once: one alternation of all patterns lets those without any law leave, the
+    others collect the matches of every pattern in one array. A window is a row of its own from then on.
     """
     ref = rx(article, flags)
-    parts = []
-    for ordinal, (code, law) in enumerate(patterns.items()):
-        hits = df.where(F.col(text_col).rlike(rx(law, flags))).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-        laws = hits.select("id", "t", F.explode(match_spans(F.col("t"), rx(law, flags))).alias("law"))
-        left = F.greatest(F.col("law.start") - reach, F.lit(0))
-        laws = laws.select("id", F.col("law.start").alias("law_pos"), F.substring("t", left + 1, F.col("law.start") + F.length("law.text") + reach - left).alias("w"))
-        groups = [F.regexp_extract_all("w", F.lit(ref), F.lit(g)) for g in (1, 2, 3)]
-        refs = laws.select("id", "law_pos", "w", F.posexplode(F.arrays_zip(match_spans(F.col("w"), ref).alias("m"), *[g.alias(n) for g, n in zip(groups, "abc", strict=True)])).alias("ref_pos", "r"))
-        begin = F.greatest(F.col("r.m.start") - around, F.lit(0))
-        raw = F.substring(F.substring("w", begin + 1, F.col("r.m.start") + F.length("r.m.text") + around - begin), 1, most)
-        parts.append(
-            refs.select(
-                "id",
-                F.lit(code).alias("code"),
-                F.lit(ordinal).alias("law_ord"),
-                "law_pos",
-                "ref_pos",
-                F.col("r.a").alias("articulo"),
-                F.nullif("r.b", F.lit("")).alias("fraccion"),
-                F.nullif("r.c", F.lit("")).alias("parrafo"),
-                raw.alias("raw"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    any_law = rx("|".join(f"(?:{law})" for law in patterns.values()), flags)
+    hits = df.where(F.col(text_col).rlike(any_law)).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+
+    def windows(ordinal: int, code: str, law: str) -> Column:
+        def cut(m: Column) -> Column:
+            left = F.greatest(m["start"] - reach, F.lit(0))
+            window = F.substring(F.col("t"), left + 1, m["start"] + F.length(m["text"]) + reach - left)
+            return F.struct(F.lit(code).alias("code"), F.lit(ordinal).alias("law_ord"), m["start"].alias("law_pos"), window.alias("w"))
+
+        return F.transform(match_spans(F.col("t"), rx(law, flags)), cut)
+
+    laws = hits.select("id", F.explode(F.concat(*[windows(i, code, law) for i, (code, law) in enumerate(patterns.items())])).alias("law")).select("id", "law.*")
+    groups = [F.regexp_extract_all("w", F.lit(ref), F.lit(g)) for g in (1, 2, 3)]
+    refs = laws.where(F.col("w").rlike(ref)).select(
+        "id", "code", "law_ord", "law_pos", "w", F.posexplode(F.arrays_zip(match_spans(F.col("w"), ref).alias("m"), *[g.alias(n) for g, n in zip(groups, "abc", strict=True)])).alias("ref_pos", "r")
+    )
+    begin = F.greatest(F.col("r.m.start") - around, F.lit(0))
+    raw = F.substring(F.substring("w", begin + 1, F.col("r.m.start") + F.length("r.m.text") + around - begin), 1, most)
+    return refs.select("id", "code", "law_ord", "law_pos", "ref_pos", F.col("r.a").alias("articulo"), F.nullif("r.b", F.lit("")).alias("fraccion"), F.nullif("r.c", F.lit("")).alias("parrafo"), raw.alias("raw"))
 
 
 def dedup_citations(cites: DataFrame, key: list[str], order: list[str], compat: bool = False) -> DataFrame:
@@ -167,77 +162,160 @@ def catalogue_rows(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     )
 
 
-def numbered_recommendation(c: Column, first_year: int = 1990, last_year: int = 2026) -> Column:
-    """(number, year) of 'Recomendación 12/2020' forms; the two are swapped where only the swap gives a year."""
-    whole = first_of(c, (rx(r"recomendaci[oó]n\s+(?:general\s+)?(?:n[uú]m(?:ero|\.)?\s*)?\d{1,4}\s*/\s*\d{1,4}"), 0), (r"\d{1,4}\s*/\s*\d{2,4}", 0), (r"(?i)rec[_-]\d{1,4}[_-]\d{4}", 0))
-    a, b = (F.regexp_extract(whole, r"(\d{1,4})\s*[/_-]\s*(\d{1,4})", g).try_cast("int") for g in (1, 2))
-    swap = ~b.between(first_year, last_year) & a.between(first_year, last_year)
-    return F.when(whole.isNotNull(), F.struct(F.when(swap, b).otherwise(a).alias("number"), F.when(swap, a).otherwise(b).alias("year")))
+def numbered_recommendation(label: Column, address: Column | None = None, first_year: int = 1990, last_year: int = 2026) -> Column:
+    """(number, year) of a recommendation from a link's label, or else from its address; the two are swapped where only
+    the swap gives a year."""
+    sources = [(label, p) for p in catalog.RECOMMENDATION_LABELS] + [(address, p) for p in catalog.RECOMMENDATION_ADDRESSES if address is not None]
+    pairs = []
+    for c, pattern in sources:
+        a, b = (F.regexp_extract(c, rx(pattern), g).try_cast("int") for g in (1, 2))
+        swap = ~b.between(first_year, last_year) & a.between(first_year, last_year)
+        pairs.append(F.when(c.rlike(rx(pattern)), F.struct(F.when(swap, b).otherwise(a).alias("number"), F.when(swap, a).otherwise(b).alias("year"))))
+    return F.coalesce(*pairs)
+
+
+def recommendation_fields(df: DataFrame, text_col: str) -> DataFrame:
+    """Number, addressee, date and subject of a recommendation from its text, added as columns."""
+    t = F.col(text_col)
+    return df.withColumns(
+        {
+            "num_rec": F.concat(F.lit("Recomendación "), first_match(t, rx(catalog.RECOMMENDATION_NUMBER), 1)),
+            "destinatario": F.substring(strip(first_match(t, rx(catalog.RECOMMENDATION_ADDRESSEE), 1)), 1, 200),
+            "fecha": first_match(t, rx(catalog.RECOMMENDATION_DATE), 1),
+            "tema": strip(first_match(t, rx(catalog.RECOMMENDATION_SUBJECT, "idmU"), 1)),
+        }
+    )
+
+
+def _before(t: Column, pattern: str, flags: str) -> Column:
+    """How many characters of t precede a pattern's first match; null without any."""
+    return F.when(t.rlike(rx(pattern, flags)), F.length(F.regexp_extract(t, rx(rf"\A((?s:.*?))(?:{pattern})", flags), 1)))
 
 
 def thesis_fields(df: DataFrame, text_col: str) -> DataFrame:
     """Fields of an administrative thesis from its extracted text, added as columns.
 
-    The body ends at the precedents' heading, or else at the first procedural line after the heading; later fields are
-    looked for in the precedents where there are any.
+    The body runs from the heading to the precedents' mark, or else to the first procedural line after the heading,
+    which is then the first of the precedents; these end where the review is cited. Later fields are looked for in the
+    precedents where there are any.
     """
     t = F.col(text_col)
-    rubro = squeeze(F.regexp_extract(t, r"(?msdU)^\s*Rubro:\s*(.+?)(?=\n\s*\n|\n[a-zé]|\z)", 1))
-    precedent = first_match(t, r"(?msdU)^\s*(?:PRECEDENTES?|R\.\s?T\.\s?F\.\s?J\.\s?A\.)\s*:?\s*(.*)\z", 1)
-    body = first_match(t, r"(?msdU)^\s*Rubro:.+?(?:\n\s*\n|\n(?=[a-zé]))(.*?)(?=^\s*(?:PRECEDENTES?|Juicio|Recurso|R\.\s?T\.\s?F\.\s?J\.\s?A\.)|\z)", 1)
+    cased, caseless = "mdU", "idU"
+    after = F.regexp_extract(t, rx(catalog.THESIS_RUBRO + r"((?s:.*))\z", "msdU"), 2)  # what follows the heading
+    has_rubro = t.rlike(rx(catalog.THESIS_RUBRO, "msdU"))
+    begin = F.when(has_rubro, F.length(t) - F.length(after)).otherwise(0)
+    mark = _before(t, catalog.THESIS_PRECEDENTS, caseless)
+    marked_end = F.length(F.regexp_extract(t, rx(rf"\A((?s:.*?)(?:{catalog.THESIS_PRECEDENTS}))", caseless), 1))
+    procedure = begin + _before(F.when(has_rubro, after).otherwise(t), catalog.THESIS_PROCEDURE, "idmU")
+    body_end = F.coalesce(mark, procedure)
+    tail = F.substring(t, F.when(mark.isNotNull(), marked_end).otherwise(procedure) + 1, F.length(t))
+    cited = _before(tail, catalog.THESIS_REVISTA, caseless)
+    precedent = F.nullif(strip(F.when(cited.isNotNull(), F.substring(tail, F.lit(1), cited)).otherwise(tail)), F.lit(""))
     rest = F.coalesce(precedent, t)
+    clave = strip(first_match(t, rx(catalog.THESIS_CLAVE, cased), 1))
+    revista = strip(first_match(t, rx(catalog.THESIS_REVISTA)))
+    epoca, sala = clave_parts(clave)
     return df.withColumns(
         {
-            "clave": first_match(t, r"(?mdU)^\s*Clave:\s*(\S+)", 1),
-            "materia": strip(first_match(t, r"(?mdU)^\s*Materia:\s*(.+)$", 1)),
-            "rubro": F.nullif(rubro, F.lit("")),
-            "texto": F.nullif(squeeze(body), F.lit("")),
-            "precedente": strip(precedent),
-            "juicio": squeeze(first_match(rest, rx(r"(?:juicio|recurso)[^.\n]{0,80}?(?:n[uú]m\.?|no\.?)\s*([\w/.\-]+)"), 1)),
-            "ponente": squeeze(first_match(rest, rx(r"(?:magistrad[oa]\s+)?ponente:\s*([^.\n]+)"), 1)),
-            "secretario": squeeze(first_match(rest, rx(r"secretari[oa]s?:\s*([^.\n]+)"), 1)),
-            "votacion": squeeze(first_match(rest, rx(r"por\s+(?:unanimidad|mayor[ií]a)[^.\n]*"))),
-            "fecha": squeeze(first_match(rest, rx(r"\d{1,2}\s+de\s+[a-z]+\s+de\s+\d{4}"))),
-            "anio": F.coalesce(first_match(rest, rx(r"de\s+(19\d{2}|20\d{2})\b"), 1), first_match(rest, r"\b(19\d{2}|20\d{2})\b", 1)).try_cast("int"),
+            "clave": clave,
+            "epoca": epoca,
+            "sala": sala,
+            "materia": squeeze(first_match(t, rx(catalog.THESIS_MATERIA, "msdU"), 1)),
+            "rubro": squeeze(first_match(t, rx(catalog.THESIS_RUBRO, "msdU"), 1)),
+            "texto": F.when(has_rubro, F.nullif(strip(F.substring(t, begin + 1, F.greatest(F.lit(0), body_end - begin))), F.lit(""))),
+            "precedente": precedent,
+            "juicio": strip(first_match(rest, rx(catalog.THESIS_JUICIO), 1)),
+            "ponente": strip(first_match(rest, rx(catalog.THESIS_PONENTE), 1)),
+            "secretario": strip(first_match(rest, rx(catalog.THESIS_SECRETARIO), 1)),
+            "votacion": strip(first_match(rest, rx(catalog.THESIS_VOTACION), 1)),
+            "fecha": strip(first_match(rest, rx(catalog.THESIS_SESION), 1)),
+            "revista": revista,
+            "anio": F.regexp_extract(revista, rx(catalog.THESIS_REVISTA_ANIO), 1).try_cast("int"),
         }
     )
 
 
 def court_fields(df: DataFrame, text_col: str, compat: bool = False) -> DataFrame:
-    """Country, date, year and kind of a court's document. With ``compat`` a country's name ends at its first word."""
+    """Name, kind, country, date and year of an international court's document, from the text of its first pages.
+
+    The date is the judgment's own. With ``compat`` a country's name ends at its first word.
+    """
     t = F.col(text_col)
-    name = r"Vs?\.\s+([A-ZÁÉÍÓÚÑ]\w+)" if compat else r"Vs?\.\s+([A-ZÁÉÍÓÚÑ]\w+(?:\s+(?:de\s+|la\s+|y\s+)*[A-ZÁÉÍÓÚÑ]\w+)*)"
-    date = rx(r"\d{1,2}\s+de\s+[a-z]+\s+de\s+\d{4}")
+    country = r"(?i:\bVs\.)\s+(\w+)" if compat else r"(?i:\bVs\.)\s+([A-ZÁÉÍÓÚÑ]\w+(?:\s+(?:de\s+|la\s+|y\s+)*[A-ZÁÉÍÓÚÑ]\w+)*)"
+    date = first_match(t, rx(catalog.COURT_DATE), 1)
     return df.withColumns(
         {
-            "pais": first_match(t, "(?U)" + name, 1),
-            "fecha": squeeze(first_match(t, date)),
-            "anio": F.regexp_extract(first_match(t, date), r"(\d{4})$", 1).try_cast("int"),
-            "tipo": F.when(t.rlike(rx(r"opini[oó]n\s+consultiva")), "opinion_consultiva").when(t.rlike(rx("supervisi[oó]n de cumplimiento")), "supervision").otherwise("sentencia_idh"),
+            "nombre": squeeze(F.coalesce(*[first_match(t, rx(p, "idmU"), 1) for p in (catalog.COURT_CASE, catalog.COURT_OPINION)])),
+            "tipo": F.when(t.contains("Opinión Consultiva") | t.contains("OPINIÓN CONSULTIVA"), "opinion_consultiva").when(t.contains("Caso"), "sentencia_contenciosa"),
+            "pais": first_match(t, "(?dU)" + country, 1),
+            "fecha": date,
+            "anio": F.regexp_extract(date, r"\b((?:19|20)\d{2})\b", 1).try_cast("int"),
         }
     )
 
 
-def gazette_fields(df: DataFrame, html_col: str) -> DataFrame:
-    """Title, body and kind of a gazette note; the kind is a keyword at the very start of the squeezed text."""
+def gazette_fields(df: DataFrame, html_col: str, most: int = 200_000) -> DataFrame:
+    """Title, issuing ministry, kind and text of a gazette note; a kind stands at the very start of the squeezed text."""
     text = text_only(F.col(html_col), entities=True)
     return df.withColumns(
         {
-            "titulo": text_only(first_match(F.col(html_col), r"(?is)<title[^>]*>(.*?)</title>", 1), entities=True),
-            "tipo": F.upper(first_match(text, rx(r"^(decreto|acuerdo|ley|reglamento|circular|convenio|aviso|resoluci[oó]n|norma|lineamientos)\b"), 1)),
-            "texto": text,
+            "titulo": strip(first_match(F.col(html_col), rx(catalog.GAZETTE_TITLE), 1)),
+            "organismo": strip(first_match(F.col(html_col), rx(catalog.GAZETTE_ISSUER), 1)),
+            "tipo": F.substring(strip(first_match(text, rx(catalog.GAZETTE_KIND), 1)), 1, 120),
+            "texto": F.substring(text, 1, most),
         }
     )
 
 
-def main_content(c: Column, selectors: tuple[str, ...] = ("article", "main", "section", "body"), least: int = 200, boilerplate: str = r"(?iu)iniciar sesi[oó]n|men[uú] principal", most: int = 300_000) -> Column:
-    """A page's main text: of the first element with more than ``least`` characters and no boilerplate at its head."""
-    clean = drop_blocks(c, "script", "style", "nav", "header", "footer", "aside", "form")
+def element(c: Column, selector: str) -> Column:
+    """What is inside a page's first element of a selector (``tag``, ``#id``, ``tag#id`` or ``tag.class``); null without one.
+
+    Elements of its kind that it holds are counted off, so it ends at its own closing tag.
+    """
+    tag, sign, name = (selector.partition("#") if "#" in selector else selector.partition("."))
+    name = re.escape(name)
+    mark = {"#": rf"""[^>]*\bid\s*=\s*["']?{name}["'\s>]""", ".": rf"""[^>]*\bclass\s*=\s*["']?[^"'>]*(?<![\w-]){name}(?![\w-])"""}
+    opening = rf"""(?is)<({tag or "[a-z][a-z0-9]*"})\b(?={mark[sign]})[^>]*>(.*)\z""" if sign else rf"(?is)<({tag})\b[^>]*>(.*)\z"
+    inside, kind = F.regexp_extract(c, opening, 2), F.regexp_extract(c, opening, 1)
+    tags = F.concat(F.lit("(?i)<(/?)"), kind, F.lit(r"(?=[\s/>])[^>]*>"))
+    depth = F.struct(F.lit(1).alias("open"), F.lit(0).alias("seen"))
+    walked = F.aggregate(
+        F.regexp_extract_all(inside, tags, F.lit(1)),
+        depth,
+        lambda s, slash: F.when(s["open"] == 0, s).otherwise(F.struct((s["open"] + F.when(slash == "/", -1).otherwise(1)).alias("open"), (s["seen"] + 1).alias("seen"))),
+    )
+    return F.when(c.rlike(opening), F.array_join(F.slice(F.split(inside, tags, -1), F.lit(1), F.greatest(walked["seen"], F.lit(1)) + F.when(walked["open"] > 0, 1).otherwise(0)), " "))
+
+
+def main_content(c: Column, selectors: tuple[str, ...] = catalog.GAZETTE_SELECTORS, least: int = 200, chrome: str = catalog.GAZETTE_CHROME, beginning: str = catalog.GAZETTE_BEGINNING, most: int = 300_000) -> Column:
+    """A page's main text: of the first selector's element with more than ``least`` characters and no page chrome at its
+    head, or else of the body from the first word that real contents begin with."""
+    clean = drop_blocks(c, *catalog.GAZETTE_DROPPED)
     choices = []
-    for tag in selectors:
-        text = text_only(F.regexp_extract(clean, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}>", 1), entities=True)
-        choices.append(F.when((F.length(text) > least) & ~F.substring(text, 1, 200).rlike(boilerplate), text))
-    return F.substring(F.coalesce(*choices, text_only(clean, entities=True)), 1, most)
+    for selector in selectors:
+        text = text_only(element(clean, selector), entities=True)
+        choices.append(F.when((F.length(text) > least) & ~F.substring(text, 1, 200).rlike(rx(chrome)), text))
+    body = text_only(F.coalesce(first_match(clean, r"(?is)<body\b[^>]*>(.*?)(?:</body|\z)", 1), clean), entities=True)
+    found = F.nullif(F.regexp_extract(body, rf"(?sU)({beginning}.*)\z", 1), F.lit(""))
+    return F.substring(F.coalesce(*choices, found, body), 1, most)
+
+
+def electoral_fields(df: DataFrame, html_col: str) -> DataFrame:
+    """Fields of an electoral court's thesis page; its text is the longest paragraph."""
+    t = text_only(F.replace(F.col(html_col), F.lit("&nbsp;"), F.lit(" ")))
+    kind = F.lower(first_match(t, rx(catalog.ELECTORAL_TIPO), 1))
+    return df.withColumns(
+        {
+            "rubro": strip(first_match(t, rx(catalog.ELECTORAL_RUBRO), 1)),
+            "clave": squeeze(first_match(t, rx(catalog.ELECTORAL_CLAVE), 1)),
+            "instancia": strip(first_match(t, rx(catalog.ELECTORAL_INSTANCIA), 1)),
+            "tipo": F.when(kind.contains("jurisprudencia"), "jurisprudencia").when(kind.isNotNull(), "tesis_aislada"),
+            "partes": strip(first_match(t, rx(catalog.ELECTORAL_PARTES), 1)),
+            "fecha": first_match(t, rx(catalog.ELECTORAL_FECHA), 1),
+            "anio": F.regexp_extract(t, rx(catalog.ELECTORAL_FECHA), 2).try_cast("int"),
+            "texto": longest_paragraph(F.col(html_col)),
+        }
+    )
 
 
 def country_entry(c: Column, country: str, most: int = 6000, heading: str = "") -> Column:

@@ -53,3 +53,40 @@ def presence_matrix(df: DataFrame, group: str, text: str, patterns: dict[str, st
     """One row per group with a 0/1 column for each pattern, whether any text matches, and ``gaps``, how many don't."""
     found = [F.max(F.when(F.col(text).rlike(p), 1).otherwise(0)).alias(n) for n, p in patterns.items()]
     return df.groupBy(group).agg(*found).withColumn("gaps", F.lit(len(patterns)) - sum((F.col(n) for n in patterns), F.lit(0)))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], optional: list[str], how: str = "inner") -> DataFrame:
+    """left joined with right by keys, of which the ``optional`` ones count as empty where they are null. Right's copies of
+    the keys go, so a null stays what it was on the left."""
+    def named(k: str, c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit("")) if k in optional else F.col(c)
+
+    r = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    on = [named(k, k) == named(k, f"_{k}") for k in keys]
+    return left.join(r, on, how).drop(*[f"_{k}" for k in keys])
+
+
+def find_or_widen(df: DataFrame, column: str, wanted: list[str], wider: list[str], most: int = 5) -> DataFrame:
+    """Rows whose lower-cased column is like any of ``wanted``; where there is none, the first ``most`` like any of ``wider``.
+
+    Both are found in one pass: the best level that occurs is one row, which is joined back.
+    """
+    name = F.lower(F.col(column))
+    level = F.when(_like_any(name, wanted), 1).when(_like_any(name, wider), 2)
+    found = df.withColumn("_level", level).where("_level is not null")
+    best = found.agg(F.min("_level").alias("_level"))
+    chosen = found.join(F.broadcast(best), "_level")  # one row
+    few = chosen.where("_level = 2").orderBy(column).limit(most)
+    return chosen.where("_level = 1").unionByName(few).drop("_level")
+
+
+def like_counts(df: DataFrame, group: str, column: str, patterns: list[str]) -> DataFrame:
+    """(group, n) of rows whose lower-cased column is like any of the patterns, most first."""
+    return df.where(_like_any(F.lower(F.col(column)), patterns)).groupBy(group).agg(F.count("*").alias("n")).orderBy(F.desc("n"), group)
+
+
+def _like_any(c: Column, patterns: list[str]) -> Column:
+    out = F.lit(False)
+    for p in patterns:
+        out = out | c.like(p)
+    return out

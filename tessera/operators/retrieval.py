@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import re
-import unicodedata
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import fold
+from ..functions.text import fold, folded
+from ..sources.writers import scratch_path
 
 K1, B = 1.2, 0.75
 
@@ -30,27 +32,84 @@ def postings(df: DataFrame, id_col: str, *columns: str) -> DataFrame:
 
 
 def query_terms(query: str) -> list[str]:
-    """A query's words, folded; anything but letters and digits parts them, so no query is a syntax error."""
-    plain = "".join(c for c in unicodedata.normalize("NFKD", query) if not unicodedata.combining(c)).lower()
-    return list(dict.fromkeys(t for t in re.split(r"[^\w]+|_", plain) if t))
+    """A query's words, folded as texts are; anything but letters and digits parts them, so no query is a syntax error."""
+    return list(dict.fromkeys(t for t in re.split(r"[^\w]+|_", folded(query)) if t))
 
 
-def bm25(df: DataFrame, id_col: str, columns: list[str], query: str, k: int = 300) -> DataFrame:
-    """(id, score): the ``k`` best documents that have all of the query's words; smaller is better, ties (to nine places, so that
-    the order of summing doesn't count) by id.
+class LexicalIndex:
+    """Stored postings of a table's texts, refreshed as rows are added.
 
-    Only the query's terms are exploded: one pass counts them by document, and the corpus statistics come from the
-    same pass, so no index has to be kept. Use ``postings`` and ``bm25_of_postings`` where many queries follow.
+    Postings lie under ``path`` by batch and bucket of their term, so a search reads the buckets of its terms alone. A
+    table of sizes (id, dl) is written last; what it doesn't name doesn't count, so a batch that failed midway is
+    invisible and its rows come again.
+    """
+
+    BUCKETS = 64
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def sizes(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema("id long, dl long, batch string").parquet(f"{self.path}/sizes")
+        except AnalysisException:  # nothing written yet
+            return None
+
+    def refresh(self, df: DataFrame, id_col: str, columns: list[str]) -> None:
+        """Adds the rows of df whose id the index doesn't have."""
+        known, batch = self.sizes(), uuid.uuid4().hex
+        new = df.select(F.col(id_col).cast("long").alias("id"), *columns).where("id is not null")
+        if known is not None:
+            new = new.join(known.select("id"), "id", "left_anti")
+        counted = postings(new, "id", *columns).withColumn("bucket", self._bucket(F.col("term")))
+        counted.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{self.path}/postings/batch={batch}")
+        sizes = new.select("id", F.size(terms(*columns)).cast("long").alias("dl"), F.lit(batch).alias("batch"))
+        sizes.write.mode("append").parquet(f"{self.path}/sizes")
+
+    def postings(self, wanted: list[str] | None = None) -> DataFrame:
+        """(id, term, tf, dl), of the wanted terms if any; only their buckets are read."""
+        sizes = self.sizes()
+        if sizes is None:
+            return self.spark.createDataFrame([], "id long, term string, tf long, dl long")
+        batches = [r[0] for r in sizes.select("batch").distinct().collect()]  # one a refresh
+        paths = [f"{self.path}/postings/batch={b}" for b in batches]
+        found = self.spark.read.option("basePath", f"{self.path}/postings").schema("id long, term string, tf long, dl int, batch string, bucket int").parquet(*paths)
+        if wanted is not None:
+            buckets = [r[0] for r in self.spark.createDataFrame([(t,) for t in wanted], "t string").select(self._bucket(F.col("t"))).distinct().collect()]
+            found = found.where(F.col("bucket").isin(buckets) & F.col("term").isin(wanted))
+        return found.select("id", "term", "tf", F.col("dl").cast("long").alias("dl"))
+
+    def _bucket(self, term: Column) -> Column:
+        return F.pmod(F.xxhash64(term), F.lit(self.BUCKETS)).cast("int")
+
+    def search(self, queries: dict[str, str], k: int = 300) -> DataFrame:
+        """(query_id, id, score, rank) of texts by query id."""
+        asked = [(q, t) for q, text in queries.items() for t in query_terms(text)]
+        wanted = self.spark.createDataFrame(asked, "query_id string, term string")
+        sizes = self.sizes()
+        sizes = self.spark.createDataFrame([], "id long, dl long") if sizes is None else sizes
+        return bm25_of_postings(self.postings(sorted({t for _, t in asked})), sizes.select("id", "dl"), wanted, k)
+
+
+def bm25(df: DataFrame, id_col: str, columns: list[str], query: str, k: int = 300, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, score, *keep): the ``k`` best documents that have all of the query's words; smaller is better, ties (to nine
+    places, so that the order of summing doesn't count) by id.
+
+    Texts are read and cut into words once: one pass counts the query's words by document and is stored, and both the
+    corpus statistics and the scores come from that. Use ``LexicalIndex`` where many queries follow.
     """
     wanted = query_terms(query)
-    words = df.select(F.col(id_col).alias("id"), terms(*columns).alias("w"))
-    counted = words.select("id", F.size("w").alias("dl"), *[_count("w", t).alias(f"tf{i}") for i, t in enumerate(wanted)])
+    words = df.select(F.col(id_col).alias("id"), *keep, terms(*columns).alias("w"))
+    counted = words.select("id", *keep, F.size("w").alias("dl"), *[_count("w", t).alias(f"tf{i}") for i, t in enumerate(wanted)])
+    path = scratch_path(df.sparkSession, "counted")
+    counted.write.parquet(path)
+    counted = df.sparkSession.read.schema(counted.schema).parquet(path)
     stats = counted.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(wanted))])
     hits = counted.where(" and ".join(f"tf{i} > 0" for i in range(len(wanted))) or "false").join(F.broadcast(stats))  # stats is one row
     score = F.lit(0.0)
     for i in range(len(wanted)):
         score = score - _part(F.col(f"tf{i}"), F.col("dl"), F.col(f"df{i}"))
-    return hits.select("id", F.round(score, 9).alias("score")).orderBy("score", "id").limit(k)
+    return hits.select("id", F.round(score, 9).alias("score"), *keep).orderBy("score", "id").limit(k)
 
 
 def _count(words: str, term: str) -> Column:
@@ -74,43 +133,59 @@ def bm25_of_postings(index: DataFrame, sizes: DataFrame, queries: DataFrame, k:
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id"))).where(F.col("rank") <= k).select("query_id", "id", "score", "rank")
 
 
-def cosine_topk(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str, k: int = 300, block: int = 512) -> DataFrame:
+#: Vectors in a block, blocks that one task goes through for a block of queries, and queries in a block.
+VECTOR_BLOCK, TOGETHER, QUERY_BLOCK = 4096, 16, 2048
+
+
+def cosine_topk(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str, k: int = 300) -> DataFrame:
     """(query_id, id, score, rank): for each row of ``queries`` the ``k`` most similar other rows of ``vectors``; ties by id.
 
-    Queries go to the tasks in blocks of ``block``, which is all of them that is ever in one place. Each batch of
-    vectors is one matrix product in double precision and leaves its best k a query, so k rows a query and batch are
-    shuffled to the ranking. Rows without a vector have no similarity.
+    Both sides are packed into blocks by length. A block of queries meets a shard of ``TOGETHER`` blocks of vectors in one task, which
+    multiplies in double precision and keeps the best k a query, so k rows a query and shard are shuffled to the
+    ranking, and neither side passes through the driver. Vectors of other lengths than a query's aren't compared with
+    it; null and empty vectors, and those with null or non-finite components, have no similarity.
     """
-    spark = vectors.sparkSession
-    named = queries.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")).where("v is not null")
-    numbered = named.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-named.count() // block)))))
-    parts = None
-    for (n,) in numbered.select("block").distinct().orderBy("block").collect():
-        rows = numbered.where(F.col("block") == n).orderBy("id").collect()
-        asked = np.array([r["id"] for r in rows]), np.stack([np.asarray(r["v"], np.float64) for r in rows])
-        part = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("v is not null").mapInArrow(_best(*asked, k), "query_id long, id long, score double")
-        parts = part if parts is None else parts.unionByName(part)
-    if parts is None:
-        return spark.createDataFrame([], "query_id long, id long, score double, rank int")
-    return parts.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
-
-
-def _best(ids: np.ndarray, asked: np.ndarray, k: int):
-    asked = asked / (np.linalg.norm(asked, axis=1, keepdims=True) + 1e-12)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            other = batch.column("id").to_numpy()
-            x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(np.float64)
-            score = asked @ (x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-12)).T
+    base, asked = _packed_vectors(vectors, id_col, vector_col, VECTOR_BLOCK), _packed_vectors(queries, id_col, vector_col, QUERY_BLOCK)
+    shards = base.groupBy("dim").agg(F.floor(F.max("block") / TOGETHER).alias("last"))
+    turns = asked.groupBy("dim").agg(F.max("block").alias("last"))
+    one = asked.join(shards, "dim").select("dim", F.col("block").alias("turn"), F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("shard"), F.lit(True).alias("asks"), "ids", "values")
+    two = base.join(turns, "dim").select("dim", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("turn"), F.floor(F.col("block") / TOGETHER).alias("shard"), F.lit(False).alias("asks"), "ids", "values")
+    best = one.unionByName(two).groupBy("dim", "turn", "shard").applyInArrow(_best(k), "query_id long, id long, score double")
+    return best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
+
+
+def _packed_vectors(df: DataFrame, id_col: str, vector_col: str, block: int) -> DataFrame:
+    """(dim, block, ids, values): the usable vectors of a length, some ``block`` in a row."""
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    rows = rows.where("id is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('inf'))").withColumn("dim", F.size("v"))
+    blocks = rows.groupBy("dim").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    placed = rows.join(F.broadcast(blocks), "dim") if blocks.count() <= 1000 else rows.join(blocks, "dim")  # lengths are few
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks")
+
+    def pack(table: pa.Table) -> pa.Table:
+        values = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return pa.table({"dim": table.column("dim").slice(0, 1), "block": table.column("block").slice(0, 1), "ids": [table.column("id").to_numpy().tobytes()], "values": [values.tobytes()]})
+
+    return placed.groupBy("dim", "block").applyInArrow(pack, "dim int, block long, ids binary, values binary")
+
+
+def _best(k: int):
+    def run(table: pa.Table) -> pa.Table:
+        sides: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {True: [], False: []}
+        for row in table.to_pylist():
+            x = np.frombuffer(row["values"], np.float64).reshape(-1, row["dim"])
+            sides[row["asks"]].append((np.frombuffer(row["ids"], np.int64), x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-12)))
+        ids, asked = sides[True][0]
+        best = np.full((len(ids), 0), -np.inf)
+        names = np.zeros((len(ids), 0), np.int64)
+        for other, x in sides[False]:
+            score = asked @ x.T
             score[ids[:, None] == other[None]] = -np.inf
-            order = np.lexsort((np.broadcast_to(other, score.shape), -score), axis=1)[:, :k]
-            picked = np.take_along_axis(score, order, axis=1)
-            rows = np.repeat(ids, order.shape[1]), other[order].ravel(), picked.ravel()
-            real = rows[2] > -np.inf
-            yield pa.RecordBatch.from_arrays([pa.array(r[real]) for r in rows], names=["query_id", "id", "score"])
+            score, name = np.concatenate([best, score], axis=1), np.concatenate([names, np.broadcast_to(other, score.shape)], axis=1)
+            order = np.lexsort((name, -score), axis=1)[:, :k]
+            best, names = np.take_along_axis(score, order, axis=1), np.take_along_axis(name, order, axis=1)
+        real = best > -np.inf
+        return pa.table({"query_id": np.repeat(ids, best.shape[1])[real.ravel()], "id": names[real], "score": best[real]})
 
     return run
 
@@ -141,6 +216,16 @@ def preview(titulo: Column, rubro: Column, text: Column) -> tuple[Column, Column
     return F.substring(F.coalesce(F.nullif(titulo, F.lit("")), rubro), 1, 80), F.translate(F.substring(text, 1, 120), "\n", " ")
 
 
+def embed_pending(chunks: DataFrame, embed: Callable[[Column], Column], model: str, text: str = "text", embedding: str = "embedding", types: list[str] | None = None) -> DataFrame:
+    """All chunks, with vectors for those that have none yet: ``embedding``, ``embedding_model`` and ``embedded_at`` are
+    set where a chunk was pending, and only its text is embedded. Write the result as the new table."""
+    todo = pending_embeddings(chunks, embedding, types)
+    fits = F.col(embedding).isNull() & (F.col("chunk_type").isin(types) if types else F.lit(True))
+    rest = chunks.where(~F.coalesce(fits, F.lit(False)))
+    done = todo.withColumns({embedding: embed(F.col(text)), "embedding_model": F.lit(model), "embedded_at": F.current_timestamp()})
+    return rest.unionByName(done.select(*rest.columns))
+
+
 def pending_embeddings(chunks: DataFrame, embedding: str = "embedding", types: list[str] | None = None) -> DataFrame:
     """Chunks without a vector, of the given types; embed them with functions.vectors.hash_embed or a service's UDF."""
     out = chunks.where(F.col(embedding).isNull())

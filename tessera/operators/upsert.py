@@ -17,10 +17,10 @@ def keep_one(df: DataFrame, key: list[str], *order: Column | str) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def last_wins(old: DataFrame, new: DataFrame, key: list[str], order: str | None = None) -> DataFrame:
-    """Rows by key: a new row replaces an old one; among new rows the last by ``order`` counts."""
+def last_wins(old: DataFrame, new: DataFrame, key: list[str], order: str) -> DataFrame:
+    """Rows by key: a new row replaces an old one; among new rows the last by ``order`` counts, which must tell them apart."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    return keep_one(both, key, F.desc("_new"), *([F.desc(order)] if order else [])).drop("_new")
+    return keep_one(both, key, F.desc("_new"), F.desc(order)).drop("_new")
 
 
 def first_wins(old: DataFrame, new: DataFrame, key: list[str], order: str | None = None, compat: bool = False) -> DataFrame:
@@ -45,10 +45,11 @@ def replace_children(old: DataFrame, new: DataFrame, parent: str) -> DataFrame:
     return old.join(new.select(parent).distinct(), parent, "left_anti").unionByName(new)
 
 
-def update_by_key(table: DataFrame, changes: DataFrame, key: str, column: str, fold_case: bool = False) -> DataFrame:
-    """``column`` set where a change has the row's key; with ``fold_case`` keys are compared in upper case."""
+def update_by_key(table: DataFrame, changes: DataFrame, key: str, column: str, order: str, fold_case: bool = False) -> DataFrame:
+    """``column`` set where a change has the row's key, to the last change by ``order`` (ties: the greatest value); with
+    ``fold_case`` keys are compared in upper case."""
     left = F.upper(F.col(key)) if fold_case else F.col(key)
-    c = changes.select((F.upper(F.col(key)) if fold_case else F.col(key)).alias("_key"), F.col(column).alias("_value")).dropDuplicates(["_key"])
+    c = changes.groupBy((F.upper(F.col(key)) if fold_case else F.col(key)).alias("_key")).agg(F.max_by(column, F.struct(order, column)).alias("_value"))
     return table.join(c, left == F.col("_key"), "left").withColumn(column, F.coalesce("_value", column)).drop("_key", "_value")
 
 

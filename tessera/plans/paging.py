@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import ascii_lower
+
 
 def page_plan(slices: DataFrame, total: str, size: int = 50, cap: int = 9999) -> DataFrame:
     """slices with a row for each page that a listing which shows at most ``cap`` results has; empty slices have none."""
@@ -25,9 +27,16 @@ def candidates(spark: SparkSession, first_year: int, last_year: int, most: int,
 
 
 def legislation_ids(df: DataFrame, scope: str) -> DataFrame:
-    """Identifiers by scope: federal, tratados, estatales, prioridad, or all of them without repeats."""
-    federal = df.where("lower(ambito) = 'federal'").select("id_native")
-    treaties = df.where("lower(ambito) like '%internacional%' or lower(ordenamiento) like '%tratado%'").select("id_native")
-    codes = df.where("lower(ambito) = 'estatal' and lower(ordenamiento) rlike '^(constituci|c.digo)'").select("id_native")
-    by = {"federal": federal, "tratados": treaties, "estatales": codes, "prioridad": federal.union(treaties).distinct(), "all": federal.union(treaties).union(codes).distinct()}
-    return by[scope]
+    """Identifiers of laws in force by scope: priority (codes, constitutions and organic laws, federal and of states),
+    federal, tratados, estatales_codigos (codes and constitutions of states), or all: the first three without repeats."""
+    valid = df.where("vigencia = 'VIGENTE'")
+    name = ascii_lower("ordenamiento")
+    codes = name.like("codigo%") | name.like("constitucion%")
+    by = {
+        "priority": valid.where(F.col("ambito").isin("FEDERAL", "ESTATAL") & (codes | name.like("ley org%"))),
+        "federal": valid.where("ambito = 'FEDERAL'"),
+        "tratados": valid.where("ambito = 'TRATADOS INTERNACIONALES'"),
+        "estatales_codigos": valid.where((F.col("ambito") == "ESTATAL") & codes),
+    }
+    by = {k: v.select("id_native") for k, v in by.items()}
+    return by["priority"].union(by["federal"]).union(by["tratados"]).distinct() if scope == "all" else by[scope]

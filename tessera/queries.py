@@ -9,7 +9,8 @@ from .functions import text as tx
 from .functions.vectors import hash_embed
 from .operators import audit, catalog, chunk, corpus, extract, match, retrieval, upsert
 from .plans import paging
-from .sources.readers import table
+from .sources.readers import records_of, table
+from .sources.writers import scratch_path
 from .streaming import incremental
 
 QUERIES: dict = {}
@@ -58,14 +59,13 @@ _BM25 = _bm25_sql(_SEARCH.split())
 
 @query(f"WITH {_BM25} SELECT id, source, lang, round(score, 6) AS score FROM hits JOIN documents ON doc_id = id")
 def bm25_topk(spark, documents):
-    hits = retrieval.bm25(documents, "doc_id", ["text"], _SEARCH)
-    return hits.join(documents.select(F.col("doc_id").alias("id"), "source", "lang"), "id").select("id", "source", "lang", F.round("score", 6).alias("score"))
+    hits = retrieval.bm25(documents, "doc_id", ["text"], _SEARCH, keep=("source", "lang"))
+    return hits.select("id", "source", "lang", F.round("score", 6).alias("score"))
 
 
 @query(f"WITH {_BM25} SELECT source AS value, count(*) AS n FROM hits JOIN documents ON doc_id = id GROUP BY 1")
 def bm25_facets(spark, documents):
-    hits = retrieval.bm25(documents, "doc_id", ["text"], _SEARCH)
-    return retrieval.facets(hits.join(documents.select(F.col("doc_id").alias("id"), "source"), "id"), "source")
+    return retrieval.facets(retrieval.bm25(documents, "doc_id", ["text"], _SEARCH, keep=("source",)), "source")
 
 
 @query(f"SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM (SELECT doc_id, unnest({_WORDS.format('text')}) AS term FROM documents) GROUP BY 1")
@@ -89,11 +89,11 @@ _MANY = [("a", "with the"), ("b", "that this for"), ("c", "erber"), ("d", "no su
     + " UNION ALL ".join(f"SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM {q}" for q, _ in _MANY)
 )
 def bm25_many_queries(spark, documents):
-    """Several searches over stored postings at once."""
-    index = retrieval.postings(documents, "doc_id", "text")
-    sizes = documents.select(F.col("doc_id").alias("id"), F.size(retrieval.terms("text")).alias("dl"))
-    asked = spark.createDataFrame([(q, t) for q, words in _MANY for t in retrieval.query_terms(words)], "query_id string, term string")
-    return retrieval.bm25_of_postings(index, sizes, asked).withColumn("score", F.round("score", 6))
+    """Several searches at once over postings that are written once, in two steps as rows come in."""
+    index = retrieval.LexicalIndex(spark, scratch_path(spark, "index"))
+    index.refresh(documents.where("doc_id % 2 = 0"), "doc_id", ["text"])
+    index.refresh(documents, "doc_id", ["text"])
+    return index.search(dict(_MANY)).withColumn("score", F.round("score", 6))
 
 
 # ---------------------------------------------------------------- vectors
@@ -279,9 +279,20 @@ def page_url_parts(spark, pages):
     return pages.select("page_id", F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1).alias("host"), tx.basename(plain).alias("base"), tx.url_extension("url").alias("ext"))
 
 
-@query("SELECT page_id, CASE " + " ".join(f"WHEN contains(substring(html, 1, 5000), '{w}') THEN '{v}'" for w, v in catalog.PLATFORMS) + " ELSE 'other' END AS platform FROM pages")
+# marks planted in the head of some pages, since none of the test pages has one
+_MARKS = ("WP-JSON/v2", "wp-content", "data-Beasties-container", "_ngContent-c0", "ASP.NET", "__VIEWSTATE", "Drupal 9", "JOOMLA!", "none")
+
+
+@query(
+    f"""SELECT page_id, CASE WHEN lower(h) LIKE '%wp-json%' OR lower(h) LIKE '%wp-content%' THEN 'wordpress'
+      WHEN lower(h) LIKE '%data-beasties-container%' OR lower(h) LIKE '%\\_ngcontent%' ESCAPE '\\' THEN 'angular' WHEN lower(h) LIKE '%asp.net%' OR lower(h) LIKE '%viewstate%' THEN 'aspnet'
+      WHEN lower(h) LIKE '%drupal%' THEN 'drupal' WHEN lower(h) LIKE '%joomla%' THEN 'joomla' ELSE 'other' END AS platform
+    FROM (SELECT page_id, substring({list(_MARKS)}[page_id % {len(_MARKS)} + 1] || html, 1, 5000) AS h FROM pages)"""
+)
 def html_platform(spark, pages):
-    return pages.select("page_id", tx.ordered_case(F.substring("html", 1, 5000), catalog.PLATFORMS, "other").alias("platform"))
+    mark = F.element_at(F.array(*[F.lit(m) for m in _MARKS]), (F.col("page_id") % len(_MARKS) + 1).cast("int"))
+    head = F.lower(F.substring(F.concat(mark, "html"), 1, 5000))
+    return pages.select("page_id", tx.ordered_case(head, catalog.PLATFORMS, "other").alias("platform"))
 
 
 @query(r"SELECT page_id, list_sort(list_distinct(list_transform(regexp_extract_all(html, 'track\((\d+)\)', 1), lambda x: x::BIGINT)))::VARCHAR AS codes FROM pages")
@@ -318,20 +329,17 @@ def _spans(text: str, pattern: str) -> str:
     return f"list_transform(range(1, len({m}) + 1), lambda j: CAST(list_sum(list_transform({g}[1:j], lambda x: length(x))) + coalesce(list_sum(list_transform({m}[1:j-1], lambda x: length(x))), 0) AS INTEGER))"
 
 
-_CITES = (
-    "WITH "
-    + ", ".join(
-        f"""l{k} AS (SELECT doc_id, text, unnest({_spans("text", p)}) AS law_pos FROM documents WHERE regexp_matches(text, '{p}')),
-    w{k} AS (SELECT doc_id, law_pos, substring(text, greatest(law_pos - 200, 0) + 1, law_pos + {len(p)} + 200 - greatest(law_pos - 200, 0)) AS w FROM l{k}),
-    s{k} AS (SELECT doc_id, law_pos, w, {_spans("w", _REF)} AS pos, regexp_extract_all(w, '{_REF}') AS m, regexp_extract_all(w, '{_REF}', 1) AS a, regexp_extract_all(w, '{_REF}', 2) AS b, regexp_extract_all(w, '{_REF}', 3) AS c FROM w{k}),
-    r{k} AS (SELECT doc_id AS id, '{k}' AS code, {i} AS law_ord, law_pos, CAST(j - 1 AS INTEGER) AS ref_pos, a[j] AS articulo, nullif(b[j], '') AS fraccion, nullif(c[j], '') AS parrafo,
-      substring(w, greatest(pos[j] - 30, 0) + 1, pos[j] + length(m[j]) + 30 - greatest(pos[j] - 30, 0))[:300] AS raw FROM (SELECT *, unnest(range(1, len(m) + 1)) AS j FROM s{k}))"""
-        for i, (k, p) in enumerate(_LAWS.items())
-    )
-    + ", cites AS ("
-    + " UNION ALL ".join(f"SELECT * FROM r{k}" for k in _LAWS)
-    + ") "
-)
+def _cites_sql(table: str, laws: dict[str, str], ref: str) -> str:
+    """Windows around each match of each law in ``table`` (doc_id, text), and the references in them."""
+    whole = "list_concat(" + ", ".join(f"list_transform(list_zip({_spans('text', p)}, regexp_extract_all(text, '{p}')), lambda x: {{'code': '{k}', 'law_ord': {i}, 'law_pos': x[1], 'law': x[2]}})" for i, (k, p) in enumerate(laws.items())) + ")"
+    return f"""WITH hits AS (SELECT doc_id, text, unnest({whole}) AS l FROM {table}),
+    w AS (SELECT doc_id, l.code, l.law_ord, l.law_pos, substring(text, greatest(l.law_pos - 200, 0) + 1, l.law_pos + length(l.law) + 200 - greatest(l.law_pos - 200, 0)) AS w FROM hits),
+    s AS (SELECT *, {_spans("w", ref)} AS pos, regexp_extract_all(w, '{ref}') AS m, regexp_extract_all(w, '{ref}', 1) AS a, regexp_extract_all(w, '{ref}', 2) AS b, regexp_extract_all(w, '{ref}', 3) AS c FROM w),
+    cites AS (SELECT doc_id AS id, code, law_ord, law_pos, CAST(j - 1 AS INTEGER) AS ref_pos, a[j] AS articulo, nullif(b[j], '') AS fraccion, nullif(c[j], '') AS parrafo,
+      substring(w, greatest(pos[j] - 30, 0) + 1, pos[j] + length(m[j]) + 30 - greatest(pos[j] - 30, 0))[:300] AS raw FROM (SELECT *, unnest(range(1, len(m) + 1)) AS j FROM s)) """
+
+
+_CITES = _cites_sql("documents", _LAWS, _REF)
 _KEY = ["id", "code", "articulo", "fraccion", "parrafo"]
 
 
@@ -363,6 +371,39 @@ def citation_topn(spark, documents):
     return c.orderBy(F.desc("n"), "code", "articulo", F.col("fraccion").asc_nulls_last()).limit(10)
 
 
+# sentences of the kind that the catalogues' patterns find, planted after the texts of documents, which have none
+_SENTENCES = (
+    "Conforme al artículo 14, fracción IV, inciso a de la Ley de Amparo y al art. 5 del Código Fiscal de la Federación.",
+    "La Constitución Política de los Estados Unidos Mexicanos, artículos 103, fracción II, y la Ley Federal del Trabajo, ARTÍCULO 47 Bis 2.",
+    "Ley General de Salud, Ley del Seguro Social y Código Civil Federal: artículo 8, párrafo tercero; Código de Comercio art. 1049.",
+    "El Pacto de San José, artículo 8, y la Convención sobre los Derechos del Niño, art. 3; Convención de Belém do Pará.",
+    "Pacto Internacional de Derechos Civiles y Políticos: artículo 14, fracción III. Convención contra la Tortura, artículo 1, inciso b.",
+    "Sin cita alguna.",
+)
+_PLANTED = f"(SELECT doc_id, substring(text, 1, 300) || ' ' || {list(_SENTENCES)}[doc_id % {len(_SENTENCES)} + 1] || ' ' || {list(_SENTENCES)}[(doc_id // 7) % {len(_SENTENCES)} + 1] AS text FROM documents)"
+
+
+def _planted(documents):
+    sentences = F.array(*[F.lit(x) for x in _SENTENCES])
+    one, two = (F.element_at(sentences, (n % len(_SENTENCES) + 1).cast("int")) for n in (F.col("doc_id"), F.floor(F.col("doc_id") / 7)))
+    return documents.select("doc_id", F.concat_ws(" ", F.substring("text", 1, 300), one, two).alias("text"))
+
+
+def _caseless(patterns: dict[str, str]) -> dict[str, str]:
+    return {k: f"(?i){p}" for k, p in patterns.items()}
+
+
+@query(_cites_sql(_PLANTED, _caseless(catalog.LAWS), f"(?i){catalog.ARTICLE}") + "SELECT * FROM cites")
+def law_citations(spark, documents):
+    """All laws of the catalogue, in one scan."""
+    return extract.citation_windows(_planted(documents), "doc_id", "text", catalog.LAWS)
+
+
+@query(_cites_sql(_PLANTED, _caseless(catalog.TREATIES), f"(?i){catalog.ARTICLE}") + "SELECT * FROM cites")
+def treaty_citations(spark, documents):
+    return extract.citation_windows(_planted(documents), "doc_id", "text", catalog.TREATIES)
+
+
 @query(r"SELECT DISTINCT doc_id AS id, trim(regexp_replace(k, '\s+', ' ', 'g')) AS clave FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(\p{Lu}\p{Ll}+\s+\p{Ll}+\.)', 1)) AS k FROM documents)")
 def case_key_mentions(spark, documents):
     found = F.regexp_extract_all("text", F.lit(r"(\p{Lu}\p{Ll}+\s+\p{Ll}+\.)"), F.lit(1))
@@ -458,8 +499,9 @@ def replace_children(spark, orders, lineitem):
 
 @query("SELECT c_custkey, c_name, CASE WHEN n_regionkey = 0 THEN 'moved' ELSE c_mktsegment END AS c_mktsegment FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
 def update_by_key(spark, customer, nation):
-    changes = customer.join(nation.where("n_regionkey = 0"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.lower("c_name").alias("c_name"), F.lit("moved").alias("c_mktsegment"))
-    return upsert.update_by_key(customer.select("c_custkey", "c_name", "c_mktsegment"), changes, "c_name", "c_mktsegment", fold_case=True)
+    changes = customer.join(nation.where("n_regionkey = 0"), F.col("c_nationkey") == F.col("n_nationkey"))
+    changes = changes.select(F.lower("c_name").alias("c_name"), F.explode(F.array(F.struct(F.lit(1).alias("seen"), F.lit("kept").alias("c_mktsegment")), F.struct(F.lit(2).alias("seen"), F.lit("moved").alias("c_mktsegment")))).alias("c"))
+    return upsert.update_by_key(customer.select("c_custkey", "c_name", "c_mktsegment"), changes.select("c_name", "c.*"), "c_name", "c_mktsegment", "seen", fold_case=True)
 
 
 @query("SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
@@ -473,9 +515,24 @@ def pending_anti_join(spark, documents, labels):
     return incremental.pending(documents, labels, key="doc_id").select("doc_id")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) AND c_custkey NOT IN (SELECT s_suppkey FROM supplier)")
-def seen_in_either(spark, customer, orders, supplier):
-    return incremental.pending(customer, orders.select(F.col("o_custkey").alias("c_custkey")), supplier.select(F.col("s_suppkey").alias("c_custkey")), key="c_custkey").select("c_custkey")
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1) AND doc_id NOT IN (SELECT vec_id FROM embeddings WHERE label % 2 = 0)")
+def seen_in_either(spark, documents, labels, embeddings):
+    return incremental.pending(documents, labels.where("quality = 1"), embeddings.where("label % 2 = 0").select(F.col("vec_id").alias("doc_id")), key="doc_id").select("doc_id")
+
+
+@query("SELECT doc_id, reason, seen FROM (SELECT doc_id, 'toxic' AS reason, 2 AS seen FROM labels WHERE toxic = 1 UNION ALL SELECT doc_id, 'poor', 1 FROM labels WHERE quality = 0 AND toxic <> 1)")
+def negative_cache(spark, labels):
+    """What is known not to be there, with the last reason for it."""
+    poor = labels.where("quality = 0").select("doc_id", F.lit("poor").alias("reason"), F.lit(1).alias("seen"))
+    return incremental.with_missing(poor, labels.where("toxic = 1").select("doc_id", F.lit("toxic").alias("reason"), F.lit(2).alias("seen")), "doc_id", "seen")
+
+
+@query("SELECT doc_id, 'found' AS state FROM labels WHERE doc_id IN (SELECT doc_id FROM documents) UNION ALL SELECT doc_id, 'missing' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT -1, 'missing'")
+def lookup_by_id(spark, labels, documents):
+    """Records of the ids asked for, and the ids without one."""
+    asked = labels.select("doc_id").unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("doc_id")))
+    found, missing = records_of(asked, documents, "doc_id")
+    return found.select("doc_id", F.lit("found").alias("state")).unionByName(missing.select("doc_id", F.lit("missing").alias("state")))
 
 
 @query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS texto FROM conversations WHERE text <> '' GROUP BY 1")
@@ -628,3 +685,256 @@ def join_chain(spark, lineitem, orders, customer, nation):
 def coverage_states(spark, documents, labels):
     named = documents.join(labels, "doc_id", "left").select("doc_id", F.when(F.col("quality").isNull(), "unlabelled").otherwise("labelled").alias("state"))
     return named.unionByName(incremental.pending(labels, documents, key="doc_id").select("doc_id", F.lit("orphan").alias("state")))
+
+
+# ---------------------------------------------------------------- fields of written pages
+# Texts are made from a template for each row, so SQL says what must be found without searching for it.
+
+
+def _templated(documents, template: str):
+    """(doc_id, t): a template with {id} and {lang} filled in."""
+    return documents.select("doc_id", "lang", F.replace(F.replace(F.lit(template), F.lit("{id}"), F.col("doc_id").cast("string")), F.lit("{lang}"), F.col("lang")).alias("t"))
+
+
+def _filled(**fields: str | None) -> str:
+    """SQL for the same with each field's template."""
+    values = [f"NULL::VARCHAR AS {k}" if v is None else f"replace(replace('{v}', '{{id}}', doc_id::VARCHAR), '{{lang}}', lang) AS {k}" for k, v in fields.items()]
+    return f"SELECT doc_id, {', '.join(values)} FROM documents"
+
+
+_THESIS = (
+    "Materia: FISCAL\ny {lang}\nClave: VIII-P-1aS-{id}\nRubro: VALOR {id}.- CASO\nUNO\nel cuerpo del criterio {id}.\nsegunda línea\nPRECEDENTES:\n"
+    "Juicio Contencioso Administrativo Núm. {id}/20-07.- Resuelto en sesión de 3 de mayo de 2004, por unanimidad de 5 votos a favor.- Magistrado Ponente: Juan Ruiz {id}.- Secretaria: Lic. Ana Paz {id}.\n(Tesis aprobada)\n"
+    "R.T.F.J.A. Octava Época. Año IV. No. 33. Abril 2019. p. 9"
+)
+
+
+@query(
+    _filled(
+        clave="VIII-P-1aS-{id}",
+        epoca="VIII",
+        sala="1aS",
+        materia="FISCAL y {lang}",
+        rubro="VALOR {id}.- CASO UNO",
+        texto="el cuerpo del criterio {id}.\nsegunda línea",
+        precedente=_THESIS.split("PRECEDENTES:\n")[1].split("\nR.T.F.")[0],
+        juicio="{id}/20-07.-",
+        ponente="Juan Ruiz {id}",
+        secretario="Ana Paz {id}",
+        votacion="por unanimidad de 5 votos a favor",
+        fecha="3 de mayo de 2004",
+        revista="R.T.F.J.A. Octava Época. Año IV. No. 33. Abril 2019. p. 9",
+        anio="2019",
+    )
+)
+def thesis_fields(spark, documents):
+    found = extract.thesis_fields(_templated(documents, _THESIS), "t").drop("lang", "t")
+    return found.withColumn("anio", F.col("anio").cast("string"))
+
+
+_JUDGMENT = "CORTE INTERAMERICANA\nCaso Pérez {id} y otros Vs. Costa Rica\n(Fondo)\n1 de enero de 1999\nSentencia de 12 de mayo de 2020\nhechos"
+
+
+@query(_filled(nombre="Caso Pérez {id} y otros Vs. Costa Rica", tipo="sentencia_contenciosa", pais="Costa Rica", fecha="12 de mayo de 2020", anio="2020"))
+def court_fields(spark, documents):
+    return extract.court_fields(_templated(documents, _JUDGMENT), "t").drop("lang", "t").withColumn("anio", F.col("anio").cast("string"))
+
+
+_OPINION = "Opinión Consultiva OC-{id}/20 de la Corte\nsobre garantías"
+
+
+@query(_filled(nombre="Opinión Consultiva OC-{id}/20 de la Corte sobre garantías", tipo="opinion_consultiva", pais=None, fecha=None))
+def court_opinions(spark, documents):
+    return extract.court_fields(_templated(documents, _OPINION), "t").select("doc_id", "nombre", "tipo", "pais", "fecha")
+
+
+_NOTE = "ACUERDO {id} por el que se reforma. <title>DOF - Nota {id} </title><b>SECRETARÍA DE HACIENDA {lang}</b><p>Texto</p>"
+
+
+@query(_filled(titulo="Nota {id}", organismo="HACIENDA {lang}", tipo="ACUERDO {id} por el que se reforma", texto="ACUERDO {id} por el que se reforma. DOF - Nota {id} SECRETARÍA DE HACIENDA {lang} Texto"))
+def gazette_fields(spark, documents):
+    return extract.gazette_fields(_templated(documents, _NOTE), "t").drop("lang", "t")
+
+
+_WHOLE = "palabra " * 40
+_PAGE = f"<body><div>menu</div><div id=\"DivDetalleNota\"><div>uno <div>dos {{id}}</div></div><script>x()</script>{_WHOLE}<div>fin</div></div><div>pie</div></body>"
+_CHROME = f"<body><div class='content wide'>var nombre_cookie {_WHOLE}</div><p>inicio DECRETO {{id}} {_WHOLE}</p></body>"
+
+
+@query(_filled(main=f"uno dos {{id}} {_WHOLE}fin", marked=f"DECRETO {{id}} {_WHOLE.strip()}"))
+def gazette_contents(spark, documents):
+    """Contents by selector, elements of the same kind inside counted off, and from a marker word where only page chrome is found."""
+    two = _templated(documents, _CHROME).select("doc_id", F.col("t").alias("u"))
+    return _templated(documents, _PAGE).join(two, "doc_id").select("doc_id", extract.main_content(F.col("t")).alias("main"), extract.main_content(F.col("u")).alias("marked"))
+
+
+_THESIS_PAGE = "<html><b>Sala Superior</b> <i>Jurisprudencia&nbsp;12 / 2010</i> 3 de mayo de 2011 <p>corto</p><p>" + "b" * 90 + "{id}</p>Actor: Partido {id}</html>"
+
+
+@query(_filled(rubro=None, clave="Jurisprudencia 12 / 2010", instancia="Sala Superior", tipo="jurisprudencia", partes="Partido {id}", fecha="3 de mayo de 2011", anio="2011", texto="b" * 90 + "{id}"))
+def electoral_fields(spark, documents):
+    return extract.electoral_fields(_templated(documents, _THESIS_PAGE), "t").drop("lang", "t").withColumn("anio", F.col("anio").cast("string"))
+
+
+_RECOMMENDATION = "México, Ciudad de México, a 3 de mayo de 2021\nRecomendación No. {id}/2021\nTema: derecho a la salud de {lang} y otros\nAUTORIDAD DESTINATARIA: Secretaría {id}; otra"
+
+
+@query(_filled(num_rec="Recomendación {id}/2021", destinatario="Secretaría {id}", fecha="3 de mayo de 2021", tema="derecho a la salud de {lang} y otros"))
+def recommendation_fields(spark, documents):
+    return extract.recommendation_fields(_templated(documents, _RECOMMENDATION), "t").drop("lang", "t")
+
+
+_LABELS = (("Recomendación 12/2020", "x.pdf"), ("ver 2019/0015", "x.pdf"), ("ver", "a/Rec12_2020.pdf"), ("ver", "a/Rec0082018.pdf"), ("ver", "/2020-12/x.pdf"), ("nada", "x.pdf"))
+
+
+@query("SELECT doc_id, [12, 15, 12, 8, 12, NULL][doc_id % 6 + 1] AS number, [2020, 2019, 2020, 2018, 2020, NULL][doc_id % 6 + 1] AS year FROM documents")
+def recommendation_numbers(spark, documents):
+    """Every form of a number and a year, with swaps."""
+    pick = F.element_at(F.array(*[F.struct(F.lit(a).alias("label"), F.lit(b).alias("address")) for a, b in _LABELS]), (F.col("doc_id") % 6 + 1).cast("int"))
+    found = documents.select("doc_id", pick.alias("x")).select("doc_id", extract.numbered_recommendation(F.col("x.label"), F.col("x.address")).alias("r"))
+    return found.select("doc_id", "r.number", "r.year")
+
+
+@query(_filled(name="Ley de Aguas {id}", title="LEY DE AGUAS DEL ESTADO DE YUCATAN {id}", cut="REGLAMENTO INTERIOR DEL CONSEJO DE LA JUDICATURA ESTATAL {id}"))
+def law_titles(spark, documents):
+    """Titles from file addresses and from the heads of texts."""
+    names = ("c42bae_Ley_de_Aguas_{id}_2026-04-09.pdf", "leyes/385142_Ley-de-Aguas-{id} (última ref 2020).DOC", "x/ley%20de%20aguas/Ley%20de_Aguas%20{id}.html")
+    url = F.element_at(F.array(*[_templated_text(n) for n in names]), (F.col("doc_id") % 3 + 1).cast("int"))
+    head, long_head = "H. CONGRESO\nLEY DE AGUAS\nDEL ESTADO DE YUCATAN {id} Última Reforma 2020", "REGLAMENTO INTERIOR DEL CONSEJO DE LA JUDICATURA ESTATAL {id}. Capítulo primero, uno"
+    titles = [tx.title_of(_templated_text(h), catalog.LAW_WORDS).alias(n) for h, n in ((head, "title"), (long_head, "cut"))]
+    return documents.select("doc_id", tx.name_from_url(url).alias("name"), *titles)
+
+
+def _templated_text(template: str):
+    return F.replace(F.lit(template), F.lit("{id}"), F.col("doc_id").cast("string"))
+
+
+_TREATIES = (("Convenio sobre la esclavitud", "otro", "ddhh"), ("Pacto de derechos civiles", "ddhh", "ddhh"), ("Convenio de inversión y libre comercio", "comercial", "comercial"), ("Acuerdo de doble imposición", "otro", "comercial"), ("Convenio sobre protección", "ddhh", "otro"), ("Convenio postal", "otro", "otro"))
+
+
+@query(f"SELECT doc_id, {[t[1] for t in _TREATIES]}[doc_id % 6 + 1] AS first, {[t[2] for t in _TREATIES]}[doc_id % 6 + 1] AS later FROM documents")
+def treaty_kinds(spark, documents):
+    """What treaties are about, by the first and the later list of words."""
+    name = F.element_at(F.array(*[F.lit(t[0]) for t in _TREATIES]), (F.col("doc_id") % 6 + 1).cast("int"))
+    first, later = ([(tx.rx(p), kind) for kind, p in words] for words in (catalog.TREATY_KINDS, catalog.TREATY_KINDS_LATER))
+    return documents.select("doc_id", tx.keyword_class([F.lit(None).cast("string"), name], first, "otro").alias("first"), tx.keyword_class([name], later, "otro").alias("later"))
+
+
+_LAW_ROWS = "(SELECT doc_id AS id_native, ['VIGENTE', 'ABROGADA', 'VIGENTE'][doc_id % 3 + 1] AS vigencia, ['FEDERAL', 'ESTATAL', 'TRATADOS INTERNACIONALES', NULL][doc_id % 4 + 1] AS ambito, ['CODIGO CIVIL', 'Constitucion Politica', 'LEY ORGANICA', 'LEY DE AGUAS', 'Código con acento'][doc_id % 5 + 1] AS ordenamiento FROM documents)"
+_SCOPES = {
+    "priority": "ambito IN ('FEDERAL', 'ESTATAL') AND (ordenamiento ILIKE 'CODIGO%' OR ordenamiento ILIKE 'CONSTITUCION%' OR ordenamiento ILIKE 'LEY ORG%')",
+    "federal": "ambito = 'FEDERAL'",
+    "tratados": "ambito = 'TRATADOS INTERNACIONALES'",
+    "estatales_codigos": "ambito = 'ESTATAL' AND (ordenamiento ILIKE 'CODIGO%' OR ordenamiento ILIKE 'CONSTITUCION%')",
+}
+_SCOPES["all"] = " OR ".join(f"({_SCOPES[k]})" for k in ("priority", "federal", "tratados"))
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS scope, id_native FROM {_LAW_ROWS} WHERE vigencia = 'VIGENTE' AND ({v})" for k, v in _SCOPES.items()))
+def legislation_scopes(spark, documents):
+    """Target ids of every scope."""
+
+    def pick(n: int, *values):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("doc_id") % n + 1).cast("int"))
+
+    laws = documents.select(
+        F.col("doc_id").alias("id_native"),
+        pick(3, "VIGENTE", "ABROGADA", "VIGENTE").alias("vigencia"),
+        pick(4, "FEDERAL", "ESTATAL", "TRATADOS INTERNACIONALES", None).alias("ambito"),
+        pick(5, "CODIGO CIVIL", "Constitucion Politica", "LEY ORGANICA", "LEY DE AGUAS", "Código con acento").alias("ordenamiento"),
+    )
+    parts = [paging.legislation_ids(laws, k).select(F.lit(k).alias("scope"), "id_native") for k in _SCOPES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------- all sources
+
+_LONG = "x" * 100
+#: By source: the columns its table has, and what must come of a row: native id, url, kind, rank, title, chunks.
+_BUILT = {
+    "scjn_tesis": ("registro_digital rubro titulo tipo epoca_numero epoca_nombre clave fuente instancia organo_jurisdiccional fecha_publ_semanario texto_contenido texto_hechos texto_justificacion texto_criterios_juridicos detail_fetched_at", "registro_digital-#", "https://bj.scjn.gob.mx/documento/sentencias_pub/registro_digital-#", "tesis_aislada", "criterio_pjf", "titulo-#", "rubro=rubro-# hechos=texto_hechos-# criterio=texto_criterios_juridicos-# justificacion=texto_justificacion-#"),
+    "scjn_historica": ("ius rubro localizacion epoca instancia tipo_tesis texto", "ius-#", None, "tesis_historica", "criterio_pjf", "rubro-#", "rubro=rubro-# cuerpo=texto-#"),
+    "tfja": ("id_tfja epoca sala clave materia rubro texto precedente_raw ponente revista_ref anio_revista status", "id_tfja-#", "https://www.tfja.gob.mx/cesmdfa/sctj/tesis-pdf-detalle/id_tfja-#/", "criterio_tfja", "administrativo", "rubro-#", "rubro=rubro-# cuerpo=texto-# precedente=precedente_raw-#"),
+    "sre_tratado": ("token_sre nombre categoria tema estatus lugar_adopcion fecha_vigor_mexico publ_dof_promulgacion aprobacion_senado tramite_constitucional notas tipo reservas detail_fetched_at", "token_sre-#", "https://cja.sre.gob.mx/tratadosmexico/tratados/token_sre-#", "tratado", "internacional", "nombre-#", "titulo=nombre-# notas=notas-# reserva=reservas-#"),
+    "corte_idh": ("serie numero url nombre pais fecha_sentencia anio tipo raw_text status", "serie-#-numero-#", "url-#", "tipo-#", "convencional", "nombre-#", f"titulo=nombre-# parrafo=raw_text-#-{_LONG}"),
+    "dip_ley": ("law_id nombre abreviatura ultima_reforma categoria primary_url texto", "law_id-#", "primary_url-#", "ley_federal", "federal", "nombre-#", "titulo=nombre-# cuerpo=texto-#"),
+    "scjn_ejecutoria": ("registro_digital num_expediente asunto ponente secretario fecha_resolucion organo_jurisdiccional tipo_asunto votacion texto status", "registro_digital-#", "https://bj.scjn.gob.mx/documento/ejecutorias/registro_digital-#", "ejecutoria", "pjf_sentencia", "asunto-#", "titulo=asunto-#"),
+    "scjn_voto": ("registro_digital tipo_voto ministro num_expediente organo fecha texto status", "registro_digital-#", "https://bj.scjn.gob.mx/documento/votos/registro_digital-#", "tipo_voto-#", "pjf_sentencia", "Voto — exp num_expediente-#", "voto=texto-#"),
+    "scjn_acuerdo": ("id_native rubro fuente fechaPublicacionSemanario instancia organoJurisdiccional", "id_native-#", None, "acuerdo", "pjf_acuerdo", "rubro-#", "rubro=rubro-#"),
+    "scjn_vtaquigrafica": ("id_native organoJurisdiccional fechaSesion instancia anio", "id_native-#", "https://bj.scjn.gob.mx/documento/vtaquigraficas/id_native-#", "version_taquigrafica", "pjf_sesion", "Sesión fechaSesion-# — organoJurisdiccional-#", "titulo=Sesión fechaSesion-# — organoJurisdiccional-#"),
+    "scjn_voto_sentencia": ("id_native ministroFirma tipoVoto expediente asuntoId textoVoto fechaCierreCompleto tipoAsunto", "id_native-#", None, "tipoVoto-#", "pjf_sentencia", "Voto — exp expediente-#", "voto=textoVoto-#"),
+    "bj_legislacion": ("id_native ordenamiento vigencia estado fechaPublicado materia ambito pais", "id_native-#", None, "ley_estatal", "estatal", "ordenamiento-#", "titulo=ordenamiento-#"),
+    "scjn_sentencia": ("id_engrose num_expediente tipo_asunto organo_radicacion ponente fecha_resolucion anio votacion epoca_numero epoca_nombre fuente archivo_url sections body_html", "id_engrose-#", "https://bj.scjn.gob.mx/documento/sentencias_pub/id_engrose-#", "tipo_asunto-#", "pjf_sentencia", "tipo_asunto-# num_expediente-#", f"titulo=tipo_asunto-# num_expediente-# resolutivo=sections-#-{_LONG}"),
+    "scjn_biblioteca": ("id_native titulo resumen autor tema coleccion urlPrimo", "id_native-#", "urlPrimo-#", "publicacion_academica", "doctrinal", "titulo-#", "titulo=titulo-# resumen=resumen-#"),
+    "scjn_expediente": ("id_native expediente fechaResolucion tema tipoAsunto materias pertenencia estado", "id_native-#", None, "tipoAsunto-#", "pjf_sentencia", "tipoAsunto-# expediente-#", "titulo=tipoAsunto-# expediente-# tema=tema-#"),
+}
+
+
+def _built_sql() -> str:
+    names = ("native", "source_url", "tipo", "jerarquia", "titulo", "chunks")
+    rows = [f"SELECT '{k}' AS source, " + ", ".join("NULL::VARCHAR AS " + n if v is None else f"replace('{v}', '#', doc_id::VARCHAR) AS {n}" for n, v in zip(names, vs[1:], strict=True)) + " FROM documents" for k, vs in _BUILT.items()]
+    return " UNION ALL ".join(rows)
+
+
+@query(_built_sql())
+def corpus_sources(spark, documents):
+    """Every source through its specification: a table of each is made in which a column's value is its name and the row's id."""
+
+    def value(source: str, name: str):
+        plain = F.concat(F.lit(f"{name}-"), F.col("doc_id").cast("string"))
+        if name == "sections":
+            text = F.concat(plain, F.lit(f"-{_LONG}"))
+            short = F.struct(F.lit("otro").alias("type"), F.lit("corto").alias("text"))
+            return F.array(short, F.struct(F.lit("resolutivo").alias("type"), text.alias("text")))
+        if name == "raw_text":
+            return F.concat(plain, F.lit(f"-{_LONG}\n\ncorto"))
+        return F.lit("ok") if name == "status" and source != "tfja" else plain
+
+    tables = {k: documents.select(*[value(k, c).alias(c) for c in vs[0].split()]) for k, vs in _BUILT.items()}
+    built = corpus.build_corpus(tables)
+    chunks = F.array_join(F.transform("chunks", lambda c: F.concat(c["type"], F.lit("="), c["text"])), " ")
+    return built.select("source", F.col("source_native_id").alias("native"), "source_url", "tipo", "jerarquia", "titulo", chunks.alias("chunks"))
+
+
+# ---------------------------------------------------------------- matching and embedding
+
+
+@query("SELECT a.doc_id, a.lang, b.n FROM (SELECT doc_id, CASE WHEN lang <> 'en' THEN lang END AS lang, source FROM documents) a JOIN (SELECT source, CASE WHEN lang <> 'en' THEN lang ELSE '' END AS lang, count(*) AS n FROM documents GROUP BY 1, 2) b ON a.source = b.source AND coalesce(a.lang, '') = b.lang")
+def null_safe_match(spark, documents):
+    """Keys of which one may be null on one side and empty on the other."""
+    d = documents.withColumn("lang", F.when(F.col("lang") != "en", F.col("lang")))
+    counts = d.groupBy("source", F.coalesce("lang", F.lit("")).alias("lang")).agg(F.count("*").alias("n"))
+    return match.null_safe_join(d.select("doc_id", "source", "lang"), counts, ["source", "lang"], ["lang"]).select("doc_id", "lang", "n")
+
+
+@query("SELECT 'narrow' AS search, p_partkey, p_name FROM part WHERE lower(p_name) LIKE '%anvil%' UNION ALL SELECT * FROM (SELECT 'wide', p_partkey, p_name FROM part WHERE lower(p_name) LIKE '%a%' ORDER BY p_name, p_partkey LIMIT 5)")
+def presence_with_fallback(spark, part):
+    """Names like any of some patterns, or the first few like wider ones where there is none."""
+    names = part.select("p_partkey", F.concat_ws("\u0001", "p_name", F.format_string("%012d", "p_partkey")).alias("k"), "p_name")
+    narrow = match.find_or_widen(names, "p_name", ["%anvil%", "%no such%"], ["%a%"]).select(F.lit("narrow").alias("search"), "p_partkey", "p_name")
+    wide = match.find_or_widen(names, "k", ["%no such%"], ["%a%\u0001%"]).select(F.lit("wide").alias("search"), "p_partkey", "p_name")
+    return narrow.unionByName(wide)
+
+
+@query("SELECT source, count(*) AS n FROM documents WHERE lower(text) LIKE '%constituci%' OR lower(text) LIKE 'the%' OR lower(text) LIKE '%nom %' GROUP BY 1")
+def like_counts_by_group(spark, documents):
+    return match.like_counts(documents, "source", "text", ["%constituci%", "the%", "%nom %"])
+
+
+@query("SELECT vec_id, CASE WHEN label % 2 = 0 THEN 'old' WHEN label % 3 = 0 THEN 'new' END AS model, CASE WHEN label % 2 = 0 OR label % 3 = 0 THEN 2 END AS size FROM embeddings")
+def embed_pending(spark, embeddings):
+    """Chunks without a vector get one, of the types asked for; others stay as they are."""
+    ready = F.col("label") % 2 == 0
+    chunks = embeddings.select(
+        "vec_id",
+        F.col("vec_id").cast("string").alias("text"),
+        F.when(F.col("label") % 3 == 0, "cuerpo").otherwise("nota").alias("chunk_type"),
+        F.when(ready, F.array(F.lit(1.0), F.lit(2.0))).alias("embedding"),
+        F.when(ready, "old").alias("embedding_model"),
+        F.lit(None).cast("timestamp").alias("embedded_at"),
+    )
+    done = retrieval.embed_pending(chunks, lambda t: hash_embed(t, 2), "new", types=["cuerpo"])
+    return done.select("vec_id", F.col("embedding_model").alias("model"), F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("size"))

@@ -45,3 +45,9 @@ def extracted_text(documents: DataFrame, extract: Callable[[bytes, int | None],
             yield pd.DataFrame({"path": batch["path"], "text": [extract(c, pages) for c in batch["content"]]})
 
     return documents.select("path", "content").mapInPandas(run, "path string, text string")
+
+
+def records_of(ids: DataFrame, landed: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(the landed records of the ids asked for, the ids without one): a lookup by id over files instead of a service."""
+    asked = ids.select(key).distinct()
+    return landed.join(asked, key, "left_semi"), asked.join(landed.select(key), key, "left_anti")

@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the folder that spark.checkpoint.dir names, which all machines share; on a single machine without
+    the setting, in a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tessera-")
+    return f"{base.rstrip('/')}/tessera-{label}-{uuid.uuid4().hex[:12]}"
 
 
 def reload_table(df: DataFrame, path: str) -> None:

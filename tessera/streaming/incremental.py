@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.upsert import last_wins
+
 
 def pending(wanted: DataFrame, *done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in none of the ``done`` tables."""
@@ -22,13 +24,33 @@ def incomplete_pages(plan: DataFrame, ledger: DataFrame, keys: list[str]) -> Dat
     return plan.join(good, [*keys, "size"], "left_anti")
 
 
-def run_lengths(df: DataFrame, partition: str | None, order: str, hit: str) -> DataFrame:
-    """df with ``misses``: how many rows in a row up to this one are no hits (a hit has 0)."""
-    base = Window.partitionBy(partition) if partition else Window.partitionBy(F.lit(0))
-    island = df.withColumn("_hits", F.sum(F.col(hit).cast("int")).over(base.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
-    keys = [c for c in (partition, "_hits") if c]
-    count = F.sum((~F.col(hit)).cast("int")).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return island.withColumn("misses", count).drop("_hits")
+def with_missing(missing: DataFrame, found_out: DataFrame, key: str, order: str) -> DataFrame:
+    """The table of what was asked for and isn't there (key, reason, order), with what was found out since; the last
+    reason counts. ``pending`` takes it as one of its tables, so nothing is asked for again in vain."""
+    return last_wins(missing, found_out, [key], order)
+
+
+def run_lengths(df: DataFrame, partition: str | None, order: str, hit: str, block: int = 100_000) -> DataFrame:
+    """df with ``misses``: how many rows in a row up to this one are no hits (a hit has 0).
+
+    Without a partition ``order`` must be a number: runs are counted in blocks of so many places, and a block begins
+    with what the blocks before it leave, so that no task sees all rows.
+    """
+    spans = df if partition else df.withColumn("_block", F.floor(F.col(order) / block))
+    base = partition or "_block"
+    island = spans.withColumn("_hits", F.sum(F.col(hit).cast("int")).over(Window.partitionBy(base).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    count = F.sum((~F.col(hit)).cast("int")).over(Window.partitionBy(base, "_hits").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    counted = island.withColumn("misses", count)
+    if partition:
+        return counted.drop("_hits")
+    # one row a block: has it a hit, and the misses at its end
+    blocks = counted.groupBy("_block").agg((F.max("_hits") > 0).alias("any"), F.max_by("misses", order).alias("tail"))
+    so_far = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = blocks.withColumn("run", F.sum(F.col("any").cast("int")).over(so_far))
+    left = blocks.withColumn("left", F.sum("tail").over(Window.partitionBy("run").orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)))
+    carried = left.select("_block", F.coalesce(F.lag("left").over(Window.orderBy("_block")), F.lit(0)).alias("_carried"))
+    joined = counted.join(carried, "_block")
+    return joined.withColumn("misses", F.when(F.col("_hits") == 0, F.col("misses") + F.col("_carried")).otherwise(F.col("misses"))).drop("_hits", "_block", "_carried")
 
 
 def stop_place(df: DataFrame, order: str, hit: str, most_misses: int, after: int) -> DataFrame:

@@ -90,23 +90,39 @@ def test_catalogue(frame):
 
 
 def test_thesis_fields(frame):
-    text = "Materia: Fiscal\nClave: V-TASS-100\nRubro: UNO DOS\nTRES.- CUATRO\n\nel cuerpo del criterio.\nPRECEDENTES:\nJuicio No. 12/2001. Magistrado Ponente: Juan Ruiz. Secretaria: Ana Paz. Por unanimidad de votos. 3 de mayo de 2004"
-    r = extract.thesis_fields(frame(text), "t").first()
-    assert (r["clave"], r["materia"], r["rubro"], r["texto"], r["anio"]) == ("V-TASS-100", "Fiscal", "UNO DOS TRES.- CUATRO", "el cuerpo del criterio.", 2004)
-    assert (r["ponente"], r["secretario"], r["fecha"]) == ("Juan Ruiz", "Ana Paz", "3 de mayo de 2004")
+    """Without a mark of precedents the body ends at the first procedural line, which begins them; nothing is made up."""
+    text = "Materia: Fiscal\nClave: V-TASS-100\nRubro: UNO DOS\nTRES.- CUATRO\n(continúa) el cuerpo del criterio.\nRevisión No. 12/2001. Magistrada Ponente: Eva Gil. Fin.\nRTFF. Quinta Época. Año II. Mayo 2003"
+    r, bare = extract.thesis_fields(frame(text, "nada de esto"), "t").collect()
+    assert (r["clave"], r["epoca"], r["sala"], r["materia"], r["rubro"]) == ("V-TASS-100", "V", "100", "Fiscal", "UNO DOS TRES.- CUATRO")
+    assert (r["texto"], r["precedente"]) == ("(continúa) el cuerpo del criterio.", "Revisión No. 12/2001. Magistrada Ponente: Eva Gil. Fin.")
+    assert (r["juicio"], r["ponente"], r["secretario"], r["anio"], r["revista"]) == ("12/2001.", None, None, 2003, "RTFF. Quinta Época. Año II. Mayo 2003")
+    assert {bare[c] for c in ("clave", "materia", "rubro", "texto", "precedente", "juicio", "ponente", "votacion", "fecha", "revista", "anio")} == {None}
 
 
 def test_court_and_gazette(frame):
-    f = frame("Caso X Vs. Costa Rica. Sentencia de 12 de mayo de 2020")
-    assert extract.court_fields(f, "t").first()["pais"] == "Costa Rica" and extract.court_fields(f, "t").first()["anio"] == 2020
+    f = frame("Caso X Vs. Costa Rica. Dado el 1 de enero de 1990. Sentencia de 12 de mayo de 2020", "CASO X vs. Perú, 3 de mayo de 2001")
+    one, two = extract.court_fields(f, "t").collect()
+    assert (one["pais"], one["anio"], one["fecha"], one["tipo"]) == ("Costa Rica", 2020, "12 de mayo de 2020", "sentencia_contenciosa")
+    assert (two["pais"], two["anio"], two["tipo"]) == ("Perú", None, None)
     assert extract.court_fields(f, "t", compat=True).first()["pais"] == "Costa"
     assert extract.gazette_fields(frame("<p>Texto sin nada. ACUERDO</p>"), "t").first()["tipo"] is None
-    assert extract.gazette_fields(frame("<p>ACUERDO por el que</p>"), "t").first()["tipo"] == "ACUERDO"
+    assert extract.gazette_fields(frame("<p>ACUERDO por el que se reforma. Y más</p>"), "t").first()["tipo"] == "ACUERDO por el que se reforma"
+
+
+def test_elements_end_at_their_own_tag(frame):
+    html = '<div id="a">uno<div>dos</div>tres</div>cuatro<DIV class="x content y">cinco<div class="content-no">seis</div></div><main>siete'
+    got = frame(html).select(*[extract.element(F.col("t"), s).alias(str(i)) for i, s in enumerate(("#a", "div#a", "div.content", "main", "article", "div.y", "div.content-n"))]).first()
+    assert [g and " ".join(re.sub("<[^>]+>", " ", g).split()) for g in got] == ["uno dos tres", "uno dos tres", "cinco seis", "siete", None, "cinco seis", None]
+
+
+def test_country_entry(frame):
+    html = "<h2>Reservas</h2><b>Francia</b><p>" + "f" * 120 + "</p><b> México </b><p>" + "m" * 120 + "</p><b>Noruega</b><p>no</p>"
+    assert frame(html).select(extract.country_entry(F.col("t"), "México")).first()[0] == "México " + "m" * 120
 
 
 def test_recommendation_flip(frame):
-    rows = frame("Recomendación 12/2020", "2019/15", "nada").select(extract.numbered_recommendation(F.col("t")).alias("r")).collect()
-    assert [r["r"] and (r["r"]["number"], r["r"]["year"]) for r in rows] == [(12, 2020), (15, 2019), None]
+    rows = frame("Recomendación 12/2020", "2019/0015", "2019/15", "nada").select(extract.numbered_recommendation(F.col("t")).alias("r")).collect()
+    assert [r["r"] and (r["r"]["number"], r["r"]["year"]) for r in rows] == [(12, 2020), (15, 2019), None, None]
 
 
 def test_codes(frame):

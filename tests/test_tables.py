@@ -8,6 +8,8 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import text as tx
+from tessera.functions.vectors import cosine
 from tessera.operators import audit, chunk, corpus, match, retrieval, upsert
 from tessera.plans import paging
 from tessera.sources import readers, writers
@@ -80,7 +82,7 @@ def test_every_source_builds(spark):
 def test_write_semantics(spark):
     old = spark.createDataFrame([(1, "a", None), (2, "b", "x")], "k long, v string, w string")
     new = spark.createDataFrame([(2, None, "y"), (3, "c", None)], "k long, v string, w string")
-    assert rows(upsert.last_wins(old, new, ["k"]), "k", F.coalesce("v", F.lit("-"))) == [(1, "a"), (2, "-"), (3, "c")]
+    assert rows(upsert.last_wins(old, new, ["k"], "v"), "k", F.coalesce("v", F.lit("-"))) == [(1, "a"), (2, "-"), (3, "c")]
     assert rows(upsert.first_wins(old, new, ["k"]), "k", F.coalesce("v", F.lit("-"))) == [(1, "a"), (2, "b"), (3, "c")]
     assert rows(upsert.keep_old_if_null(old, new, ["k"]), "k", "v", F.coalesce("w", F.lit("-"))) == [(1, "a", "-"), (2, "b", "y"), (3, "c", "-")]
     assert rows(upsert.keep_old_if_null(old, new, ["k"], always=("v",)), "k", F.coalesce("v", F.lit("-"))) == [(1, "a"), (2, "-"), (3, "c")]
@@ -121,11 +123,52 @@ def test_query_text_is_no_syntax():
     assert retrieval.query_terms("art. 8.4 CADH") == ["art", "8", "4", "cadh"]
 
 
+def test_folding_is_the_same_on_both_sides(spark):
+    df = spark.createDataFrame([(1, "Čapek ő ﬃ NIÑO"), (2, "capek"), (3, "ĀB n\u0303")], "id long, t string")
+    for q in ("Čapek", "čapek", "capek", "ő", "ﬃ", "niño"):
+        assert [r["id"] for r in retrieval.bm25(df, "id", ["t"], q).orderBy("id").collect()] == ([1, 2] if "apek" in q else [1]), q
+    assert [r["id"] for r in retrieval.bm25(df, "id", ["t"], "āb ñ").collect()] == [3]
+
+
+def test_stored_index(spark, tmp_path):
+    """Refreshed in steps it is what all rows at once give; a batch whose sizes were never written doesn't count."""
+    df = spark.createDataFrame([(i, f"agua {'ley ' * (i % 5)} n{i}") for i in range(40)] + [(None, "agua")], "id long, t string")
+    index = retrieval.LexicalIndex(spark, str(tmp_path / "index"))
+    assert index.search({"a": "agua"}).count() == 0
+    index.refresh(df.where("id < 15"), "id", ["t"])
+    index.refresh(df, "id", ["t"])
+    index.refresh(df, "id", ["t"])
+    retrieval.postings(df.limit(5), "id", "t").withColumn("bucket", F.lit(1)).write.partitionBy("bucket").parquet(str(tmp_path / "index/postings/batch=lost"))
+    got = {(r["query_id"], r["id"]): r["score"] for r in index.search({"a": "agua ley", "b": "n7", "c": "nada"}).collect()}
+    plain = {("a", r["id"]): r["score"] for r in retrieval.bm25(df.where("id is not null"), "id", ["t"], "agua ley").collect()}
+    assert {k: v for k, v in got.items() if k[0] == "a"} == plain and {k for k in got if k[0] != "a"} == {("b", 7)}
+    plan = index.postings(["agua"])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_vectors_of_other_lengths_and_values(spark, monkeypatch):
+    """Only vectors of a query's length count; blocks of any size give the same."""
+    rnd = random.Random(6)
+    rows_ = [(i, [rnd.gauss(0, 1) for _ in range(3 if i % 3 else 2)]) for i in range(60)]
+    rows_ += [(60, [1.0, None]), (61, [float("nan"), 1.0]), (62, [float("inf"), 1.0]), (63, []), (64, None), (None, [1.0, 2.0]), (65, [0.0, 0.0]), (66, rows_[0][1])]
+    df = spark.createDataFrame(rows_, "id long, v array<double>")
+    want = None
+    for sizes in ((4096, 16, 2048), (4, 2, 3)):
+        for name, n in zip(("VECTOR_BLOCK", "TOGETHER", "QUERY_BLOCK"), sizes, strict=True):
+            monkeypatch.setattr(retrieval, name, n)
+        got = sorted((r["query_id"], r["id"], round(r["score"], 9), r["rank"]) for r in retrieval.cosine_topk(df, df, "id", "v", k=4).collect())
+        want = want or got
+        assert got == want
+    length = {i: len(v) for i, v in rows_[:60]} | {65: 2, 66: 2}
+    assert {q for q, *_ in got} == set(length) and all(length[q] == length[i] and q != i for q, i, *_ in got)
+    assert (0, 66, 1.0, 1) in got and len(got) == 4 * len(length)
+
+
 def test_cosine_blocks(spark):
     rnd = random.Random(2)
     vectors = [(i, [rnd.gauss(0, 1) for _ in range(8)]) for i in range(50)] + [(50, None)]
     df = spark.createDataFrame(vectors, "id long, v array<float>")
-    got = retrieval.cosine_topk(df, df.where("id % 10 = 0"), "id", "v", k=5, block=2)
+    got = retrieval.cosine_topk(df, df.where("id % 10 = 0"), "id", "v", k=5)
     assert got.count() == 25
     best = {r["query_id"]: r["id"] for r in got.where("rank = 1").collect()}
 
@@ -155,6 +198,14 @@ def test_runs_and_stops(spark):
     df = spark.createDataFrame([(i, i in (0, 3)) for i in range(10)], "n int, hit boolean")
     assert [r["misses"] for r in incremental.run_lengths(df, None, "n", "hit").orderBy("n").collect()] == [0, 1, 2, 0, 1, 2, 3, 4, 5, 6]
     assert incremental.stop_place(df, "n", "hit", 3, 5).first()["stop_at"] == 6
+    rnd = random.Random(1)
+    hits = [(3 * i, rnd.random() < 0.15) for i in range(120)]
+    many, run, want = spark.createDataFrame(hits, "n int, hit boolean"), 0, []
+    for _, hit in hits:
+        run = 0 if hit else run + 1
+        want.append(run)
+    for block in (1, 7, 40, 10**6):  # blocks without a hit, and of one row
+        assert [r["misses"] for r in incremental.run_lengths(many, None, "n", "hit", block).orderBy("n").collect()] == want
 
 
 def test_file_batches(spark, tmp_path):
@@ -193,6 +244,33 @@ def test_readers_and_writers(spark, tmp_path):
     assert readers.listings(spark, str(tmp_path / "p.json"), "pagina int, resultados array<struct<id:long>>").count() == 2
 
 
+def test_small_sinks_and_helpers(spark, tmp_path):
+    df = spark.createDataFrame([(1, "uno\ndos", "", ["a", "b"])], "k int, v string, e string, m array<string>")
+    path = str(tmp_path / "t")
+    writers.reload_table(df.unionByName(df), path)
+    writers.reload_table(df, path)
+    writers.append_log(df, path)
+    assert spark.read.parquet(path).count() == 2
+    writers.json_report(df, str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).first()["v"] == "uno\ndos"
+    r = df.select(tx.or_else("e", "v").alias("o"), tx.join_names("m").alias("j"), tx.truncated("v", 3).alias("t"), *[c.alias(n) for c, n in zip(retrieval.preview(F.col("e"), F.col("v"), F.col("v")), "ab", strict=True)]).first()
+    assert tuple(r) == ("uno\ndos", "a, b", "uno", "uno\ndos", "uno dos")
+    vectors = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0])], "a array<float>, b array<float>")
+    assert vectors.select(cosine(F.col("a"), F.col("b"))).first()[0] == pytest.approx(2**-0.5)
+    plan = spark.createDataFrame([("a", 1, 50), ("a", 2, 50), ("a", 3, 50)], "slice string, page int, size int")
+    ledger = spark.createDataFrame([("a", 1, 50, 10), ("a", 2, 50, 0), ("a", 3, 20, 9)], "slice string, page int, size int, count int")
+    assert rows(incremental.incomplete_pages(plan, ledger, ["slice", "page"]), "page") == [(2,), (3,)]
+    found = spark.createDataFrame([(1, "x")], "k int, r string")
+    hit, miss = readers.records_of(spark.createDataFrame([(1,), (2,), (2,)], "k int"), found, "k")
+    assert rows(hit, "k", "r") == [(1, "x")] and rows(miss, "k") == [(2,)]
+
+
+def test_updates_take_the_last_change(spark):
+    table = spark.createDataFrame([("A", "x"), ("b", None)], "k string, v string")
+    changes = spark.createDataFrame([("a", "one", 1), ("A", "two", 2), ("a", "three", 2)], "k string, v string, at int")
+    assert rows(upsert.update_by_key(table, changes, "k", "v", "at", fold_case=True), "k", F.coalesce("v", F.lit("-"))) == [("A", "two"), ("b", "-")]
+
+
 @pytest.mark.parametrize("name", ["bm25_topk", "citation_windows", "upsert_last_wins", "html_sections"])
 def test_registered_queries_run(spark, name):
     from tessera import queries
