@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from . import embed_dedup, media, minhash, mixing, ngram_lm, quality, sentencepiece_codec, token_binary, toxicity, url_filter
 from .common import LOWER, UPPER, new_path, read_table
@@ -35,7 +36,8 @@ def op6_quality_classifier(spark, sf_dir):
 
 
 def op7_embedding_near_dedup(spark, sf_dir):
-    return embed_dedup.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+    found = embed_dedup.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
 
 
 def op8_sentencepiece(spark, sf_dir):
@@ -50,6 +52,18 @@ def op10_lm_scores(spark, sf_dir):
     return ngram_lm.score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def mix_targets(spark, sf_dir):
+    """What SQL can say of the mix: sizes, and the targets of sources."""
+    mixed = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
+
+
+def url_rules(spark, sf_dir):
+    """What SQL can say of the URL filter: hosts, paths, and the rules that fit, with their verdicts."""
+    judged = url_filter.filter_urls(read_table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("rule_verdict"))
+
+
 _OPERATORS = (
     op1_mix_sources,
     op2_url_filters,
@@ -61,6 +75,8 @@ _OPERATORS = (
     op8_sentencepiece,
     op9_minhash_near_dedup,
     op10_lm_scores,
+    mix_targets,
+    url_rules,
 )
 QUERIES = {f.__name__: f for f in _OPERATORS}
 
@@ -82,6 +98,27 @@ SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS
 FROM n JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1) c ON c.doc_id = n.doc_id
 """
 
+#: The level is the line through the last breakpoint at which the sources together still fit the budget.
+MIX_TARGETS_SQL = r"""
+WITH s AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), t AS (SELECT source, sum(size) AS n FROM s GROUP BY 1
+), r AS (SELECT *, 2.0::DOUBLE * n / w AS b FROM (SELECT *, ([3, 1, 2])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w FROM t)
+), f AS (SELECT a.b, sum(least(2.0::DOUBLE * r.n, r.w * a.b)) AS f, sum(CASE WHEN r.b > a.b THEN r.w ELSE 0 END) AS w FROM (SELECT 0.0::DOUBLE AS b UNION SELECT b FROM r) a, r GROUP BY 1
+), level AS (SELECT max_by(b + (1.5::DOUBLE * (SELECT sum(n) FROM r) - f) / w, b) AS level FROM f WHERE f <= 1.5::DOUBLE * (SELECT sum(n) FROM r) AND w > 0
+)
+SELECT s.doc_id, s.size, r.n::BIGINT AS source_size, round(least(2.0::DOUBLE * r.n, coalesce(r.w * level, 2.0::DOUBLE * r.n)), 6) AS target
+FROM s JOIN r ON s.source IS NOT DISTINCT FROM r.source, level
+"""
+
+URL_RULES_SQL = rf"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), r AS (SELECT *, CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/' WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule FROM u)
+SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS rule_verdict FROM r
+"""
+
 VECTOR_COMPONENTS_SQL = """
 WITH RECURSIVE links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
@@ -89,8 +126,13 @@ WITH RECURSIVE links AS (
 ), reach AS (
   SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r
 ), c AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY 1)
-SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept, 1.0::DOUBLE AS audit_recall
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
 FROM embeddings e JOIN c USING (vec_id)
 """
 
-ORACLE_SQL = {"op7_embedding_near_dedup": VECTOR_COMPONENTS_SQL, "op9_minhash_near_dedup": SHINGLE_COMPONENTS_SQL}
+ORACLE_SQL = {
+    "op7_embedding_near_dedup": VECTOR_COMPONENTS_SQL,
+    "op9_minhash_near_dedup": SHINGLE_COMPONENTS_SQL,
+    "mix_targets": MIX_TARGETS_SQL,
+    "url_rules": URL_RULES_SQL,
+}
