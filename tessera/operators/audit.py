@@ -70,3 +70,15 @@ def seeded_sample(df: DataFrame, key: str, k: int, seed: str = "") -> DataFrame:
 def members(df: DataFrame, group: str, member: str) -> DataFrame:
     """(group, n, members): distinct members by group, sorted; for groups that are known to be short."""
     return df.groupBy(group).agg(F.count("*").alias("n"), F.array_sort(F.collect_set(member)).alias("members"))
+
+
+def forecast(sample: DataFrame, totals: DataFrame, group: str, size: str) -> DataFrame:
+    """(group, sampled, mean_size, total, expected): what all ``total`` rows of a group will come to at the sample's mean.
+
+    totals: (group, total). A group without a sample is expected at the mean of the whole sample.
+    """
+    means = sample.groupBy(group).agg(F.count("*").alias("sampled"), F.avg(size).alias("mean_size"))
+    overall = F.broadcast(sample.agg(F.avg(size).alias("_overall")))  # one row
+    joined = totals.join(means, group, "left").join(overall)
+    mean = F.coalesce("mean_size", "_overall")
+    return joined.select(group, F.coalesce("sampled", F.lit(0)).cast("long").alias("sampled"), mean.alias("mean_size"), "total", (mean * F.col("total")).alias("expected"))

@@ -80,9 +80,10 @@ def find_or_widen(df: DataFrame, column: str, wanted: list[str], wider: list[str
     return chosen.where("_level = 1").unionByName(few).drop("_level")
 
 
-def like_counts(df: DataFrame, group: str, column: str, patterns: list[str]) -> DataFrame:
+def like_counts(df: DataFrame, group: str, column: str, patterns: list[str], top: int | None = None) -> DataFrame:
     """(group, n) of rows whose lower-cased column is like any of the patterns, most first."""
-    return df.where(_like_any(F.lower(F.col(column)), patterns)).groupBy(group).agg(F.count("*").alias("n")).orderBy(F.desc("n"), group)
+    out = df.where(_like_any(F.lower(F.col(column)), patterns)).groupBy(group).agg(F.count("*").alias("n")).orderBy(F.desc("n"), group)
+    return out.limit(top) if top else out
 
 
 def _like_any(c: Column, patterns: list[str]) -> Column:

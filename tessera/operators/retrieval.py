@@ -24,6 +24,13 @@ def terms(*columns: Column | str) -> Column:
     return F.array_remove(F.split(fold(text), r"[^\p{L}\p{N}]+"), "")
 
 
+def with_terms(df: DataFrame, columns: list[str], into: str = "terms") -> DataFrame:
+    """df with its folded words stored in ``into``: where that is null or not there yet, so texts that change later keep
+    the words they had until it is set to null."""
+    made = terms(*columns)
+    return df.withColumn(into, F.coalesce(F.col(into), made) if into in df.columns else made)
+
+
 def postings(df: DataFrame, id_col: str, *columns: str) -> DataFrame:
     """(id, term, tf, dl): how often each document has each term, and how many terms it has in all indexed columns."""
     words = df.select(F.col(id_col).alias("id"), terms(*columns).alias("w"))

@@ -938,3 +938,38 @@ def embed_pending(spark, embeddings):
     )
     done = retrieval.embed_pending(chunks, lambda t: hash_embed(t, 2), "new", types=["cuerpo"])
     return done.select("vec_id", F.col("embedding_model").alias("model"), F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("size"))
+
+
+# ---------------------------------------------------------------- further audits
+
+
+@query(
+    """WITH s AS (SELECT source, n_chars FROM documents WHERE doc_id % 10 = 3), m AS (SELECT source, count(*) AS sampled, avg(n_chars) AS mean FROM s GROUP BY 1)
+  SELECT source, coalesce(sampled, 0) AS sampled, round(coalesce(mean, (SELECT avg(n_chars) FROM s)), 6) AS mean_size, total, round(coalesce(mean, (SELECT avg(n_chars) FROM s)) * total, 3) AS expected
+  FROM (SELECT source, count(*) AS total FROM documents GROUP BY 1) LEFT JOIN m USING (source)"""
+)
+def size_forecast(spark, documents):
+    """What all documents of a source will come to, by a tenth of them."""
+    totals = documents.groupBy("source").agg(F.count("*").alias("total"))
+    out = audit.forecast(documents.where("doc_id % 10 = 3"), totals, "source", "n_chars")
+    return out.withColumns({"mean_size": F.round("mean_size", 6), "expected": F.round("expected", 3)})
+
+
+@query("SELECT n_regionkey, any_value(r_name) AS r_name, count(*) AS n, min(n_nationkey) AS low, max(n_nationkey) AS high FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
+def bounds_with_label(spark, nation, region):
+    """A column that isn't grouped by, carried along."""
+    named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return audit.bounds(named, "n_regionkey", "n_nationkey", "r_name")
+
+
+@query("SELECT p_brand, count(*) AS n FROM part WHERE lower(p_name) LIKE '%an%' OR lower(p_name) LIKE 'b%' OR lower(p_name) LIKE '%x' GROUP BY 1 ORDER BY n DESC, p_brand LIMIT 20")
+def like_any_top(spark, part):
+    return match.like_counts(part, "p_brand", "p_name", ["%an%", "b%", "%x"], top=20)
+
+
+@query(f"SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 1 ELSE len({_WORDS.format('concat_ws(chr(32), source, text)')}) END AS n, CASE WHEN doc_id % 4 = 0 THEN 'kept' ELSE ({_WORDS.format('concat_ws(chr(32), source, text)')})[1] END AS first FROM documents")
+def stored_terms(spark, documents):
+    """Words of two columns, stored where there are none yet."""
+    ready = documents.withColumn("terms", F.when(F.col("doc_id") % 4 == 0, F.array(F.lit("kept"))))
+    stored = retrieval.with_terms(ready, ["source", "text"])
+    return stored.select("doc_id", F.size("terms").cast("long").alias("n"), F.try_element_at("terms", F.lit(1)).alias("first"))

@@ -74,6 +74,16 @@ def process_new_files(spark: SparkSession, folder: str, schema, batch: Callable[
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def batch_writer(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+    """A batch function for ``process_new_files`` that can run again: each batch has a folder of its own, which a second
+    run replaces."""
+
+    def write(df: DataFrame, number: int) -> None:
+        shape(df).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return write
+
+
 def windowed_counts(events: DataFrame, time: str, keys: list[str], size: str = "10 minutes", late: str | None = "30 minutes", slide: str | None = None) -> DataFrame:
     """Counts by time window and keys; events later than ``late`` behind the newest are dropped (None: the stream has its watermark)."""
     w = F.window(time, size, slide) if slide else F.window(time, size)

@@ -216,6 +216,10 @@ def test_file_batches(spark, tmp_path):
     spark.range(5).write.mode("append").parquet(source)
     incremental.process_new_files(spark, source, "id long", lambda df, n: seen.append(df.count()), str(tmp_path / "ck")).awaitTermination()
     assert sum(seen) == 15
+    writer, out = incremental.batch_writer(str(tmp_path / "out"), lambda df: df.where("id < 3")), str(tmp_path / "out")
+    for number in (0, 0, 1):  # a batch that comes again replaces itself
+        writer(spark.range(10), number)
+    assert spark.read.parquet(out).count() == 6
 
 
 def test_stream_of_events(spark, tmp_path):
