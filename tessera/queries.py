@@ -141,11 +141,15 @@ def hybrid_rrf(spark, documents, embeddings):
     return fused.groupBy("query_id").agg(F.round(F.sum("score"), 6).alias("total"), F.count("*").alias("n"))
 
 
-@query()
+@query(
+    """WITH a AS (SELECT doc_id, sha256('e3small'::BLOB || encode(text)) AS d FROM documents WHERE text IS NOT NULL), b AS (SELECT doc_id, d || sha256('e3small'::BLOB || unhex(d)) AS d FROM a)
+  SELECT doc_id, CAST(i AS INTEGER) AS place, round(CASE WHEN v >= 2147483648 THEN v - 4294967296 ELSE v END / 2147483648.0::DOUBLE, 6) AS value
+  FROM (SELECT doc_id, i, ('0x' || substring(d, i * 8 + 1, 8))::BIGINT AS v FROM (SELECT doc_id, d, unnest(range(0, 16)) AS i FROM b))"""
+)
 def hash_embedding(spark, documents):
-    """Deterministic embeddings of all texts (a hash chain isn't SQL)."""
-    e = hash_embed(F.col("text"), 16)
-    return documents.select("doc_id", F.transform(e, lambda x: F.round(x, 6)).alias("embedding"))
+    """Deterministic embeddings of all texts, a row a component."""
+    embedded = documents.where("text is not null").select("doc_id", F.posexplode(hash_embed(F.col("text"), 16)).alias("place", "value"))
+    return embedded.withColumn("value", F.round("value", 6))
 
 
 # ---------------------------------------------------------------- chunks
@@ -233,12 +237,6 @@ def html_text_only(spark, pages):
     return pages.select("page_id", tx.text_only("html").alias("text"))
 
 
-@query()
-def html_sections(spark, pages):
-    """Paragraphs and headings in order (RE2 has no lookahead to say where an unclosed one ends)."""
-    return extract.html_sections(pages, "page_id", "html")
-
-
 _CLEAN = r"regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g')"
 
 
@@ -250,6 +248,23 @@ def _text_sql(x: str) -> str:
     return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
 
 
+_OPENING = r"(?is)<(p|h1|h2|h3)\b([^>]*)>"
+_CLASS_SQL = "CASE " + " ".join(f"WHEN contains(lower(c), '{w}') THEN '{v}'" for w, v in catalog.SECTION_CLASSES) + " ELSE 'otro' END"
+
+
+@query(
+    rf"""WITH c AS (SELECT page_id, {_CLEAN} AS html FROM pages),
+  p AS (SELECT page_id, html, regexp_extract_all(html, '{_OPENING}', 1) AS tags, regexp_extract_all(html, '{_OPENING}', 2) AS attrs, string_split_regex(html, '{_OPENING}')[2:] AS bodies FROM c),
+  s AS (SELECT page_id, j, lower(tags[j]) AS tag, regexp_extract(attrs[j], '(?i)class\s*=\s*["'']([^"'']*)["'']', 1) AS c, {_text_sql("regexp_replace(bodies[j], '(?is)</(p|h1|h2|h3|body|article|div|footer)\\b.*$', '')")} AS text FROM (SELECT *, unnest(range(1, len(tags) + 1)) AS j FROM p)),
+  k AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY j) - 1 AS i FROM s WHERE length(text) >= 3)
+  SELECT page_id AS id, CAST(i AS INTEGER) AS section_index, CASE WHEN c <> '' THEN {_CLASS_SQL} ELSE tag END AS section_type, text FROM k
+  UNION ALL SELECT page_id, 0, 'cuerpo', t FROM (SELECT page_id, {_text_sql("html")} AS t FROM c WHERE page_id NOT IN (SELECT page_id FROM k)) WHERE length(t) >= 3"""
+)
+def html_sections(spark, pages):
+    """Paragraphs and headings in order, with those that are never closed."""
+    return extract.html_sections(pages, "page_id", "html")
+
+
 @query(
     "SELECT page_id, coalesce("
     + ", ".join(
@@ -301,13 +316,27 @@ def html_embedded_codes(spark, pages):
     return pages.select("page_id", F.concat(F.lit("["), F.array_join(codes.cast("array<string>"), ", "), F.lit("]")).alias("codes"))
 
 
-@query()
+_MAIN_CLEAN = "regexp_replace(html, '" + "|".join(rf"(?is:<{t}\b.*?</{t}\s*>)" for t in catalog.GAZETTE_DROPPED) + "', '', 'g')"
+
+
+def _element_text(tag: str) -> str:
+    return _text_sql(rf"regexp_extract(h, '(?is)<{tag}\b[^>]*>(.*?)</{tag}>', 1)")
+
+
+@query(
+    rf"""WITH c AS (SELECT page_id, {_MAIN_CLEAN} AS h FROM pages), t AS (SELECT page_id, {_element_text("article")} AS a, {_element_text("main")} AS m, {_element_text("body")} AS b FROM c)
+  SELECT page_id, CASE WHEN length(a) > 200 AND NOT regexp_matches(a[1:200], '(?i){catalog.GAZETTE_CHROME}') THEN a WHEN length(m) > 200 AND NOT regexp_matches(m[1:200], '(?i){catalog.GAZETTE_CHROME}') THEN m
+    WHEN regexp_matches(b, '{catalog.GAZETTE_BEGINNING}') THEN regexp_extract(b, '(?s)(?:{catalog.GAZETTE_BEGINNING}).*$') ELSE b END AS text FROM t"""
+)
 def html_main_content(spark, pages):
     """Main text of each page by a cascade of elements."""
     return pages.select("page_id", extract.main_content(F.col("html")).alias("text"))
 
 
-@query()
+@query(
+    rf"""SELECT page_id, list_max(list_transform(list_filter(list_transform(string_split_regex({_CLEAN}, '(?is)<p\b[^>]*>')[2:], lambda x: {_text_sql("regexp_replace(x, '(?is)</?p\\b.*$', '')")}), lambda x: length(x) > 80 AND length(x) < 4000),
+    lambda x: {{'n': length(x), 't': x}})).t AS text FROM pages"""
+)
 def html_longest_paragraph(spark, pages):
     return pages.select("page_id", extract.longest_paragraph(F.col("html")).alias("text"))
 
