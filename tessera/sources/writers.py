@@ -2,21 +2,46 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder that spark.checkpoint.dir names, which all machines share; on a single machine without
-    the setting, in a temporary one."""
+_temporary: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that driver and executors share: the one that ``spark.checkpoint.dir`` names.
+
+    Where the setting is absent a temporary folder is made for the session, on a single machine (tests) only.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="tessera-")
-    return f"{base.rstrip('/')}/tessera-{label}-{uuid.uuid4().hex[:12]}"
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _temporary:
+        _temporary[app] = "file://" + tempfile.mkdtemp(prefix="tessera-")
+        spark.sparkContext.setCheckpointDir(_temporary[app])
+    return _temporary[app]
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder; it is deleted when the driver's Python ends."""
+    path = f"{shared_folder(spark)}/tessera-{label}-{uuid.uuid4().hex[:12]}"
+    atexit.register(delete_path, spark, path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session may have been stopped before
+        pass
 
 
 def reload_table(df: DataFrame, path: str) -> None:
