@@ -2,58 +2,22 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.writers import delete_path
+from ..sources.writers import scratch_path as new_path
+
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_scratch: dict[str, str] = {}
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that driver and executors share: the one that ``spark.checkpoint.dir`` names.
-
-    Where the setting is absent a temporary folder is made for the session, on a single machine (tests) only.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _scratch:
-        _scratch[app] = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.sparkContext.setCheckpointDir(_scratch[app])
-    return _scratch[app]
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder; it is deleted when the driver's Python ends."""
-    path = f"{shared_folder(spark)}/tessera-{label}-{uuid.uuid4().hex[:12]}"
-    atexit.register(_delete, spark, path)
-    return path
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session may have been stopped before
-        pass
-
-
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts the lineage, and a lost executor costs nothing."""
     spark = df.sparkSession
@@ -68,7 +32,7 @@ def release(*tables: DataFrame | None) -> None:
     """Delete saved tables that nothing will read any more."""
     for table in tables:
         if table is not None:
-            _delete(table.sparkSession, table.saved_at)
+            delete_path(table.sparkSession, table.saved_at)
 
 
 def join_spread(many: DataFrame, few: DataFrame, key: str, by: str, parts: int = 64, small: int = 50_000) -> DataFrame:
