@@ -57,8 +57,8 @@ def balanced_tilts(histogram: DataFrame, wanted: DataFrame, cap: float) -> DataF
             .groupBy("s")
             .agg(_exact_sum(F.col("n") * F.col("size") * rate).alias("words"), _exact_sum(F.when(rate < cap, F.col("n") * F.col("size") * rate * z).otherwise(0.0)).alias("slope"))
         )
-        gap = F.log(F.col("words") / F.col("target"))
-        newton = F.col("tilt") - gap * F.col("words") / F.col("slope")
+        gap = F.when(F.col("words") <= 0, -1.0).otherwise(F.log(F.col("words") / F.col("target")))
+        newton = F.col("tilt") - gap * F.try_divide("words", "slope")  # null where all rates are at the bound
         reach = F.greatest(F.lit(2.0), F.abs("tilt"))
         stepped = F.greatest(F.col("tilt") - reach, F.least(F.col("tilt") + reach, F.coalesce(newton, F.when(gap < 0, F.col("tilt") + reach).otherwise(F.col("tilt") - reach))))
         middle = (F.col("low") + F.col("high")) / 2

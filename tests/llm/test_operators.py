@@ -102,14 +102,16 @@ def test_rates_are_the_tilt_of_documents(spark):
     """Of the documents that aren't balanced again, against a plain solution of the same dual."""
     rnd = np.random.default_rng(5)
     rows = [(i, "w " * int(n), f"s{i % 4}") for i, n in enumerate(np.exp(rnd.normal(3, 1.2, 800)).astype(int) + 1)]
-    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), fine_share=0.0).collect()
-    for source in {r["source"] for r in got}:
-        own = [r for r in got if r["source"] == source]
-        sizes, target = np.array([r["size"] for r in own], float), own[0]["target"]
-        want = np.full(len(own), 2.0) if target >= 2 * sizes.sum() else plain_tilt(sizes, target, 2.0)
-        assert np.allclose([r["rate"] for r in own], want, atol=1e-5), source
-    rates = {(r["source"], r["size"]): r["rate"] for r in got}
-    assert len(set(rates.values())) > 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for share in (1.5, 1.98, 0.001):
+        got = mixing.mix_sources(docs, share=share, fine_share=0.0).collect()
+        for source in {r["source"] for r in got}:
+            own = [r for r in got if r["source"] == source]
+            sizes, target = np.array([r["size"] for r in own], float), own[0]["target"]
+            want = np.full(len(own), 2.0) if target >= 2 * sizes.sum() else plain_tilt(sizes, target, 2.0)
+            assert np.allclose([r["rate"] for r in own], want, atol=1e-5), (source, share)
+        rates = {(r["source"], r["size"]): r["rate"] for r in got}
+        assert len(set(rates.values())) > 100 or share != 1.5
 
 
 def test_mixing_of_one_hot_source(spark):
