@@ -328,42 +328,43 @@ def test_quality(spark, odd, no_docs):
     assert quality.classify_quality(no_docs, labels).count() == 0
 
 
-def test_quality_scores_are_those_of_a_plain_scorer(spark, odd):
+def plain_quality_score(odds, text):
     """Every word and character gram hashed and looked up one by one."""
-    import pyarrow as pa
-
     from tessera.llm.hashing import span_hashes
 
-    odds = np.random.default_rng(4).normal(size=1 << quality.BITS).astype(np.float32)
     mask, shift = (1 << 64) - 1, 64 - quality.BITS
-    texts = [t or "" for _, t, *_ in odd[1] if t is None or len(t) < 3000] + ["a\tb  c", "naïve 😀😀 x"]
 
     def mixed(x):
         x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
         x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
         return x ^ (x >> 31)
 
-    def plain(text):
-        found = [float(odds[0])]
-        for w in re.findall(r"[^\x20\x09-\x0D]+", text):
-            raw = np.frombuffer(w.encode(), np.uint8)
-            with np.errstate(over="ignore"):
-                found.append(float(odds[int(span_hashes(raw, np.array([0]), np.array([len(raw)]), fold=False)[0]) >> shift]))
-        spaces = " \t\n\x0b\x0c\r"
-        for n in quality.GRAMS:
-            for k in range(len(text) - n + 1):
-                gram = text[k : k + n]
-                if not any(c in spaces for c in gram[1:-1]):
-                    total = n * 0x2545F4914F6CDD1D & mask
-                    for j, c in enumerate(gram):
-                        code = mixed(((32 if c in spaces else ord(c) & 0xFFFF) + 3) * 0x9E3779B97F4A7C15 & mask)
-                        total = (total + code * int(quality._FACTORS[j])) & mask
-                    found.append(float(odds[total >> shift]))
-        return 1 / (1 + math.exp(-sum(found) / len(found)))
+    found = [float(odds[0])]
+    for w in re.findall(r"[^\x20\x09-\x0D]+", text):
+        raw = np.frombuffer(w.encode(), np.uint8)
+        with np.errstate(over="ignore"):
+            found.append(float(odds[int(span_hashes(raw, np.array([0]), np.array([len(raw)]), fold=False)[0]) >> shift]))
+    spaces = " \t\n\x0b\x0c\r"
+    for n in quality.GRAMS:
+        for k in range(len(text) - n + 1):
+            gram = text[k : k + n]
+            if not any(c in spaces for c in gram[1:-1]):
+                total = n * 0x2545F4914F6CDD1D & mask
+                for j, c in enumerate(gram):
+                    code = mixed(((32 if c in spaces else ord(c) & 0xFFFF) + 3) * 0x9E3779B97F4A7C15 & mask)
+                    total = (total + code * int(quality._FACTORS[j])) & mask
+                found.append(float(odds[total >> shift]))
+    return 1 / (1 + math.exp(-sum(found) / len(found)))
+
+
+def test_quality_scores_are_those_of_a_plain_scorer(odd):
+    import pyarrow as pa
 
+    odds = np.random.default_rng(4).normal(size=1 << quality.BITS).astype(np.float32)
+    texts = [t or "" for _, t, *_ in odd[1] if t is None or len(t) < 3000] + ["a\tb  c", "naïve 😀😀 x"]
     out = pa.Table.from_batches(list(quality._score(odds)(iter([pa.RecordBatch.from_pydict({"text": texts})]))))
     for text, score in zip(texts, out.column("score").to_pylist(), strict=True):
-        assert score == pytest.approx(plain(text), abs=1e-6), text
+        assert score == pytest.approx(plain_quality_score(odds, text), abs=1e-6), text
 
 
 # ---------------------------------------------------------------- 4 token ids and 8 SentencePiece

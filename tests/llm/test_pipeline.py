@@ -1,12 +1,16 @@
 """The pipeline's stages on a small corpus: what each must keep, and what comes out."""
 
 import random
+from collections import Counter
 
 import pytest
 
 pytest.importorskip("public_tokenizers")
 
+import public_tokenizers  # noqa: E402
+
 import corpus_pipeline  # noqa: E402
+from tessera.llm import quality, toxicity  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +58,46 @@ def test_stages(spark, corpus_dir):
     assert sorted(encoded, key=str) == sorted(mixed, key=str)
 
 
+def test_the_pipeline_is_what_plain_stages_give(spark, corpus_dir):
+    """run() against the fitted models applied text by text, all pairs of shingle sets, the mix's limits and the library's ids."""
+    from sentencepiece import SentencePieceProcessor
+    from test_operators import brute_components, plain_quality_score, plain_toxic_score, water_level, words
+
+    docs, labels = (spark.read.parquet(f"{corpus_dir}/{n}.parquet") for n in ("documents", "labels"))
+    odds = quality.fit_quality(docs, labels)
+    good = [r for r in docs.collect() if plain_quality_score(odds, r["text"] or "") >= 0.5]
+    matcher, weights, coefficients = toxicity.fit_toxicity(spark.createDataFrame(good, docs.schema), labels)
+    clean = [r for r in good if plain_toxic_score(matcher.terms, weights, coefficients, r["text"] or "") < 0.7]
+    keys = {}
+    for r in clean:  # rows without an id of their own are told apart by their texts
+        keys.setdefault((r["doc_id"], r["text"]), r)
+    rows = list(keys.values())
+    part, _ = brute_components([(i, r["text"]) for i, r in enumerate(rows)])
+    groups = Counter(part.values())
+
+    out = corpus_pipeline.run(spark, corpus_dir).collect()
+    library = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    plain_ids = {}
+    for i, r in enumerate(rows):
+        plain_ids.setdefault((r["doc_id"], r["source"], tuple(library.encode(r["text"] or ""))), part[i])
+    met = Counter()
+    for r in out:
+        assert (r["doc_id"], r["source"], tuple(r["ids"])) in plain_ids and r["n_tokens"] == len(r["ids"])
+        met[plain_ids[r["doc_id"], r["source"], tuple(r["ids"])], r["doc_id"]] += 1
+    assert len({g for g, _ in met}) == len(met) and set(met.values()) <= {1, 2}  # one of each group, at most twice
+    assert len(groups) - len(met) <= 0.25 * len(groups)  # rates near one leave few out
+    single = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(clean, docs.schema), corpus_dir).collect()
+    assert len(single) == len(groups)
+    sizes, taken = Counter(), Counter()
+    for r in single:
+        sizes[r["source"]] += len(words(r["text"]))
+    size_of = {(r["doc_id"], r["source"]): len(words(r["text"])) for r in single}
+    for r in out:
+        taken[r["source"]] += size_of[r["doc_id"], r["source"]]
+    for source, target in water_level(sizes, (3, 1, 2), 1.5, 2.0).items():
+        assert abs(taken[source] - target) <= 45, source  # texts have some 40 words
+
+
 def test_near_copies_of_rows_without_an_id_of_their_own(spark):
     """Rows without an id and rows that share one are documents by their texts; one of each group stays, the same at every run."""
     rnd = random.Random(2)
