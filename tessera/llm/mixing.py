@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import WORD, release, saved
 
 _TOLERANCE, _MOST_STEPS = 1e-7, 200
+_STATE_FILES = 4  # a row a source is little; many files of it would cost each step more than its sums
 
 
 def source_targets(sized: DataFrame, weights: Sequence[int], share: float, cap: float) -> DataFrame:
@@ -47,7 +48,7 @@ def balanced_tilts(histogram: DataFrame, wanted: DataFrame, cap: float) -> DataF
     taken ``cap`` times whole has a null tilt: the root is at infinity.
     """
     endless = F.lit(float("inf"))
-    state = saved(wanted.select("s", "unit", "target", "tilt", (-endless).alias("low"), endless.alias("high"), F.lit(False).alias("done")), "mix-tilts")
+    state = saved(wanted.select("s", "unit", "target", "tilt", (-endless).alias("low"), endless.alias("high"), F.lit(False).alias("done")).coalesce(_STATE_FILES), "mix-tilts")
     z = F.col("size") / F.col("unit")
     rate = F.least(F.lit(float(cap)), F.exp(F.least(F.col("tilt") * z, F.lit(40.0))))
     for _ in range(_MOST_STEPS):
@@ -71,7 +72,8 @@ def balanced_tilts(histogram: DataFrame, wanted: DataFrame, cap: float) -> DataF
                 .withColumn("high", F.when(gap > 0, F.col("tilt")).otherwise(F.col("high")))
                 .withColumn("low", F.when(gap <= 0, F.col("tilt")).otherwise(F.col("low")))
                 .withColumn("next", F.when(inside, stepped).otherwise(middle))
-                .select("s", "unit", "target", F.when(F.col("done") | at_end, F.col("tilt")).otherwise(F.col("next")).alias("tilt"), "low", "high", (F.col("done") | at_end).alias("done")),
+                .select("s", "unit", "target", F.when(F.col("done") | at_end, F.col("tilt")).otherwise(F.col("next")).alias("tilt"), "low", "high", (F.col("done") | at_end).alias("done"))
+                .coalesce(_STATE_FILES),
                 "mix-tilts",
             ),
         )
