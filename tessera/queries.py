@@ -1002,3 +1002,93 @@ def stored_terms(spark, documents):
     ready = documents.withColumn("terms", F.when(F.col("doc_id") % 4 == 0, F.array(F.lit("kept"))))
     stored = retrieval.with_terms(ready, ["source", "text"])
     return stored.select("doc_id", F.size("terms").cast("long").alias("n"), F.try_element_at("terms", F.lit(1)).alias("first"))
+
+
+# ---------------------------------------------------------------- rows and fields of written pages
+
+
+@query(r"SELECT doc_id, coalesce(nullif(regexp_extract(text, '([0-9]{4})-[0-9]{2}', 1), ''), nullif(regexp_extract(text, '[A-Z]{3,}'), ''), nullif(regexp_extract(text, '(\w+)\.', 1), '')) AS found FROM documents")
+def fallback_chain(spark, documents):
+    """The first of several patterns that matches."""
+    return documents.select("doc_id", tx.first_of("text", (r"([0-9]{4})-[0-9]{2}", 1), (r"[A-Z]{3,}", 0), (r"(\w+)\.", 1)).alias("found"))
+
+
+_CARD = "<table><tr><td><b>TEMA:</b> agua &amp; luz {id}</td></tr><tr><td><b>Estatus:</b> vigente</td><td> {lang} <b>OTRO:</b> nada</td></tr><tr><td><b>ESTATUS:</b> último</td></tr></table><b>Notas:</b>"
+
+
+@query(_filled(tema="agua & luz {id}", estatus="último", notas=None))
+def labelled_fields(spark, documents):
+    """Values by label, the last of a repeated one; empty values are none."""
+    found = extract.labelled_fields(F.col("t"), ["TEMA", "ESTATUS", "NOTAS"])
+    return _templated(documents, _CARD).select("doc_id", *[F.try_element_at(found, F.lit(k.upper())).alias(k) for k in ("tema", "estatus", "notas")])
+
+
+_CATALOGUE = (
+    "<table><tr><td>1</td><td>Ley de Aguas {id}</td><td>LAN</td><td>06/01/2020</td><td><a href='x{id}.pdf'>PDF</a> <a href='x.docx'>Word</a></td></tr>"
+    "<tr><td>sin enlace</td></tr><tr><td>corta</td><td>PDF</td><td><a href='y.doc'>ver</a> la ley de {lang}</td></tr></table>"
+)
+
+
+@query(
+    "SELECT doc_id AS id, 0 AS row_index, 'Ley de Aguas ' || doc_id AS nombre, 'LAN' AS abreviatura, '06/01/2020' AS fecha, 'x' || doc_id || '.pdf x.docx' AS urls FROM documents"
+    " UNION ALL SELECT doc_id, 2, 'ver la ley de ' || lang, 'PDF', NULL, 'y.doc' FROM documents"
+)
+def catalogue_rows(spark, documents):
+    """Rows that link a document, with what their cells say."""
+    return extract.catalogue_rows(_templated(documents, _CATALOGUE), "doc_id", "t").withColumn("urls", F.array_join("urls", " "))
+
+
+@query(
+    "SELECT doc_id AS id, 0 AS orden, 'A' || doc_id AS asunto, '1/' || doc_id AS expediente FROM documents UNION ALL SELECT doc_id, 1, 'B', '2/3' FROM documents UNION ALL SELECT doc_id, 2, NULL, NULL FROM documents"
+)
+def precedent_bridge(spark, documents):
+    """Pairs tagged in an array of notes; a note without any keeps a row."""
+    note = _templated_text("<a data-asunto=\"A{id}\" data-expediente=\"1/{id}\"></a><a data-asunto='B' data-expediente='2/3'></a>")
+    return extract.precedent_bridge(documents.select("doc_id", F.array(note, F.lit("solo texto")).alias("notes")), "doc_id", "notes")
+
+
+@query(
+    "SELECT doc_id, 'VIII-P-1AS-' || doc_id AS clave, 'derogada' AS status FROM documents UNION ALL SELECT doc_id, 'V-TASS-7', 'modificada' FROM documents UNION ALL SELECT doc_id, 'VII-J-2AS-9', 'suspendida' FROM documents WHERE doc_id % 2 = 0"
+)
+def status_lists(spark, documents):
+    """Keys of a list under its headings, the most severe status of each."""
+    lines = ("IX-P-1aS-1 sin encabezado", "JURISPRUDENCIAS MODIFICADAS", "VIII-P-1aS-{id} y V-TASS-7", "DEROGADAS", "viii-p-1as-{id}", "SE SUSPENDEN", "{even}")
+    arrays = F.array(*[_templated_text(x) for x in lines[:-1]], F.when(F.col("doc_id") % 2 == 0, "VII-J-2aS-9").otherwise("nada"))
+    rows = documents.select("doc_id", F.posexplode(arrays).alias("n", "line"))
+    return extract.status_lines(rows, "doc_id", "line", "n")
+
+
+@query("SELECT DISTINCT 'https://h/' || y || '/' || n || '.pdf' AS url FROM (SELECT unnest(range(2018, 2022)) AS y), (SELECT unnest(range(1, 41)) AS n) UNION SELECT DISTINCT 'https://h/rec' || n FROM (SELECT unnest(range(1, 41)) AS n)")
+def candidate_urls(spark, region):
+    """Every pattern filled with every year and number, each address once."""
+    return paging.candidates(spark, 2018, 2021, 40, ["https://h/{year}/{n}.pdf", "https://h/rec{n}"])
+
+
+_HREFS = ("https://o.net/{id}", "//o.net/{id}", "/{id}.pdf", "../{id}.pdf", "../../{id}", "./{id}", "{id}?x=1")
+
+
+@query(
+    "SELECT doc_id, replace(['https://o.net/#', 'http://o.net/#', 'http://h.mx/#.pdf', 'http://h.mx/a/#.pdf', 'http://h.mx/#', 'http://h.mx/a/b/#', 'http://h.mx/a/b/#?x=1'][doc_id % 7 + 1], '#', doc_id::VARCHAR) AS url FROM documents"
+)
+def absolute_links(spark, documents):
+    """Links of all kinds as seen from one page."""
+    link = F.element_at(F.array(*[_templated_text(x) for x in _HREFS]), (F.col("doc_id") % 7 + 1).cast("int"))
+    return documents.select("doc_id", tx.absolutize(link, "http://h.mx/a/b/c.html").alias("url"))
+
+
+@query("SELECT doc_id, '[lang]' || chr(10) || lang || chr(10) || chr(10) || '[source]' || chr(10) || source AS text, length(lang) + length(source) AS chars FROM documents WHERE lang <> '' AND source <> ''")
+def flattened_texts(spark, documents):
+    """A map of texts as one text, and the length of an array's texts together."""
+    d = documents.where("lang <> '' and source <> ''")
+    m = F.create_map(F.lit("lang"), "lang", F.lit("none"), F.lit(None).cast("string"), F.lit("source"), "source", F.lit("empty"), F.lit(""))
+    return d.select("doc_id", tx.flatten_fields(m).alias("text"), tx.total_length(F.array("lang", F.lit(None).cast("string"), "source")).cast("long").alias("chars"))
+
+
+_NAMED = (("Convención contra la Tortura y otros tratos", "IV-9"), ("PROTOCOLO DE KYOTO", "XXVII-7-a"), ("Acuerdo de París (2015)", "XXVII-7-d"), ("Tratado sin registro", None))
+
+
+@query("SELECT doc_id, ['IV-9', 'XXVII-7-a', 'XXVII-7-d', NULL][doc_id % 4 + 1] AS number FROM documents")
+def registry_numbers(spark, documents):
+    """Registry numbers of treaties by the first known name that theirs contains."""
+    name = F.element_at(F.array(*[F.lit(n) for n, _ in _NAMED]), (F.col("doc_id") % 4 + 1).cast("int"))
+    return documents.select("doc_id", match.first_key_in(name, catalog.TREATY_REGISTRY).alias("number"))
