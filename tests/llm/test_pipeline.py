@@ -45,8 +45,10 @@ def test_stages(spark, corpus_dir):
     columns, now = docs.columns, docs
     kept = []
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        now = spark.createDataFrame(stage(spark, now, corpus_dir).collect(), stage(spark, now, corpus_dir).schema) if k < 4 else stage(spark, now, corpus_dir)
-        kept.append([r["doc_id"] for r in now.collect()])
+        out = stage(spark, now, corpus_dir)
+        rows = out.collect()
+        now = spark.createDataFrame(rows, out.schema) if k < 4 else out
+        kept.append([r["doc_id"] for r in rows])
         if k < 4:
             assert now.columns == columns
     good, clean, single, mixed, encoded = kept
