@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import embed_dedup, media, minhash, mixing, ngram_lm, quality, sentencepiece_codec, token_binary, toxicity, url_filter
+from . import embed_dedup, learned_ann, media, minhash, mixing, ngram_lm, quality, sentencepiece_codec, token_binary, toxicity, url_filter, variants, whitening
 from .common import LOWER, UPPER, new_path, read_table
 
 
@@ -52,6 +52,30 @@ def op10_lm_scores(spark, sf_dir):
     return ngram_lm.score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def op11_learned_neighbours(spark, sf_dir):
+    return learned_ann.learned_neighbours(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whitened_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark, sf_dir):
+    return variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def neighbours_of_all_parts(spark, sf_dir):
+    """The learned partitions searched whole, which is exact and so has SQL."""
+    found = learned_ann.learned_neighbours(read_table(spark, sf_dir, "embeddings"), recall=1.0)
+    return found.select("query_id", "rank", "vec_id", F.round("score", 9).alias("score"))
+
+
+def deviations(spark, sf_dir):
+    """What SQL can say of whitening: the size of the fit list, and the whole deviations from its mean."""
+    whole = whitening.whitened_vectors(read_table(spark, sf_dir, "embeddings"))
+    return whole.where("component = 1").select("vec_id", "n", "deviation")
+
+
 def mix_targets(spark, sf_dir):
     """What SQL can say of the mix: sizes, and the targets of sources."""
     mixed = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
@@ -75,6 +99,11 @@ _OPERATORS = (
     op8_sentencepiece,
     op9_minhash_near_dedup,
     op10_lm_scores,
+    op11_learned_neighbours,
+    op12_whitening,
+    op13_spelling_variants,
+    neighbours_of_all_parts,
+    deviations,
     mix_targets,
     url_rules,
 )
@@ -130,7 +159,26 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_link
 FROM embeddings e JOIN c USING (vec_id)
 """
 
+NEIGHBOURS_SQL = """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score FROM e q JOIN e c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 9) AS score FROM r WHERE rank <= 20
+"""
+
+DEVIATIONS_SQL = """
+WITH w AS (SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), d AS (SELECT DISTINCT x FROM w), n AS (SELECT count(*) AS n FROM d
+), u AS (SELECT unnest(x) AS x, generate_subscripts(x, 1) AS i FROM d), s AS (SELECT i, sum(x)::BIGINT AS s FROM u GROUP BY i
+), l AS (SELECT list(s ORDER BY i) AS s FROM s)
+SELECT vec_id, n, list_sum(list_transform(range(1, len(x) + 1), lambda i: (n * x[i] - s[i]) * (n * x[i] - s[i])))::BIGINT AS deviation FROM w, n, l
+"""
+
 ORACLE_SQL = {
+    "neighbours_of_all_parts": NEIGHBOURS_SQL,
+    "deviations": DEVIATIONS_SQL,
     "op7_embedding_near_dedup": VECTOR_COMPONENTS_SQL,
     "op9_minhash_near_dedup": SHINGLE_COMPONENTS_SQL,
     "mix_targets": MIX_TARGETS_SQL,
