@@ -1,4 +1,4 @@
-"""Table-valued extraction from texts and HTML, as arrays of structs that are exploded; no Python in the row path."""
+"""Table-valued extraction from texts and HTML, as arrays of structs that are exploded."""
 
 from __future__ import annotations
 
@@ -11,56 +11,6 @@ from ..functions.text import clave_parts, decode_entities, drop_blocks, first_ma
 from . import catalog
 
 
-def match_spans(c: Column, pattern: str) -> Column:
-    """Array of (start, text) of a pattern's matches, start counted from 0.
-
-    Spark has no function for places of matches: they are the summed lengths of what splitting leaves and of the matches before.
-    """
-    pieces, found = F.split(c, pattern, -1), F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
-    empty = F.array().cast("array<struct<start:int,text:string>>")
-    steps = F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("text")))
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    walked = F.aggregate(
-        steps,
-        start,
-        lambda s, x: F.struct(
-            (s["at"] + x["gap"] + F.length(x["text"])).alias("at"),
-            F.concat(s["out"], F.array(F.struct((s["at"] + x["gap"]).cast("int").alias("start"), x["text"].alias("text")))).alias("out"),
-        ),
-    )
-    return walked["out"]
-
-
-def citation_windows(df: DataFrame, id_col: str, text_col: str, patterns: dict[str, str], article: str = catalog.ARTICLE, reach: int = 200, around: int = 30, most: int = 300, flags: str = "idU") -> DataFrame:
-    """Article references near laws: (id, code, law_ord, law_pos, ref_pos, articulo, fraccion, parrafo, raw).
-
-    Each match of a law's pattern opens a window of ``reach`` characters either side; every reference in it is a row,
-    so a reference near two laws is one for each. ``raw`` is the reference with ``around`` characters either side,
-    at most ``most``. Texts are read once: one alternation of all patterns lets those without any law leave, the
-    others collect the matches of every pattern in one array. A window is a row of its own from then on.
-    """
-    ref = rx(article, flags)
-    any_law = rx("|".join(f"(?:{law})" for law in patterns.values()), flags)
-    hits = df.where(F.col(text_col).rlike(any_law)).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-
-    def windows(ordinal: int, code: str, law: str) -> Column:
-        def cut(m: Column) -> Column:
-            left = F.greatest(m["start"] - reach, F.lit(0))
-            window = F.substring(F.col("t"), left + 1, m["start"] + F.length(m["text"]) + reach - left)
-            return F.struct(F.lit(code).alias("code"), F.lit(ordinal).alias("law_ord"), m["start"].alias("law_pos"), window.alias("w"))
-
-        return F.transform(match_spans(F.col("t"), rx(law, flags)), cut)
-
-    laws = hits.select("id", F.explode(F.concat(*[windows(i, code, law) for i, (code, law) in enumerate(patterns.items())])).alias("law")).select("id", "law.*")
-    groups = [F.regexp_extract_all("w", F.lit(ref), F.lit(g)) for g in (1, 2, 3)]
-    refs = laws.where(F.col("w").rlike(ref)).select(
-        "id", "code", "law_ord", "law_pos", "w", F.posexplode(F.arrays_zip(match_spans(F.col("w"), ref).alias("m"), *[g.alias(n) for g, n in zip(groups, "abc", strict=True)])).alias("ref_pos", "r")
-    )
-    begin = F.greatest(F.col("r.m.start") - around, F.lit(0))
-    raw = F.substring(F.substring("w", begin + 1, F.col("r.m.start") + F.length("r.m.text") + around - begin), 1, most)
-    return refs.select("id", "code", "law_ord", "law_pos", "ref_pos", F.col("r.a").alias("articulo"), F.nullif("r.b", F.lit("")).alias("fraccion"), F.nullif("r.c", F.lit("")).alias("parrafo"), raw.alias("raw"))
-
-
 def dedup_citations(cites: DataFrame, key: list[str], order: list[str], compat: bool = False) -> DataFrame:
     """The first row of each key. With ``compat``, as an insert that ignores conflicts does: a key with a null part
     never conflicts, so all its rows stay."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .functions.vectors import hash_embed
-from .operators import audit, catalog, chunk, corpus, extract, match, retrieval, upsert
+from .operators import audit, catalog, chunk, citations, corpus, extract, match, retrieval, upsert
 from .plans import paging
 from .sources.readers import records_of, table
 from .sources.writers import scratch_path
@@ -373,7 +373,7 @@ _KEY = ["id", "code", "articulo", "fraccion", "parrafo"]
 
 
 def _cites(documents):
-    return extract.citation_windows(documents, "doc_id", "text", _LAWS, _REF, flags="")
+    return citations.citation_windows(documents, "doc_id", "text", _LAWS, _REF, caseless=False)
 
 
 @query(_CITES + "SELECT * FROM cites")
@@ -400,22 +400,34 @@ def citation_topn(spark, documents):
     return c.orderBy(F.desc("n"), "code", "articulo", F.col("fraccion").asc_nulls_last()).limit(10)
 
 
-# sentences of the kind that the catalogues' patterns find, planted after the texts of documents, which have none
-_SENTENCES = (
-    "Conforme al artículo 14, fracción IV, inciso a de la Ley de Amparo y al art. 5 del Código Fiscal de la Federación.",
-    "La Constitución Política de los Estados Unidos Mexicanos, artículos 103, fracción II, y la Ley Federal del Trabajo, ARTÍCULO 47 Bis 2.",
-    "Ley General de Salud, Ley del Seguro Social y Código Civil Federal: artículo 8, párrafo tercero; Código de Comercio art. 1049.",
-    "El Pacto de San José, artículo 8, y la Convención sobre los Derechos del Niño, art. 3; Convención de Belém do Pará.",
-    "Pacto Internacional de Derechos Civiles y Políticos: artículo 14, fracción III. Convención contra la Tortura, artículo 1, inciso b.",
-    "Sin cita alguna.",
-)
-_PLANTED = f"(SELECT doc_id, substring(text, 1, 300) || ' ' || {list(_SENTENCES)}[doc_id % {len(_SENTENCES)} + 1] || ' ' || {list(_SENTENCES)}[(doc_id // 7) % {len(_SENTENCES)} + 1] AS text FROM documents)"
+# one name a code of the catalogues, planted after the whole texts of documents, which have none
+_NAMES = (
+    "Constitución Política de los Estados Unidos Mexicanos", "Ley de Amparo", "Ley Federal del Trabajo",
+    "Ley Federal de Procedimiento Contencioso Administrativo", "Código Fiscal de la Federación",
+    "Código Federal de Procedimientos Penales", "CÓDIGO NACIONAL DE PROCEDIMIENTOS PENALES",
+    "Código Federal de Procedimientos Civiles", "Código Civil Federal", "codigo penal federal", "Código de Comercio",
+    "Ley del Impuesto sobre la Renta", "Ley del Impuesto al Valor Agregado", "Ley General de Salud",
+    "Ley General del Equilibrio Ecológico", "Ley General de Responsabilidades Administrativas", "Ley del Seguro Social",
+    "Ley  General de Víctimas", "Ley Federal de Transparencia", "Ley de Responsabilidad Patrimonial",
+    "Ley General de Acceso de las Mujeres", "Pacto de San José", "Convención Americana sobre Derechos Humanos",
+    "Pacto Internacional de Derechos Civiles y Políticos", "Pacto Internacional de Derechos Económicos, Sociales y Culturales",
+    "Convención sobre los Derechos del Niño", "Convención contra la Tortura",
+    "Convención sobre la Eliminación de Todas las Formas de Discriminación contra la Mujer",
+    "Convención sobre los Derechos de las Personas con Discapacidad", "Convención Interamericana sobre Desaparición Forzada",
+    "Convención de Belém do Pará", "Declaración Universal de Derechos Humanos",
+)
+_REFERENCES = (
+    "Conforme al artículo 14, fracción IV, inciso a de la {}, y al art. 5.", "{}, artículos 103, fracción II y ARTÍCULO 47 Bis 2:", "{}: artículo 8, párrafo tercero; art. 1049.",
+    "Sin cita: {}.", "El artículo 3 de la {} y de la {}, ARTÍCULO 21, fracciones IV y V, párrafo 2.",
+)
+_SENTENCES = tuple(_REFERENCES[i % len(_REFERENCES)].replace("{}", name) for i, name in enumerate(_NAMES))
+_PLANTED = f"(SELECT doc_id, text || ' ' || {list(_SENTENCES)}[doc_id % {len(_SENTENCES)} + 1] || ' ' || {list(_SENTENCES)}[(doc_id // 7) % {len(_SENTENCES)} + 1] AS text FROM documents)"
 
 
 def _planted(documents):
     sentences = F.array(*[F.lit(x) for x in _SENTENCES])
     one, two = (F.element_at(sentences, (n % len(_SENTENCES) + 1).cast("int")) for n in (F.col("doc_id"), F.floor(F.col("doc_id") / 7)))
-    return documents.select("doc_id", F.concat_ws(" ", F.substring("text", 1, 300), one, two).alias("text"))
+    return documents.select("doc_id", F.concat(F.col("text"), F.lit(" "), one, F.lit(" "), two).alias("text"))
 
 
 def _caseless(patterns: dict[str, str]) -> dict[str, str]:
@@ -424,13 +436,13 @@ def _caseless(patterns: dict[str, str]) -> dict[str, str]:
 
 @query(_cites_sql(_PLANTED, _caseless(catalog.LAWS), f"(?i){catalog.ARTICLE}") + "SELECT * FROM cites")
 def law_citations(spark, documents):
-    """All laws of the catalogue, in one scan."""
-    return extract.citation_windows(_planted(documents), "doc_id", "text", catalog.LAWS)
+    """All laws of the catalogue, in one scan of whole texts."""
+    return citations.citation_windows(_planted(documents), "doc_id", "text", catalog.LAWS)
 
 
 @query(_cites_sql(_PLANTED, _caseless(catalog.TREATIES), f"(?i){catalog.ARTICLE}") + "SELECT * FROM cites")
 def treaty_citations(spark, documents):
-    return extract.citation_windows(_planted(documents), "doc_id", "text", catalog.TREATIES)
+    return citations.citation_windows(_planted(documents), "doc_id", "text", catalog.TREATIES)
 
 
 @query(r"SELECT DISTINCT doc_id AS id, trim(regexp_replace(k, '\s+', ' ', 'g')) AS clave FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(\p{Lu}\p{Ll}+\s+\p{Ll}+\.)', 1)) AS k FROM documents)")
@@ -439,6 +451,67 @@ def case_key_mentions(spark, documents):
     return documents.select(F.col("doc_id").alias("id"), F.explode(F.transform(found, tx.squeeze)).alias("clave")).distinct()
 
 
+# documents with case keys of their own, and texts that cite such keys in several spellings
+def _pick(values: tuple[str, ...], by: str) -> str:
+    """SQL, for either engine, that deals values to rows."""
+    return f"CASE {by} % {len(values)} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
+_OWN_KEY = f"({_pick(('1a.', '2a.', 'P.'), 'doc_id')}) || '/J. ' || (doc_id % 40 + 1) || '/' || (2010 + doc_id % 8) || ' (' || (9 + doc_id % 2) || 'a.)'"
+_CITED_KEY = f"({_pick(('1a./J.  ', '2a./J. ', 'P./J. ', '2a/J ', '1a./J. '), 'doc_id')}) || (doc_id % 60 + 1) || '/' || (2010 + doc_id % 9) || ({_pick((' (10a.)', '(9a.)', ' (11.)'), 'doc_id')})"
+_KEYED = f"text || ' Véase ' || ({_CITED_KEY}) || ', y la I.6o.P.' || (doc_id % 90) || ' P (10a.). Otra vez: ' || ({_CITED_KEY}) || ';' AS text"
+
+
+_KEY_SQL = rf"SELECT DISTINCT doc_id AS id, trim(regexp_replace(k, '\s+', ' ', 'g')) AS clave FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?i){catalog.CASE_KEY}', 1)) AS k FROM (SELECT doc_id, {_KEYED} FROM documents))"
+
+
+@query(_KEY_SQL)
+def case_keys_found(spark, documents):
+    """The catalogue's case keys in whole texts, each distinct one a text."""
+    return extract.case_keys(_keyed_texts(documents), "doc_id", "text")
+
+
+def _keyed_texts(documents):
+    return documents.selectExpr("doc_id", _KEYED)
+
+
+@query(
+    rf"""WITH cites AS ({_KEY_SQL}),
+  c AS (SELECT id, clave, upper(regexp_replace(clave, '[\s.]+', '', 'g')) AS norm_canon FROM cites),
+  t AS (SELECT doc_id, upper(regexp_replace({_OWN_KEY}, '[\s.]+', '', 'g')) AS own FROM documents WHERE doc_id % 4 <> 3),
+  tp AS (SELECT doc_id, regexp_extract(own, '^([0-9A-Z]+)/J', 1) AS organ, regexp_extract(own, 'J(\d+/\d+)', 1) AS block, regexp_extract(own, '\((\d+)', 1) AS epoch FROM t),
+  cp AS (SELECT DISTINCT norm_canon, regexp_extract(norm_canon, '^([0-9A-Z]+)/J', 1) AS organ, regexp_extract(norm_canon, 'J(\d+/\d+)', 1) AS block, regexp_extract(norm_canon, '\((\d+)', 1) AS epoch FROM c WHERE norm_canon LIKE '%/J%'),
+  r AS (SELECT norm_canon, doc_id, row_number() OVER (PARTITION BY norm_canon ORDER BY doc_id) AS candidate, count(*) OVER (PARTITION BY norm_canon) AS candidates FROM cp JOIN tp ON cp.block = tp.block AND cp.organ = tp.organ AND cp.epoch = tp.epoch)
+  SELECT c.id, c.clave, c.norm_canon, r.doc_id AS cited_doc_id, CAST(coalesce(r.candidate, 1) AS INTEGER) AS candidate, CAST(coalesce(r.candidates, 0) AS INTEGER) AS candidates FROM c LEFT JOIN r USING (norm_canon)"""
+)
+def citations_resolved(spark, documents):
+    """Case keys cited in whole texts, resolved to the documents that bear them; some are ambiguous, some unknown."""
+    found = extract.case_keys(_keyed_texts(documents), "doc_id", "text").withColumn("kind", F.lit("tesis"))
+    own = documents.where("doc_id % 4 <> 3").selectExpr("doc_id", f"{_OWN_KEY} AS own")
+    return citations.resolve_citations(found, citations.case_targets(own, "doc_id", "own"), "kind", "clave").drop("kind")
+
+
+_TITLES = f"{list(_NAMES)}[doc_id % {3 * len(_NAMES)} + 1]"
+
+
+@query(
+    _cites_sql(_PLANTED, _caseless(catalog.LAWS), f"(?i){catalog.ARTICLE}")
+    + f""", own AS (SELECT doc_id, CASE """
+    + " ".join(f"WHEN regexp_matches({_TITLES}, '(?i)^(?:{p})') THEN '{k}'" for k, p in catalog.LAWS.items())
+    + f""" END AS code FROM documents WHERE doc_id % {3 * len(_NAMES)} < {len(_NAMES)} AND doc_id % 5 <> 0),
+  best AS (SELECT code, min(doc_id) AS doc_id, count(*) AS n FROM own WHERE code IS NOT NULL GROUP BY 1)
+  SELECT code, articulo, b.doc_id AS cited_doc_id, CAST(coalesce(b.n, 0) AS INTEGER) AS candidates, count(*) AS n FROM cites LEFT JOIN best b USING (code) GROUP BY 1, 2, 3, 4"""
+)
+def law_citations_resolved(spark, documents):
+    """Articles cited by law, with the document that holds the law."""
+    names = F.array(*[F.lit(n) for n in _NAMES])
+    place = F.col("doc_id") % (3 * len(_NAMES))
+    titled = documents.where((place < len(_NAMES)) & (F.col("doc_id") % 5 != 0)).select("doc_id", F.element_at(names, (place + 1).cast("int")).alias("title"))
+    cites = citations.citation_windows(_planted(documents), "doc_id", "text", catalog.LAWS).select("id", F.lit("ley").alias("kind"), F.col("code").alias("cited"), "articulo")
+    best = citations.resolve_citations(cites, citations.law_targets(titled, "doc_id", "title")).where("candidate = 1")
+    return best.groupBy(F.col("cited").alias("code"), "articulo", "cited_doc_id", "candidates").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------- classes and dictionaries
 
 _KEYWORDS = [(r"[$%&*#]{3}", "symbols"), (r"!!", "shouting"), (r" \| ", "table")]

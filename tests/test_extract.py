@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import catalog, extract
+from tessera.operators import catalog, citations, extract
 
 
 @pytest.fixture
@@ -22,7 +22,7 @@ def frame(spark):
     ],
 )
 def test_article_grammar(frame, text, groups):
-    rows = extract.citation_windows(frame(text + " Ley de Amparo"), "id", "t", {"LA": catalog.LAWS["LA"]}).collect()
+    rows = citations.citation_windows(frame(text + " Ley de Amparo"), "id", "t", {"LA": catalog.LAWS["LA"]}).collect()
     assert [(r["articulo"], r["fraccion"], r["parrafo"]) for r in rows] == ([groups] if groups else [])
 
 
@@ -37,7 +37,7 @@ def test_windows_equal_python(frame):
         for m in law.finditer(t):
             w = t[max(0, m.start() - 200) : m.end() + 200]
             expected += [(i, m.start(), a.group(1), a.group(2), a.group(3), w[max(0, a.start() - 30) : a.end() + 30][:300]) for a in ref.finditer(w)]
-    rows = extract.citation_windows(frame(*texts), "id", "t", {"LA": catalog.LAWS["LA"]}).collect()
+    rows = citations.citation_windows(frame(*texts), "id", "t", {"LA": catalog.LAWS["LA"]}).collect()
     assert sorted(map(str, expected)) == sorted(str((r["id"], r["law_pos"], r["articulo"], r["fraccion"], r["parrafo"], r["raw"])) for r in rows)
 
 
