@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .functions.vectors import hash_embed
-from .operators import audit, catalog, chunk, citations, corpus, extract, match, retrieval, upsert
+from .operators import audit, catalog, chunk, citations, corpus, extract, match, retrieval, upsert, vector_index
 from .plans import paging
 from .sources.readers import records_of, table
 from .sources.writers import scratch_path
@@ -229,6 +229,35 @@ def corpus_exporters(spark, documents, pages):
     return built.select("source", F.col("source_native_id").alias("native"), "tipo", "jerarquia", "titulo", "autor", F.size("chunks").alias("n_chunks"))
 
 
+# ---------------------------------------------------------------- approximate vector search
+
+
+def _vector_index(spark, embeddings) -> vector_index.VectorIndex:
+    """Built from all rows but those that 7 divides, which a refresh adds."""
+    index = vector_index.VectorIndex(spark, scratch_path(spark, "vector-index"))
+    index.build(embeddings.where("vec_id % 7 <> 0"), "vec_id", "embedding")
+    index.refresh(embeddings, "vec_id", "embedding")
+    return index
+
+
+@query()
+def ann_topk(spark, embeddings):
+    """The stored approximate index, asked by all ids divisible by 100; recall is a column."""
+    index = _vector_index(spark, embeddings)
+    return vector_index.searched_with_recall(index, embeddings, embeddings.where("vec_id % 100 = 0"), "vec_id", "embedding", 10)
+
+
+@query(
+    """WITH s AS (SELECT q.vec_id AS query_id, c.vec_id AS id, list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+  SELECT query_id, id, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM s) WHERE rank <= 10"""
+)
+def ann_topk_exact(spark, embeddings):
+    """The same index with every cell probed and every code kept."""
+    index = _vector_index(spark, embeddings)
+    found = index.search(embeddings.where("vec_id % 100 = 0"), "vec_id", "embedding", 10, 1 << 30, 1 << 30)
+    return found.select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
 # ---------------------------------------------------------------- HTML and URLs
 
 

@@ -36,6 +36,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read again, so that what follows doesn't compute it anew."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     try:
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
