@@ -247,23 +247,47 @@ def _unpacked(data: bytes, dim: int, parts: int) -> Router:
     return Router([part.reshape(s) for part, s in zip(np.split(flat, ends[:-1]), shapes, strict=True)])
 
 
-def _routed(models: dict, most: dict, probes: int | None):
-    """Rows with ``parts``, from the most probable on: of a stored row the first, of a query so many (probes)."""
+def _routes(models: dict, most: dict):
+    """Stored rows with their most probable part; 0 for lengths without a model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
-            out: list[list[int]] = [[0]] * batch.num_rows
-            for dim in np.unique(dims).tolist():
-                if dim not in models:
-                    continue
+            part = np.zeros(len(dims), np.int32)
+            for dim in models:
+                rows = np.flatnonzero(dims == dim)
+                if len(rows):
+                    v = _matrix(batch.column("vector").take(pa.array(rows)), dim)
+                    part[rows] = models[dim].scores(lifted(v, most[dim])).argmax(axis=1)
+            yield batch.append_column("part", pa.array(part))
+
+    return run
+
+
+def _asks(models: dict, bundles: dict, probes: dict):
+    """A row a query and bundle that holds parts it is routed to (``parts``); bundles are {dim: that of each part}."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            take, bundle, parts = list(np.flatnonzero(~np.isin(dims, list(models)))), [], []
+            bundle += [0] * len(take)
+            parts += [[0]] * len(take)
+            for dim in models:
                 rows = np.flatnonzero(dims == dim)
+                if not len(rows):
+                    continue
                 v = _matrix(batch.column("vector").take(pa.array(rows)), dim)
-                score = models[dim].scores(lifted(v, most[dim]) if probes is None else asked(v))
-                order = np.argsort(-score, axis=1, kind="stable")[:, : probes or 1]
-                for i, own in zip(rows.tolist(), order.tolist(), strict=True):
-                    out[i] = own
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], names=[*batch.schema.names, "parts"])
+                order = np.argsort(-models[dim].scores(asked(v)), axis=1, kind="stable")[:, : probes[dim]]
+                for i, own in zip(rows.tolist(), order, strict=True):
+                    held = bundles[dim][own]
+                    for b in np.unique(held).tolist():
+                        take.append(i)
+                        bundle.append(b)
+                        parts.append(own[held == b].tolist())
+            kept = pa.Table.from_batches([batch]).take(pa.array(take, pa.int64()))
+            kept = kept.append_column("bundle", pa.array(bundle, pa.int64())).append_column("parts", pa.array(parts, pa.list_(pa.int32())))
+            yield from kept.combine_chunks().to_batches()
 
     return run
 
@@ -298,16 +322,26 @@ def _audit(queries, k: int):
 
 def _search(k: int):
     def run(table: pa.Table) -> pa.Table:
-        """A page of a part and a block of queries to each query's nearest rows there."""
+        """A page of a bundle of parts and a block of queries to each query's nearest rows in the parts it asks."""
         dim = table.column("dim")[0].as_py()
         asks = table.column("asks").to_numpy(zero_copy_only=False)
         ids = table.column("id").to_numpy()
-        base, query = (table.column("vector").take(pa.array(np.flatnonzero(m))) for m in (~asks, asks))
-        if not len(base) or not len(query):
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        q_ids, x_ids = ids[asks], ids[~asks]
-        r, c, score = nearest(_matrix(query, dim), q_ids, _matrix(base, dim), x_ids, k)
-        return pa.table({"query_id": q_ids[r], "vec_id": x_ids[c], "score": score})
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if asks.any() and not asks.all():
+            base, query = (table.column("vector").take(pa.array(np.flatnonzero(m))) for m in (~asks, asks))
+            x, x_ids, q, q_ids = _matrix(base, dim), ids[~asks], _matrix(query, dim), ids[asks]
+            lists = table.column("parts").take(pa.array(np.flatnonzero(asks))).combine_chunks()
+            wanted, row = lists.flatten().to_numpy(), np.repeat(np.arange(len(q)), np.diff(lists.offsets.to_numpy()))
+            part = table.column("parts").take(pa.array(np.flatnonzero(~asks))).combine_chunks().flatten().to_numpy()
+            for p in np.unique(part).tolist():
+                at, own = row[wanted == p], np.flatnonzero(part == p)
+                r, c, score = nearest(q[at], q_ids[at], x[own], x_ids[own], k)
+                found.append((at[r], own[c], score))
+            r, c, score = (np.concatenate(f) for f in zip(*found, strict=True))
+            order = np.lexsort([x_ids[c], -score, r])
+            order = order[np.arange(len(order)) - np.searchsorted(r[order], r[order], "left") < k]
+            found = [(q_ids[r[order]], x_ids[c[order]], score[order])]
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), found[0], strict=True)))
 
     return run
 
@@ -342,38 +376,49 @@ def learned_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: s
     most = {d: r["most"] for d, r in sizes.items()}
     models = _fitted(stored, parts, most) if parts else {}
 
-    assigned = stored.mapInArrow(_routed(models, most, None), "id long, dim int, size double, vector binary, parts array<int>")
-    assigned = saved(assigned.select("id", "dim", "vector", F.element_at("parts", 1).alias("part")), "assigned")
+    assigned = saved(stored.drop("size").mapInArrow(_routes(models, most), "id long, dim int, vector binary, part int"), "assigned")
     chosen = queries.orderBy(F.xxhash64("id", F.lit("audit")), "id").limit(AUDITED)  # bounded, as is what is collected of it
     truth = _audited(assigned, chosen, k)
     probes = _probes(truth, chosen, models, parts, recall)
 
-    filled = saved(assigned.groupBy("dim", "part").agg(F.count("*").alias("rows")), "parts")
-    room = F.greatest(F.lit(1), F.least(F.lit(PAGE), F.floor(F.lit(PAGE_BYTES) / (8 * F.col("dim")))))
-    filled = filled.withColumn("pages", F.ceil(F.col("rows") / room))
-    many = max(parts.values(), default=1)
-    asks = queries.mapInArrow(_routed(models, most, max([1, *probes.values()])), "id long, dim int, size double, vector binary, parts array<int>")
-    if len(set(probes.values())) > 1:
-        own = F.create_map(*[F.lit(x) for pair in probes.items() for x in pair])
-        asks = asks.withColumn("parts", F.slice("parts", 1, F.coalesce(own[F.col("dim")], F.lit(1))))
-    asks = saved(asks, "routed").select("id", "dim", "vector", F.explode("parts").alias("part"))
-    # a row a part of up to MODELS lengths, and one for each other length
-    small = filled.count() <= 50_000
-    hinted = F.broadcast(filled) if small else filled
-    load = asks.groupBy("dim", "part").agg(F.ceil(F.count("*") / QUERIES).alias("blocks"))
-    load = F.broadcast(load) if small else load
-    asks = asks.join(hinted, ["dim", "part"]).join(load, ["dim", "part"])
-    met = asks.select("dim", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)).alias("page"), F.pmod(F.xxhash64("id", F.lit("ask")), F.col("blocks")).alias("block"), "id", "vector", F.lit(True).alias("asks"))
-    base = assigned.join(hinted, ["dim", "part"]).join(load, ["dim", "part"])
-    base = base.select("dim", "part", F.pmod(F.xxhash64("id"), F.col("pages")).alias("page"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "id", "vector", F.lit(False).alias("asks"))
-    found = base.unionByName(met).groupBy("dim", "part", "page", "block").applyInArrow(_search(k), "query_id long, vec_id long, score double")
+    bundled = _bundles(assigned, list(models))
+    bundles = {d: np.zeros(parts[d], np.int64) for d in models}
+    for r in bundled.where(F.col("dim").isin(list(models))).select("dim", "part", "bundle").collect():  # a row a part
+        bundles[r["dim"]][r["part"]] = r["bundle"]
+    asks = queries.drop("size").mapInArrow(_asks(models, bundles, probes), "id long, dim int, vector binary, bundle long, parts array<int>")
+    asks = saved(asks, "asks")
+    pages = bundled.groupBy("dim", "bundle").agg(F.max("pages").alias("pages"))
+    load = asks.groupBy("dim", "bundle").agg(F.ceil(F.count("*") / QUERIES).alias("blocks"))
+    small = bundled.count() <= 50_000  # a row a part of up to MODELS lengths, and one for each other length
+    pages, load, placed = (F.broadcast(t) if small else t for t in (pages, load, bundled))
+    met = asks.join(pages, ["dim", "bundle"]).join(load, ["dim", "bundle"])
+    met = met.select("dim", "bundle", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)).alias("page"), F.pmod(F.xxhash64("id", F.lit("ask")), F.col("blocks")).alias("block"), "id", "vector", "parts", F.lit(True).alias("asks"))
+    base = assigned.join(placed, ["dim", "part"]).join(load, ["dim", "bundle"])
+    base = base.select("dim", "bundle", F.pmod(F.xxhash64("id"), F.col("pages")).alias("page"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "id", "vector", F.array("part").alias("parts"), F.lit(False).alias("asks"))
+    found = base.unionByName(met).groupBy("dim", "bundle", "page", "block").applyInArrow(_search(k), "query_id long, vec_id long, score double")
     result = saved(_top(found, "query_id", "vec_id", k), "nearest")
     reached = _reached(result, truth, chosen, k)
-    every = filled.groupBy("dim").agg(F.sum("rows").alias("every"))
-    share = asks.groupBy("id", "dim").agg(F.sum("rows").alias("met")).join(every, "dim").agg(F.avg(F.col("met") / F.col("every"))).first()[0]
+    every = bundled.groupBy("dim").agg(F.sum("rows").alias("every"))
+    share = asks.select("id", "dim", F.explode("parts").alias("part")).join(placed, ["dim", "part"]).groupBy("id", "dim").agg(F.sum("rows").alias("met"))
+    share = share.join(every, "dim").agg(F.avg(F.col("met") / F.col("every"))).first()[0]
     return result.select("query_id", "rank", "vec_id", "score", F.lit(reached).cast("double").alias("recall"), F.lit(share).cast("double").alias("probed"))
 
 
+def _bundles(assigned: DataFrame, modelled: list[int]) -> DataFrame:
+    """(dim, part, rows, bundle, pages): small parts side by side in bundles of about a page, large ones cut to pages.
+
+    A task searches a page of a bundle, so a query's best rows leave it once for all its parts there.
+    """
+    filled = saved(assigned.groupBy("dim", "part").agg(F.count("*").alias("rows")), "parts")
+    room = F.greatest(F.lit(1), F.least(F.lit(PAGE), F.floor(F.lit(PAGE_BYTES) / (8 * F.col("dim")))))
+    ahead = Window.partitionBy("dim").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
+    small = F.when(F.col("rows") <= room, F.col("rows")).otherwise(0)
+    filled = filled.withColumn("before", F.coalesce(F.sum(small).over(ahead), F.lit(0)))
+    own = F.when(F.col("rows") <= room, F.floor(F.col("before") / room)).otherwise(-1 - F.col("part"))
+    bundle = F.when(F.col("dim").isin(modelled), own).otherwise(0).cast("long")
+    return saved(filled.select("dim", "part", "rows", bundle.alias("bundle"), F.ceil(F.col("rows") / room).alias("pages")), "bundles")
+
+
 def _fitted(stored: DataFrame, parts: dict, most: dict) -> dict:
     """{dim: Router} from a sample of SAMPLE_ROWS rows a part and at most SAMPLE_BYTES, chosen by a hash of the id."""
     spark = stored.sparkSession
