@@ -78,14 +78,27 @@ def deviations(spark, sf_dir):
 
 def mix_targets(spark, sf_dir):
     """What SQL can say of the mix: sizes, and the targets of sources."""
-    mixed = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+    sized, targets = mixing.source_targets(read_table(spark, sf_dir, "documents"))
+    mixed = sized.join(targets, sized["source"].eqNullSafe(targets["source"]))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
 
 
 def url_rules(spark, sf_dir):
     """What SQL can say of the URL filter: hosts, paths, and the rules that fit, with their verdicts."""
-    judged = url_filter.filter_urls(read_table(spark, sf_dir, "pages"))
-    return judged.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("rule_verdict"))
+    pages = read_table(spark, sf_dir, "pages")
+    urls = pages.select("page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
+    return url_filter.match_rules(urls)
+
+
+def host_ranks(spark, sf_dir):
+    """Trust and distrust over links that the table has none of: each page's host links the next page's."""
+    pages = read_table(spark, sf_dir, "pages")
+    urls = url_filter.match_rules(pages.select("page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path")))
+    after = urls.select((F.col("page_id") - 1).alias("page_id"), F.col("host").alias("dst"))
+    edges = urls.select("page_id", F.col("host").alias("src")).join(after, "page_id").where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
+    balance = urls.where("rule is not null").groupBy("host").agg(F.sum(F.when(F.col("rule_verdict") == "allow", 1).otherwise(-1)).alias("balance"))
+    ranks = url_filter.propagate(edges, balance.where("balance > 0").select("host"), balance.where("balance < 0").select("host"))
+    return ranks.select("host", F.round("trust", 6).alias("trust"), F.round("distrust", 6).alias("distrust"))
 
 
 _OPERATORS = (
@@ -106,6 +119,7 @@ _OPERATORS = (
     deviations,
     mix_targets,
     url_rules,
+    host_ranks,
 )
 QUERIES = {f.__name__: f for f in _OPERATORS}
 
@@ -148,6 +162,20 @@ WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?
 SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS rule_verdict FROM r
 """
 
+#: A step is linear in the ranks, so it is one join with a table of transitions: links, and what returns to the seeds.
+HOST_RANKS_SQL = rf"""
+WITH RECURSIVE u AS ({URL_RULES_SQL}), l AS (SELECT a.host AS src, b.host AS dst, count(*) AS w FROM u a JOIN u b ON b.page_id = a.page_id + 1 WHERE a.host <> '' AND b.host <> '' AND a.host <> b.host GROUP BY 1, 2
+), e AS (SELECT 'trust' AS side, src, dst, w FROM l UNION ALL SELECT 'distrust', dst, src, w FROM l
+), b AS (SELECT host, sum(CASE rule_verdict WHEN 'allow' THEN 1 ELSE -1 END) AS b FROM u WHERE rule IS NOT NULL GROUP BY 1
+), s AS (SELECT *, count(*) OVER (PARTITION BY side) AS n FROM (SELECT host, CASE WHEN b > 0 THEN 'trust' ELSE 'distrust' END AS side FROM b WHERE b <> 0)
+), h AS (SELECT side, host, bool_or(o) AS o FROM (SELECT side, src AS host, true AS o FROM e UNION ALL SELECT side, dst, false FROM e UNION ALL SELECT side, host, false FROM s) GROUP BY 1, 2
+), t AS (SELECT side, src, dst, sum(p) AS p FROM (SELECT side, src, dst, 0.85::DOUBLE * w / sum(w) OVER (PARTITION BY side, src) AS p FROM e
+    UNION ALL SELECT h.side, h.host, s.host, CASE WHEN h.o THEN 0.15::DOUBLE ELSE 1.0 END / s.n FROM h JOIN s ON s.side = h.side) GROUP BY 1, 2, 3
+), r AS (SELECT 0 AS step, side, host, 1.0::DOUBLE / n AS rank FROM s
+  UNION ALL SELECT r.step + 1, r.side, t.dst, sum(r.rank * t.p) FROM r JOIN t ON t.side = r.side AND t.src = r.host WHERE r.step < 150 GROUP BY 1, 2, 3)
+SELECT host, round(sum(CASE side WHEN 'trust' THEN rank ELSE 0 END), 6) AS trust, round(sum(CASE side WHEN 'distrust' THEN rank ELSE 0 END), 6) AS distrust FROM r WHERE step = 150 GROUP BY 1
+"""
+
 VECTOR_COMPONENTS_SQL = """
 WITH RECURSIVE links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
@@ -183,4 +211,5 @@ ORACLE_SQL = {
     "op9_minhash_near_dedup": SHINGLE_COMPONENTS_SQL,
     "mix_targets": MIX_TARGETS_SQL,
     "url_rules": URL_RULES_SQL,
+    "host_ranks": HOST_RANKS_SQL,
 }

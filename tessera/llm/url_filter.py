@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -52,31 +53,39 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return linked.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-8, most_steps: int = 50) -> DataFrame:
-    """Personalised PageRank over edges (src, dst, weight) from seeds (host): (host, rank), ranks summing to 1.
+def propagate(edges: DataFrame, trusted: DataFrame, blocked: DataFrame, damping: float = 0.85, tolerance: float = 1e-8, together: int = 8) -> DataFrame:
+    """Personalised PageRank over edges (src, dst, weight): (host, trust, distrust) of the hosts that either reaches.
 
-    Rank that reaches a host without links goes back to the seeds. Each step is one join on src and one sum by dst,
-    which Spark combines before the shuffle; the loop ends when ranks move by less than ``tolerance`` in all.
+    Trust flows from ``trusted`` (host) along the edges, distrust from ``blocked`` against them; each sums to 1 where it
+    has a seed. Rank that reaches a host without links goes back to its seeds: the ranks are then those of the sum of
+    all walks from the seeds, each step damped, over its total, so a step needs no sum over all hosts. Both sides go
+    through one loop of joins on the source and sums by target, which Spark combines before the shuffle; ``together``
+    steps are one write. It ends when neither side moves by ``tolerance`` of its total in such a round; a step shrinks
+    what is left by ``damping``, so that is sure within the rounds that are allowed, and anything else raises.
     """
-    n_seeds = seeds.count()
-    if not n_seeds:
-        return seeds.select("host", F.lit(0.0).alias("rank")).limit(0)
-    start = saved(seeds.select("host", F.lit(1.0 / n_seeds).alias("rank")), "seeds")
-    out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
-    edges = saved(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("part")), "edges")
-    ranks = start
-    for _ in range(most_steps):
-        sent = edges.join(ranks, edges["src"] == ranks["host"]).groupBy("dst").agg(F.sum(F.col("rank") * F.col("part")).alias("got"))
-        moved = saved(sent.select(F.col("dst").alias("host"), (F.col("got") * damping).alias("rank")), "rank-step")
-        back = 1.0 - (moved.agg(F.sum("rank")).first()[0] or 0.0)
-        new = saved(moved.unionByName(start.select("host", (F.col("rank") * back).alias("rank"))).groupBy("host").agg(F.sum("rank").alias("rank")), "rank")
-        both = new.withColumnRenamed("rank", "new").join(ranks, "host", "full")
-        change = both.agg(F.sum(F.abs(F.coalesce("new", F.lit(0.0)) - F.coalesce("rank", F.lit(0.0))))).first()[0] or 0.0
-        release(moved, ranks if ranks is not start else None)
-        ranks = new
-        if change < tolerance:
-            break
-    return ranks
+    seeds = trusted.select("host", F.lit("trust").alias("side")).unionByName(blocked.select("host", F.lit("distrust").alias("side")))
+    seeds = saved(seeds.select("side", "host", F.lit(1.0).alias("rank")), "seeds")
+    both = edges.select("src", "dst", "weight", F.lit("trust").alias("side")).unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight", F.lit("distrust").alias("side")))
+    out = both.groupBy("side", "src").agg(F.sum("weight").alias("total"))
+    both = saved(both.join(out, ["side", "src"]).select("side", F.col("src").alias("host"), "dst", (F.col("weight") * damping / F.col("total")).alias("part")), "edges")
+    before, state = seeds, None
+    rounds = math.ceil(math.log(tolerance * (1 - damping)) / math.log(damping) / together) + 2
+    for _ in range(rounds):
+        now = before
+        for step in range(together):
+            sent = both.join(now, ["side", "host"]).select("side", F.col("dst").alias("host"), (F.col("rank") * F.col("part")).alias("rank"), F.lit(0.0).alias("less"))
+            new = sent.unionByName(seeds.withColumn("less", F.lit(0.0)))
+            if step == together - 1:
+                new = new.unionByName(before.select("side", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("less")))
+            now = new.groupBy("side", "host").agg(F.sum("rank").alias("rank"), F.sum("less").alias("less"))
+        old, state = state, saved(now, "rank")
+        before = state.select("side", "host", "rank")
+        totals = {r["side"]: r for r in state.groupBy("side").agg(F.sum("rank").alias("total"), F.sum(F.abs(F.col("rank") - F.col("less"))).alias("moved")).collect()}  # two rows at most
+        release(old)
+        if all(r["moved"] <= tolerance * r["total"] for r in totals.values()):
+            side = [F.sum(F.when(F.col("side") == s, F.col("rank") / F.lit(totals[s]["total"] if s in totals else 1.0)).otherwise(0.0)).alias(s) for s in ("trust", "distrust")]
+            return before.groupBy("host").agg(*side)
+    raise ArithmeticError(f"ranks still move after the {rounds * together} steps that damping {damping} needs")
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, threshold: float = 1.0) -> DataFrame:
@@ -95,10 +104,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, thre
     balance = urls.where("rule is not null").groupBy("host").agg(F.sum(F.when(F.col("rule_verdict") == "allow", 1).otherwise(-1)).alias("balance"))
     balance = saved(balance, "seed-balance")
     edges = saved(host_edges(pages), "host-edges")
-    trust = propagate(edges, balance.where("balance > 0").select("host"))
-    against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    distrust = propagate(against, balance.where("balance < 0").select("host"))
-    hosts = trust.select("host", F.col("rank").alias("trust")).join(distrust.select("host", F.col("rank").alias("distrust")), "host", "full")
+    hosts = propagate(edges, balance.where("balance > 0").select("host"), balance.where("balance < 0").select("host"))
     judged = urls.join(hosts, "host", "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust")})
     verdict = F.coalesce("rule_verdict", F.when(F.col("distrust") > F.col("trust") * threshold, "block").otherwise("allow"))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "trust", "distrust")

@@ -196,6 +196,25 @@ def test_link_graph(spark):
     assert [got[h]["verdict"] for h in ("t.org", "a.net", "spam.net", "bad.net", "x.com")] == ["allow", "allow", "block", "block", "block"]
 
 
+def test_ranks_in_a_cycle_converge(spark):
+    """Two hosts that link each other move for long; both ranks are the fixed point, and repeated pages are judged each."""
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 2.0), ("b", "c", 1.0), ("c", "a", 1.0)], "src string, dst string, weight double")
+    one, two, none = (spark.createDataFrame(v, "host string") for v in ([("a",)], [("c",)], []))
+    got = {r["host"]: r for r in url_filter.propagate(edges, one, two).collect()}
+    step = {"a": {"b": 1.0}, "b": {"a": 2 / 3, "c": 1 / 3}, "c": {"a": 1.0}}
+    back = {"b": {"a": 1.0}, "a": {"b": 2 / 3, "c": 1 / 3}, "c": {"b": 1.0}}
+    for name, links, seed in (("trust", step, "a"), ("distrust", back, "c")):
+        rank = {h: float(h == seed) for h in "abc"}
+        for _ in range(400):
+            rank = {h: 0.15 * (h == seed) + 0.85 * sum(rank[g] * links[g].get(h, 0) for g in "abc") for h in "abc"}
+        assert all(got[h][name] == pytest.approx(rank[h], abs=1e-7) for h in "abc")
+    only = {r["host"]: (r["trust"], r["distrust"]) for r in url_filter.propagate(edges, none, two).collect()}
+    assert all(t == 0 for t, _ in only.values()) and sum(d for _, d in only.values()) == pytest.approx(1)
+    assert url_filter.propagate(edges, none, none).count() == 0
+    page = (1, "http://x.org/", "<a href='http://y.com/'>" * 5000)
+    assert url_filter.filter_urls(spark.createDataFrame([page, page], "page_id long, url string, html string")).count() == 2
+
+
 # ---------------------------------------------------------------- 3 and 6 classifiers
 
 
