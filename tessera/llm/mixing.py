@@ -13,7 +13,12 @@ _TOLERANCE, _MOST_STEPS = 1e-7, 200
 _STATE_FILES = 4  # a row a source is little; many files of it would cost each step more than its sums
 
 
-def source_targets(sized: DataFrame, weights: Sequence[int], share: float, cap: float) -> DataFrame:
+def document_sizes(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size): the words of each text, 0 for a null one."""
+    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+
+
+def source_targets(sized: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """One row per source: source, source_size, target.
 
     Sources in code-point order (null last) take the weights in turn. Targets share ``share`` times all sizes by
@@ -118,7 +123,7 @@ def mix_sources(
     equal sizes are ranked in buckets of ``rows_per_bucket`` rows, so that a source or size with most of the rows
     does not meet in one task.
     """
-    sized = saved(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
+    sized = saved(document_sizes(docs), "mix-sizes")
     histogram = saved(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-histogram")
     targets = saved(source_targets(sized, weights, share, cap), "mix-targets")
     filled = histogram.where("size > 0")

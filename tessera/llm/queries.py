@@ -78,7 +78,8 @@ def deviations(spark, sf_dir):
 
 def mix_targets(spark, sf_dir):
     """What SQL can say of the mix: sizes, and the targets of sources."""
-    sized, targets = mixing.source_targets(read_table(spark, sf_dir, "documents"))
+    sized = mixing.document_sizes(read_table(spark, sf_dir, "documents"))
+    targets = mixing.source_targets(sized)
     mixed = sized.join(targets, sized["source"].eqNullSafe(targets["source"]))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
 

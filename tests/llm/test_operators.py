@@ -538,9 +538,32 @@ def test_noisy_recordings_are_those_that_align(spark):
     runs = [{tuple(f[k : k + 3]) for k in range(len(f) - 2)} for f in map(np.ndarray.tolist, prints)]
     assert sum(not runs[i] & runs[j] for i, j in pairs) >= 5  # some pairs share no three integers
     df = spark.createDataFrame(list(enumerate(cells)), "media_id long, audio binary")
-    got = {r["media_id"]: r["component_id"] for r in media.match_recordings(df, "media_id", "audio").collect()}
+    found = media.match_recordings(df, "media_id", "audio").collect()
+    got = {r["media_id"]: r["component_id"] for r in found}
     wrong = [i for i, p in enumerate(part) if got[i] != p]
     assert not wrong, f"{len(wrong)} of {len(part)}"
+    assert not found[0]["exact"] and found[0]["audit_recall"] == 1.0  # the votes found them
+
+
+@pytest.mark.parametrize("together", [1 << 22, 500])
+def test_votes_find_what_every_offset_does(monkeypatch, together):
+    monkeypatch.setattr(media, "VOTES_TOGETHER", together)
+    rnd = np.random.default_rng(21)
+    songs = [rnd.integers(0, 1 << 32, rnd.integers(40, 90), np.uint32) for _ in range(40)]
+    noisy = [f[k % 7 :] ^ np.bitwise_or.reduce([(rnd.random(len(f) - k % 7) < 0.08).astype(np.uint32) << np.uint32(b) for b in range(32)]) for k, f in enumerate(songs)]
+    still = [np.full(50, 7, np.uint32), np.full(60, 7, np.uint32)]
+    one, two = songs + still, noisy + still
+    assert (media.voted(one, two) == media.matches(one, two)).all() and media.voted(one, two).sum() == 40
+    both = songs + noisy
+    assert (media.voted(both) == media.matches(both)).all() and media.voted(both).sum() == 80
+
+
+def test_exact_where_votes_fall_short(spark, monkeypatch):
+    """Without votes the audit finds what is missed, and every offset is compared."""
+    monkeypatch.setattr(media, "VOTES", 10_000)
+    cells = [wav(media.note_samples(np.random.default_rng(k // 2).normal(size=70).tolist())[k % 2 * 777 :]) for k in range(12)]
+    found = {r["media_id"]: r for r in media.match_recordings(spark.createDataFrame(list(enumerate(cells)), "media_id long, audio binary"), "media_id", "audio").collect()}
+    assert found[0]["exact"] and found[0]["audit_recall"] == 0.0 and all(found[k]["component_id"] == k - k % 2 for k in range(12))
 
 
 def test_excerpt_of_a_later_chorus(spark):
@@ -585,9 +608,9 @@ def test_fingerprint_boxes():
     want = []
     for at in range(30 - media.WINDOW + 1):
         out = 0
-        for kind, y, h, w in media.FILTERS:
+        for (kind, y, h, w), (low, middle, high) in zip(media.FILTERS, media.LEVELS.tolist(), strict=True):
             v = value(kind, y, h, w, at)
-            out = out << 2 | (0 if v <= -0.06 else 1 if v <= 0 else 3 if v <= 0.06 else 2)
+            out = out << 2 | (0 if v <= low else 1 if v <= middle else 3 if v <= high else 2)
         want.append(out)
     assert media.fingerprint(image).tolist() == want and len(media.fingerprint(image[:10])) == 0
     a = media.fingerprint(image)
