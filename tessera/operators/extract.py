@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -217,39 +215,6 @@ def gazette_fields(df: DataFrame, html_col: str, most: int = 200_000) -> DataFra
     )
 
 
-def element(c: Column, selector: str) -> Column:
-    """What is inside a page's first element of a selector (``tag``, ``#id``, ``tag#id`` or ``tag.class``); null without one.
-
-    Elements of its kind that it holds are counted off, so it ends at its own closing tag.
-    """
-    tag, sign, name = (selector.partition("#") if "#" in selector else selector.partition("."))
-    name = re.escape(name)
-    mark = {"#": rf"""[^>]*\bid\s*=\s*["']?{name}["'\s>]""", ".": rf"""[^>]*\bclass\s*=\s*["']?[^"'>]*(?<![\w-]){name}(?![\w-])"""}
-    opening = rf"""(?is)<({tag or "[a-z][a-z0-9]*"})\b(?={mark[sign]})[^>]*>(.*)\z""" if sign else rf"(?is)<({tag})\b[^>]*>(.*)\z"
-    inside, kind = F.regexp_extract(c, opening, 2), F.regexp_extract(c, opening, 1)
-    tags = F.concat(F.lit("(?i)<(/?)"), kind, F.lit(r"(?=[\s/>])[^>]*>"))
-    depth = F.struct(F.lit(1).alias("open"), F.lit(0).alias("seen"))
-    walked = F.aggregate(
-        F.regexp_extract_all(inside, tags, F.lit(1)),
-        depth,
-        lambda s, slash: F.when(s["open"] == 0, s).otherwise(F.struct((s["open"] + F.when(slash == "/", -1).otherwise(1)).alias("open"), (s["seen"] + 1).alias("seen"))),
-    )
-    return F.when(c.rlike(opening), F.array_join(F.slice(F.split(inside, tags, -1), F.lit(1), F.greatest(walked["seen"], F.lit(1)) + F.when(walked["open"] > 0, 1).otherwise(0)), " "))
-
-
-def main_content(c: Column, selectors: tuple[str, ...] = catalog.GAZETTE_SELECTORS, least: int = 200, chrome: str = catalog.GAZETTE_CHROME, beginning: str = catalog.GAZETTE_BEGINNING, most: int = 300_000) -> Column:
-    """A page's main text: of the first selector's element with more than ``least`` characters and no page chrome at its
-    head, or else of the body from the first word that real contents begin with."""
-    clean = drop_blocks(c, *catalog.GAZETTE_DROPPED)
-    choices = []
-    for selector in selectors:
-        text = text_only(element(clean, selector), entities=True)
-        choices.append(F.when((F.length(text) > least) & ~F.substring(text, 1, 200).rlike(rx(chrome)), text))
-    body = text_only(F.coalesce(first_match(clean, r"(?is)<body\b[^>]*>(.*?)(?:</body|\z)", 1), clean), entities=True)
-    found = F.nullif(F.regexp_extract(body, rf"(?sU)({beginning}.*)\z", 1), F.lit(""))
-    return F.substring(F.coalesce(*choices, found, body), 1, most)
-
-
 def electoral_fields(df: DataFrame, html_col: str) -> DataFrame:
     """Fields of an electoral court's thesis page; its text is the longest paragraph."""
     t = text_only(F.replace(F.col(html_col), F.lit("&nbsp;"), F.lit(" ")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .functions.vectors import hash_embed
-from .operators import audit, catalog, chunk, citations, corpus, extract, match, retrieval, upsert, vector_index
+from .operators import audit, catalog, chunk, citations, corpus, extract, html_table, match, retrieval, upsert, vector_index
 from .plans import paging
 from .sources.readers import records_of, table
 from .sources.writers import scratch_path
@@ -359,7 +359,7 @@ def _element_text(tag: str) -> str:
 )
 def html_main_content(spark, pages):
     """Main text of each page by a cascade of elements."""
-    return pages.select("page_id", extract.main_content(F.col("html")).alias("text"))
+    return html_table.main_contents(pages.select("page_id", "html"), "html").select("page_id", "text")
 
 
 @query(
@@ -375,6 +375,11 @@ def normalize_fold(spark, documents):
     return documents.select("doc_id", tx.normalize_name("text").alias("name"))
 
 
+@query(r"""SELECT page_id, tag, count(*) AS n FROM (SELECT page_id, lower(unnest(regexp_extract_all(html, '<([A-Za-z][A-Za-z0-9]*)(?:[\s/][^>]*)?>', 1))) AS tag FROM pages) GROUP BY 1, 2""")
+def html_element_counts(spark, pages):
+    return html_table.html_elements(pages, "page_id", "html").groupBy(F.col("page").alias("page_id"), "tag").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------- citations
 
 _LAWS = {"W": " with ", "F": " from "}
@@ -896,7 +901,8 @@ _CHROME = f"<body><div class='content wide'>var nombre_cookie {_WHOLE}</div><p>i
 def gazette_contents(spark, documents):
     """Contents by selector, elements of the same kind inside counted off, and from a marker word where only page chrome is found."""
     two = _templated(documents, _CHROME).select("doc_id", F.col("t").alias("u"))
-    return _templated(documents, _PAGE).join(two, "doc_id").select("doc_id", extract.main_content(F.col("t")).alias("main"), extract.main_content(F.col("u")).alias("marked"))
+    both = _templated(documents, _PAGE).join(two, "doc_id").select("doc_id", "t", "u")
+    return html_table.main_contents(html_table.main_contents(both, "t", "main"), "u", "marked").drop("t", "u")
 
 
 _THESIS_PAGE = "<html><b>Sala Superior</b> <i>Jurisprudencia&nbsp;12 / 2010</i> 3 de mayo de 2011 <p>corto</p><p>" + "b" * 90 + "{id}</p>Actor: Partido {id}</html>"

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import catalog, citations, extract
+from tessera.operators import catalog, citations, extract, html_table
 
 
 @pytest.fixture
@@ -111,10 +111,27 @@ def test_court_and_gazette(frame):
 
 def test_elements_end_at_their_own_tag(frame):
     html = '<div id="a">uno<div>dos</div>tres</div>cuatro<DIV class="x content y">cinco<div class="content-no">seis</div></div><main>siete'
-    got = frame(html).select(*[extract.element(F.col("t"), s).alias(str(i)) for i, s in enumerate(("#a", "div#a", "div.content", "main", "article", "div.y", "div.content-n"))]).first()
+    pages = html_table.with_elements(frame(html), "t")
+    firsts = [F.try_element_at(html_table.selected(F.col("elements"), s), F.lit(1)) for s in ("#a", "div#a", "div.content", "main", "article", "div.y", "div.content-n")]
+    got = pages.select(*[html_table.inside(F.col("t"), e).alias(str(i)) for i, e in enumerate(firsts)]).first()
     assert [g and " ".join(re.sub("<[^>]+>", " ", g).split()) for g in got] == ["uno dos tres", "uno dos tres", "cinco seis", "siete", None, "cinco seis", None]
 
 
+def test_element_table(spark):
+    html = "<html><BODY class='a  b'><p id=x>uno<p>dos</div></p><img src=1><a href='u?v=1&w' >t<br/></a></html>"
+    df = spark.createDataFrame([(1, html), (1, html), (None, "<p>z"), (2, None), (3, ""), (4, "<" * 100_000), (5, "sin nada")], "id long, html string").withColumn("tag", F.lit("clash"))
+    rows = [r for r in html_table.html_elements(df, "id", "html").collect() if r["page"] == 1]
+    assert len(rows) == 14
+    got = {r["element"]: r for r in rows}
+    assert [got[i]["tag"] for i in range(7)] == ["html", "body", "p", "p", "img", "a", "br"]
+    assert [got[i]["parent"] for i in range(7)] == [None, 0, 1, 2, 2, 2, 5] and [got[i]["depth"] for i in range(7)] == [0, 1, 2, 3, 3, 3, 4]
+    assert [got[i]["closed"] for i in range(7)] == [True, False, False, True, False, True, False]
+    assert got[1]["classes"] == ["a", "b"] and got[2]["id"] == "x" and got[5]["href"] == "u?v=1&w"
+    assert html[got[3]["begin"] : got[3]["end"]] == "dos</div>" and html[got[5]["begin"] : got[5]["end"]] == "t<br/>"
+    assert html_table.html_elements(df.limit(0), "id", "html").count() == 0
+    assert sorted(str(r["text"]) for r in html_table.main_contents(df, "html").where("id is null or id > 1").collect()) == ["", "<" * 100_000, "None", "sin nada", "z"]
+
+
 def test_country_entry(frame):
     html = "<h2>Reservas</h2><b>Francia</b><p>" + "f" * 120 + "</p><b> México </b><p>" + "m" * 120 + "</p><b>Noruega</b><p>no</p>"
     assert frame(html).select(extract.country_entry(F.col("t"), "México")).first()[0] == "México " + "m" * 120
