@@ -23,6 +23,8 @@ from .components import connected_components, joined_blocks
 
 #: Vectors the centroids are learned from, vectors a shard is meant to have, centroids in all, vectors of a graph.
 SAMPLE, SHARD, MOST_CENTROIDS, PAGE = 20_000, 1500, 2048, 4096
+#: Bytes of the sample's vectors.
+SAMPLE_BYTES = 1 << 26
 DEGREE, ALPHA = 24, 1.2
 #: A block of queries is as large as so many pages.
 QUERY_PAGES = 4
@@ -196,13 +198,6 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:i], *batch.columns[i + 1 :], pa.array(packed, pa.binary())], names=[*batch.schema.names[:i], *batch.schema.names[i + 1 :], "vector"])
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        packed = [np.asarray(v, np.float64).tobytes() for v in batch.column("embedding").to_pylist()]
-        i = batch.schema.get_field_index("embedding")
-        yield pa.RecordBatch.from_arrays([*batch.columns[:i], *batch.columns[i + 1 :], pa.array(packed, pa.binary())], names=[*batch.schema.names[:i], *batch.schema.names[i + 1 :], "vector"])
-
-
 def _shards(centroids: dict, copies: int):
     """A row for each of the nearest ``copies`` centroids of the label; ``home`` marks the nearest."""
 
@@ -384,7 +379,8 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame
     kind = classes.schema["label"].dataType.simpleString()
     plain = saved(classes.mapInArrow(_packed, f"label {kind}, id long, many long, dim int, vector binary"), "vectors")
     sizes = {(r["label"], r["dim"]): r["count"] for r in plain.groupBy("label", "dim").count().orderBy(F.desc("count")).limit(MOST_CENTROIDS).collect()}
-    sample = plain.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    longest = max((dim for _, dim in sizes), default=1)
+    sample = plain.orderBy(F.xxhash64("id"), "id").limit(max(1, min(SAMPLE, SAMPLE_BYTES // (8 * longest)))).collect()
     centroids = _centroids([r for r in sample if (r["label"], r["dim"]) in sizes], sizes)
 
     homes = plain.mapInArrow(_shards(centroids, 1), f"label {kind}, id long, many long, dim int, vector binary, cluster int, home boolean")

@@ -36,8 +36,7 @@ def op6_quality_classifier(spark, sf_dir):
 
 
 def op7_embedding_near_dedup(spark, sf_dir):
-    found = embed_dedup.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
-    return found.select("vec_id", "n_links", "component_id", "kept")
+    return embed_dedup.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
 def op8_sentencepiece(spark, sf_dir):
@@ -76,6 +75,18 @@ def deviations(spark, sf_dir):
     return whole.where("component = 1").select("vec_id", "n", "deviation")
 
 
+def vector_links(spark, sf_dir):
+    """op7 on the table with perturbed copies of its vectors, at cosines from 0.86 to 0.999: it holds no links itself.
+
+    ``exact`` says whether the graphs gave the result (false) or the comparison of all blocks.
+    """
+    vectors = read_table(spark, sf_dir, "embeddings")
+    again = vectors.where("vec_id % 3 <> 0").select(F.col("vec_id").alias("of"), F.explode(F.array(F.lit(1), F.lit(2))).alias("k"), "embedding", "label").withColumn("new", F.expr("of * 4 + k"))
+    moved = F.expr("transform(embedding, (c, i) -> cast(c as double) * (1d + ((of * 7 + new * 5 + i * 13) % 11 - 5) * (of % 8 + 1) * 0.02d))")
+    rows = vectors.select((F.col("vec_id") * 4).alias("vec_id"), F.col("embedding").cast("array<double>"), "label").unionByName(again.select(F.col("new").alias("vec_id"), moved.alias("embedding"), "label"))
+    return embed_dedup.near_duplicate_vectors(rows).select("vec_id", "n_links", "component_id", "kept", "exact")
+
+
 def mix_targets(spark, sf_dir):
     """What SQL can say of the mix: sizes, and the targets of sources."""
     sized = mixing.document_sizes(read_table(spark, sf_dir, "documents"))
@@ -121,6 +132,7 @@ _OPERATORS = (
     mix_targets,
     url_rules,
     host_ranks,
+    vector_links,
 )
 QUERIES = {f.__name__: f for f in _OPERATORS}
 
@@ -177,6 +189,7 @@ WITH RECURSIVE u AS ({URL_RULES_SQL}), l AS (SELECT a.host AS src, b.host AS dst
 SELECT host, round(sum(CASE side WHEN 'trust' THEN rank ELSE 0 END), 6) AS trust, round(sum(CASE side WHEN 'distrust' THEN rank ELSE 0 END), 6) AS distrust FROM r WHERE step = 150 GROUP BY 1
 """
 
+#: Without any link there is nothing to audit, and the exact comparison gives the result.
 VECTOR_COMPONENTS_SQL = """
 WITH RECURSIVE links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
@@ -184,7 +197,8 @@ WITH RECURSIVE links AS (
 ), reach AS (
   SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r
 ), c AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY 1)
-SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept,
+  CASE WHEN (SELECT count(*) FROM links) > 0 THEN 1.0::DOUBLE END AS audit_recall, (SELECT count(*) FROM links) = 0 AS exact
 FROM embeddings e JOIN c USING (vec_id)
 """
 
@@ -205,7 +219,21 @@ WITH w AS (SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOU
 SELECT vec_id, n, list_sum(list_transform(range(1, len(x) + 1), lambda i: (n * x[i] - s[i]) * (n * x[i] - s[i])))::BIGINT AS deviation FROM w, n, l
 """
 
+#: Found by comparing all vectors; exact = false asks that the graphs have found as much.
+VECTOR_LINKS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id * 4 AS vec_id, embedding::DOUBLE[] AS embedding, label FROM embeddings
+  UNION ALL SELECT vec_id * 4 + k, list_transform(range(1, len(embedding) + 1), lambda i: embedding[i]::DOUBLE * (1 + ((vec_id * 7 + (vec_id * 4 + k) * 5 + (i - 1) * 13) % 11 - 5) * (vec_id % 8 + 1) * 0.02::DOUBLE)), label
+  FROM embeddings, (SELECT unnest([1, 2]) AS k) WHERE vec_id % 3 <> 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.embedding, b.embedding) >= 0.93
+), reach AS (SELECT vec_id, vec_id AS r FROM v UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r
+), c AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY 1
+), n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1)
+SELECT c.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept, false AS exact FROM c LEFT JOIN n USING (vec_id)
+"""
+
 ORACLE_SQL = {
+    "vector_links": VECTOR_LINKS_SQL,
     "neighbours_of_all_parts": NEIGHBOURS_SQL,
     "deviations": DEVIATIONS_SQL,
     "op7_embedding_near_dedup": VECTOR_COMPONENTS_SQL,
