@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .functions.vectors import hash_embed
-from .operators import audit, catalog, chunk, citations, corpus, extract, html_table, match, retrieval, upsert, vector_index
+from .operators import audit, catalog, chunk, citations, corpus, extract, fulltext, html_table, match, retrieval, upsert, vector_index
 from .plans import paging
 from .sources.readers import records_of, table
-from .sources.writers import scratch_path
+from .sources.writers import scratch_path, stored
 from .streaming import incremental
 
 QUERIES: dict = {}
@@ -229,6 +231,42 @@ def corpus_exporters(spark, documents, pages):
     return built.select("source", F.col("source_native_id").alias("native"), "tipo", "jerarquia", "titulo", "autor", F.size("chunks").alias("n_chunks"))
 
 
+_ASKED = ((1, "los mente"), (2, '"de la"'), (3, 'para "que la" los'), (4, "ciones"), (5, '"que los" de'), (6, "nunca-jamás hallado"))
+_STEMS = "word"
+for _p in fulltext.ending_patterns():
+    _STEMS = rf"regexp_replace({_STEMS}, '{_p}', '\1')"
+
+
+def _asked_sql() -> str:
+    """The queries' words as rows: written out, for they are fixed."""
+    rows = []
+    for q, text in _ASKED:
+        for i, part in enumerate(re.findall(r'"[^"]*"|\S+', text)):
+            rows += [f"({q}, {i}, {j}, '{w}')" for j, w in enumerate(re.findall(r"[a-z]+", tx.folded(part)))]
+    return f"(SELECT q, phrase, place, {_STEMS} AS term FROM (VALUES {', '.join(rows)}) v(q, phrase, place, word))"
+
+
+@query(
+    rf"""WITH w AS (SELECT doc_id AS id, {_WORDS.format("text")} AS w FROM documents), x AS (SELECT id, unnest(range(0, len(w))) AS p, unnest(w) AS word FROM w),
+  t AS (SELECT id, p, {_STEMS} AS term FROM x), a AS {_asked_sql()}, m AS (SELECT DISTINCT q, term FROM a),
+  e AS (SELECT q, id, p, term FROM t JOIN m USING (term)),
+  allin AS (SELECT q, id FROM e GROUP BY 1, 2 HAVING count(DISTINCT term) = (SELECT count(*) FROM m WHERE m.q = e.q)),
+  ph AS (SELECT q, phrase, count(*) AS n FROM a GROUP BY 1, 2 HAVING count(*) > 1),
+  st AS (SELECT a.q, a.phrase, t.id, t.p - a.place AS start FROM a JOIN ph USING (q, phrase) JOIN t USING (term) GROUP BY 1, 2, 3, 4 HAVING count(*) = (SELECT n FROM ph WHERE ph.q = a.q AND ph.phrase = a.phrase)),
+  ok AS (SELECT q, id FROM allin WHERE (SELECT count(DISTINCT phrase) FROM st WHERE st.q = allin.q AND st.id = allin.id) = (SELECT count(*) FROM ph WHERE ph.q = allin.q)),
+  b AS (SELECT q, id, p AS first, (SELECT max(n) FROM (SELECT min(f.p) AS n FROM e f WHERE f.q = e.q AND f.id = e.id AND f.p >= e.p GROUP BY f.term)) AS last,
+    (SELECT count(DISTINCT f.term) FROM e f WHERE f.q = e.q AND f.id = e.id AND f.p >= e.p) AS there FROM e JOIN ok USING (q, id)),
+  c AS (SELECT q, id, max(first) AS first, last FROM b WHERE there = (SELECT count(*) FROM m WHERE m.q = b.q) GROUP BY q, id, last),
+  s AS (SELECT q AS query_id, id, count(*) AS covers, round(sum(least(1.0::DOUBLE, {fulltext.NEAR}.0::DOUBLE / (last - first + 1))), 9) AS score FROM c GROUP BY 1, 2)
+  SELECT query_id, id, covers, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM s) WHERE rank <= 50"""
+)
+def fts_spanish(spark, documents):
+    """Stems, phrases in quotes, and ranks by cover density over all documents."""
+    postings = stored(fulltext.positional_postings(documents, "doc_id", "text"), "positions")
+    asked = fulltext.asked_terms(spark.createDataFrame(_ASKED, "q int, text string"), "q", "text")
+    return fulltext.ranked_matches(postings, asked, 50).select("query_id", "id", "covers", F.round("score", 6).alias("score"), "rank")
+
+
 # ---------------------------------------------------------------- approximate vector search
 
 
