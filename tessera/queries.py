@@ -12,6 +12,7 @@ from .functions.vectors import hash_embed
 from .operators import audit, catalog, chunk, citations, corpus, extract, fulltext, html_table, match, retrieval, upsert, vector_index
 from .plans import paging
 from .sources.readers import records_of, table
+from .sources.versioned import VersionedTable
 from .sources.writers import scratch_path, stored
 from .streaming import incremental
 
@@ -267,6 +268,20 @@ def fts_spanish(spark, documents):
     return fulltext.ranked_matches(postings, asked, 50).select("query_id", "id", "covers", F.round("score", 6).alias("score"), "rank")
 
 
+# ---------------------------------------------------------------- stored tables
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN upper(lang) ELSE lang END AS lang, CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN NULL ELSE source END AS source, 1 + (doc_id % 3 = 0)::INTEGER AS n FROM documents WHERE doc_id % 5 <> 0 OR doc_id % 3 = 0")
+def versioned_upsert(spark, documents):
+    """A stored table after two batches, the second of which comes twice."""
+    held = VersionedTable(spark, scratch_path(spark, "versioned"), ["doc_id"])
+    rows = documents.select("doc_id", "lang", "source", F.lit(1).alias("n"))
+    changed = rows.where("doc_id % 3 = 0").select("doc_id", F.upper("lang").alias("lang"), F.when(F.col("doc_id") % 2 != 0, F.col("source")).alias("source"), F.lit(2).alias("n"))
+    for batch, new in (("first", rows.where("doc_id % 5 <> 0")), ("second", changed), ("second", changed)):
+        held.apply(new, batch, lambda old, new: upsert.last_wins(old, new, ["doc_id"], "n"))
+    return held.read()
+
+
 # ---------------------------------------------------------------- approximate vector search
 
 
