@@ -22,17 +22,48 @@ def first_key_in(name: Column, registry: list[tuple[str, str]], compat: bool = T
     return out
 
 
+#: Characters of the stretches by which a large dictionary meets texts.
+GRAM = 4
+
+
 def dictionary_join(df: DataFrame, text: Column, dictionary: DataFrame, key: str, ordinal: str, most_rows: int = 10_000) -> DataFrame:
-    """df with the dictionary row of the smallest ordinal whose key the text contains.
+    """df with the dictionary row of the smallest ordinal (null counts as 0; ties by key) whose key the text contains.
 
-    A substring can't be hashed, so the dictionary goes to every task; it may have at most ``most_rows`` rows, which
-    is checked. For larger ones match by tokens first.
+    Up to ``most_rows`` rows of the dictionary go to every task. A larger one is met by equality: each key by the
+    stretch of up to GRAM characters of it that fewest keys have, each text by all of its stretches; what meets is
+    then verified, so both ways give the same rows. Each distinct text is matched once. A null text, and one that
+    contains no key, has nulls; an empty key is contained in every text; null keys match nothing.
     """
-    if dictionary.limit(most_rows + 1).count() > most_rows:
-        raise ValueError(f"a dictionary of more than {most_rows} keys can't be joined by substring")
-    tagged = df.withColumn("_id", F.monotonically_increasing_id()).withColumn("_text", text)
-    hits = tagged.join(F.broadcast(dictionary), F.contains("_text", F.col(key)), "left")
-    return hits.groupBy("_id").agg(F.min_by(F.struct(*[F.col(c) for c in [*df.columns, *dictionary.columns]]), F.coalesce(F.col(ordinal), F.lit(0))).alias("r")).select("r.*")
+    keys = dictionary.where(F.col(key).isNotNull())
+    row = F.struct(*[F.col(c) for c in dictionary.columns])
+    keys = keys.groupBy(F.col(key).alias("_key")).agg(F.min(F.struct(F.coalesce(F.col(ordinal), F.lit(0)).alias("o"), F.col(key).alias("k"))).alias("_order"), F.min_by(row, F.coalesce(F.col(ordinal), F.lit(0))).alias("_row"))
+    texts = df.select(text.alias("_text")).where("_text is not null").distinct()
+    if keys.limit(most_rows + 1).count() <= most_rows:
+        hits = texts.join(F.broadcast(keys), F.contains("_text", F.col("_key")))
+    else:
+        hits = _met_by_grams(texts, keys).where(F.contains("_text", F.col("_key")))
+    best = hits.groupBy("_text").agg(F.min_by("_row", "_order").alias("_row"))
+    return df.withColumn("_match", text).join(best, F.col("_match") == F.col("_text"), "left").select(*df.columns, "_row.*")
+
+
+def _grams(c: Column, size: Column) -> Column:
+    chars = F.filter(F.split(c, ""), lambda x: x != "")
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(chars) - size + 1), lambda i: F.array_join(F.slice(chars, i, size), "")))
+
+
+def _met_by_grams(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(_text, _key, _order, _row) of texts and keys that share the key's rarest stretch."""
+    size = F.least(F.length("_key"), F.lit(GRAM))
+    grams = keys.where("_key <> ''").select("_key", F.explode(_grams(F.col("_key"), size)).alias("gram"))
+    often = grams.groupBy("gram").agg(F.count("*").alias("n"))
+    anchors = grams.join(often, "gram").groupBy("_key").agg(F.min(F.struct("n", "gram")).alias("a")).select("_key", F.col("a.gram").alias("gram"))
+    anchored = keys.join(anchors, "_key")
+    sizes = F.array(*[F.lit(n) for n in range(1, GRAM + 1)])
+    stretches = texts.withColumn("size", F.explode(F.filter(sizes, lambda n: n <= F.length("_text")))).select("_text", F.explode(_grams(F.col("_text"), F.col("size"))).alias("gram"))
+    wanted = stretches.join(anchors.select("gram").distinct(), "gram", "left_semi")
+    met = wanted.join(anchored, "gram").select("_text", "_key", "_order", "_row")
+    empty = keys.where("_key = ''")  # a row at most
+    return met.unionByName(texts.join(F.broadcast(empty)).select("_text", "_key", "_order", "_row"))
 
 
 def prefix_overlap(left: DataFrame, right: DataFrame, column: str, n: int = 60) -> DataFrame:

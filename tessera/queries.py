@@ -626,6 +626,16 @@ def dict_first_match(spark, part, nation):
     return match.dictionary_join(part.select("p_partkey", "p_name", "p_brand"), F.col("p_brand"), keys, "digit", "n_nationkey").select("p_partkey", "p_name", "n_name")
 
 
+_FRAGMENTS = "SELECT substring(p_name, 1 + (p_partkey % 5)::INTEGER, 3 + (p_partkey % 6)::INTEGER) AS fragment, max(p_partkey) AS place FROM part GROUP BY 1"
+
+
+@query(f"SELECT p_partkey, min_by(fragment, place) AS fragment FROM part LEFT JOIN ({_FRAGMENTS}) ON contains(p_type || ' ' || p_name, fragment) GROUP BY 1")
+def dict_large_join(spark, part):
+    """The same by equality of stretches, as dictionaries take it that are too large for every task."""
+    keys = part.selectExpr("substring(p_name, cast(1 + p_partkey % 5 as int), cast(3 + p_partkey % 6 as int)) AS fragment", "p_partkey AS place").groupBy("fragment").agg(F.max("place").alias("place"))
+    return match.dictionary_join(part.select("p_partkey", "p_type", "p_name"), F.concat_ws(" ", "p_type", "p_name"), keys, "fragment", "place", most_rows=0).select("p_partkey", "fragment")
+
+
 @query("SELECT item_id, text, (SELECT count(*) FROM documents d WHERE starts_with(d.text, b.text[:12])) AS hits FROM benchmark b")
 def prefix_overlap(spark, benchmark, documents):
     return match.prefix_overlap(benchmark, documents, "text", 12)

@@ -280,3 +280,21 @@ def test_registered_queries_run(spark, name):
     from tessera import queries
 
     assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() >= 0
+
+
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_dictionaries_of_any_size(spark, most):
+    rnd = random.Random(6)
+    names = ["".join(rnd.choice("abcñ日 ") for _ in range(rnd.randrange(0, 14))) for _ in range(80)] + [None, "", "abc"]
+    keys = ["".join(rnd.choice("abcñ日 ") for _ in range(rnd.randrange(1, 7))) for _ in range(60)] + [None]
+    left = spark.createDataFrame([(i, n) for i, n in enumerate([*names, names[0]])], "i long, name string")
+    right = spark.createDataFrame([(k, n % 7 if n % 5 else None, n) for n, k in enumerate(keys)], "k string, o int, v int")
+    first = {}
+    for n, k in sorted(enumerate(keys), key=lambda x: (x[0] % 7 if x[0] % 5 else 0, x[1] or "")):
+        if k is not None:
+            first.setdefault(k, (n % 7 if n % 5 else 0, k))
+    got = {r["i"]: r["k"] for r in match.dictionary_join(left, F.col("name"), right, "k", "o", most_rows=most).collect()}
+    for i, name in enumerate([*names, names[0]]):
+        fits = [order for k, order in first.items() if name is not None and k in name]
+        assert got[i] == (min(fits)[1] if fits else None), name
+    assert len(got) == left.count()
