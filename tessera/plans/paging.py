@@ -19,9 +19,10 @@ def days(spark: SparkSession, first: str, last: str) -> DataFrame:
     return spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr("interval 1 day"))).alias("day"))
 
 
-def candidates(spark: SparkSession, first_year: int, last_year: int, most: int, patterns: list[str]) -> DataFrame:
-    """(url): every pattern filled with every year and number, each once; patterns use {year} and {n}."""
-    grid = spark.range(1).select(F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("year")).select("year", F.explode(F.sequence(F.lit(1), F.lit(most))).alias("n"))
+def candidates(limits: DataFrame, year: str, most: str, patterns: list[str]) -> DataFrame:
+    """(url): every pattern filled with every year of ``limits`` and the numbers from 1 to the year's ``most``, each address
+    once; patterns use {year} and {n}. Years without a number have none."""
+    grid = limits.where(F.col(most) > 0).select(F.col(year).alias("year"), F.explode(F.sequence(F.lit(1), F.col(most).cast("int"))).alias("n"))
     filled = [F.replace(F.replace(F.lit(p), F.lit("{year}"), F.col("year").cast("string")), F.lit("{n}"), F.col("n").cast("string")) for p in patterns]
     return grid.select(F.explode(F.array(*filled)).alias("url")).distinct()
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import text as tx
-from .functions.vectors import hash_embed
+from .functions.vectors import cosine, hash_embed
 from .operators import audit, catalog, chunk, citations, corpus, extract, fulltext, html_table, match, retrieval, upsert, vector_index
 from .plans import paging
 from .sources.readers import records_of, table
@@ -1124,7 +1124,14 @@ def like_counts_by_group(spark, documents):
     return match.like_counts(documents, "source", "text", ["%constituci%", "the%", "%nom %"])
 
 
-@query("SELECT vec_id, CASE WHEN label % 2 = 0 THEN 'old' WHEN label % 3 = 0 THEN 'new' END AS model, CASE WHEN label % 2 = 0 OR label % 3 = 0 THEN 2 END AS size FROM embeddings")
+def _signed(digits: str) -> str:
+    return f"((CASE WHEN {digits} >= 2147483648 THEN {digits} - 4294967296 ELSE {digits} END) / 2147483648.0::DOUBLE)"
+
+
+@query(
+    f"""WITH h AS (SELECT vec_id, label, ('0x' || substr(sha256('e3small' || vec_id), 1, 8))::BIGINT AS a, ('0x' || substr(sha256('e3small' || vec_id), 9, 8))::BIGINT AS b FROM embeddings)
+  SELECT vec_id, CASE WHEN label % 2 = 0 THEN 'old' WHEN label % 3 = 0 THEN 'new' END AS model, round(CASE WHEN label % 2 = 0 THEN 1.0 WHEN label % 3 = 0 THEN {_signed("a")} END, 9) AS first, round(CASE WHEN label % 2 = 0 THEN 2.0 WHEN label % 3 = 0 THEN {_signed("b")} END, 9) AS second FROM h"""
+)
 def embed_pending(spark, embeddings):
     """Chunks without a vector get one, of the types asked for; others stay as they are."""
     ready = F.col("label") % 2 == 0
@@ -1137,7 +1144,7 @@ def embed_pending(spark, embeddings):
         F.lit(None).cast("timestamp").alias("embedded_at"),
     )
     done = retrieval.embed_pending(chunks, lambda t: hash_embed(t, 2), "new", types=["cuerpo"])
-    return done.select("vec_id", F.col("embedding_model").alias("model"), F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("size"))
+    return done.select("vec_id", F.col("embedding_model").alias("model"), F.round(F.col("embedding")[0], 9).alias("first"), F.round(F.col("embedding")[1], 9).alias("second"))
 
 
 # ---------------------------------------------------------------- further audits
@@ -1229,10 +1236,87 @@ def status_lists(spark, documents):
     return extract.status_lines(rows, "doc_id", "line", "n")
 
 
-@query("SELECT DISTINCT 'https://h/' || y || '/' || n || '.pdf' AS url FROM (SELECT unnest(range(2018, 2022)) AS y), (SELECT unnest(range(1, 41)) AS n) UNION SELECT DISTINCT 'https://h/rec' || n FROM (SELECT unnest(range(1, 41)) AS n)")
-def candidate_urls(spark, region):
-    """Every pattern filled with every year and number, each address once."""
-    return paging.candidates(spark, 2018, 2021, 40, ["https://h/{year}/{n}.pdf", "https://h/rec{n}"])
+@query(
+    """WITH l AS (SELECT year(o_orderdate) AS y, count(*) // 50 AS most FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1), g AS (SELECT y, unnest(range(1, most + 1)) AS n FROM l)
+  SELECT 'https://h/' || y || '/' || n || '.pdf' AS url FROM g UNION SELECT 'https://h/rec' || n FROM g"""
+)
+def candidate_urls(spark, orders):
+    """Every pattern filled with the years of a table and as many numbers as it gives them, each address once."""
+    limits = orders.where("o_orderstatus <> 'P'").groupBy(F.year("o_orderdate").alias("year")).agg(F.expr("count(*) div 50").alias("most"))
+    return paging.candidates(limits, "year", "most", ["https://h/{year}/{n}.pdf", "https://h/rec{n}"])
+
+
+# ---------------------------------------------------------------- probes, caps and previews
+
+
+@query(
+    """WITH h AS (SELECT event_id, event_type = 'purchase' AS hit, sum((event_type = 'purchase')::INT) OVER (ORDER BY event_id) AS island FROM events),
+  m AS (SELECT event_id, sum((NOT hit)::INT) OVER (PARTITION BY island ORDER BY event_id) AS misses FROM h)
+  SELECT 8 AS most, 50 AS after, min(event_id) AS stop_at FROM m WHERE misses >= 8 AND event_id > 50 UNION ALL SELECT 30, 200, min(event_id) FROM m WHERE misses >= 30 AND event_id > 200"""
+)
+def probe_stops(spark, events):
+    """Where two probes over the events' ids would give up."""
+    probe = events.select("event_id", (F.col("event_type") == "purchase").alias("hit"))
+    stops = [incremental.stop_place(probe, "event_id", "hit", most, after).select(F.lit(most).alias("most"), F.lit(after).alias("after"), "stop_at") for most, after in ((8, 50), (30, 200))]
+    return stops[0].unionByName(stops[1])
+
+
+@query(
+    """WITH p AS (SELECT o_orderpriority AS slice, unnest(range(1, CAST(ceil(least(n, 9999) / 50.0) AS BIGINT) + 1)) AS page FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1))
+  SELECT slice, CAST(page AS INTEGER) AS page FROM p WHERE page % 4 = 0 OR page % 3 = 0 OR page % 5 = 0"""
+)
+def pages_to_repeat(spark, orders):
+    """Planned pages that the ledger hasn't, has as empty or has at another size."""
+    plan = paging.page_plan(orders.groupBy(F.col("o_orderpriority").alias("slice")).agg(F.count("*").alias("n")), "n")
+    ledger = plan.where("page % 4 <> 0").select("slice", "page", F.when(F.col("page") % 3 == 0, 0).otherwise(50).alias("count"), F.when(F.col("page") % 5 == 0, 20).otherwise(50).alias("size"))
+    return incremental.incomplete_pages(plan, ledger, ["slice", "page"]).select("slice", "page")
+
+
+@query(
+    """SELECT doc_id, substring(text, 1, 300) AS text, substring(source, 1, 3) AS source, substring(coalesce(nullif(t, ''), source), 1, 80) AS title, replace(substring(text, 1, 120), chr(10), ' ') AS head, coalesce(nullif(t, ''), nullif(lang, '')) AS filled
+  FROM (SELECT *, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN text END AS t FROM documents)"""
+)
+def caps_and_previews(spark, documents):
+    """Texts capped as sinks ask for, previews of results, and the first value that is neither null nor empty."""
+    t = F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, F.col("text"))
+    title, head = retrieval.preview(t, F.col("source"), F.col("text"))
+    rows = documents.select("doc_id", tx.truncated("text", 300).alias("text"), "source", title.alias("title"), head.alias("head"), tx.or_else(t, "lang").alias("filled"))
+    return upsert.capped(rows, {"source": 3})
+
+
+@query("SELECT source, array_to_string(list_sort(list(DISTINCT lang)), ', ') AS langs, sum(length(lang))::BIGINT AS chars FROM (SELECT DISTINCT source, lang FROM documents) GROUP BY 1")
+def joined_names(spark, documents):
+    names = documents.groupBy("source").agg(F.array_sort(F.collect_set(F.struct(F.col("lang").alias("nombre")))).alias("langs"))
+    return names.select("source", tx.join_names("langs", "nombre").alias("langs"), tx.total_length("langs", "nombre").cast("long").alias("chars"))
+
+
+@query(
+    """SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"""
+)
+def cosine_of_neighbours(spark, embeddings):
+    after = embeddings.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
+    return embeddings.join(after, "vec_id").select("vec_id", F.round(cosine(F.col("embedding"), F.col("other")), 6).alias("score"))
+
+
+# shapes of a treaty page: between countries, a two-word country after it, an entry so short that the next belongs to it, a page without the country, an unclosed last entry
+_TREATY_PAGES = (
+    "<h2>Reservas</h2><b>Francia</b><p>{f}</p><b> México </b><p>{m} {id}</p><b>Noruega</b><p>no</p>",
+    "<strong>México</strong><p>{m}</p><h3>Costa Rica</h3><p>{f}</p>",
+    "<b>México</b><p>corta</p><b>Noruega</b><p>{f}</p>",
+    "<b>Francia</b><p>{f}</p>",
+    "<p>Sobre México en general</p><b>México</b> {m} &amp; {id} <i>fin</i>",
+)
+_LONG = {"m": "m" * 60 + " " + "n" * 60, "f": "f" * 120}
+
+
+@query(
+    f"""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'México {_LONG["m"]} ' || doc_id WHEN 1 THEN 'México {_LONG["m"]}' WHEN 2 THEN 'México corta Noruega {_LONG["f"]}' WHEN 4 THEN 'México {_LONG["m"]} & ' || doc_id || ' fin' END AS entry FROM documents"""
+)
+def country_entries(spark, documents):
+    """A country's entry on treaty pages of five shapes."""
+    pages = F.array(*[F.lit(p.replace("{m}", _LONG["m"]).replace("{f}", _LONG["f"])) for p in _TREATY_PAGES])
+    page = F.replace(F.element_at(pages, (F.col("doc_id") % len(_TREATY_PAGES) + 1).cast("int")), F.lit("{id}"), F.col("doc_id").cast("string"))
+    return documents.select("doc_id", F.nullif(extract.country_entry(page, "México"), F.lit("")).alias("entry"))
 
 
 _HREFS = ("https://o.net/{id}", "//o.net/{id}", "/{id}.pdf", "../{id}.pdf", "../../{id}", "./{id}", "{id}?x=1")

@@ -191,7 +191,7 @@ def test_page_plan_and_days(spark):
     plan = paging.page_plan(spark.createDataFrame([("a", 17498), ("b", 0), ("c", 51)], "slice string, total long"), "total")
     assert rows(plan.groupBy("slice").agg(F.max("page")), "*") == [("a", 200), ("c", 2)]
     assert paging.days(spark, "2024-02-28", "2024-03-01").count() == 3
-    assert paging.candidates(spark, 2020, 2021, 2, ["{year}/{n}", "{year}/{n}", "x{n}"]).count() == 6
+    assert paging.candidates(spark.createDataFrame([(2020, 2), (2021, 2), (2022, None), (2023, 0)], "y int, m int"), "y", "m", ["{year}/{n}", "{year}/{n}", "x{n}"]).count() == 6
 
 
 def test_runs_and_stops(spark):
