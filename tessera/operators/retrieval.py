@@ -44,47 +44,94 @@ def query_terms(query: str) -> list[str]:
 
 
 class LexicalIndex:
-    """Stored postings of a table's texts, refreshed as rows are added.
+    """Stored postings of a table's texts, kept up as rows are added, changed and removed.
 
-    Postings lie under ``path`` by batch and bucket of their term, so a search reads the buckets of its terms alone. A
-    table of sizes (id, dl) is written last; what it doesn't name doesn't count, so a batch that failed midway is
-    invisible and its rows come again.
+    Postings lie by batch and bucket of their term, so a search reads the buckets of its terms alone. A table of sizes
+    (id, dl, batch, turn, mark) is written last; what it doesn't name doesn't count, so a batch that failed midway is
+    invisible and its rows come again. Of the rows of an id the one of the last turn holds: an earlier batch's
+    postings of it are passed over, and a null dl says that it was removed. ``merge`` writes what holds as one
+    batch of a new generation, which readers take once it is whole. One writer at a time is meant.
     """
 
     BUCKETS = 64
+    _SIZES = "id long, dl long, batch string, turn long, mark long"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def sizes(self) -> DataFrame | None:
+    def _generation(self) -> str:
+        """The folder of the newest generation that is whole."""
+        base = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = base.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(base)] if fs.exists(base) else []
+        whole = [int(n.split("=")[1]) for n in names if n.startswith("whole=")]
+        return f"{self.path}/generation={max(whole)}" if whole else f"{self.path}/generation=0"
+
+    def _entries(self) -> DataFrame:
+        """All rows of the newest generation's sizes."""
         try:
-            return self.spark.read.schema("id long, dl long, batch string").parquet(f"{self.path}/sizes")
+            return self.spark.read.schema(self._SIZES).parquet(f"{self._generation()}/sizes")
         except AnalysisException:  # nothing written yet
-            return None
+            return self.spark.createDataFrame([], self._SIZES)
+
+    def sizes(self) -> DataFrame:
+        """(id, dl, batch, mark) of the rows that hold."""
+        last = self._entries().groupBy("id").agg(F.max_by(F.struct("dl", "batch", "mark"), "turn").alias("e"))
+        return last.select("id", "e.*").where("dl is not null")
 
     def refresh(self, df: DataFrame, id_col: str, columns: list[str]) -> None:
-        """Adds the rows of df whose id the index doesn't have."""
-        known, batch = self.sizes(), uuid.uuid4().hex
-        new = df.select(F.col(id_col).cast("long").alias("id"), *columns).where("id is not null")
-        if known is not None:
-            new = new.join(known.select("id"), "id", "left_anti")
-        counted = postings(new, "id", *columns).withColumn("bucket", self._bucket(F.col("term")))
-        counted.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{self.path}/postings/batch={batch}")
-        sizes = new.select("id", F.size(terms(*columns)).cast("long").alias("dl"), F.lit(batch).alias("batch"))
-        sizes.write.mode("append").parquet(f"{self.path}/sizes")
+        """Indexes the rows of df whose id isn't there, or whose columns have changed since. Null ids are left out; of rows
+        that repeat an id one, the same at every run, counts."""
+        rows = df.select(F.col(id_col).cast("long").alias("id"), *columns).where("id is not null").withColumn("_mark", F.xxhash64(*columns))
+        one = rows.groupBy("id").agg(F.min(F.struct("_mark", *columns)).alias("r")).select("id", "r.*")
+        self._add(one.join(self.sizes().select("id", F.col("mark").alias("_mark")), ["id", "_mark"], "left_anti"), columns)
+
+    def _add(self, new: DataFrame, columns: list[str]) -> None:
+        batch, turn, folder = uuid.uuid4().hex, self._next_turn(), self._generation()
+        self._write_postings(postings(new, "id", *columns), folder, batch)
+        sizes = new.select("id", F.size(terms(*columns)).cast("long").alias("dl"), F.lit(batch).alias("batch"), F.lit(turn).cast("long").alias("turn"), F.col("_mark").alias("mark"))
+        sizes.write.mode("append").parquet(f"{folder}/sizes")
+
+    def remove(self, ids: DataFrame, id_col: str) -> None:
+        """Takes the rows of these ids out of the index; ids that aren't there change nothing."""
+        gone = ids.select(F.col(id_col).cast("long").alias("id")).distinct().join(self.sizes().select("id"), "id", "left_semi")
+        none = F.lit(None).cast("long")
+        gone = gone.select("id", none.alias("dl"), F.lit(None).cast("string").alias("batch"), F.lit(self._next_turn()).cast("long").alias("turn"), none.alias("mark"))
+        gone.write.mode("append").parquet(f"{self._generation()}/sizes")
+
+    def _next_turn(self) -> int:
+        return (self._entries().agg(F.max("turn")).first()[0] or 0) + 1
+
+    def _write_postings(self, found: DataFrame, folder: str, batch: str) -> None:
+        # a bucket goes to few tasks, each of which writes one file
+        counted = found.withColumns({"bucket": self._bucket(F.col("term")), "dl": F.col("dl").cast("int")}).repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(4)))
+        counted.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{folder}/postings/batch={batch}")
+
+    def merge(self) -> None:
+        """Writes what holds as one batch of a new generation; older generations stay until they are deleted by hand."""
+        held = self.sizes()
+        before = self._generation()
+        number, batch = int(before.split("=")[-1]) + 1, uuid.uuid4().hex
+        folder = f"{self.path}/generation={number}"
+        self._write_postings(self.postings(), folder, batch)
+        held.select("id", "dl", F.lit(batch).alias("batch"), F.lit(1).cast("long").alias("turn"), "mark").write.mode("overwrite").parquet(f"{folder}/sizes")
+        mark = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/whole={number}")
+        mark.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(mark, False).close()
 
     def postings(self, wanted: list[str] | None = None) -> DataFrame:
-        """(id, term, tf, dl), of the wanted terms if any; only their buckets are read."""
-        sizes = self.sizes()
-        if sizes is None:
+        """(id, term, tf, dl) of the rows that hold, of the wanted terms if any; only their buckets are read."""
+        entries = self._entries()
+        batches = [r[0] for r in entries.where("batch is not null").select("batch").distinct().collect()]  # one a refresh; merge makes them one
+        if not batches:
             return self.spark.createDataFrame([], "id long, term string, tf long, dl long")
-        batches = [r[0] for r in sizes.select("batch").distinct().collect()]  # one a refresh
-        paths = [f"{self.path}/postings/batch={b}" for b in batches]
-        found = self.spark.read.option("basePath", f"{self.path}/postings").schema("id long, term string, tf long, dl int, batch string, bucket int").parquet(*paths)
+        folder = f"{self._generation()}/postings"
+        found = self.spark.read.option("basePath", folder).schema("id long, term string, tf long, dl int, batch string, bucket int").parquet(*[f"{folder}/batch={b}" for b in batches])
         if wanted is not None:
-            buckets = [r[0] for r in self.spark.createDataFrame([(t,) for t in wanted], "t string").select(self._bucket(F.col("t"))).distinct().collect()]
+            buckets = [r[0] for r in self.spark.createDataFrame([(t,) for t in wanted], "t string").select(self._bucket(F.col("t"))).distinct().collect()] if wanted else []
             found = found.where(F.col("bucket").isin(buckets) & F.col("term").isin(wanted))
-        return found.select("id", "term", "tf", F.col("dl").cast("long").alias("dl"))
+        # what changed or went since its batch
+        stale = entries.select("id", "batch").where("batch is not null").join(self.sizes().select("id", "batch"), ["id", "batch"], "left_anti")
+        return found.join(stale, ["id", "batch"], "left_anti").select("id", "term", "tf", F.col("dl").cast("long").alias("dl"))
 
     def _bucket(self, term: Column) -> Column:
         return F.pmod(F.xxhash64(term), F.lit(self.BUCKETS)).cast("int")
@@ -93,9 +140,7 @@ class LexicalIndex:
         """(query_id, id, score, rank) of texts by query id."""
         asked = [(q, t) for q, text in queries.items() for t in query_terms(text)]
         wanted = self.spark.createDataFrame(asked, "query_id string, term string")
-        sizes = self.sizes()
-        sizes = self.spark.createDataFrame([], "id long, dl long") if sizes is None else sizes
-        return bm25_of_postings(self.postings(sorted({t for _, t in asked})), sizes.select("id", "dl"), wanted, k)
+        return bm25_of_postings(self.postings(sorted({t for _, t in asked})), self.sizes().select("id", "dl"), wanted, k)
 
 
 def bm25(df: DataFrame, id_col: str, columns: list[str], query: str, k: int = 300, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -138,7 +138,7 @@ def test_stored_index(spark, tmp_path):
     index.refresh(df.where("id < 15"), "id", ["t"])
     index.refresh(df, "id", ["t"])
     index.refresh(df, "id", ["t"])
-    retrieval.postings(df.limit(5), "id", "t").withColumn("bucket", F.lit(1)).write.partitionBy("bucket").parquet(str(tmp_path / "index/postings/batch=lost"))
+    retrieval.postings(df.limit(5), "id", "t").withColumn("bucket", F.lit(1)).write.partitionBy("bucket").parquet(str(tmp_path / "index/generation=0/postings/batch=lost"))
     got = {(r["query_id"], r["id"]): r["score"] for r in index.search({"a": "agua ley", "b": "n7", "c": "nada"}).collect()}
     plain = {("a", r["id"]): r["score"] for r in retrieval.bm25(df.where("id is not null"), "id", ["t"], "agua ley").collect()}
     assert {k: v for k, v in got.items() if k[0] == "a"} == plain and {k for k in got if k[0] != "a"} == {("b", 7)}
@@ -146,6 +146,37 @@ def test_stored_index(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_index_of_changed_and_removed_rows(spark, tmp_path):
+    """After changes, removals and merges searches find what a new index of the same rows finds."""
+    rnd = random.Random(9)
+    texts = {i: " ".join(rnd.choice(["agua", "ley", "pan", "sol", f"n{i}"]) for _ in range(12)) for i in range(40)}
+
+    def frame(rows):
+        return spark.createDataFrame(list(rows), "id long, t string")
+
+    def found(index):
+        return {(r["query_id"], r["id"]): r["score"] for r in index.search({"a": "agua ley", "b": "n7", "c": "nuevo"}).collect()}
+
+    index = retrieval.LexicalIndex(spark, str(tmp_path / "index"))
+    index.merge()  # of nothing
+    index.refresh(frame(texts.items()), "id", ["t"])
+    for i in (3, 7, 8):
+        texts[i] = "nuevo agua ley"
+    texts[50] = "nuevo"
+    index.refresh(frame(texts.items()), "id", ["t"])
+    for i in (3, 20, 21):
+        del texts[i]
+    index.remove(frame([(3, ""), (20, ""), (21, ""), (999, "")]), "id")
+    fresh = retrieval.LexicalIndex(spark, str(tmp_path / "fresh"))
+    fresh.refresh(frame(texts.items()), "id", ["t"])
+    want = found(fresh)
+    assert found(index) == want and ("c", 7) in want and ("b", 7) not in want
+    index.merge()
+    assert found(index) == want and index._entries().select("batch").distinct().count() == 1
+    index.refresh(frame([(20, "nuevo otra vez")]), "id", ["t"])  # removed before, and back
+    assert ("c", 20) in found(index)
+
+
 def test_vectors_of_other_lengths_and_values(spark, monkeypatch):
     """Only vectors of a query's length count; blocks of any size give the same."""
     rnd = random.Random(6)
