@@ -114,18 +114,22 @@ def url_extension(c: Column | str) -> Column:
     return F.lower(F.regexp_extract(_col(c), r"\.([A-Za-z0-9]+)(?:[?#].*)?$", 1))
 
 
-def absolutize(link: Column | str, base: str) -> Column:
-    """A link as an absolute URL, seen from the page ``base``; ``../`` goes up one folder each."""
-    link = strip(link)
-    scheme, _, rest = base.partition("://")
-    host, _, path = rest.partition("/")
-    folders = [p for p in path.split("/")[:-1] if p]
-    out = F.when(link.rlike("(?i)^https?://"), link).when(link.startswith("//"), F.concat(F.lit(scheme + ":"), link)).when(link.startswith("/"), F.concat(F.lit(f"{scheme}://{host}"), link))
-    for up in range(len(folders), 0, -1):
-        root = "/".join([f"{scheme}://{host}", *folders[: len(folders) - up]])
-        out = out.when(link.startswith("../" * up), F.concat(F.lit(root + "/"), F.regexp_replace(link, r"^(\.\./)+", "")))
-    here = "/".join([f"{scheme}://{host}", *folders])
-    return out.otherwise(F.concat(F.lit(here + "/"), F.regexp_replace(link, r"^\./", "")))
+def absolutize(link: Column | str, base: str | Column) -> Column:
+    """A link as an absolute URL, seen from the page ``base`` (one URL for all rows, or a column of them); ``../`` goes up
+    one folder each, not above the host. Null where the link or the base is."""
+    link, base = strip(link), F.lit(base) if isinstance(base, str) else base
+    scheme, host = (F.regexp_extract(base, r"^([^:/?#]+)://([^/?#]*)", g) for g in (1, 2))
+    root = F.concat(scheme, F.lit("://"), host)
+    folders = F.filter(F.split(F.regexp_extract(base, r"^[^:/?#]+://[^/?#]*/([^?#]*/)?", 1), "/"), lambda x: x != "")
+    up = F.floor(F.length(F.regexp_extract(link, r"^((?:\.\./)*)", 1)) / 3).cast("int")
+    kept = F.slice(folders, F.lit(1), F.greatest(F.size(folders) - up, F.lit(0)))
+    below = F.regexp_replace(link, r"^(?:(?:\.\./)+|\./)", "")
+    return (
+        F.when(link.rlike("(?i)^https?://"), link)
+        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
+        .when(link.startswith("/"), F.concat(root, link))
+        .otherwise(F.array_join(F.concat(F.array(root), kept, F.array(below)), "/"))
+    )
 
 
 def name_from_url(c: Column | str) -> Column:

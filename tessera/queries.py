@@ -1246,6 +1246,19 @@ def candidate_urls(spark, orders):
     return paging.candidates(limits, "year", "most", ["https://h/{year}/{n}.pdf", "https://h/rec{n}"])
 
 
+@query(
+    """WITH l AS (SELECT page_id, url, ['x.pdf', '../up', '/top', '//other.net/p', 'https://abs.net/q', './here', '../../../far'][page_id % 7 + 1] AS link, regexp_extract(url, '^[a-z]+://[^/?#]*') AS root,
+    list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/?#]*/([^?#]*/)?', 1), '/'), lambda x: x <> '') AS f FROM pages)
+  SELECT page_id, link, CASE page_id % 7 WHEN 0 THEN array_to_string(list_concat([root], f, ['x.pdf']), '/') WHEN 1 THEN array_to_string(list_concat([root], f[:greatest(len(f) - 1, 0)], ['up']), '/') WHEN 2 THEN root || '/top'
+    WHEN 3 THEN regexp_extract(url, '^[a-z]+:') || link WHEN 4 THEN link WHEN 5 THEN array_to_string(list_concat([root], f, ['here']), '/') ELSE array_to_string(list_concat([root], f[:greatest(len(f) - 3, 0)], ['far']), '/') END AS target FROM l"""
+)
+def links_of_pages(spark, pages):
+    """Links seen from the page that each is on."""
+    links = F.array(*[F.lit(x) for x in ("x.pdf", "../up", "/top", "//other.net/p", "https://abs.net/q", "./here", "../../../far")])
+    link = F.element_at(links, (F.col("page_id") % 7 + 1).cast("int"))
+    return pages.select("page_id", link.alias("link"), tx.absolutize(link, F.col("url")).alias("target"))
+
+
 # ---------------------------------------------------------------- probes, caps and previews
 
 
