@@ -32,7 +32,7 @@ def marked_sections(c: Column, marker: str = ARTICLE_START, more_than: int = 30,
     parts = F.zip_with(numbers, bodies, lambda n, b: F.struct(strip(n).alias("n"), strip(b).alias("b")))
     kept = F.filter(parts, lambda p: F.length(p["b"]) > more_than)
     articles = F.transform(kept, lambda p: F.struct(F.lit("articulo").alias("type"), F.concat(F.lit("Artículo "), p["n"], F.lit(". "), F.substring(p["b"], 1, cut)).alias("text")))
-    body = F.array(F.struct(F.lit("cuerpo").alias("type"), F.substring(c, 1, whole).alias("text")))
+    body = F.array(F.struct(F.lit("cuerpo").alias("type"), strip(F.substring(c, 1, whole)).alias("text")))
     return F.when(F.size(numbers) > 0, articles).otherwise(body)
 
 
@@ -45,9 +45,10 @@ def pieces(kind: str, texts: Column) -> Column:
     return F.transform(F.coalesce(texts, F.array().cast("array<string>")), lambda t: F.struct(F.lit(kind).alias("type"), t.alias("text")))
 
 
-def explode_chunks(df: DataFrame, id_col: str, chunks_col: str, keep_gaps: bool = True) -> DataFrame:
-    """One row per chunk. Blank chunks go; with ``keep_gaps`` they still count in chunk_index."""
-    stripped = F.transform(chunks_col, lambda x: F.struct(F.coalesce(x["type"], F.lit("parrafo")).alias("type"), strip(x["text"]).alias("text")))
+def explode_chunks(df: DataFrame, id_col: str, chunks_col: str, keep_gaps: bool = True, trim: bool = True) -> DataFrame:
+    """One row per chunk. Blank chunks go; with ``keep_gaps`` they still count in chunk_index. Without ``trim`` texts stay
+    as they were cut, white space at a cut included."""
+    stripped = F.transform(chunks_col, lambda x: F.struct(F.coalesce(x["type"], F.lit("parrafo")).alias("type"), (strip(x["text"]) if trim else x["text"]).alias("text")))
     solid = stripped if keep_gaps else F.filter(stripped, lambda x: F.length(x["text"]) > 0)
     rows = df.select(F.col(id_col).alias(id_col), F.posexplode(solid).alias("chunk_index", "c")).where(F.length("c.text") > 0)
     return rows.select(id_col, "chunk_index", F.col("c.type").alias("chunk_type"), F.col("c.text").alias("text"), F.length("c.text").alias("char_count"))

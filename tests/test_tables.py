@@ -41,6 +41,14 @@ def test_chunk_gaps(spark):
     assert [r["chunk_index"] for r in chunk.explode_chunks(df, "id", "c", keep_gaps=False).collect()] == [0, 1]
 
 
+def test_cuts_at_white_space(spark):
+    """A body cut in the middle of white space keeps it, as its SQL does; a text without markers is stripped."""
+    df = spark.createDataFrame([(1, "pre\nUno " + "ab " * 2000), (2, " sin marca ")], "doc_id long, text string")
+    parts = df.select("doc_id", chunk.marked_sections(F.col("text"), r"\n(\p{Lu}\p{Ll}*) ", cut=3).alias("c"))
+    assert rows(chunk.explode_chunks(parts, "doc_id", "c", trim=False), "doc_id", "text", "char_count") == [(1, "Artículo Uno. ab ", 17), (2, "sin marca", 9)]
+    assert rows(chunk.explode_chunks(parts, "doc_id", "c"), "doc_id", "text") == [(1, "Artículo Uno. ab"), (2, "sin marca")]
+
+
 def test_every_source_builds(spark):
     """All specifications resolve against tables that have their columns."""
     columns = {
