@@ -93,18 +93,20 @@ def inside(html: Column, element: Column) -> Column:
     return F.substring(html, element["begin"] + 1, element["end"] - element["begin"])
 
 
-def main_contents(df: DataFrame, html_col: str, into: str = "text", selectors: tuple[str, ...] = catalog.GAZETTE_SELECTORS, least: int = 200, chrome: str = catalog.GAZETTE_CHROME, beginning: str = catalog.GAZETTE_BEGINNING, most: int = 300_000) -> DataFrame:
+def main_contents(df: DataFrame, html_col: str, into: str = "text", selectors: tuple[str, ...] = catalog.GAZETTE_SELECTORS, least: int = 200, chrome: str = catalog.GAZETTE_CHROME, beginning: str = catalog.GAZETTE_BEGINNING, most: int = 300_000, closed: bool = False) -> DataFrame:
     """df with each page's main text: of the first selector's first element that has more than ``least`` characters and no
-    page chrome at its head, or else of the body from the first word that real contents begin with.
+    page chrome at its head, or else of the body from the first word that real contents begin with. With ``closed`` only elements that have a closing tag count, and a page without such a body has an empty text.
 
     Each page is gone over once; the choices are cut out of it and stripped of their tags once each.
     """
     pages = with_elements(df.withColumn("_clean", drop_blocks(F.col(html_col), *catalog.GAZETTE_DROPPED)), "_clean", "_elements")
     clean = F.col("_clean")
-    firsts = F.array_compact(F.array(*[F.try_element_at(selected(F.col("_elements"), s), F.lit(1)) for s in selectors]))
+    elements = F.filter("_elements", lambda e: e["closed"]) if closed else F.col("_elements")
+    firsts = F.array_compact(F.array(*[F.try_element_at(selected(elements, s), F.lit(1)) for s in selectors]))
     texts = F.transform(firsts, lambda e: text_only(inside(clean, e), entities=True))
     fit = F.try_element_at(F.filter(texts, lambda t: (F.length(t) > least) & ~F.substring(t, 1, 200).rlike(rx(chrome))), F.lit(1))
-    body = F.try_element_at(selected(F.col("_elements"), "body"), F.lit(1))
-    chosen = pages.withColumn("_fit", fit).withColumn("_body", F.when(fit.isNull(), text_only(F.coalesce(inside(clean, body), clean), entities=True)))
+    body = F.try_element_at(selected(elements, "body"), F.lit(1))
+    without = F.when(clean.isNotNull(), F.lit("")) if closed else clean
+    chosen = pages.withColumn("_fit", fit).withColumn("_body", F.when(fit.isNull(), text_only(F.coalesce(inside(clean, body), without), entities=True)))
     found = F.nullif(F.regexp_extract("_body", rf"(?sU)({beginning}.*)\z", 1), F.lit(""))
     return chosen.withColumn(into, F.substring(F.coalesce("_fit", found, "_body"), 1, most)).drop("_clean", "_elements", "_fit", "_body")

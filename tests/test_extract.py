@@ -132,6 +132,16 @@ def test_element_table(spark):
     assert sorted(str(r["text"]) for r in html_table.main_contents(df, "html").where("id is null or id > 1").collect()) == ["", "<" * 100_000, "None", "sin nada", "z"]
 
 
+def test_main_contents_of_closed_elements(spark):
+    """A page that breaks off has no closed body, so nothing of it counts where closed elements are asked for."""
+    article = "<article>" + "a" * 300
+    pages = [(1, f"<body>x{article}</article></body>"), (2, f"<body>x{article}</body>"), (3, f"<body>x{article}</article>"), (4, "<body>corta"), (5, None), (6, "nada")]
+    df = spark.createDataFrame(pages, "id long, html string")
+    texts = {c: [r["text"] for r in html_table.main_contents(df, "html", closed=c).orderBy("id").collect()] for c in (True, False)}
+    assert texts[True] == ["a" * 300, "x " + "a" * 300, "a" * 300, "", None, ""]
+    assert texts[False] == ["a" * 300] * 3 + ["corta", None, "nada"]
+
+
 def test_country_entry(frame):
     html = "<h2>Reservas</h2><b>Francia</b><p>" + "f" * 120 + "</p><b> México </b><p>" + "m" * 120 + "</p><b>Noruega</b><p>no</p>"
     assert frame(html).select(extract.country_entry(F.col("t"), "México")).first()[0] == "México " + "m" * 120
