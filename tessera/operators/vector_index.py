@@ -85,6 +85,8 @@ class VectorIndex:
     CELL, GROUP, STRETCHES, SAMPLE, SAMPLE_BYTES = 1000, 16, 16, 65_536, 1 << 26
     #: Codes kept a query for each row asked, before the exact ranking.
     KEEP = 8
+    #: Rows of a group, and queries, that meet in one task.
+    SLICE, TURN = 16_384, 1024
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -171,22 +173,73 @@ class VectorIndex:
 
         asked = self._usable(queries, id_col, vector_col).where(F.size("v") == dim).groupBy("id").agg(F.min("v").alias("v"))
         asks = asked.mapInArrow(routed, "id long, v array<double>, part int, cells array<int>")
-        # a group's codes are cut to slices, each of which all its queries go through
-        sizes = lists.groupBy("part").agg(F.ceil(F.count("*") / 65_536).alias("slices"))
-        one = asks.join(sizes, "part").select("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), "id", "v", "cells", F.lit(None).cast("binary").alias("code"))
-        codes = lists.select("part", "id", "cell", "code").join(sizes, "part")
-        two = codes.select("part", F.pmod(F.xxhash64("id"), F.col("slices")).alias("slice"), "id", F.lit(None).cast("array<double>").alias("v"), F.array("cell").alias("cells"), "code")
-        brought = one.unionByName(two).groupBy("part", "slice").applyInArrow(_candidates(q, dim, keep), "query_id long, id long, part int, near double")
+        # a group's rows are cut to slices, and queries to turns: a task holds a slice and a turn
+        sizes = lists.groupBy("part").agg(F.ceil(F.count("*") / self.SLICE).alias("slices"))
+        turns = asked.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / self.TURN)).alias("turns"))  # one row
+        # where every row is kept there is nothing for codes to choose, and slices rank their vectors exactly
+        exact = many == len(q.cells) and keep >= self.ids().count()
+        held = F.col("v") if exact else F.lit(None).cast("array<double>")
+        one = asks.join(sizes, "part").join(F.broadcast(turns)).withColumn("turn", F.pmod(F.xxhash64("id"), F.col("turns")))
+        one = one.select("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), "turn", "id", "v", "cells", F.lit(None).cast("binary").alias("code"))
+        codes = lists.select("part", "id", held.alias("v"), "cell", "code").join(sizes, "part").join(F.broadcast(turns))
+        two = codes.select("part", F.pmod(F.xxhash64("id"), F.col("slices")).alias("slice"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)).alias("turn"), "id", "v", F.array("cell").alias("cells"), "code")
+        tasks = one.unionByName(two).groupBy("part", "slice", "turn")
+        by = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+        if exact:
+            scored = tasks.applyInArrow(_nearest(dim, k), "query_id long, id long, score double")
+            return scored.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "id", "score", "rank")
+        brought = tasks.applyInArrow(_candidates(q, dim, keep), "query_id long, id long, part int, near double")
         brought = brought.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("near"), "id"))).where(F.col("n") <= keep)
         asked = asked.select(F.col("id").alias("query_id"), F.col("v").alias("q"))
-        exact = brought.select("query_id", "id", "part").join(lists.select("id", "part", "v"), ["part", "id"]).join(asked, "query_id")
+        met = brought.select("query_id", "id", "part").join(lists.select("id", "part", "v"), ["part", "id"]).join(asked, "query_id")
         dot = "aggregate(zip_with(q, v, (x, y) -> x * y), 0d, (s, x) -> s + x)"
         length = "(sqrt(aggregate({0}, 0d, (s, x) -> s + x * x)))"
-        scored = exact.select("query_id", "id", F.expr(f"{dot} / ({length.format('q')} * {length.format('v')} + 1e-12)").alias("score"))
-        by = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+        scored = met.select("query_id", "id", F.expr(f"{dot} / ({length.format('q')} * {length.format('v')} + 1e-12)").alias("score"))
         return scored.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "id", "score", "rank")
 
 
+def _rows_of(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def _sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of rows, added up one component after another, so equal rows have equal sums wherever they stand."""
+    out = np.zeros(len(a))
+    for j in range(a.shape[1]):
+        out += a[:, j] * b[:, j]
+    return out
+
+
+def _nearest(dim: int, k: int):
+    def run(table: pa.Table) -> pa.Table:
+        """A slice's vectors and a turn of queries to the ``k`` rows that are nearest to each query there, by exact cosine."""
+        is_row = table.column("code").is_valid().to_numpy()
+        base, asks = (table.take(pa.array(np.flatnonzero(m))) for m in (is_row, ~is_row))
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if base.num_rows and asks.num_rows:
+            x, y = _rows_of(base.column("v"), dim), _rows_of(asks.column("v"), dim)
+            ids, q_ids = base.column("id").to_numpy(), asks.column("id").to_numpy()
+            size, q_size = np.sqrt(_sums(x, x)), np.sqrt(_sums(y, y))
+            units = x / (size[:, None] + 1e-300)
+            for at in range(0, len(y), 64):
+                near = (y[at : at + 64] / q_size[at : at + 64, None]) @ units.T
+                near[q_ids[at : at + 64, None] == ids] = -np.inf
+                # products of matrices round by place: what may be among the k is scored anew
+                bar = np.partition(near, len(ids) - k, axis=1)[:, len(ids) - k] - 1e-9 if k < len(ids) else np.full(len(near), -2.0)
+                for i in range(len(near)):
+                    may = np.flatnonzero((near[i] >= bar[i]) & (near[i] > -np.inf))
+                    score = np.zeros(len(may))
+                    for b in range(0, len(may), 4096):
+                        own = may[b : b + 4096]
+                        score[b : b + 4096] = _sums(np.broadcast_to(y[at + i], (len(own), dim)), x[own]) / (q_size[at + i] * size[own] + 1e-12)
+                    best = np.lexsort((ids[may], -score))[:k]
+                    out.append((np.full(len(best), q_ids[at + i]), ids[may[best]], score[best]))
+        found = [np.concatenate(c) for c in zip(*out, strict=True)]
+        return pa.table(dict(zip(("query_id", "id", "score"), found, strict=True)))
+
+    return run
+
+
 def _candidates(q: Quantizer, dim: int, keep: int):
     def run(table: pa.Table) -> pa.Table:
         """A slice of a group of cells and its queries to the rows that the codes place first for each query."""

@@ -63,3 +63,17 @@ def test_codes_are_near_their_vectors():
     cell = np.zeros(2000, np.int64)
     near = q.closeness(x[:50], 0, q.codes(x, cell))
     assert np.corrcoef(near.ravel(), (x[:50] @ x.T).ravel())[0, 1] > 0.95
+
+
+def test_a_slice_gives_k_rows_a_query():
+    """Searched whole, a slice of 3,000 rows (all equal but for length) leaves k rows for each query, ties by id."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.operators import vector_index
+
+    vectors = [[1.0, 2.0, 3.0]] * 3000 + [[3.0, 2.0, 1.0], [1.0, 2.0, 3.0]]
+    codes = [b"x"] * 3000 + [None] * 2
+    got = vector_index._nearest(3, 5)(pa.table({"id": np.arange(3002), "v": vectors, "code": pa.array(codes, pa.binary())}))
+    assert got.column("query_id").to_pylist() == [3000] * 5 + [3001] * 5 and got.column("id").to_pylist() == [0, 1, 2, 3, 4] * 2
+    assert np.allclose(got.column("score").to_numpy(), [10 / 14] * 5 + [1.0] * 5)
