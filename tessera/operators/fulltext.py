@@ -20,6 +20,8 @@ ENDINGS = (
 LEAST_STEM = 3
 #: Covers of up to so many words count whole.
 NEAR = 16
+#: So many stems are sent to all tasks.
+FEW_TERMS = 100_000
 
 
 def ending_patterns() -> list[str]:
@@ -35,10 +37,18 @@ def stem(word: Column | str) -> Column:
     return out
 
 
-def positional_postings(df: DataFrame, id_col: str, *columns: str) -> DataFrame:
-    """(id, term, positions): where in each text each stem stands, from 0; columns count as one text. Null ids are left out."""
+def positional_postings(df: DataFrame, id_col: str, *columns: str, wanted: DataFrame | None = None) -> DataFrame:
+    """(id, term, positions): where in each text each stem stands, from 0; columns count as one text. Null ids are left out.
+
+    ``wanted`` (term) leaves only these stems, before anything is shuffled where they are at most ``FEW_TERMS``.
+    """
     words = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode(terms(*columns)).alias("position", "word"))
-    return words.groupBy("id", stem("word").alias("term")).agg(F.array_sort(F.collect_list("position")).alias("positions"))
+    words = words.select("id", "position", stem("word").alias("term"))
+    if wanted is not None:
+        only = wanted.select("term").distinct()
+        few = only.limit(FEW_TERMS + 1).count() <= FEW_TERMS
+        words = words.join(F.broadcast(only) if few else only, "term", "left_semi")
+    return words.groupBy("id", "term").agg(F.array_sort(F.collect_list("position")).alias("positions"))
 
 
 def asked_terms(df: DataFrame, query_id: str, query: str) -> DataFrame:

@@ -54,3 +54,11 @@ def test_search(spark):
     for q, text in queries.items():
         assert got.get(q, {}) == plain_search(texts, text), text
     assert fulltext.positional_postings(df.limit(0), "id", "text").count() == 0
+
+
+def test_wanted_stems_alone_are_posted(spark):
+    """What isn't asked doesn't leave the texts, and positions still count every word."""
+    df = spark.createDataFrame([(1, "la casa de las casas"), (2, "nada"), (None, "casa")], "id long, t string")
+    wanted = spark.createDataFrame([("cas",), ("cas",)], "term string")
+    got = fulltext.positional_postings(df, "id", "t", wanted=wanted).collect()
+    assert [(r["id"], r["term"], r["positions"]) for r in got] == [(1, "cas", [1, 4])]
