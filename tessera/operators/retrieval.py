@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fold, folded
-from ..sources.writers import scratch_path
+from ..sources.writers import scratch_path, stored
 
 K1, B = 1.2, 0.75
 
@@ -53,7 +53,7 @@ class LexicalIndex:
     batch of a new generation, which readers take once it is whole. One writer at a time is meant.
     """
 
-    BUCKETS = 64
+    BUCKETS, TASK, PIECE = 64, 1 << 22, 1 << 26
     _SIZES = "id long, dl long, batch string, turn long, mark long"
 
     def __init__(self, spark: SparkSession, path: str):
@@ -88,7 +88,10 @@ class LexicalIndex:
 
     def _add(self, new: DataFrame, columns: list[str]) -> None:
         batch, turn, folder = uuid.uuid4().hex, self._next_turn(), self._generation()
-        self._write_postings(postings(new, "id", *columns), folder, batch)
+        new = stored(new, "new-texts")
+        size = new.agg(F.sum(F.length(F.concat_ws(" ", *columns)))).first()[0] or 0
+        # an id is one row here, so dealt by id its words are counted where it is, some TASK characters at a time
+        self._write_postings(postings(new.repartition(max(1, -(-size // self.TASK)), "id"), "id", *columns), folder, batch, size)
         sizes = new.select("id", F.size(terms(*columns)).cast("long").alias("dl"), F.lit(batch).alias("batch"), F.lit(turn).cast("long").alias("turn"), F.col("_mark").alias("mark"))
         sizes.write.mode("append").parquet(f"{folder}/sizes")
 
@@ -102,9 +105,10 @@ class LexicalIndex:
     def _next_turn(self) -> int:
         return (self._entries().agg(F.max("turn")).first()[0] or 0) + 1
 
-    def _write_postings(self, found: DataFrame, folder: str, batch: str) -> None:
-        # a bucket goes to few tasks, each of which writes one file
-        counted = found.withColumns({"bucket": self._bucket(F.col("term")), "dl": F.col("dl").cast("int")}).repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(4)))
+    def _write_postings(self, found: DataFrame, folder: str, batch: str, size: int) -> None:
+        # a bucket's postings of some PIECE characters go to one task, which sorts them and writes one file
+        pieces = max(1, -(-size // self.PIECE))
+        counted = found.withColumns({"bucket": self._bucket(F.col("term")), "dl": F.col("dl").cast("int")}).repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(pieces)))
         counted.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{folder}/postings/batch={batch}")
 
     def merge(self) -> None:
@@ -113,7 +117,7 @@ class LexicalIndex:
         before = self._generation()
         number, batch = int(before.split("=")[-1]) + 1, uuid.uuid4().hex
         folder = f"{self.path}/generation={number}"
-        self._write_postings(self.postings(), folder, batch)
+        self._write_postings(self.postings(), folder, batch, 6 * (held.agg(F.sum("dl")).first()[0] or 0))
         held.select("id", "dl", F.lit(batch).alias("batch"), F.lit(1).cast("long").alias("turn"), "mark").write.mode("overwrite").parquet(f"{folder}/sizes")
         mark = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/whole={number}")
         mark.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(mark, False).close()

@@ -49,6 +49,20 @@ def test_cuts_at_white_space(spark):
     assert rows(chunk.explode_chunks(parts, "doc_id", "c"), "doc_id", "text") == [(1, "Artículo Uno. ab"), (2, "sin marca")]
 
 
+def test_index_tasks_grow_in_number(spark, tmp_path, monkeypatch):
+    """Texts of more characters than a task and a piece hold are dealt to more of them, and searches find the same."""
+    df = spark.createDataFrame([(i, f"uno dos w{i % 7}") for i in range(60)], "id long, t string")
+    found = {}
+    for piece in (1 << 26, 100):
+        monkeypatch.setattr(retrieval.LexicalIndex, "PIECE", piece)
+        monkeypatch.setattr(retrieval.LexicalIndex, "TASK", piece)
+        index = retrieval.LexicalIndex(spark, f"{tmp_path}/{piece}")
+        index.refresh(df, "id", ["t"])
+        found[piece] = rows(index.search({"q": "uno w3"}), "query_id", "id", "score", "rank")
+    few, many = found.values()
+    assert few == many and len(few) == 9
+
+
 def test_sources_keep_their_long_texts(spark):
     """The filler of the sources' table isn't the one that another query has under the same name."""
     from tessera import queries
