@@ -172,7 +172,7 @@ def law_targets(docs: DataFrame, id_col: str, title_col: str, date_col: str | No
     return docs.select(F.lit("ley").alias("kind"), code.alias("block"), none.alias("organ"), none.alias("epoch"), F.col(id_col).alias("doc_id"), date.cast("date").alias("date")).where("block is not null")
 
 
-def resolve_citations(cites: DataFrame, targets: DataFrame, kind: str = "kind", cited: str = "cited") -> DataFrame:
+def resolve_citations(cites: DataFrame, targets: DataFrame, kind: str = "kind", cited: str = "cited", best: bool = False) -> DataFrame:
     """cites with norm_canon, cited_doc_id, candidate and candidates: the documents that a citation names, best first.
 
     ``cites`` has a kind (``tesis``: ``cited`` is a case key; ``ley``: it is a law's code) and any other columns.
@@ -181,7 +181,8 @@ def resolve_citations(cites: DataFrame, targets: DataFrame, kind: str = "kind",
     candidate 1 is the resolution and ``candidates`` above 1 says that it was ambiguous. A citation that nothing fits
     keeps one row with a null cited_doc_id and 0 candidates; a null or empty one has a null norm_canon, too.
 
-    Each distinct citation is resolved once, and all its rows then look it up.
+    Each distinct citation is resolved once, and all its rows then look it up. With ``best`` they meet candidate 1 alone:
+    otherwise a citation has as many rows as documents that it may name.
     """
     canon = F.when(F.col(kind) == "tesis", key_canon(F.col(cited))).otherwise(F.col(cited))
     rows = cites.withColumn("norm_canon", F.nullif(canon, F.lit("")))
@@ -197,5 +198,5 @@ def resolve_citations(cites: DataFrame, targets: DataFrame, kind: str = "kind",
     by = Window.partitionBy("kind", "norm_canon")
     ranked = ranked.withColumn("candidate", F.row_number().over(by.orderBy(F.desc("agree"), F.desc_nulls_last("date"), "doc_id"))).withColumn("candidates", F.count("*").over(by).cast("int"))
     found = ranked.select(F.col("kind").alias(kind), "norm_canon", F.col("doc_id").alias("cited_doc_id"), "candidate", "candidates")
-    out = rows.join(found, [kind, "norm_canon"], "left")
+    out = rows.join(found.where("candidate = 1") if best else found, [kind, "norm_canon"], "left")
     return out.withColumns({"candidates": F.coalesce("candidates", F.lit(0)), "candidate": F.coalesce("candidate", F.lit(1))}).select(*cites.columns, "norm_canon", "cited_doc_id", "candidate", "candidates")

@@ -53,3 +53,12 @@ def test_resolution(spark):
     assert got[5] == got[6] == got[7] == got[9] == [None]
     assert {r["n"]: r["norm_canon"] for r in found}[7] is None and {r["n"]: r["norm_canon"] for r in found}[5] == "9A/J1/1999"
     assert citations.resolve_citations(cites, targets.limit(0)).where("candidates > 0").count() == 0
+
+
+def test_best_candidate_meets_citations_alone(spark):
+    """Many documents bear one law; with ``best`` each citation is one row, with as many candidates counted."""
+    targets = spark.createDataFrame([("ley", "X", None, None, i, None) for i in range(50)], "kind string, block string, organ string, epoch string, doc_id long, date date")
+    cites = spark.createDataFrame([("ley", "X", 1), ("ley", "X", 2), ("ley", "Y", 3)], "kind string, cited string, n int")
+    got = citations.resolve_citations(cites, targets, best=True).orderBy("n").collect()
+    assert [(r["n"], r["cited_doc_id"], r["candidate"], r["candidates"]) for r in got] == [(1, 0, 1, 50), (2, 0, 1, 50), (3, None, 1, 0)]
+    assert citations.resolve_citations(cites, targets).count() == 101
