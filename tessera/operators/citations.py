@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import squeeze
 from . import catalog
+from .batches import small_batches
 
 #: A pattern's literal beginning has at least so many characters, and at most so many forms.
 LEAST_HEAD, MOST_HEADS = 3, 64
@@ -107,7 +108,7 @@ def citation_windows(df: DataFrame, id_col: str, text_col: str, patterns: dict[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan, ref = PatternScan(sources, caseless), re.compile(article, re.I if caseless else 0)
-        for batch in batches:
+        for batch in small_batches(batches):
             rows: list[tuple] = []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 for law, start, end in scan.matches(text) if text else ():

@@ -62,3 +62,13 @@ def test_best_candidate_meets_citations_alone(spark):
     got = citations.resolve_citations(cites, targets, best=True).orderBy("n").collect()
     assert [(r["n"], r["cited_doc_id"], r["candidate"], r["candidates"]) for r in got] == [(1, 0, 1, 50), (2, 0, 1, 50), (3, None, 1, 0)]
     assert citations.resolve_citations(cites, targets).count() == 101
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from tessera.operators.batches import small_batches
+
+    batch = pa.RecordBatch.from_pydict({"i": list(range(100)), "t": ["x" * 1000] * 100})
+    parts = list(small_batches(iter([batch, batch.slice(0, 0)]), 10_000))
+    assert [i for p in parts for i in p.column("i").to_pylist()] == list(range(100)) and max(p.num_rows for p in parts) <= 10
