@@ -28,6 +28,8 @@ PART_ROWS, LEAST_PARTS, MOST_PARTS = 800, 8, 1024
 SAMPLE_ROWS, SAMPLE_BYTES = 128, 1 << 26
 #: Neighbours in the graph; hidden units, passes and rate of the classifier.
 DEGREE, HIDDEN, EPOCHS, RATE = 10, 128, 30, 0.003
+#: Products that are held at once while the graph is made, and bytes of queries that are sent to their parts at once.
+GRAPH_CELLS, ASKED_BYTES = 1 << 22, 1 << 25
 #: Queries that are audited, and the share of their true neighbours that routing must reach.
 AUDITED, RECALL = 1024, 0.93
 #: Lengths of vectors that have a model; rows of other lengths are one part a length, which is searched whole.
@@ -57,10 +59,11 @@ def neighbours(x: np.ndarray, all_x: np.ndarray, own: np.ndarray, k: int = DEGRE
     """Places in all_x of the k nearest of each row of x, but for its own place."""
     k = min(k, len(all_x) - 1)
     out = np.zeros((len(x), max(0, k)), np.int64)
-    for at in range(0, len(x) if k > 0 else 0, 512):
-        near = x[at : at + 512] @ all_x.T
-        near[np.arange(len(near)), own[at : at + 512]] = -np.inf
-        out[at : at + 512] = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    step = max(16, min(512, GRAPH_CELLS // len(all_x)))
+    for at in range(0, len(x) if k > 0 else 0, step):
+        near = x[at : at + step] @ all_x.T
+        near[np.arange(len(near)), own[at : at + step]] = -np.inf
+        out[at : at + step] = np.argpartition(-near, k - 1, axis=1)[:, :k]
     return out
 
 
@@ -229,7 +232,7 @@ def _train(samples: dict, parts: dict):
         """The sample of one length to the classifier's weights, packed."""
         dim = table.column("dim")[0].as_py()
         table = table.sort_by("place")
-        graph, goals = (np.array(table.column(c).to_pylist(), np.int64) for c in ("near", "goals"))
+        graph, goals = (table.column(c).combine_chunks().flatten().to_numpy().reshape(len(table), -1) for c in ("near", "goals"))
         x = samples[dim].value
         part = balanced_parts(graph, parts[dim])
         # a stored row counts itself among its neighbours; as a query it doesn't
@@ -270,24 +273,30 @@ def _asks(models: dict, bundles: dict, probes: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
-            take, bundle, parts = list(np.flatnonzero(~np.isin(dims, list(models)))), [], []
-            bundle += [0] * len(take)
-            parts += [[0]] * len(take)
+            plain = np.flatnonzero(~np.isin(dims, list(models))).tolist()
+            if plain:
+                yield from sent(batch, plain, [0] * len(plain), [[0]] * len(plain))
             for dim in models:
-                rows = np.flatnonzero(dims == dim)
-                if not len(rows):
-                    continue
-                v = _matrix(batch.column("vector").take(pa.array(rows)), dim)
-                order = np.argsort(-models[dim].scores(asked(v)), axis=1, kind="stable")[:, : probes[dim]]
-                for i, own in zip(rows.tolist(), order, strict=True):
-                    held = bundles[dim][own]
-                    for b in np.unique(held).tolist():
-                        take.append(i)
-                        bundle.append(b)
-                        parts.append(own[held == b].tolist())
-            kept = pa.Table.from_batches([batch]).take(pa.array(take, pa.int64()))
-            kept = kept.append_column("bundle", pa.array(bundle, pa.int64())).append_column("parts", pa.array(parts, pa.list_(pa.int32())))
-            yield from kept.combine_chunks().to_batches()
+                every = np.flatnonzero(dims == dim)
+                # a query is copied for each bundle, and has a score for each part
+                step = max(1, min((GRAPH_CELLS // 4) // len(bundles[dim]), ASKED_BYTES // (8 * dim * len(np.unique(bundles[dim])))))
+                for at in range(0, len(every), step):
+                    rows = every[at : at + step]
+                    v = _matrix(batch.column("vector").take(pa.array(rows)), dim)
+                    order = np.argsort(-models[dim].scores(asked(v)), axis=1, kind="stable")[:, : probes[dim]]
+                    take, bundle, parts = [], [], []
+                    for i, own in zip(rows.tolist(), order, strict=True):
+                        held = bundles[dim][own]
+                        for b in np.unique(held).tolist():
+                            take.append(i)
+                            bundle.append(b)
+                            parts.append(own[held == b].tolist())
+                    yield from sent(batch, take, bundle, parts)
+
+    def sent(batch: pa.RecordBatch, take: list[int], bundle: list[int], parts: list[list[int]]) -> list[pa.RecordBatch]:
+        kept = pa.Table.from_batches([batch]).take(pa.array(take, pa.int64()))
+        kept = kept.append_column("bundle", pa.array(bundle, pa.int64())).append_column("parts", pa.array(parts, pa.list_(pa.int32())))
+        return kept.combine_chunks().to_batches()
 
     return run
 
