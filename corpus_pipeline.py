@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tessera.llm import minhash, mixing, quality, sentencepiece_codec, toxicity
-from tessera.llm.common import new_path, read_table, saved
+from tessera.llm.common import new_path, read_table, saved, small_batches
 
 _COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -17,6 +17,7 @@ def keep_good(spark, docs, sf_dir):
     Null and empty texts are scored by their end mark alone; ids aren't looked at, so rows without one and repeated rows
     go or stay by their texts; without labels all score 0.5 and stay; an empty table stays empty.
     """
+    small_batches(spark)
     scored = quality.with_quality(docs, read_table(spark, sf_dir, "labels"))
     return scored.where("score >= 0.5").select(*_COLUMNS)
 
@@ -26,6 +27,7 @@ def drop_toxic(spark, docs, sf_dir):
 
     Null and empty texts have no hits and stay; ids aren't looked at; without labels all stay; an empty table stays empty.
     """
+    small_batches(spark)
     scored = toxicity.with_toxicity(docs, read_table(spark, sf_dir, "labels"))
     return scored.where("score < 0.7").select(*_COLUMNS)
 
@@ -71,6 +73,7 @@ def mix(spark, docs, sf_dir):
 
 def encode(spark, docs, sf_dir):
     """doc_id, lang, source, n_tokens and ids of every document of the mix, repeated ones each; null and empty texts have no ids."""
+    small_batches(spark)
     encoded = sentencepiece_codec.encode_texts(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"))
     return encoded.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids")
 

@@ -13,6 +13,8 @@ from ..sources.writers import scratch_path as new_path
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,6 +50,16 @@ def join_spread(many: DataFrame, few: DataFrame, key: str, by: str, parts: int =
     return left.join(right.hint("merge"), [key, "_part"]).drop("_part")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python tasks in batches of about BATCH_BYTES from now on, where the session has no setting of its own.
+
+    Spark's default, 64 MB or 10,000 rows, is held several times over by each task, in the JVM's direct memory and in Python,
+    and both keep what they once took. Results don't depend on it.
+    """
+    if _BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def ascii_lower(col):
     return F.translate(col, UPPER, LOWER)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_spread, saved
+from .common import join_spread, saved, small_batches
 from .components import connected_components, joined_blocks
 from .hashing import U64, mix, shingles, slices, span_hashes, word_spans
 
@@ -198,6 +198,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     with a null component. Rows that repeat a doc_id are one document, with the links of all its texts. Empty tables give
     no rows; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     sketched = saved(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sketch_batches, _SKETCH), "sketches")
     key = ["k1", "k2", "n_shingles"]
     # a class goes by its smallest doc_id; copies are combined before they are shuffled

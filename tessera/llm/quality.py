@@ -103,12 +103,12 @@ def train(bags: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bags = []
+    held = []
     for batch in batches:
-        for y, rows, shares in zip(batch.column("y").to_pylist(), batch.column("rows").to_pylist(), batch.column("shares").to_pylist(), strict=True):
-            bags.append((y, np.frombuffer(rows, np.int32), np.frombuffer(shares, np.float32)))
-    if len({y for y, _, _ in bags}) == 2:
-        bags.sort(key=lambda b: (b[1].tobytes(), b[2].tobytes(), b[0]))  # partitions come in any order; the result doesn't depend on it
+        held += zip(*(batch.column(c).to_pylist() for c in ("rows", "shares", "y")), strict=True)
+    if len({y for *_, y in held}) == 2:
+        held.sort()  # partitions come in any order; the result doesn't depend on it
+        bags = [(y, np.frombuffer(rows, np.int32), np.frombuffer(shares, np.float32)) for rows, shares, y in held]
         yield pa.RecordBatch.from_arrays([pa.array([train(bags).tobytes()], pa.binary())], names=["odds"])
 
 
