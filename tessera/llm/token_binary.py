@@ -14,6 +14,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -104,8 +105,9 @@ class Codes:
 # How byte-level BPE vocabularies of this kind cut texts before merging, for the characters below U+0250
 # and common punctuation; in texts with others the library cuts.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", r" \t\n\r\x0b\x0c"
-_PRETOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
-_OTHER = re.compile(r"[^\x00-\x1b!-~ \xa1-\u024f\u2010-\u2027\u2030-\u205e\u20ac]|<\|")
+# What is most frequent comes first; of the alternatives only those that share a first character depend on their order.
+_PRETOKEN = re.compile(f" ?[{_L}]+| ?[{_N}]+|'(?:[stmd]|re|ve|ll)| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_OTHER = re.compile(r"[^\x00-\x1b!-~ \xa1-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
 #: Any such tokenizer may be cut where white space follows something else.
 _PIECE = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 #: White space or not by some definitions only: texts with these are encoded whole.
@@ -120,6 +122,14 @@ def _byte_characters() -> dict[int, str]:
 
 
 _BYTES = _byte_characters()
+_ID = attrgetter("id")
+#: Between pieces that are translated together: a character that no familiar text has, and what becomes of it.
+_BETWEEN = "\uffff"
+_BETWEEN_BYTES = _BETWEEN.encode().decode("latin-1").translate(_BYTES)
+
+
+def _is_familiar(text: str) -> bool:
+    return not _OTHER.search(text) and "<|" not in text
 
 
 def _is_plain(spec: dict) -> bool:
@@ -151,25 +161,34 @@ class PieceEncoder(PieceStore):
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             self.plain = _is_plain(json.load(f))
+        self.others = False  # whether unfamiliar texts were cut since the last new pieces
 
     def cut(self, text: str) -> list[str]:
         if not self.plain:
             return [text] if text else []
-        if not _OTHER.search(text):
+        if _is_familiar(text):
             return _PRETOKEN.findall(text)
+        self.others = True
         return [text] if _UNSURE.search(text) else _PIECE.findall(text)
 
     def learn(self, fresh: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        ids: list[list[int]] = []
-        single = [self.plain and _PRETOKEN.fullmatch(p) is not None and not _OTHER.search(p) for p in fresh]
-        order = [p for p, s in zip(fresh, single, strict=True) if s] + [p for p, s in zip(fresh, single, strict=True) if not s]
-        n = sum(single)
-        for p in order[:n]:
-            ids.append([t.id for t in self.model.tokenize(p.encode().decode("latin-1").translate(_BYTES))])
-        for at in range(n, len(order), 5000):
-            ids += [e.ids for e in self.tokenizer.encode_batch_fast(order[at : at + 5000], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return order, np.fromiter((i for own in ids for i in own), np.uint32, int(sizes.sum())), sizes
+        flat: list[int] = []
+        sizes: list[int] = []
+        alone, rest = (fresh, []) if self.plain else ([], fresh)
+        if self.others:  # some aren't from familiar texts, and so may be more than the library merges at once
+            single = [_is_familiar(p) and _PRETOKEN.fullmatch(p) is not None for p in fresh]
+            alone, rest = ([p for p, s in zip(fresh, single, strict=True) if s is kind] for kind in (True, False))
+            self.others = False
+        if alone:
+            for piece in _BETWEEN.join(alone).encode().decode("latin-1").translate(_BYTES).split(_BETWEEN_BYTES):
+                tokens = self.model.tokenize(piece)
+                flat.extend(map(_ID, tokens))
+                sizes.append(len(tokens))
+        for at in range(0, len(rest), 5000):
+            for e in self.tokenizer.encode_batch_fast(rest[at : at + 5000], add_special_tokens=False):
+                flat += e.ids
+                sizes.append(len(e.ids))
+        return alone + rest, np.array(flat, np.uint32), np.array(sizes, np.int64)
 
 
 @lru_cache(maxsize=2)
