@@ -50,6 +50,15 @@ def join_spread(many: DataFrame, few: DataFrame, key: str, by: str, parts: int =
     return left.join(right.hint("merge"), [key, "_part"]).drop("_part")
 
 
+#: Rows of a saved table that join_small broadcasts: some 10 MB.
+MOST_BROADCAST_ROWS = 200_000
+
+
+def join_small(many: DataFrame, few: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """many.join(few, on), without a shuffle where ``few``, read from a saved table, has up to MOST_BROADCAST_ROWS rows."""
+    return many.join(F.broadcast(few) if few.count() <= MOST_BROADCAST_ROWS else few, on, how)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Rows go to Python tasks in batches of about BATCH_BYTES from now on, where the session has no setting of its own.
 

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, saved
+from .common import join_small, release, saved
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -37,6 +37,49 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return now.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(roots)
 
 
+def hooked_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(id, component_id) for every id that an edge names and that can reach a smaller one; component_id is the smallest.
+
+    For links that come in portions: what a portion joins is found from its own links, between components so far.
+    In a round every id hooks on to the smallest id it is linked with, if that is smaller; pointers jump until they
+    are at roots; only links between different roots go on. An id that stays a root for two rounds has taken in all its
+    neighbours, so rounds grow with the log of the ids. A round shuffles a grouped minimum, and joins whose other
+    side is too large to be broadcast. Nulls and self-links are dropped.
+    """
+    now = saved(_different(edges.select(a, b), a, b), "links")
+    rounds = []
+    while not now.isEmpty():
+        roots = _at_roots(saved(now.groupBy("u").agg(F.min("v").alias("v")), "hooks"))
+        rounds.append(roots)
+        met = join_small(now, roots.withColumnRenamed("v", "a"), "u")
+        met = join_small(met, roots.select(F.col("u").alias("v"), F.col("v").alias("b")), "v", "left")
+        old, now = now, saved(_different(met.select("a", F.coalesce("b", "v").alias("b")), "a", "b"), "links")
+        release(old)
+    if not rounds:
+        return now.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
+    out = rounds.pop()
+    while rounds:
+        below, above = rounds.pop(), out.select(F.col("u").alias("v"), F.col("v").alias("w"))
+        out = saved(below.join(above, "v", "left").select("u", F.coalesce("w", "v").alias("v")).unionByName(out), "roots")
+    return out.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
+
+
+def _different(edges: DataFrame, a: str, b: str) -> DataFrame:
+    # the greatest of an id and null is that id, and so is the least
+    return edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v")
+
+
+def _at_roots(hooks: DataFrame) -> DataFrame:
+    """(u, root) of a saved forest (u, v), v < u: each step doubles the length of the way that a pointer has gone."""
+    while True:
+        above = hooks.select(F.col("u").alias("v"), F.col("v").alias("w"))
+        step = join_small(hooks.select("u", "v"), above, "v", "left").select("u", F.coalesce("w", "v").alias("v"), F.col("w").isNotNull().alias("moved"))
+        old, hooks = hooks, saved(step, "hooks")
+        release(old)
+        if hooks.where("moved").isEmpty():
+            return hooks.select("u", "v")
+
+
 def joined_blocks(close: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> list[tuple[np.ndarray, int]]:
     """(ids, smallest of them) of the components of a bipartite graph; every row and column is expanded once."""
     out = []

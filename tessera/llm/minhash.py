@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_spread, saved, small_batches
-from .components import connected_components, joined_blocks
+from .common import MOST_BROADCAST_ROWS, join_small, join_spread, saved, small_batches
+from .components import hooked_components, joined_blocks
 from .hashing import U64, mix, shingles, slices, span_hashes, word_spans
 
 WIDTH = 5
@@ -212,31 +212,25 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     first = slots.where("id <> lead").groupBy("lead", "id").agg(F.count("*").alias("bands"))
     # of a class's leads, the one that shares most bands
     first = saved(first.groupBy("id").agg(F.max_by("lead", F.struct("bands", -F.col("lead"))).alias("lead")), "leads")
-    known = _confirmed(_likely_pairs(first.select(F.col("lead").alias("a"), F.col("id").alias("b")), heads, percent), docs, percent)
-    found = connected_components(known)
-
-    tops = saved(_tops(slots, first), "tops")
-    known, found = _join_groups(tops.select(F.col("top").alias("g"), "id"), known, found, heads, docs, percent)
+    links = _confirmed(_likely_pairs(first.select(F.col("lead").alias("a"), F.col("id").alias("b")), heads, percent), docs, percent)
+    places = _join_groups(None, _places(heads, first, hooked_components(links)), docs, percent)
 
     # what is left: pairs of a band that belong to different tops, and aren't in one component yet
-    marked = slots.select("band", "id").join(tops, "id").join(found, "id", "left").select("band", "id", "top", F.coalesce("component_id", "id").alias("part"))
+    marked = join_small(slots.select("band", "id"), places, "id")
     mixed = marked.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("many"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members"))
     mixed = saved(mixed.where("low <> high"), "mixed-bands")
-    marked = saved(marked.join(mixed.where(F.col("many") <= PAIRED).select("band"), "band").join(heads.select("id", "n"), "id"), "open-bands")
-    one, two = (marked.select("band", F.col("id").alias(k), *[F.col(c).alias(c + k) for c in ("part", "top", "n")]) for k in "ab")
-    open_pair = f"a < b and parta <> partb and topa <> topb and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    rest = one.join(two, "band").where(open_pair).select("a", "b").distinct()
-    more, joined = _confirmed(_likely_pairs(rest, heads, percent), docs, percent), found
-    if not more.isEmpty():
-        known = saved(known.unionByName(more), "known")
-        joined = connected_components(known)
+    marked = saved(join_small(marked, mixed.where(F.col("many") <= PAIRED).select("band"), "band"), "open-bands")
+    one, two = (marked.select("band", F.col("id").alias(k), *[F.col(c).alias(c + k) for c in ("part", "top", "least", "n")]) for k in "ab")
+    open_pair = f"a < b and parta <> partb and topa <> topb and 100 * least(na, nb) >= {percent} * greatest(leasta, leastb)"
+    rest = saved(one.join(two, "band").where(open_pair).select("a", "b").distinct(), "open-pairs")
+    places = _with_links(places, _confirmed(_likely_pairs(rest, heads, percent), docs, percent))
     # many bands of a large group have the same members: one of these bands is enough
     large = mixed.where(F.col("many") > PAIRED).groupBy("many", "members").agg(F.min("band").alias("g")).select("g")
     if not large.isEmpty():
         large = saved(slots.select(F.col("band").alias("g"), "id").join(large, "g"), "large-bands")
-        known, joined = _join_groups(large, known, joined, heads, docs, percent)
+        places = _join_groups(large, places, docs, percent)
 
-    named = classes.join(joined, "id", "left").select(*key, F.coalesce("component_id", "id").alias("smallest"))
+    named = join_small(classes, places.select("id", F.col("part").alias("smallest")), "id").select(*key, "smallest")
     # a null key part never joins, which leaves sets that are empty and rows without an id to themselves
     out = sketched.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("k1")).alias("k1"), "k2").join(named, key, "left")
     component = F.coalesce("smallest", "doc_id")
@@ -244,34 +238,39 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def _likely_pairs(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes and registers allow the similarity; pairs are formed on ids first, registers follow."""
+    """Pairs, read from a saved table, whose sizes and registers allow the similarity; pairs are formed on ids first, registers follow."""
+    if pairs.isEmpty():
+        return pairs
     a, b = (heads.select(F.col("id").alias(k), F.col("n").alias("n" + k), F.col("registers").alias("r" + k)) for k in "ab")
     fit = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    return saved(pairs.join(b, "b").join(a, "a").where(fit).mapInArrow(_likely(percent / 100), "a long, b long").distinct(), "likely")
+    return saved(join_small(b, pairs, "b").join(a, "a").where(fit).mapInArrow(_likely(percent / 100), "a long, b long").distinct(), "likely")
 
 
-def _tops(slots: DataFrame, first: DataFrame) -> DataFrame:
-    """(id, top): the lead of a class's lead. Classes near one another mostly have the same top."""
-    lead, next_lead = first.select("id", "lead"), first.select(F.col("id").alias("lead"), F.col("lead").alias("top"))
-    known = slots.select("id").distinct().join(lead, "id", "left").withColumn("lead", F.coalesce("lead", "id"))
-    return known.join(next_lead, "lead", "left").select("id", F.coalesce("top", "lead").alias("top"))
+def _places(heads: DataFrame, first: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, least, n, top, part) of all classes: sizes of its sets (several where an id is repeated), the lead of its
+    lead, and its component so far. Classes near one another mostly have the same top."""
+    ids = heads.groupBy("id").agg(F.min("n").alias("least"), F.max("n").alias("n"))
+    led = join_small(ids, first.select("id", "lead"), "id", "left").withColumn("lead", F.coalesce("lead", "id"))
+    topped = join_small(led, first.select(F.col("id").alias("lead"), F.col("lead").alias("top")), "lead", "left")
+    parted = join_small(topped, found.select("id", F.col("component_id").alias("part")), "id", "left")
+    return saved(parted.select("id", "least", "n", F.coalesce("top", "lead").alias("top"), F.coalesce("part", "id").alias("part")), "places")
 
 
 # ---------------------------------------------------------------- large groups
 
 
-def _join_groups(groups: DataFrame, known: DataFrame, found: DataFrame, heads: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links and components, with enough links between members of a group (g, id) to join what any of them join.
+def _join_groups(groups: DataFrame | None, places: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Places, with enough members of a group (g, id; None: of a top) linked to join what any of them join.
 
     Members of a group's largest component are near, the others open; pairs of one component need no look. Blocks of
     open members meet one another and the blocks of near ones; a block is one row, two are compared as matrices in one
     task, and no pair of documents becomes a row. In groups of many blocks all members are first compared with a few
     leads, round after round as long as that leaves clearly fewer open ones; each round is linear in the members.
     """
-    members = _open_members(groups, found, heads)
+    members = _open_members(groups, places)
     if members.isEmpty():
-        return known, found
-    sets = _sets_of(members.select("id").distinct(), docs)
+        return places
+    sets = _sets_of(members.select("id"), docs)
     before = None
     for turn in range(1, 1000):
         sizes = saved(_block_counts(members), "group-sizes")
@@ -285,13 +284,13 @@ def _join_groups(groups: DataFrame, known: DataFrame, found: DataFrame, heads: D
         # half of the leads are open, half near
         draw = F.xxhash64("id", F.lit(turn))
         leads = some.withColumn("bucket", F.pmod(draw, F.lit(LEADS // 2))).groupBy("g", "near", "bucket").agg(F.min_by("id", draw).alias("id"))
-        leads = leads.select("g", "id").join(sets, "id").select("g", F.lit(True).alias("near"), F.lit(0).cast("long").alias("block"), "id", "shingles")
+        leads = _with_sets(leads.select("g", "id"), large.count() * LEADS, sets).select("g", F.lit(True).alias("near"), F.lit(0).cast("long").alias("block"), "id", "shingles")
         leads = leads.groupBy("g", "near", "block").applyInArrow(_pack, _BLOCK).select("g", *[F.col(c).alias("lead_" + c) for c in ("ids", "sizes", "shingles")])
         met = join_spread(blocks, saved(leads, "group-leads"), "g", "block", 16, 0).mapInArrow(_meet_leads(percent), "a long, b long")
-        known, found = _with_links(known, found, met)
-        members = _open_members(groups, found, heads)
+        places = _with_links(places, met)
+        members = _open_members(groups, places)
         if members.isEmpty():
-            return known, found
+            return places
 
     blocks = _packed_blocks(members, sizes, sets)
     last = F.col("open_blocks") - 1
@@ -304,24 +303,34 @@ def _join_groups(groups: DataFrame, known: DataFrame, found: DataFrame, heads: D
     sides = F.when(own == F.col("other"), F.array(own)).otherwise(F.array(own, F.col("other")))
     met = pairs.select("g", "i", F.col("other.near").alias("to_near"), F.col("other.block").alias("j"), F.posexplode(sides).alias("side", "at")).select("g", "i", "to_near", "j", "side", "at.*")
     met = met.join(blocks, ["g", "near", "block"]).groupBy("g", "i", "to_near", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
-    return _with_links(known, found, met)
+    return _with_links(places, met)
 
 
-def _with_links(known: DataFrame, found: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    links = saved(links.distinct(), "inside")
+def _with_links(places: DataFrame, links: DataFrame) -> DataFrame:
+    """Places after links (a, b): only links between different parts are looked at."""
+    links = saved(links, "inside")
     if links.isEmpty():
-        return known, found
-    known = saved(known.unionByName(links), "known")
-    return known, connected_components(known)
-
-
-def _open_members(groups: DataFrame, found: DataFrame, heads: DataFrame) -> DataFrame:
+        return places
+    for k in "ab":
+        part = places.select(F.col("id").alias(k), F.col("part").alias("part" + k))
+        links = saved(join_small(part, links, k).drop(k), "part-links")
+    names = hooked_components(links, "parta", "partb").select(F.col("id").alias("part"), "component_id")
+    if names.isEmpty():
+        return places
+    moved = join_small(places, names, "part", "left").withColumn("part", F.coalesce("component_id", "part"))
+    return saved(moved.select(*places.columns), "places")
+
+
+def _open_members(groups: DataFrame | None, places: DataFrame) -> DataFrame:
     """(g, id, n, near) of groups of more than one component. A hot group's rows are counted before they are shuffled."""
-    parts = saved(groups.join(found, "id", "left").select("g", "id", F.coalesce("component_id", "id").alias("part")), "group-parts")
+    if groups is None:
+        parts = places.select(F.col("top").alias("g"), "id", "n", "part")
+    else:
+        parts = saved(join_small(groups, places.select("id", "n", "part"), "id"), "group-parts")
     mains = parts.groupBy("g", "part").agg(F.count("*").alias("many")).groupBy("g").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("many", -F.col("part"))).alias("main"))
     mains = saved(mains.where("parts > 1").select("g", "main"), "group-mains")
     near = (F.col("part") == F.col("main")).alias("near")
-    return saved(join_spread(parts, mains, "g", "id").join(heads.select("id", "n"), "id").select("g", "id", "n", near), "members")
+    return saved(join_spread(parts, mains, "g", "id").select("g", "id", "n", near), "members")
 
 
 def _block_counts(members: DataFrame) -> DataFrame:
@@ -342,7 +351,13 @@ def _packed_blocks(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> Dat
     """The members of each block as one row."""
     placed = join_spread(members, sizes.select("g", "open_blocks", "near_blocks"), "g", "id")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.when(F.col("near"), F.col("near_blocks")).otherwise(F.col("open_blocks"))))
-    return saved(placed.select("g", "near", "block", "id").join(sets, "id").groupBy("g", "near", "block").applyInArrow(_pack, _BLOCK), "blocks")
+    placed = _with_sets(placed.select("g", "near", "block", "id"), members.count(), sets)
+    return saved(placed.groupBy("g", "near", "block").applyInArrow(_pack, _BLOCK), "blocks")
+
+
+def _with_sets(rows: DataFrame, many: int, sets: DataFrame) -> DataFrame:
+    """Rows with the sets of their ids; up to ``many`` rows go to the sets, which aren't shuffled then."""
+    return sets.join(F.broadcast(rows) if many <= MOST_BROADCAST_ROWS else rows, "id")
 
 
 def _pack(table: pa.Table) -> pa.Table:
@@ -417,10 +432,13 @@ def _compare_blocks(percent: int):
 
 
 def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """(id, shingles) of the documents named, from their texts."""
-    ids = saved(ids, "named")
-    if ids.count() <= MOST_BROADCAST_IDS:  # else the texts are dealt by id
+    """(id, shingles) of the documents named, perhaps repeatedly, in a saved table; from their texts."""
+    if ids.count() <= MOST_BROADCAST_IDS:
         ids = F.broadcast(ids)
+    else:
+        ids = saved(ids.distinct(), "named")
+        if ids.count() <= MOST_BROADCAST_IDS:  # else the texts are dealt by id
+            ids = F.broadcast(ids)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
     return saved(texts.mapInArrow(_set_batches, "id long, shingles binary"), "sets")
 
@@ -429,6 +447,6 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents whose full sets are similar enough; texts are read again for the documents named only."""
     if pairs.isEmpty():
         return pairs
-    sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), docs)
+    sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs)
     a, b = (sets.select(F.col("id").alias(k), F.col("shingles").alias("s" + k)) for k in "ab")
-    return saved(pairs.join(b, "b").join(a, "a").mapInArrow(_linked(percent), "a long, b long").distinct(), "confirmed")
+    return saved(join_small(b, pairs, "b").join(a, "a").select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "a long, b long"), "confirmed")
