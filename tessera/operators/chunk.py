@@ -24,15 +24,20 @@ def paragraphs(c: Column, separator: str = BLANK_LINE, more_than: int = 80, most
     return F.transform(kept, lambda t: F.substring(t, 1, cut)) if cut else kept
 
 
-def marked_sections(c: Column, marker: str = ARTICLE_START, more_than: int = 30, cut: int = 4000, whole: int = 5000) -> Column:
+def marked_sections(c: Column, marker: str = ARTICLE_START, more_than: int = 30, cut: int | None = None, whole: int | None = None) -> Column:
     """(type, text) of a text cut at numbered markers. What comes before the first marker is dropped, and bodies of
-    ``more_than`` characters or fewer are; a text without markers is one piece of ``whole`` characters."""
+    ``more_than`` characters or fewer are; a text without markers is one piece. Bodies and texts are whole, or of
+    ``cut`` and of ``whole`` characters."""
+
+    def first(t: Column, most: int | None) -> Column:
+        return F.substring(t, 1, most) if most else t
+
     numbers = F.regexp_extract_all(c, F.lit(marker), F.lit(1))
     bodies = F.slice(F.split(c, marker, -1), 2, F.greatest(F.size(numbers), F.lit(1)))
     parts = F.zip_with(numbers, bodies, lambda n, b: F.struct(strip(n).alias("n"), strip(b).alias("b")))
     kept = F.filter(parts, lambda p: F.length(p["b"]) > more_than)
-    articles = F.transform(kept, lambda p: F.struct(F.lit("articulo").alias("type"), F.concat(F.lit("Artículo "), p["n"], F.lit(". "), F.substring(p["b"], 1, cut)).alias("text")))
-    body = F.array(F.struct(F.lit("cuerpo").alias("type"), strip(F.substring(c, 1, whole)).alias("text")))
+    articles = F.transform(kept, lambda p: F.struct(F.lit("articulo").alias("type"), F.concat(F.lit("Artículo "), p["n"], F.lit(". "), first(p["b"], cut)).alias("text")))
+    body = F.array(F.struct(F.lit("cuerpo").alias("type"), strip(first(c, whole)).alias("text")))
     return F.when(F.size(numbers) > 0, articles).otherwise(body)
 
 

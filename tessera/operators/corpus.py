@@ -139,7 +139,7 @@ SOURCES: dict[str, SourceSpec] = {
             "dip_ley",
             "law_id",
             {"tipo": "'ley_federal'", "jerarquia": "'federal'", "titulo": "nombre", "fecha_publicacion": "ultima_reforma", "raw_text": "texto", "source_url": "primary_url"},
-            lambda: _concat(_body("titulo", "nombre"), F.when(F.coalesce("texto", F.lit("")) != "", marked_sections(F.col("texto"))).otherwise(F.array().cast("array<struct<type:string,text:string>>"))),
+            lambda: _concat(_body("titulo", "nombre"), F.when(F.coalesce("texto", F.lit("")) != "", marked_sections(F.col("texto"), cut=4000, whole=5000)).otherwise(F.array().cast("array<struct<type:string,text:string>>"))),
             metadata={"abreviatura": "abreviatura", "categoria": "categoria"},
         ),
         SourceSpec(

@@ -12,6 +12,7 @@ from tessera.functions import text as tx
 from tessera.functions.vectors import cosine
 from tessera.operators import audit, chunk, corpus, match, retrieval, upsert
 from tessera.plans import paging
+from tessera.queries import QUERIES
 from tessera.sources import readers, writers
 from tessera.streaming import incremental
 
@@ -49,6 +50,18 @@ def test_cuts_at_white_space(spark):
     assert rows(chunk.explode_chunks(parts, "doc_id", "c"), "doc_id", "text") == [(1, "Artículo Uno. ab"), (2, "sin marca")]
 
 
+def test_marked_sections_are_whole(spark, tmp_path):
+    """Neither long bodies nor a long text without markers are cut, by the operator and by the query."""
+    long = "palabra " * 2000
+    df = spark.createDataFrame([(1, f"pre\nUno {long}\nDos {long}fin"), (2, f" {long}sin marca ")], "doc_id long, text string")
+    parts = df.select("doc_id", chunk.marked_sections(F.col("text"), r"\n(\p{Lu}\p{Ll}*) ").alias("c"))
+    whole = [(1, f"Artículo Uno. {long.strip()}"), (1, f"Artículo Dos. {long}fin"), (2, f"{long}sin marca")]
+    assert rows(chunk.explode_chunks(parts, "doc_id", "c"), "doc_id", "text") == sorted(whole)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows(QUERIES["chunk_split_marker"](spark, str(tmp_path)), "doc_id", "chunk_type", "n", "chars")
+    assert got == [(1, "articulo", 2, len(whole[0][1]) + len(whole[1][1])), (2, "cuerpo", 1, len(whole[2][1]))]
+
+
 def test_index_tasks_grow_in_number(spark, tmp_path, monkeypatch):
     """Texts of more characters than a task and a piece hold are dealt to more of them, and searches find the same."""
     df = spark.createDataFrame([(i, f"uno dos w{i % 7}") for i in range(60)], "id long, t string")
