@@ -94,9 +94,9 @@ def inside(html: Column, element: Column) -> Column:
     return F.substring(html, element["begin"] + 1, element["end"] - element["begin"])
 
 
-def main_contents(df: DataFrame, html_col: str, into: str = "text", selectors: tuple[str, ...] = catalog.GAZETTE_SELECTORS, least: int = 200, chrome: str = catalog.GAZETTE_CHROME, beginning: str = catalog.GAZETTE_BEGINNING, most: int = 300_000, closed: bool = False) -> DataFrame:
+def main_contents(df: DataFrame, html_col: str, into: str = "text", selectors: tuple[str, ...] = catalog.GAZETTE_SELECTORS, least: int = 200, chrome: str = catalog.GAZETTE_CHROME, beginning: str = catalog.GAZETTE_BEGINNING, most: int | None = None, closed: bool = False) -> DataFrame:
     """df with each page's main text: of the first selector's first element that has more than ``least`` characters and no
-    page chrome at its head, or else of the body from the first word that real contents begin with. With ``closed`` only elements that have a closing tag count, and a page without such a body has an empty text.
+    page chrome at its head, or else of the body from the first word that real contents begin with. With ``closed`` only elements that have a closing tag count, and a page without such a body has an empty text. Texts are whole, or of ``most`` characters.
 
     Each page is gone over once; the choices are cut out of it and stripped of their tags once each.
     """
@@ -110,4 +110,5 @@ def main_contents(df: DataFrame, html_col: str, into: str = "text", selectors: t
     without = F.when(clean.isNotNull(), F.lit("")) if closed else clean
     chosen = pages.withColumn("_fit", fit).withColumn("_body", F.when(fit.isNull(), text_only(F.coalesce(inside(clean, body), without), entities=True)))
     found = F.nullif(F.regexp_extract("_body", rf"(?sU)({beginning}.*)\z", 1), F.lit(""))
-    return chosen.withColumn(into, F.substring(F.coalesce("_fit", found, "_body"), 1, most)).drop("_clean", "_elements", "_fit", "_body")
+    text = F.coalesce("_fit", found, "_body")
+    return chosen.withColumn(into, F.substring(text, 1, most) if most else text).drop("_clean", "_elements", "_fit", "_body")

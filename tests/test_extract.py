@@ -142,6 +142,16 @@ def test_main_contents_of_closed_elements(spark):
     assert texts[False] == ["a" * 300] * 3 + ["corta", None, "nada"]
 
 
+def test_main_contents_are_whole(spark):
+    """Texts of more than 300,000 characters, by an element, by a beginning and by the body."""
+    long = "palabra " * 50_000 + "fin"
+    pages = [(1, f"<body>x<article>{long}</article></body>"), (2, f"<body>x DECRETO {long}</body>"), (3, f"<body>{long}</body>")]
+    df = spark.createDataFrame(pages, "id long, html string")
+    for closed in (True, False):
+        texts = [r["text"] for r in html_table.main_contents(df, "html", closed=closed).orderBy("id").collect()]
+        assert texts == [long, f"DECRETO {long}", long]
+
+
 def test_country_entry(frame):
     html = "<h2>Reservas</h2><b>Francia</b><p>" + "f" * 120 + "</p><b> México </b><p>" + "m" * 120 + "</p><b>Noruega</b><p>no</p>"
     assert frame(html).select(extract.country_entry(F.col("t"), "México")).first()[0] == "México " + "m" * 120
