@@ -54,7 +54,7 @@ def join_spread(many: DataFrame, few: DataFrame, key: str, by: str, parts: int =
 MOST_BROADCAST_ROWS = 200_000
 
 
-def join_small(many: DataFrame, few: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def join_small(many: DataFrame, few: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """many.join(few, on), without a shuffle where ``few``, read from a saved table, has up to MOST_BROADCAST_ROWS rows."""
     return many.join(F.broadcast(few) if few.count() <= MOST_BROADCAST_ROWS else few, on, how)
 

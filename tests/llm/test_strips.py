@@ -2,8 +2,9 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tessera.llm import media
+from tessera.llm import embed_dedup, media
 from tessera.llm.components import Forest
 
 
@@ -44,6 +45,40 @@ def test_recordings_shuffle_by_rows(spark, monkeypatch):
     assert 0 < written[1] < 3 * written[0], written
 
 
+def vectors(n):
+    """n random vectors and, for each third, one within range of it."""
+    x = np.random.default_rng(n).normal(size=(n, 256))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return np.concatenate([x, x[::3] + 0.05 * np.roll(x[::3], 1, axis=0)])
+
+
+def linked(x):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = x @ x.T >= 0.93
+    np.fill_diagonal(close, False)
+    return close.sum(axis=1).tolist()
+
+
+def test_links_that_no_audited_vector_has(spark, monkeypatch):
+    """Searches that miss all links of the vectors that aren't audited: they are in the result, which isn't called exact."""
+    monkeypatch.setattr(embed_dedup, "LEAST_AUDITED", 1)
+    search = embed_dedup._graph_links
+
+    def half_blind(*asked):
+        found = search(*asked)
+        kept = found.where((F.col("id") % 100 == 0) | (F.col("other") % 100 == 0))
+        kept.saved_at = found.saved_at
+        return kept
+
+    monkeypatch.setattr(embed_dedup, "_graph_links", half_blind)
+    x = vectors(300)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    got = {r["vec_id"]: r for r in embed_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert [got[i]["n_links"] for i in range(len(x))] == linked(x)
+    assert all(got[300 + k]["component_id"] == 3 * k for k in range(100))
+    assert not got[0]["exact"] and got[0]["audit_recall"] == 1.0
+
+
 @pytest.mark.parametrize("most", [1 << 20, 10])
 def test_forest(monkeypatch, most):
     """Links in portions, and matrices with few and with many of them."""
